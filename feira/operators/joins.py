@@ -1,0 +1,55 @@
+"""Left enrichment join that keeps its balance when a few keys hold most rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 64
+HEAVY_KEYS = 1000  # most keys the sketch may report: the size bound of the broadcast
+TRACKED_KEYS = 10_000
+
+
+def expected_bytes(df: DataFrame) -> int:
+    """Size the optimizer expects for df, from file statistics."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= expected_bytes(df) <= int(limit)
+
+
+def heavy_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys frequent enough to matter, from one mergeable sketch; at most HEAVY_KEYS rows.
+
+    The sketch only steers the plan. Any set of keys gives the same join result.
+    """
+    top = df.agg(F.expr(f"approx_top_k({key}, {HEAVY_KEYS}, {TRACKED_KEYS})").alias("top"))
+    return top.select(F.explode("top.item").alias("_heavy"), F.lit(True).alias("_is_heavy"))
+
+
+def enrich(left: DataFrame, right: DataFrame, key: str, salted: bool | None = None) -> DataFrame:
+    """left LEFT JOIN right on key.
+
+    A right side that Spark would broadcast is joined plainly. A larger one is joined
+    on (key, salt): rows of heavy keys are spread over SALTS salts, and only the right
+    rows of those keys are repeated once per salt, so no task holds a whole heavy key.
+    """
+    if salted is None:
+        salted = not fits_broadcast(right)
+    if not salted:
+        return left.join(right, key, "left")
+
+    heavy = F.broadcast(heavy_keys(left, key))
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+    left_s = left.join(heavy, F.col(key).eqNullSafe(F.col("_heavy")), "left").select(
+        *left.columns, F.when(F.col("_is_heavy"), spread).otherwise(0).alias("_salt")
+    )
+    copies = F.when(F.col("_is_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    right_s = right.join(heavy, F.col(key) == F.col("_heavy"), "left").select(
+        *right.columns, F.explode(copies).alias("_salt")
+    )
+    return left_s.join(right_s, [key, "_salt"], "left").drop("_salt")
