@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from feira.schemas import AMOUNT, PRICE
 
-# Line total as charged. The test tables hold the total, not the unit price.
+# Line total as charged: the test tables hold it, not the unit price. It stays a double
+# of whole cents here; the operators sum it as cents.
 CHARGED = "total_cobrado"
 
 
@@ -56,7 +57,7 @@ def itens(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("id_transacao"),
         F.col("l_partkey").alias("id_produto"),
         F.col("l_quantity").cast("int").alias("quantidade"),
-        F.col("l_extendedprice").cast(AMOUNT).alias("total_cobrado"),
+        F.col("l_extendedprice").alias("total_cobrado"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("data_envio"),
         F.col("l_returnflag").alias("devolucao"),
     )

@@ -6,29 +6,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.functions.calendar import month_start
+from feira.functions.money import total
 from feira.operators.fact import order_revenue
 from feira.schemas import TOTAL
 
 
-def _money(c: Column) -> Column:
-    return F.round(c, 2).cast(TOTAL)
-
-
 def top_customers(
     clientes: DataFrame, transacoes: DataFrame, itens: DataFrame,
     valor: Column | str | None = None, n: int = 10,
 ) -> DataFrame:
     """Customers by total spend; equal totals are ordered by id."""
     spend = order_revenue(transacoes, itens, valor).groupBy("id_cliente").agg(
-        F.sum("receita").alias("receita")
+        total(F.col("receita")).alias("total_gasto")
     )
     who = clientes.select(
         F.col("id").alias("id_cliente"), F.col("nome").alias("nome_cliente"), "email", "distrito"
     )
     return (
         who.join(spend, "id_cliente")
-        .select("id_cliente", "nome_cliente", "email", "distrito",
-                _money(F.col("receita")).alias("total_gasto"))
+        .select("id_cliente", "nome_cliente", "email", "distrito", "total_gasto")
         .orderBy(F.col("total_gasto").desc_nulls_first(), "id_cliente")
         .limit(n)
     )
@@ -66,7 +62,7 @@ def monthly_trend(
     return (
         order_revenue(transacoes, itens, valor)
         .groupBy(month_start(F.col("data_hora")).alias("mes"))
-        .agg(_money(F.sum("receita")).alias("receita"))
+        .agg(total(F.col("receita")).alias("receita"))
         .orderBy(F.col("mes").asc_nulls_last())
     )
 
@@ -80,19 +76,20 @@ def aov_by_district(
     many orders a customer has.
     """
     per_customer = order_revenue(transacoes, itens, valor).groupBy("id_cliente").agg(
-        F.sum("receita").alias("receita"),
+        total(F.col("receita")).alias("receita"),
         F.count(F.lit(1)).alias("encomendas"),
         F.count("receita").alias("com_valor"),
     )
     where_from = clientes.select(F.col("id").alias("id_cliente"), "distrito")
-    total = F.sum("receita")
+    revenue = total(F.col("receita"))
     return (
         where_from.join(per_customer, "id_cliente")
         .groupBy("distrito")
         .agg(
-            _money(F.try_divide(total, F.sum("com_valor"))).alias("valor_medio_encomenda"),
+            F.round(F.try_divide(revenue, F.sum("com_valor")), 2)
+            .cast(TOTAL).alias("valor_medio_encomenda"),
             F.sum("encomendas").alias("num_encomendas"),
-            _money(total).alias("receita_total"),
+            revenue.alias("receita_total"),
         )
         .orderBy(F.col("valor_medio_encomenda").desc_nulls_first(), "distrito")
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.schemas import AMOUNT, TOTAL
+from feira.functions.money import amount, cents, total
+from feira.schemas import TOTAL
 
 MEASURES = ["n_events", "total_value"]
 
@@ -13,7 +14,7 @@ MEASURES = ["n_events", "total_value"]
 def measures() -> list:
     return [
         F.count(F.lit(1)).alias("n_events"),
-        F.sum(F.col("value").cast(AMOUNT)).cast(TOTAL).alias("total_value"),
+        total(F.col("value")).alias("total_value"),
     ]
 
 
@@ -60,7 +61,7 @@ def sessions(events: DataFrame, gap: str = "30 minutes", slice_by: str = "hour")
     """
     pause = F.expr(f"interval {gap}")
     e = events.select(
-        "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("value").cast(AMOUNT).alias("value")
+        "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), cents(F.col("value")).alias("value")
     ).withColumn("slice", F.date_trunc(slice_by, "ts"))
 
     in_slice = Window.partitionBy("user_id", "slice").orderBy("ts")
@@ -97,5 +98,5 @@ def sessions(events: DataFrame, gap: str = "30 minutes", slice_by: str = "hour")
         F.col("first").alias("session_start"),
         (F.col("last") + pause).alias("session_end"),
         "n_events",
-        F.col("total_value").cast(TOTAL).alias("total_value"),
+        amount(F.col("total_value")).alias("total_value"),
     )

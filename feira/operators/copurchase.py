@@ -53,7 +53,8 @@ def product_pairs(fact: DataFrame, block: int = BLOCK) -> DataFrame:
     shuffled.
     """
     cells = _in_cells(baskets(fact), block)
-    a, b = cells.alias("a"), cells.alias("b")
+    # Both sides are the same rows, so one shuffle serves them, and merging can spill.
+    a, b = cells.alias("a"), cells.alias("b").hint("merge")
     meets = (
         (F.col("a.transaction_id") == F.col("b.transaction_id"))
         & (F.col("a.cell_a") == F.col("b.cell_a"))

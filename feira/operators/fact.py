@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.functions.calendar import parse_datetime
+from feira.functions.money import amount, cents
 from feira.operators.joins import enrich
 from feira.schemas import AMOUNT, PRICE
 
@@ -15,22 +16,24 @@ FACT_COLUMNS = [
 ]
 
 
-def _priced_lines(itens: DataFrame, produtos: DataFrame | None, price_basis: str,
-                  salted: bool | None) -> DataFrame:
+def _lines_with_price(
+    itens: DataFrame, produtos: DataFrame | None, price_basis: str, salted: bool | None
+) -> DataFrame:
+    """Lines with `preco` and its whole cents, from the catalog or as charged."""
+    price = F.col("preco").cast(PRICE)
     if price_basis == "catalog":
         lines = itens.select("id_transacao", "id_produto", "quantidade")
         prices = produtos.select(
-            F.col("id").alias("id_produto"), F.col("preco").cast(PRICE).alias("preco")
+            F.col("id").alias("id_produto"), price.alias("preco"), cents(price).alias("centimos")
         )
-        lines = enrich(lines, prices, "id_produto", salted)
-    elif price_basis == "charged":
-        lines = itens.select(
+        return enrich(lines, prices, "id_produto", salted)
+    if price_basis == "charged":
+        charged = itens.withColumn("preco", F.col("preco_unitario"))
+        return charged.select(
             "id_transacao", "id_produto", "quantidade",
-            F.col("preco_unitario").cast(PRICE).alias("preco"),
+            price.alias("preco"), cents(price).alias("centimos"),
         )
-    else:
-        raise ValueError(f"price_basis must be 'catalog' or 'charged', not {price_basis!r}")
-    return lines.withColumn("total_linha", (F.col("quantidade") * F.col("preco")).cast(AMOUNT))
+    raise ValueError(f"price_basis must be 'catalog' or 'charged', not {price_basis!r}")
 
 
 def _order_heads(transacoes: DataFrame) -> DataFrame:
@@ -49,13 +52,15 @@ def transaction_fact(
 
     Lines whose product or order is unknown stay, with NULLs in those columns.
     """
-    priced = _priced_lines(itens, produtos, price_basis, salted)
+    priced = _lines_with_price(itens, produtos, price_basis, salted)
     lines = enrich(priced, _order_heads(transacoes), "id_transacao", salted)
     return lines.select(
         F.col("id_transacao").alias("transaction_id"),
         "customer_id",
         F.col("id_produto").alias("product_id"),
-        "quantidade", "preco", "total_linha", "data_hora",
+        "quantidade", "preco",
+        (F.col("quantidade") * F.col("preco")).cast(AMOUNT).alias("total_linha"),
+        "data_hora",
         F.to_date("data_hora").alias("date"),
     )
 
@@ -70,8 +75,9 @@ def order_fact(
     lines are combined map-side and the orders join is one row to one row, so a hot
     order cannot skew it.
     """
-    priced = _priced_lines(itens, produtos, price_basis, salted)
-    totals = priced.groupBy("id_transacao").agg(F.sum("total_linha").alias("total_linha"))
+    priced = _lines_with_price(itens, produtos, price_basis, salted)
+    line_cents = F.col("quantidade").cast("bigint") * F.col("centimos")
+    totals = priced.groupBy("id_transacao").agg(amount(F.sum(line_cents)).alias("total_linha"))
     return totals.join(_order_heads(transacoes), "id_transacao", "left").select(
         F.col("id_transacao").alias("transaction_id"),
         "customer_id", "total_linha", "data_hora",
@@ -82,11 +88,14 @@ def order_fact(
 def order_revenue(
     transacoes: DataFrame, itens: DataFrame, valor: Column | str | None = None
 ) -> DataFrame:
-    """Charged revenue of each order that has lines; orders and lines must both exist."""
+    """Charged revenue of each order that has lines; orders and lines must both exist.
+
+    valor is the line total as charged; by default quantidade * preco_unitario.
+    """
     if valor is None:
-        valor = F.col("quantidade") * F.col("preco_unitario")
-    elif isinstance(valor, str):
-        valor = F.col(valor)
-    per_order = itens.groupBy("id_transacao").agg(F.sum(valor.cast(AMOUNT)).alias("receita"))
+        line_cents = F.col("quantidade").cast("bigint") * cents(F.col("preco_unitario"))
+    else:
+        line_cents = cents(F.col(valor) if isinstance(valor, str) else valor)
+    per_order = itens.groupBy("id_transacao").agg(amount(F.sum(line_cents)).alias("receita"))
     heads = transacoes.select(F.col("id").alias("id_transacao"), "id_cliente", "data_hora")
     return per_order.join(heads, "id_transacao")

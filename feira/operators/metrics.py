@@ -7,16 +7,17 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.functions.calendar import iso_week, iso_year, month_label
+from feira.functions.money import total
 from feira.schemas import TOTAL
 
 
-def _total(column: str):
+def _total(column: str) -> Column:
     # A group whose values are all NULL is worth 0, not NULL.
-    return F.coalesce(F.sum(column), F.lit(0)).cast(TOTAL)
+    return F.coalesce(total(F.col(column)), F.lit(0)).cast(TOTAL)
 
 
 def customer_lifetime_value(fact: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def revenue_over_time(fact: DataFrame, keep_undated: bool = False) -> Revenue:
     `weekly` merges equal week numbers of all years; `weekly_iso` keeps years apart.
     With keep_undated, undated rows form a month labelled 'NaT'.
     """
-    by_day = fact.groupBy("date").agg(F.sum("total_linha").alias("total"))
+    by_day = fact.groupBy("date").agg(total(F.col("total_linha")).alias("total"))
     dated = by_day.where(F.col("date").isNotNull())
     label = month_label(F.col("date"))
     months = by_day if keep_undated else dated

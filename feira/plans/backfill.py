@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feira.operators.expectations import Expectation
@@ -48,19 +48,16 @@ def run_days(
     path = f"{root}/fact_transactions"
     if not days:
         return path
+    spark = transacoes.sparkSession
     fact = fact_of_days(transacoes, itens, produtos, days).withColumn(DAY, F.col("date"))
-    write_partitions(fact, path, DAY)
-
-    def written() -> DataFrame:
-        return fact.sparkSession.read.schema(fact.schema).parquet(path).where(F.col(DAY).isin(days))
-
-    # A written day may hold an older run's rows only if this run had none for it.
-    fresh = {r[0] for r in fact.select(DAY).distinct().collect()}
-    for day in days:
-        if day not in fresh:
-            nothing = fact.drop(DAY).limit(0)
-            nothing.write.mode("overwrite").parquet(f"{path}/{DAY}={day.isoformat()}")
-    run_gate({"fact_transactions": written()}, suites={"fact_transactions": FACT_SUITE})
+    seen = Observation()
+    write_partitions(fact.observe(seen, F.collect_set(DAY).alias("days")), path, DAY)
+    # Overwriting touches only days that have rows; the others may hold an older run's.
+    nothing = spark.createDataFrame([], fact.drop(DAY).schema)
+    for day in sorted(set(days) - set(seen.get["days"])):
+        nothing.write.mode("overwrite").parquet(f"{path}/{DAY}={day.isoformat()}")
+    written = spark.read.schema(fact.schema).parquet(path).where(F.col(DAY).isin(days))
+    run_gate({"fact_transactions": written}, suites={"fact_transactions": FACT_SUITE})
     return path
 
 

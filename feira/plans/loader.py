@@ -50,8 +50,11 @@ def load_table(batch: DataFrame, table: str, root: str, at: datetime | None = No
 
 def append_audit(spark: SparkSession, root: str, table: str, file: str, start: datetime,
                  rows: int, error: str | None) -> None:
-    row = (table, file, start, datetime.now(timezone.utc), rows, error is None, error)
-    spark.createDataFrame([row], AUDIT).coalesce(1).write.mode("append").parquet(f"{root}/audit_loads")
+    values = (table, file, start, datetime.now(timezone.utc), rows, error is None, error)
+    row = spark.range(1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, AUDIT.fields)]
+    )
+    row.coalesce(1).write.mode("append").parquet(f"{root}/audit_loads")
 
 
 def load_all(
