@@ -1,4 +1,8 @@
-"""Compare every query with its SQL on one scale factor: python tests/check_oracle.py [sf] [names…]"""
+"""Compare every query with its SQL on one scale factor: python tests/check_oracle.py [sf] [names…]
+
+CHECK_CONF holds extra session settings, e.g. spark.sql.autoBroadcastJoinThreshold=-1 to
+check the plans that large tables get.
+"""
 
 from __future__ import annotations
 
@@ -57,7 +61,10 @@ def main() -> int:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = local_session(8, **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("CHECK_CONF", "").split(",") if kv)
+    spark = local_session(
+        8, **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", **extra}
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
