@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators.increment import EPOCH, increment_since, next_checkpoint
-from feira.plans.tables import _read, merge_into
-from feira.plans.warehouse import staged
+from feira.plans.tables import merge_into, read_if_there, staged
 
 
 def load_checkpoint(spark: SparkSession, path: str) -> datetime:
     """The furthest event time saved, or the epoch. Saved values are appended and the
     largest counts, so it cannot move back."""
-    saved = _read(spark, path)
+    saved = read_if_there(spark, path)
     last = None if saved is None else saved.agg(F.max("last_processed")).first()[0]
     return last or EPOCH
 

@@ -59,9 +59,7 @@ def run_gate(
     if report_path:
         spark = next(iter(tables.values())).sparkSession
         text = render_report(results, environment, source)
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option(
-            "lineSep", ""
-        ).text(report_path)
+        spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(report_path)
     failed = [r for r in results if r["linhas_falhadas"] > 0]
     if failed:
         raise DataQualityError(

@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators.merge import merge_increment
+from feira.session import scratch_path
 from feira.sources.files import missing_as_file_not_found
 
 KEY_RANGE = "key_range"
 ROWS_PER_RANGE = 5_000_000
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         with missing_as_file_not_found():
             return spark.read.parquet(path)
@@ -25,8 +26,19 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write df to the shared folder and read it back.
+
+    Its several readers then share one computation and one state of the sources, and
+    lost executors cost nothing but the tasks they ran.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def committed_version(spark: SparkSession, path: str) -> int | None:
-    commits = _read(spark, f"{path}/commits")
+    commits = read_if_there(spark, f"{path}/commits")
     return None if commits is None else commits.agg(F.max("version")).first()[0]
 
 
@@ -83,7 +95,7 @@ def merge_into(
     """
     spark = increment.sparkSession
     batch = with_key_range(increment, key, rows)
-    target = _read(spark, path)
+    target = read_if_there(spark, path)
     if target is None:
         target = batch.limit(0)
     else:
@@ -97,5 +109,5 @@ def merge_into(
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    df = _read(spark, path)
+    df = read_if_there(spark, path)
     return None if df is None else df.drop(KEY_RANGE)

@@ -6,32 +6,22 @@ import logging
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators.copurchase import co_purchases
 from feira.operators.fact import order_fact
 from feira.operators.metrics import customer_lifetime_value, revenue_over_time
 from feira.operators.scd2 import apply_scd2, initial_dimension
-from feira.plans.tables import current, publish
-from feira.session import scratch_path
+from feira.plans.tables import current, publish, staged
 
 log = logging.getLogger(__name__)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back, so its several readers share one
-    computation that survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def publish_counted(df: DataFrame, path: str) -> int:
-    """Publish a snapshot; its row count is observed in the same pass."""
-    seen = Observation()
-    publish(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-    return seen.get["rows"]
+    """Publish a snapshot; its row count comes from the written files' footers."""
+    publish(df, path)
+    return current(df.sparkSession, path).count()
 
 
 def update_dim_products(produtos: DataFrame, root: str, as_of: datetime | None = None,
