@@ -56,8 +56,8 @@ def sessions(events: DataFrame, gap: str = "30 minutes", slice_by: str = "hour")
 
     A user's timeline is cut into slices, so a very busy user is spread over many
     tasks. Sessions are found within each slice; of those only the first and last can
-    continue in a neighbouring slice, so at most two rows per user and slice go into the
-    second pass, which joins them up.
+    continue in a neighbouring slice, so at most two rows per user and slice meet in the
+    second pass, which joins them up. The others pass through it slice by slice.
     """
     pause = F.expr(f"interval {gap}")
     e = events.select(
@@ -76,27 +76,20 @@ def sessions(events: DataFrame, gap: str = "30 minutes", slice_by: str = "hour")
             F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"),
         )
         .withColumn("pieces", F.max("piece").over(Window.partitionBy("user_id", "slice")))
+        .withColumn("inside", F.when((F.col("piece") > 1) & (F.col("piece") < F.col("pieces")), F.col("slice")))
     )
-    inner = pieces.where((F.col("piece") > 1) & (F.col("piece") < F.col("pieces")))
-    edges = pieces.where((F.col("piece") == 1) | (F.col("piece") == F.col("pieces")))
-
-    by_time = Window.partitionBy("user_id").orderBy("first")
+    by_time = Window.partitionBy("user_id", "inside").orderBy("first")
     ended = F.lag("last").over(by_time)
     opens = F.when(ended.isNull() | (F.col("first") > ended + pause), 1).otherwise(0)
-    joined = (
-        edges.withColumn("opens", opens)
+    return (
+        pieces.withColumn("opens", opens)
         .withColumn("nth", F.sum("opens").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("user_id", "nth")
+        .groupBy("user_id", "inside", "nth")
         .agg(
-            F.min("first").alias("first"), F.max("last").alias("last"),
-            F.sum("n_events").alias("n_events"), F.sum("total_value").alias("total_value"),
+            F.min("first").alias("session_start"),
+            (F.max("last") + pause).alias("session_end"),
+            F.sum("n_events").alias("n_events"),
+            amount(F.sum("total_value")).alias("total_value"),
         )
-    )
-    columns = ["user_id", "first", "last", *MEASURES]
-    return inner.select(*columns).unionByName(joined.select(*columns)).select(
-        "user_id",
-        F.col("first").alias("session_start"),
-        (F.col("last") + pause).alias("session_end"),
-        "n_events",
-        amount(F.col("total_value")).alias("total_value"),
+        .drop("inside", "nth")
     )

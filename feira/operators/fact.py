@@ -26,7 +26,7 @@ def _lines_with_price(
         prices = produtos.select(
             F.col("id").alias("id_produto"), price.alias("preco"), cents(price).alias("centimos")
         )
-        return enrich(lines, prices, "id_produto", salted)
+        return enrich(lines, prices, "id_produto", salted, keys_from=itens)
     if price_basis == "charged":
         charged = itens.withColumn("preco", F.col("preco_unitario"))
         return charged.select(
@@ -53,7 +53,7 @@ def transaction_fact(
     Lines whose product or order is unknown stay, with NULLs in those columns.
     """
     priced = _lines_with_price(itens, produtos, price_basis, salted)
-    lines = enrich(priced, _order_heads(transacoes), "id_transacao", salted)
+    lines = enrich(priced, _order_heads(transacoes), "id_transacao", salted, keys_from=itens)
     return lines.select(
         F.col("id_transacao").alias("transaction_id"),
         "customer_id",

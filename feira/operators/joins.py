@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
 HEAVY_KEYS = 1000  # most keys the sketch may report: the size bound of the broadcast
 TRACKED_KEYS = 10_000
 
@@ -29,24 +28,32 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
     return top.select(F.explode("top.item").alias("_heavy"), F.lit(True).alias("_is_heavy"))
 
 
-def enrich(left: DataFrame, right: DataFrame, key: str, salted: bool | None = None) -> DataFrame:
+def enrich(
+    left: DataFrame, right: DataFrame, key: str,
+    salted: bool | None = None, keys_from: DataFrame | None = None,
+) -> DataFrame:
     """left LEFT JOIN right on key.
 
     A right side that Spark would broadcast is joined plainly. A larger one is joined
-    on (key, salt): rows of heavy keys are spread over SALTS salts, and only the right
-    rows of those keys are repeated once per salt, so no task holds a whole heavy key.
+    on (key, salt): rows of heavy keys are spread over as many salts as there are
+    shuffle partitions, and only the right rows of those few keys are repeated once per
+    salt, so no task holds a whole heavy key.
+
+    keys_from names a cheaper frame with the same key distribution as left, for the
+    search for heavy keys.
     """
     if salted is None:
         salted = not fits_broadcast(right)
     if not salted:
         return left.join(right, key, "left")
 
-    heavy = F.broadcast(heavy_keys(left, key))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+    salts = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    heavy = F.broadcast(heavy_keys(left if keys_from is None else keys_from, key))
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     left_s = left.join(heavy, F.col(key).eqNullSafe(F.col("_heavy")), "left").select(
         *left.columns, F.when(F.col("_is_heavy"), spread).otherwise(0).alias("_salt")
     )
-    copies = F.when(F.col("_is_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+    copies = F.when(F.col("_is_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
     right_s = right.join(heavy, F.col(key) == F.col("_heavy"), "left").select(

@@ -283,6 +283,8 @@ _SAME_TEXT = "s.nome = d.nome AND s.categoria = d.categoria AND s.fornecedor = d
 SQL["scd2_products"] = _scd2(f"s.id = d.id AND {_SAME_TEXT}", "s.preco <> d.preco")
 SQL["scd2_products_strict"] = _scd2("s.id = d.id", f"s.preco <> d.preco OR NOT ({_SAME_TEXT})")
 
+SQL["scd2_stored_history"] = SQL["scd2_products"]
+
 # --- files, tables and jobs -----------------------------------------------------
 
 SQL["csv_round_trip"] = """SELECT o_orderkey AS id, o_custkey AS id_cliente, o_orderdate AS data_hora,

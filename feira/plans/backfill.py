@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feira.operators.expectations import Expectation
 from feira.operators.fact import transaction_fact
 from feira.plans.quality_gate import run_gate
-from feira.plans.tables import staged, write_partitions
+from feira.plans.tables import read_if_there, staged, write_partitions
 
 DAY = "day"
 FACT_SUITE = [
@@ -53,9 +53,13 @@ def run_days(
     write_partitions(fact.withColumn(DAY, F.col("date")), path, DAY)
     # Overwriting touches only days that have rows; the others may hold an older run's.
     fresh = {r[0] for r in fact.select("date").distinct().collect()}
+    held = read_if_there(spark, path)
+    stale = [] if held is None else held.where(
+        F.col(DAY).cast("date").isin(sorted(set(days) - fresh))
+    ).select("date").distinct().collect()
     nothing = spark.createDataFrame([], fact.schema)
-    for day in sorted(set(days) - fresh):
-        nothing.write.mode("overwrite").parquet(f"{path}/{DAY}={day.isoformat()}")
+    for row in stale:
+        nothing.write.mode("overwrite").parquet(f"{path}/{DAY}={row['date'].isoformat()}")
     run_gate({"fact_transactions": fact}, suites={"fact_transactions": FACT_SUITE})
     return path
 

@@ -8,10 +8,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from feira.operators.merge import DuplicateKeyError, upsert
-from feira.plans.tables import current, publish
+from feira.operators.merge import DuplicateKeyError
+from feira.plans.tables import ROWS_PER_RANGE, merge_into
 from feira.schemas import AUDIT, ENTITIES, conform
 from feira.sources.files import read_entity_csv
 
@@ -22,15 +21,15 @@ class LoadError(RuntimeError):
     """At least one table failed; the audit table says which and why."""
 
 
-def table_schema(table: str) -> T.StructType:
-    return T.StructType(
-        [*ENTITIES[table].fields, T.StructField("version_timestamp", T.TimestampType())]
-    )
-
+def load_table(
+    batch: DataFrame, table: str, root: str, at: datetime | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> int:
+    """Upsert a batch into `<root>/<table>` and return its row count; an empty one does nothing.
 
-def load_table(batch: DataFrame, table: str, root: str, at: datetime | None = None) -> int:
-    """Upsert a batch into `<root>/<table>` and return its row count; an empty one does nothing."""
-    spark = batch.sparkSession
+    Every row of the batch gets a new version_timestamp, changed or not. Only the key
+    ranges the batch touches are rewritten.
+    """
     per_key = batch.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     seen = per_key.agg(
         F.sum("n").alias("rows"), F.max("n").alias("most"), F.count_if(F.col("id").isNull()).alias("no_key")
@@ -39,12 +38,10 @@ def load_table(batch: DataFrame, table: str, root: str, at: datetime | None = No
         return 0
     if seen["most"] > 1 or seen["no_key"]:
         raise DuplicateKeyError(f"{table}: ids must be present and unique in a batch")
-    path = f"{root}/{table}"
-    target = current(spark, path)
-    if target is None:
-        target = spark.createDataFrame([], table_schema(table))
     stamp = F.lit(at or datetime.now(timezone.utc)).cast("timestamp")
-    publish(upsert(target, batch, stamp=stamp), path)
+    merge_into(
+        batch.withColumn("version_timestamp", stamp), f"{root}/{table}", rows=rows_per_range, dedupe=False
+    )
     return seen["rows"]
 
 

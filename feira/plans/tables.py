@@ -7,23 +7,25 @@ of their key and only the ranges a batch touches are rewritten. One writer per t
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.operators.merge import merge_increment
+from feira.operators.merge import latest_version, upsert
 from feira.session import scratch_path
-from feira.sources.files import missing_as_file_not_found
 
 KEY_RANGE = "key_range"
 ROWS_PER_RANGE = 5_000_000
 
 
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet data at path, or None if nothing was written there yet."""
     try:
-        with missing_as_file_not_found():
-            return spark.read.parquet(path)
-    except FileNotFoundError:
-        return None
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -42,7 +44,7 @@ def committed_version(spark: SparkSession, path: str) -> int | None:
     return None if commits is None else commits.agg(F.max("version")).first()[0]
 
 
-def publish(df: DataFrame, path: str, version: int | None = None) -> int:
+def publish(df: DataFrame, path: str, version: int | None = None, *partition_by: str) -> int:
     """Write df as the next snapshot and make it current.
 
     Readers keep the old snapshot until the commit row is there; a failed write leaves
@@ -55,7 +57,10 @@ def publish(df: DataFrame, path: str, version: int | None = None) -> int:
         version = 0 if last is None else last + 1
     elif last is not None and version <= last:
         return last
-    df.write.mode("overwrite").parquet(f"{path}/snapshots/version={version}")
+    # Static: a retry must also clear the partitions of an earlier attempt.
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        *partition_by
+    ).parquet(f"{path}/snapshots/version={version}")
     commit = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at")
     )
@@ -87,11 +92,12 @@ def write_partitions(df: DataFrame, path: str, *columns: str) -> None:
 
 def merge_into(
     increment: DataFrame, path: str, key: str = "id", version: str = "version_timestamp",
-    rows: int = ROWS_PER_RANGE, newer_only: bool = False,
+    rows: int = ROWS_PER_RANGE, newer_only: bool = False, dedupe: bool = True,
 ) -> None:
     """Upsert an increment into a key-range table, rewriting only the touched ranges.
 
-    Replaying after a crash gives the same table, as the merge is idempotent.
+    Replaying after a crash gives the same table, as the merge is idempotent. An
+    increment known to hold each key once needs no dedupe.
     """
     spark = increment.sparkSession
     batch = with_key_range(increment, key, rows)
@@ -102,9 +108,10 @@ def merge_into(
         # One number per touched partition of the table, however many rows they hold.
         touched = [r[0] for r in batch.select(KEY_RANGE).distinct().collect()]
         target = target.where(F.col(KEY_RANGE).isin(touched))
-    merged = merge_increment(
-        target.select(*batch.columns), batch, key, version, newer_only=newer_only
-    )
+    target = target.select(*batch.columns)
+    if dedupe:
+        batch = latest_version(batch, key, version)
+    merged = upsert(target, batch, key, version=version, newer_only=newer_only)
     write_partitions(merged, path, KEY_RANGE)
 
 

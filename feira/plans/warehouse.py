@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from feira.operators.copurchase import co_purchases
 from feira.operators.fact import order_fact
 from feira.operators.metrics import customer_lifetime_value, revenue_over_time
-from feira.operators.scd2 import apply_scd2, initial_dimension
+from feira.plans.dimension import read_dimension, update_dimension
 from feira.plans.tables import current, publish, staged
 
 log = logging.getLogger(__name__)
@@ -24,16 +24,6 @@ def publish_counted(df: DataFrame, path: str) -> int:
     return current(df.sparkSession, path).count()
 
 
-def update_dim_products(produtos: DataFrame, root: str, as_of: datetime | None = None,
-                        strict: bool = False) -> int:
-    spark = produtos.sparkSession
-    at = F.lit(as_of or datetime.now(timezone.utc))
-    path = f"{root}/dim_products"
-    dim = current(spark, path)
-    after = initial_dimension(produtos, at) if dim is None else apply_scd2(dim, produtos, at, strict)
-    return publish_counted(after, path)
-
-
 def build_warehouse(
     transacoes: DataFrame, itens: DataFrame, produtos: DataFrame, root: str,
     as_of: datetime | None = None,
@@ -54,7 +44,8 @@ def build_warehouse(
         "fact_weekly_sales": by_day.weekly,
         "fact_monthly_sales": by_day.monthly,
     }
-    rows = {"dim_products": update_dim_products(produtos, root, as_of)}
+    update_dimension(produtos, f"{root}/dim_products", as_of)
+    rows = {"dim_products": read_dimension(produtos.sparkSession, f"{root}/dim_products").count()}
     for name, df in outputs.items():
         rows[name] = publish_counted(df, f"{root}/{name}")
     log.info("warehouse built in %.2fs: %s", time.monotonic() - started, rows)
@@ -62,4 +53,7 @@ def build_warehouse(
 
 
 def read_warehouse(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """A warehouse table as last published; None before the first build."""
+    if table == "dim_products":
+        return read_dimension(spark, f"{root}/{table}")
     return current(spark, f"{root}/{table}")

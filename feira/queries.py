@@ -18,7 +18,7 @@ from feira.operators import (
     analytics, clicks, constraints, copurchase, expectations, fact, features, increment, merge,
     metrics, pii, row_rules, scd2,
 )
-from feira.plans import backfill, incremental, lake, loader, tables, warehouse
+from feira.plans import backfill, dimension, incremental, lake, loader, tables, warehouse
 from feira.schemas import AMOUNT, PRICE, TOTAL, conform
 from feira.session import scratch_path
 from feira.sources import files, landing
@@ -370,6 +370,17 @@ def scd2_products_strict(spark, sf):
     )
 
 
+@query
+def scd2_stored_history(spark, sf):
+    """The stored dimension after three runs: first load, changes, and the same snapshot again."""
+    path = scratch_path(spark, "dimension")
+    dim, snapshot = _dim_and_snapshot(spark, sf)
+    dimension.update_dimension(dim, path, datetime(2025, 1, 1))
+    dimension.update_dimension(snapshot, path, datetime(2025, 2, 1))
+    dimension.update_dimension(snapshot, path, datetime(2025, 3, 1))
+    return _plain_times(dimension.read_dimension(spark, path))
+
+
 # --- files, tables and jobs --------------------------------------------------------
 
 
@@ -437,7 +448,7 @@ def loaded_products(spark, sf):
     dearer = conform(large.withColumn("preco", F.col("preco") * 2), "produtos")
     for batch, day in ((parts, 1), (dearer, 2)):
         loader.load_table(batch, "produtos", root, datetime(2025, 1, day))
-    return tables.current(spark, f"{root}/produtos").withColumn(
+    return tables.read_table(spark, f"{root}/produtos").withColumn(
         "version_timestamp", F.col("version_timestamp").cast("timestamp_ntz")
     )
 

@@ -29,14 +29,20 @@ def local_session(cpus: int | str = "*", app: str = "feira", **extra: str) -> Sp
     return builder.getOrCreate()
 
 
+_test_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        # Only a local test session has none set.
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    global _test_folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    if _test_folder is None:
+        _test_folder = tempfile.mkdtemp(prefix="run-")
+    return _test_folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -5,6 +5,7 @@ Works on any file system Spark can reach (s3a://, hdfs://, file:).
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,11 +54,11 @@ def read_landed(
     """One entity of one day, all text: its newest version, or the oldest with pick='first'."""
     folder = entity_path(root, day, table)
     all_versions = read_raw_csv(spark, folder, [*columns, "source", "version"]).drop(CORRUPT, "source")
-    chosen = {"last": F.max, "first": F.min}[pick]("version")
-    # Only partition values are needed here, and one string comes back.
-    wanted = all_versions.select("version").agg(chosen.alias("v")).first()["v"]
-    if wanted is None:
+    # The file listing names the versions; no data is read to choose one.
+    found = {m[1] for m in map(re.compile(r"/version=([^/]+)/").search, all_versions.inputFiles()) if m}
+    if not found:
         raise FileNotFoundError(f"no landed version under {folder}")
+    wanted = {"last": max, "first": min}[pick](found)
     return all_versions.where(F.col("version") == wanted).drop("version")
 
 

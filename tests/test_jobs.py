@@ -19,9 +19,9 @@ def test_load_folder_twice(spark, rows, made, tmp_path):
     for table, df in made.items():
         files.write_csv(files.raw_text(df, table), f"{raw}/{table}.csv")
     loader.load_folder(spark, raw, root)
-    first = rows(tables.current(spark, f"{root}/produtos").drop("version_timestamp"))
+    first = rows(tables.read_table(spark, f"{root}/produtos").drop("version_timestamp"))
     audit = loader.load_folder(spark, raw, root)
-    assert rows(tables.current(spark, f"{root}/produtos").drop("version_timestamp")) == first
+    assert rows(tables.read_table(spark, f"{root}/produtos").drop("version_timestamp")) == first
     assert audit.count() == 8
     assert rows(audit.where("tabela = 'transacoes'"), "ficheiro", "linhas_carregadas", "sucesso", "erro") == [
         ("transacoes.csv", 120, True, None)
@@ -43,7 +43,7 @@ def test_one_failing_table_does_not_stop_the_others(spark, made, tmp_path):
 def test_load_rules(spark, made, tmp_path):
     batch = made["produtos"]
     assert loader.load_table(batch.limit(0), "produtos", str(tmp_path)) == 0
-    assert tables.current(spark, str(tmp_path / "produtos")) is None
+    assert tables.read_table(spark, str(tmp_path / "produtos")) is None
     with pytest.raises(loader.DuplicateKeyError):
         loader.load_table(batch.unionByName(batch.limit(1)), "produtos", str(tmp_path))
     with pytest.raises(loader.DuplicateKeyError):
@@ -75,6 +75,7 @@ def test_backfill(spark, rows, tmp_path):
     itens = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (3, 1, 3)], "id_transacao long, id_produto long, quantidade int")
     produtos = spark.createDataFrame([(1, D("1.00"))], "id long, preco decimal(10,2)")
     days = [date(2025, 1, 1), date(2025, 1, 3)]
+    backfill.run_day(transacoes, itens, produtos, date(2024, 1, 1), str(tmp_path))  # no rows yet
     path = backfill.run_days(transacoes, itens, produtos, days, str(tmp_path))
     assert rows(spark.read.parquet(path), "transaction_id") == [(1,), (3,)]
     # A rerun of one day replaces it alone; a day that lost its rows is emptied.

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feira.operators import increment, merge, scd2
-from feira.plans import incremental, tables
+from feira.plans import dimension, incremental, tables
 from feira.schemas import DIM_PRODUCTS
 
 V = "id long, x string, version_timestamp timestamp_ntz"
@@ -156,3 +156,17 @@ def test_scd2_repricing_closes_every_current_row_of_the_id(spark, rows):
     after = scd2.apply_scd2(dim, dearer, at(3))
     assert brief(rows, after.where("is_current")) == [(1, "b", D("2.00"), 3, None, True)]
     assert after.count() == 3
+
+
+def test_stored_dimension_never_rewrites_history(spark, rows, tmp_path):
+    path = tmp_path / "dim"
+    assert dimension.read_dimension(spark, str(path)).isEmpty()
+    for day, price in ((1, "1.00"), (2, "2.00"), (3, "2.00"), (4, "3.00")):
+        src = spark.createDataFrame([(1, "a", "c", "f", D(price)), (2, "b", "c", "f", D("9.00"))], P)
+        dimension.update_dimension(src, str(path), datetime(2025, 1, day))
+    assert brief(rows, dimension.read_dimension(spark, str(path))) == sorted([
+        (1, "a", D("1.00"), 1, 2, False), (1, "a", D("2.00"), 2, 4, False), (1, "a", D("3.00"), 4, None, True),
+        (2, "b", D("9.00"), 1, None, True),
+    ], key=repr)
+    last = spark.read.parquet(str(path / "snapshots/version=3"))
+    assert last.count() == 3  # two current rows and the one closed in that run
