@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feira.schemas import TOTAL
+from feira.schemas import AMOUNT, TOTAL
 
 
 def cents(c: Column) -> Column:
@@ -24,6 +24,11 @@ def amount(cents_: Column) -> Column:
     return (cents_.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(TOTAL)
 
 
+def line_amount(cents_: Column) -> Column:
+    """As amount, for single lines: within 18 digits, so decimals stay plain longs."""
+    return (cents_.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast(AMOUNT)
+
+
 def total(c: Column) -> Column:
     """Exact sum of an amount column."""
     return amount(F.sum(cents(c)))

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.functions.calendar import parse_datetime
-from feira.functions.money import amount, cents
+from feira.functions.money import amount, cents, line_amount
 from feira.operators.joins import enrich
-from feira.schemas import AMOUNT, PRICE
+from feira.schemas import PRICE
 
 FACT_COLUMNS = [
     "transaction_id", "customer_id", "product_id", "quantidade",
@@ -36,6 +36,10 @@ def _lines_with_price(
     raise ValueError(f"price_basis must be 'catalog' or 'charged', not {price_basis!r}")
 
 
+def _line_cents() -> Column:
+    return F.col("quantidade").cast("bigint") * F.col("centimos")
+
+
 def _order_heads(transacoes: DataFrame) -> DataFrame:
     return transacoes.select(
         F.col("id").alias("id_transacao"),
@@ -59,7 +63,7 @@ def transaction_fact(
         "customer_id",
         F.col("id_produto").alias("product_id"),
         "quantidade", "preco",
-        (F.col("quantidade") * F.col("preco")).cast(AMOUNT).alias("total_linha"),
+        line_amount(_line_cents()).alias("total_linha"),
         "data_hora",
         F.to_date("data_hora").alias("date"),
     )
@@ -76,8 +80,7 @@ def order_fact(
     order cannot skew it.
     """
     priced = _lines_with_price(itens, produtos, price_basis, salted)
-    line_cents = F.col("quantidade").cast("bigint") * F.col("centimos")
-    totals = priced.groupBy("id_transacao").agg(amount(F.sum(line_cents)).alias("total_linha"))
+    totals = priced.groupBy("id_transacao").agg(amount(F.sum(_line_cents())).alias("total_linha"))
     return totals.join(_order_heads(transacoes), "id_transacao", "left").select(
         F.col("id_transacao").alias("transaction_id"),
         "customer_id", "total_linha", "data_hora",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,44 +22,70 @@ def _violation(failed: Column, rule: str, column: str) -> Column:
     )
 
 
-def _rejects(column: str, valid: Column, rule: str) -> list[Column]:
-    return [_violation(~valid, rule, column)]
+@dataclass(frozen=True)
+class Rule:
+    """What a value must satisfy, and how each way of failing is named."""
 
+    column: str
+    valid: Column
+    failures: dict[str, Column]
 
-def _positive(column: str, parsed: Column, noun: str) -> list[Column]:
-    return [
-        _violation(parsed.isNull(), f"invalid {noun}", column),
-        _violation(parsed <= 0, f"non-positive {noun}", column),
-    ]
+    def violations(self) -> list[Column]:
+        return [_violation(failed, name, self.column) for name, failed in self.failures.items()]
 
 
-def _rules(table: str) -> list[Column]:
+def _must(column: str, valid: Column, failure: str) -> Rule:
+    return Rule(column, valid, {failure: ~valid})
+
+
+def _positive(column: str, parsed: Column, noun: str) -> Rule:
+    return Rule(
+        column,
+        F.coalesce(parsed > 0, F.lit(False)),
+        {f"invalid {noun}": parsed.isNull(), f"non-positive {noun}": parsed <= 0},
+    )
+
+
+def _rules(table: str, fields: list[str]) -> list[Rule]:
+    present = [_must(c, ~is_blank(F.col(c)), "null value") for c in fields]
     match table:
         case "clientes":
-            return _rejects("email", is_valid_email(F.col("email")), "invalid email") + _rejects(
-                "data_registo", is_valid_date(F.col("data_registo")), "invalid date"
-            )
+            return present + [
+                _must("email", is_valid_email(F.col("email")), "invalid email"),
+                _must("data_registo", is_valid_date(F.col("data_registo")), "invalid date"),
+            ]
         case "produtos":
-            return _positive("preco", parse_number(F.col("preco")), "price")
+            return present + [_positive("preco", parse_number(F.col("preco")), "price")]
         case "transacoes":
-            return _rejects("data_hora", is_valid_date(F.col("data_hora")), "invalid timestamp")
+            return present + [
+                _must("data_hora", is_valid_date(F.col("data_hora")), "invalid timestamp")
+            ]
         case "transacao_itens":
-            return _positive(
-                "quantidade", parse_integer(F.col("quantidade")), "quantity"
-            ) + _positive("preco_unitario", parse_number(F.col("preco_unitario")), "unit price")
+            return present + [
+                _positive("quantidade", parse_integer(F.col("quantidade")), "quantity"),
+                _positive("preco_unitario", parse_number(F.col("preco_unitario")), "unit price"),
+            ]
     raise ValueError(f"no row rules for {table!r}")
 
 
+def _rules_of(table: str, raw: DataFrame) -> list[Rule]:
+    return _rules(table, [c for c in raw.columns if not c.startswith("_")])
+
+
+def valid_rows(table: str, raw: DataFrame) -> Column:
+    """True for rows without any violation, for splitting a table in one pass."""
+    return reduce(lambda a, b: a & b, [r.valid for r in _rules_of(table, raw)])
+
+
 def violations(table: str, raw: DataFrame, key: str = "id") -> DataFrame:
     """(tabela, chave, regra, coluna, valor) of an all-text table.
 
     Every empty field is a violation, beside those of its own rule: an empty price is
-    reported both as empty and as invalid.
+    reported both as empty and as invalid. Good rows leave at the filter, so violations
+    are only spelled out for the bad ones.
     """
-    fields = [c for c in raw.columns if not c.startswith("_")]
-    blanks = [_violation(is_blank(F.col(c)), "null value", c) for c in fields]
-    found = F.array_compact(F.array(*blanks, *_rules(table)))
-    return raw.select(
+    found = F.array_compact(F.array(*[v for r in _rules_of(table, raw) for v in r.violations()]))
+    return raw.where(~valid_rows(table, raw)).select(
         F.lit(table).alias("tabela"), F.col(key).alias("chave"), F.inline(found)
     )
 
@@ -67,10 +94,3 @@ def all_violations(tables: dict[str, DataFrame], key: str = "id") -> DataFrame:
     return reduce(
         DataFrame.unionByName, [violations(name, df, key) for name, df in tables.items()]
     )
-
-
-def valid_rows(table: str, raw: DataFrame) -> Column:
-    """True for rows without any violation, for splitting a table in one pass."""
-    fields = [c for c in raw.columns if not c.startswith("_")]
-    checks = [_violation(is_blank(F.col(c)), "null value", c) for c in fields] + _rules(table)
-    return reduce(lambda a, b: a & b, [c.isNull() for c in checks])
