@@ -24,16 +24,17 @@ FACT_SUITE = [
 def fact_of_days(transacoes: DataFrame, itens: DataFrame, produtos: DataFrame, days: list[date]) -> DataFrame:
     """Fact lines of the given days.
 
-    The plain time bounds reach the scan of transacoes; the exact day list is checked
-    after them.
+    The plain time bounds reach the scan of transacoes. Lines of other days leave before
+    they meet the products.
     """
-    low, high = min(days), max(days)
     at = F.col("data_hora")
     heads = transacoes.where(
-        (at >= F.lit(low).cast("timestamp_ntz"))
-        & (at < F.date_add(F.lit(high), 1).cast("timestamp_ntz"))
+        (at >= F.lit(min(days)).cast("timestamp_ntz"))
+        & (at < F.date_add(F.lit(max(days)), 1).cast("timestamp_ntz"))
+        & F.to_date(at).isin(days)
     )
-    return transaction_fact(heads, itens, produtos).where(F.col("date").isin(days))
+    lines = itens.join(heads.select(F.col("id").alias("id_transacao")), "id_transacao", "left_semi")
+    return transaction_fact(heads, lines, produtos)
 
 
 def run_days(
