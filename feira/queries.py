@@ -29,11 +29,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+JOBS: set[str] = set()  # queries that write and read back tables
+
+
 def query(f: Query) -> Query:
     QUERIES[f.__name__] = f
     return f
 
 
+def job(f: Query) -> Query:
+    JOBS.add(f.__name__)
+    return query(f)
+
+
 def _at(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -328,7 +336,7 @@ def next_checkpoint(spark, sf):
     return increment.next_checkpoint(_increment(spark, sf), CHECKPOINT)
 
 
-@query
+@job
 def incremental_fact(spark, sf):
     """Two checkpointed runs: the state at 2000-06-01, then the whole source."""
     root = scratch_path(spark, "incremental")
@@ -370,7 +378,7 @@ def scd2_products_strict(spark, sf):
     )
 
 
-@query
+@job
 def scd2_stored_history(spark, sf):
     """The stored dimension after three runs: first load, changes, and the same snapshot again."""
     path = scratch_path(spark, "dimension")
@@ -384,7 +392,7 @@ def scd2_stored_history(spark, sf):
 # --- files, tables and jobs --------------------------------------------------------
 
 
-@query
+@job
 def csv_round_trip(spark, sf):
     """Orders written as raw CSV with the extra columns a raw file carries, and read back."""
     path = scratch_path(spark, "csv")
@@ -412,17 +420,17 @@ def _landed_customers(spark, sf, pick):
     )
 
 
-@query
+@job
 def landing_newest_version(spark, sf):
     return _landed_customers(spark, sf, "last")
 
 
-@query
+@job
 def landing_oldest_version(spark, sf):
     return _landed_customers(spark, sf, "first")
 
 
-@query
+@job
 def load_audit(spark, sf):
     """A load in which the order lines fail, as their ids repeat, and the rest succeed."""
     root = scratch_path(spark, "load")
@@ -439,7 +447,7 @@ def load_audit(spark, sf):
     return loader.read_audit(spark, root).select("tabela", "ficheiro", "linhas_carregadas", "sucesso")
 
 
-@query
+@job
 def loaded_products(spark, sf):
     """Products loaded twice, the second time with the prices of large ones doubled."""
     root = scratch_path(spark, "load")
@@ -453,7 +461,7 @@ def loaded_products(spark, sf):
     )
 
 
-@query
+@job
 def warehouse_totals(spark, sf):
     """Rows and total of each table of a freshly built warehouse."""
     root = scratch_path(spark, "warehouse")
@@ -481,7 +489,7 @@ def warehouse_totals(spark, sf):
     return union
 
 
-@query
+@job
 def backfilled_days(spark, sf):
     """The fact of January 1998, rebuilt day by day in one run, and again."""
     root = scratch_path(spark, "backfill")
@@ -505,7 +513,7 @@ def _refined(spark, sf):
     return root, lake.refine(lake.read_bronze(spark, path), "transacoes")
 
 
-@query
+@job
 def lake_silver_months(spark, sf):
     """Silver orders by month partition after two deliveries and a compaction."""
     root, refined = _refined(spark, sf)
@@ -519,7 +527,7 @@ def lake_silver_months(spark, sf):
     )
 
 
-@query
+@job
 def lake_quarantine(spark, sf):
     _, refined = _refined(spark, sf)
     return refined.quarantine.select("id", "id_cliente", "data_hora", "metodo_pagamento")
@@ -552,22 +560,22 @@ def _streamed(spark, sf, windows):
     return spark.read.schema(result.schema).parquet(f"{root}/out")
 
 
-@query
+@job
 def stream_tumbling(spark, sf):
     return _streamed(spark, sf, click_stream.tumbling)
 
 
-@query
+@job
 def stream_sliding(spark, sf):
     return _streamed(spark, sf, click_stream.sliding)
 
 
-@query
+@job
 def stream_sessions(spark, sf):
     return _streamed(spark, sf, click_stream.sessions)
 
 
-@query
+@job
 def stream_merged_orders(spark, sf):
     """Two deliveries of order versions, streamed one by one into the fact."""
     root = scratch_path(spark, "changes")
