@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feira.llm import packing, tokens
+from feira.llm import decontamination, packing, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +31,19 @@ def op1_best_fit_packing(spark, sf):
     )
 
 
+@query
+def op2_decontamination(spark, sf):
+    found = decontamination.find_matches(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark"), ["doc_id"]
+    )
+    return found.select(
+        "doc_id", "n_words", decontamination.n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontamination.contaminated().alias("contaminated"), "longest", "longest_at",
+    )
+
+
 @query
 def op7_token_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
