@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import decontamination, packing, tokens
+from feira.llm import decontamination, packing, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +48,15 @@ def op2_decontamination(spark, sf):
 def op7_token_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(docs, table(spark, sf, "labels").where(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+        toxicity.rejected(model, F.col("lang"), F.col("score")).alias("rejected"),
+    )
