@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feira.llm.text import column_bytes, map_arrow, slices, words
+from feira.llm.text import column_bytes, free_name, map_arrow, slices, words
 from feira.plans.tables import staged
 
 WINDOW = 13
@@ -31,10 +31,12 @@ BLOCK_BYTES = 16 << 20  # benchmark text in one broadcast
 WINDOW_MOST = 1 << 20  # more words than a window has
 SHARE = 20  # contaminated: at least one word in so many is hit
 
-FOUND = (
-    "n_words long, hits array<struct<start: long, end: long>>, items array<string>, "
-    "longest long, longest_at long"
-)
+RUN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+FOUND = T.StructType([
+    T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(RUN)),
+    T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("longest", T.LongType()), T.StructField("longest_at", T.LongType()),
+])
 
 
 @dataclass
@@ -227,8 +229,10 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, block: Block) -> list[tupl
 def scan(docs: DataFrame, block: Block, keep: list[str], column: str) -> DataFrame:
     """One pass: the keep columns of each row and FOUND."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
-    carried = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias("_text"))
-    schema = T.StructType([*carried.schema[:-1], *T._parse_datatype_string(FOUND)])
+    carried = docs.select(
+        *[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias(free_name(keep, "_text"))
+    )
+    schema = T.StructType([*carried.schema[:-1], *FOUND])
     arrow = pa.schema([
         ("n_words", pa.int64()),
         ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -253,7 +257,7 @@ def merged(passes: list[DataFrame], keep: list[str]) -> DataFrame:
     for p in passes[1:]:
         every = every.unionByName(p)
     # Equal rows are found equal; they are put apart again by their number.
-    grouped = every.groupBy(*keep, "n_words").agg(
+    grouped = every.groupBy(*[F.col(f"`{c}`") for c in keep], "n_words").agg(
         F.expr(f"count(*) div {len(passes)}").alias("_copies"),
         F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -265,7 +269,7 @@ def merged(passes: list[DataFrame], keep: list[str]) -> DataFrame:
                'start', element_at(done, -1).start, 'end', greatest(element_at(done, -1).end, h.end)))),
            concat(done, array(h))))"""
     return grouped.select(
-        *keep, "n_words", F.expr(join).alias("hits"), "items",
+        *[F.col(f"`{c}`") for c in keep], "n_words", F.expr(join).alias("hits"), "items",
         F.col("_longest.longest").alias("longest"), F.col("_longest.longest_at").alias("longest_at"),
         F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
     ).drop("_copy")
@@ -282,8 +286,10 @@ def find_matches(
 
     A null text has no words and no hits; an item without words has no window; repeated
     items count once by their id. An empty benchmark finds nothing, an empty table gives
-    an empty result. Other columns are ignored, whatever their names.
+    an empty result. Other columns are ignored, whatever their names; a kept column that
+    is named like a new one gives way.
     """
+    keep = [c for c in keep if c.lower() not in FOUND.names]
     passes = [
         scan(docs, block, keep, column)
         for block in blocks(benchmark, item_key, item_column, n, block_bytes)
@@ -303,5 +309,6 @@ def contaminated() -> Column:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, column: str = "text") -> DataFrame:
     """docs without those of which at least one word in SHARE belongs to benchmark items."""
-    keep = docs.columns
-    return find_matches(docs, benchmark, keep, column).where(~contaminated()).select(*keep)
+    own = [f"c{i}" for i in range(len(docs.columns))]  # clear of the names of the findings
+    found = find_matches(docs.toDF(*own), benchmark, own, own[docs.columns.index(column)])
+    return found.where(~contaminated()).select(*own).toDF(*docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import decontamination, packing, tokens, toxicity
+from feira.llm import decontamination, packing, personal_data, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,21 @@ def op7_token_counts(spark, sf):
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op8_personal_data(spark, sf):
+    found = personal_data.personal_data(table(spark, sf, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda c: c["base"])
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.filter("spans", lambda c: c["kind"] == kind)).cast("long").alias(f"n_{kind}")
+            for kind in personal_data.BASE
+        ],
+        F.sha2(personal_data.listed(base), 256).alias("base_sha256"),
+        personal_data.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op10_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")

@@ -145,6 +145,14 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         low = high
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """name, or a longer one that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 _shipped: set[str] = set()
 
 

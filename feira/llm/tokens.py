@@ -20,8 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feira.llm.text import map_arrow
+from feira.llm.text import free_name, map_arrow
 
 FREQUENT = 65_536  # pieces in the broadcast table
 SENT = 8_192  # pieces that a task of the first pass reports
@@ -84,7 +85,7 @@ def frequent_pieces(docs: DataFrame, path: str, column: str = "text") -> DataFra
             ["piece", "n"],
         )
 
-    sent = map_arrow(docs.select(column), count, "piece string, n long")
+    sent = map_arrow(docs.select(F.col(f"`{column}`")), count, "piece string, n long")
     return sent.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(FREQUENT)
 
 
@@ -135,11 +136,12 @@ def count_tokens(
     known = [r.piece for r in top.select("piece").collect()]  # at most FREQUENT
     encoded = load(path).encode_batch_fast(known, add_special_tokens=False)
     table = spark.sparkContext.broadcast({p: len(e) for p, e in zip(known, encoded)})
-    new = ("n_bytes", "n_tokens", "over_limit")
-    kept = [c for c in docs.columns if c != column and c not in new]
-    carried = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias("_text"))
-    schema = carried.drop("_text").schema.add("n_bytes", "long").add("n_tokens", "long").add(
-        "over_limit", "boolean")
+    new = T.StructType.fromDDL("n_bytes long, n_tokens long, over_limit boolean")
+    kept = [c for c in docs.columns if c != column and c.lower() not in new.names]
+    carried = docs.select(
+        *[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias(free_name(kept, "_text"))
+    )
+    schema = T.StructType([*carried.schema[:-1], *new])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         special, lengths = special_strings(path), Lengths(path, table.value)
