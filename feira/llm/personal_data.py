@@ -40,7 +40,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Looser shapes.
-MAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]{1,63}){1,4}")
+MAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]{1,63}){1,4}")
 LOCAL_PHONE = re.compile(r"(?<![0-9.+/-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{4}(?![0-9.-]?[0-9])")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")

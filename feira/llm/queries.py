@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import decontamination, packing, personal_data, tokens, toxicity
+from feira.llm import decontamination, packing, personal_data, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +44,13 @@ def op2_decontamination(spark, sf):
     )
 
 
+@query
+def op3_warc(spark, sf):
+    return warc.round_trip(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "chunks"
+    )
+
+
 @query
 def op7_token_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
