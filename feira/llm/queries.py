@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import decontamination, packing, personal_data, tokens, toxicity, warc
+from feira.llm import decontamination, packing, pages, personal_data, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,6 +72,11 @@ def op8_personal_data(spark, sf):
     )
 
 
+@query
+def op9_main_text(spark, sf):
+    return pages.main_text(table(spark, sf, "pages"))
+
+
 @query
 def op10_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
