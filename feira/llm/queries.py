@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import decontamination, packing, pages, personal_data, tokens, toxicity, warc
+from feira.llm import (
+    decontamination, licenses, packing, pages, personal_data, tokens, toxicity, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +53,13 @@ def op3_warc(spark, sf):
     )
 
 
+@query
+def op6_licenses(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return licenses.scan(docs).select("doc_id", *[f"licenses.{n}" for n in names])
+
+
 @query
 def op7_token_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
