@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm import (
-    decontamination, licenses, packing, pages, personal_data, tokens, toxicity, warc,
+    decontamination, fingerprints, licenses, packing, pages, personal_data, tokens, toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op3_warc(spark, sf):
     )
 
 
+@query
+def op4_fingerprints(spark, sf):
+    return fingerprints.fingerprint_edits(table(spark, sf, "documents"))
+
+
 @query
 def op6_licenses(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
