@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm import (
-    decontamination, fingerprints, licenses, packing, pages, personal_data, tokens, toxicity, warc,
+    decontamination, fingerprints, licenses, near_duplicates, packing, pages, personal_data, tokens,
+    toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,11 @@ def op4_fingerprints(spark, sf):
     return fingerprints.fingerprint_edits(table(spark, sf, "documents"))
 
 
+@query
+def op5_near_duplicates(spark, sf):
+    return near_duplicates.classes(table(spark, sf, "documents"))
+
+
 @query
 def op6_licenses(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
