@@ -15,8 +15,11 @@ at least one length: there are at most as many kinds of bins as lengths.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,13 @@ from feira.llm.tokens import load
 from feira.plans.tables import staged
 
 SEQUENCE = 2048
-CACHED = 150_000  # pieces in each of a worker's two cache generations
-LONGEST = 64  # characters of a piece that is kept in a cache
+CACHED = 400_000  # parts in each of a worker's two cache generations
+LONGEST = 64  # characters of a part that is kept in a cache
+WORD_END = "</w>"  # what the vocabulary writes at the last piece of a word
+MARKS = ".,;:!?"
+# Letters whose lower case is one letter and that no normalization joins to another.
+PLAIN = re.compile(f"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([{MARKS}]?)")
+CONTROL = re.compile("[\x1c-\x1f]")
 SEPARATOR = b"\0\0\0\0"  # id 0 ends a document
 
 PIECE = T.StructType([
@@ -44,11 +52,17 @@ class WordIds:
 
     The tokenizer's pattern matches no white space and its normalizer joins nothing over
     it, so the ids of a text are those of its parts. Parts come from two cache generations
-    of bounded size or, in batches, from the tokenizer.
+    of bounded size. Of an unknown part that is a plain word, with or without a mark behind
+    it, only the lower-cased word is encoded; such words go to the tokenizer many in one
+    text, as the last id of each says so. Other parts are encoded one by one.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer, self.young, self.old = load(path), {}, {}
+        self.tokenizer, self.young, self.old, self.cores = load(path), {}, {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.marks = dict(zip(MARKS, self._encode(list(MARKS))))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [
@@ -56,24 +70,55 @@ class WordIds:
             for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
-    def of(self, texts: list[str]) -> Iterator[bytes]:
+    def _encode_words(self, texts: list[str]) -> list[bytes]:
+        """As _encode, for texts of which each is one word to the tokenizer."""
+        out = []
+        for low in range(0, len(texts), 64):
+            some = texts[low:low + 64]
+            joined = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.asarray(joined[0].ids, "<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) != len(some):
+                out += self._encode(some)
+                continue
+            data, start = ids.tobytes(), 0
+            for end in ends.tolist():
+                out.append(data[start:end])
+                start = end
+        return out
+
+    def _learn(self, unknown: list[str]) -> None:
+        shapes = list(map(PLAIN.fullmatch, unknown))
+        words = {m[1].lower() for m in shapes if m}.difference(self.cores)
+        words = list(words)
+        self.cores.update(zip(words, self._encode_words(words)))
+        odd = [part for part, m in zip(unknown, shapes) if not m]
+        self.young.update(zip(odd, self._encode(odd)))
+        for part, m in zip(unknown, shapes):
+            if m:
+                self.young[part] = self.cores[m[1].lower()] + (self.marks[m[2]] if m[2] else b"")
+        if len(self.cores) > CACHED:
+            self.cores = {}
+
+    def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         # str.split() also parts at four control characters that are no white space.
-        cut = [None if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        wanted = set().union(*[c for c in cut if c])
-        absent = wanted.difference(self.young)
+        cut = [[] if CONTROL.search(t) else t.split() for t in texts]
+        get = self.young.get
+        ids = [list(map(get, parts)) for parts in cut]
+        gaps = [list(compress(range(len(i)), map(not_, i))) for i in ids]
+        absent = {parts[k] for parts, gap in zip(cut, gaps) for k in gap}
         again = absent.intersection(self.old)
         self.young.update((w, self.old[w]) for w in again)
-        unknown = list(absent.difference(again))
-        for low in range(0, len(unknown), 4096):
-            some = unknown[low:low + 4096]
-            self.young.update(zip(some, self._encode(some)))
-        get = self.young.__getitem__
-        for text, parts in zip(texts, cut):
-            yield self._encode([text])[0] if parts is None else b"".join(map(get, parts))
+        self._learn(list(absent.difference(again)))
+        for parts, i, gap in zip(cut, ids, gaps):
+            for k in gap:
+                i[k] = self.young[parts[k]]
+        out = [b"".join(i) if parts or not t else self._encode([t])[0] for t, parts, i in zip(texts, cut, ids)]
         if len(self.young) > CACHED:
             self.old = {w: i for w, i in self.young.items() if len(w) <= LONGEST}
             self.young = {}
+        return out
 
 
 def cut_pieces(
