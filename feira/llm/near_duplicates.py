@@ -106,10 +106,10 @@ def nodes(w) -> list[bytes]:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(key, text_hash, size, node, bands, sketch) for each (key, text). A text without
+    """(key, text_hash, size, node, bands, sketch) for each prepared row. A text without
     words has no bands."""
     kind = docs.schema["key"].dataType.simpleString()
-    own = docs.select("key", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size"), "text")
+    own = docs.select("key", "text_hash", "size", "text")
     names = ["key", "text_hash", "size", "node", "bands", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,35 +200,39 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     return similarity(full).where(F.col("similarity") >= similar).select("a", "b")
 
 
-def classes(
-    docs: DataFrame, key: str = "doc_id", column: str = "text", similar: float = SIMILAR,
-) -> DataFrame:
-    """One row per document: key and class_id, the smallest key of its class.
-
-    Classes are the components of documents whose sets of five-word shingles have a Jaccard
-    similarity of at least `similar`; a text of fewer words, but not none, is one shingle. A
-    null text is empty; texts without words are one class. A null key counts as larger than
-    all; if no member has a key, class_id is null. Repeated rows are kept. Other columns are
-    ignored, whatever their names. An empty table gives an empty result.
-    """
+def prepared(docs: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, text) of docs with what tells rows apart without their texts."""
     own = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("text"))
+    return own.select(
+        "key", "text", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size")
+    )
+
+
+def smallest_row() -> Column:
+    """The row of smallest key of a group; a null key counts as larger than all."""
+    return F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "text_hash", "size"))
+
+
+def is_row(a: DataFrame, b: DataFrame) -> Column:
+    return (a["text_hash"] == b["text_hash"]) & (a["size"] == b["size"]) & a["key"].eqNullSafe(b["key"])
+
+
+def labelled(own: DataFrame, similar: float) -> tuple[DataFrame, DataFrame]:
+    """For prepared rows (key, text_hash, size, node), and the label of each node's class."""
     every = staged(signed(own), "signatures")
     # One row for each node: its smallest key, and the text of one such row.
-    kept = every.groupBy("node").agg(
-        F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "text_hash", "size")).alias("row")
-    ).select("node", "row.key", "row.text_hash", "row.size")
-    same = [every[c].eqNullSafe(kept[c]) for c in ("node", "key", "text_hash", "size")]
-    one = every.join(kept, same[0] & same[1] & same[2] & same[3], "left_semi").dropDuplicates(["node"])
-    one = staged(one, "nodes")
+    kept = every.groupBy("node").agg(smallest_row().alias("row")).select("node", "row.key", "row.text_hash", "row.size")
+    one = every.join(kept, is_row(every, kept) & (every["node"] == kept["node"]), "left_semi")
+    one = staged(one.dropDuplicates(["node"]), "nodes")
 
+    # Buckets of several nodes, and in each the node that shares most buckets with others.
     entries = one.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     entries = staged(entries.join(shared, "bucket"), "entries")
     central = entries.groupBy("node").agg(F.sum("size").alias("central"))
-    ranked = entries.join(central, "node")
-    pivots = ranked.groupBy("bucket").agg(F.max(F.struct("central", "node")).alias("top")).select(
-        "bucket", F.col("top.node").alias("a")
-    )
+    pivots = entries.join(central, "node").groupBy("bucket").agg(
+        F.max(F.struct("central", "node")).alias("top")
+    ).select("bucket", F.col("top.node").alias("a"))
     stars = entries.join(pivots, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
     sketch = one.select("node", "sketch")
     likely = stars.join(sketch.toDF("b", "sketch_b"), "b").join(sketch.toDF("a", "sketch_a"), "a").where(
@@ -236,21 +240,20 @@ def classes(
     ).select("a", "b")
     likely = staged(likely, "star-pairs")
 
-    # Texts of nodes that share a bucket; written, so that Spark knows the wanted keys' size.
+    # Texts of nodes that share a bucket; their rows are written first, so that Spark knows
+    # their size.
     wanted = staged(central.select("node").join(one.drop("bands", "sketch"), "node"), "wanted")
-    marked = own.select("key", "text", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size"))
-    match = marked["key"].eqNullSafe(wanted["key"]) & (marked["text_hash"] == wanted["text_hash"]) & (marked["size"] == wanted["size"])
     texts = staged(
-        marked.join(wanted, match).select("node", "text").dropDuplicates(["node"]), "texts"
+        own.join(wanted, is_row(own, wanted)).select("node", "text").dropDuplicates(["node"]), "texts"
     )
     links = staged(verified(likely, texts, similar), "star-links")
 
     # What the stars left apart: pairs of different components that share a bucket.
     label = components(links)
     apart = entries.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = apart.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    several = apart.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     live = staged(
-        apart.join(open_.select("bucket"), "bucket").join(one.select("node", "bands", "sketch"), "node"), "live"
+        apart.join(several.select("bucket"), "bucket").join(one.select("node", "bands", "sketch"), "node"), "live"
     )
     x, y = live.alias("x"), live.alias("y")
     # A pair that shares several bands counts in the first of them.
@@ -262,13 +265,47 @@ def classes(
     rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     compared = likely.union(likely.select("b", "a")).toDF("a", "b")
     rest = staged(rest.join(compared, ["a", "b"], "left_anti"), "rest-pairs")
-    links = links.unionByName(verified(rest, texts, similar))
+    label = components(links.unionByName(verified(rest, texts, similar)))
+    named = kept.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    return every.select("key", "text_hash", "size", "node"), staged(named, "classes")
 
-    label = components(links)
-    named = kept.select("node", "key").join(label, "node", "left").select(
-        "node", "key", F.coalesce("label", "node").alias("label")
-    )
-    named = staged(named, "classes")
-    smallest = named.groupBy("label").agg(F.min("key").alias("class_id"))
-    by_node = named.join(smallest, "label").select("node", "class_id")
-    return every.select("key", "node").join(by_node, "node").select(F.col("key").alias(key), "class_id")
+
+def classes(
+    docs: DataFrame, key: str = "doc_id", column: str = "text", similar: float = SIMILAR,
+) -> DataFrame:
+    """One row per document: key and class_id, the smallest key of its class.
+
+    Classes are the components of documents whose sets of five-word shingles have a Jaccard
+    similarity of at least `similar`; a text of fewer words, but not none, is one shingle. A
+    null text is empty; texts without words are one class. A null key counts as larger than
+    all; if no member has a key, class_id is null. Repeated rows are kept. Other columns are
+    ignored, whatever their names. An empty table gives an empty result.
+    """
+    every, named = labelled(prepared(docs, key, column), similar)
+    by_node = every.groupBy("node").agg(F.min("key").alias("key")).join(named, "node")
+    smallest = by_node.groupBy("label").agg(F.min("key").alias("class_id"))
+    answer = by_node.join(smallest, "label").select("node", "class_id")
+    return every.select("key", "node").join(answer, "node").select(F.col("key").alias(key), "class_id")
+
+
+def deduplicate(
+    docs: DataFrame, key: str = "doc_id", column: str = "text", similar: float = SIMILAR,
+) -> DataFrame:
+    """docs with one row of each class (see classes): that of the smallest key, and of
+    several of that key that of the smallest hash of its text. Of repeated rows one stays."""
+    every, named = labelled(prepared(docs, key, column), similar)
+    rows = every.groupBy("node", "key", "text_hash", "size").agg(F.count("*").alias("copies")).join(named, "node")
+    chosen = rows.groupBy("label").agg(smallest_row().alias("row"))
+    decided = rows.join(chosen, "label").withColumn(
+        "stays", F.col("row").eqNullSafe(F.struct(F.col("key").isNull(), "key", "text_hash", "size"))
+    ).where("copies > 1 or not stays").select("key", "text_hash", "size", "stays")
+    # Written first, so that Spark knows its size: texts are shuffled only if it is large.
+    decided = staged(decided, "decided").toDF("_key", "_hash", "_size", "_stays")
+    own = [f"c{i}" for i in range(len(docs.columns))]  # clear of the names above
+    k, text = (F.col(own[docs.columns.index(c)]) for c in (key, column))
+    text = F.coalesce(text, F.lit(""))
+    marked = docs.toDF(*own).join(decided, (
+        (F.xxhash64(text) == F.col("_hash")) & (F.octet_length(text) == F.col("_size")) & k.eqNullSafe(F.col("_key"))
+    ), "left")
+    several = marked.where("_stays").dropDuplicates(["_key", "_hash", "_size"])
+    return marked.where("_stays is null").unionByName(several).select(*own).toDF(*docs.columns)
