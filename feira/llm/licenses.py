@@ -14,6 +14,7 @@ source files.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,7 +116,7 @@ def rules() -> list[dict]:
     out = []
 
     def add(pattern: str, label: str, priority: int) -> None:
-        keyword = pattern.split(" ")[0]
+        keyword = re.match(r"[a-z0-9\[\]]+", pattern)[0]
         # A keyword that is itself a pattern stands for each of its spellings.
         for spelling in ("s", "c") if "[cs]" in keyword else ("",):
             word = keyword.replace("[cs]", spelling)

@@ -12,10 +12,12 @@ from feira.llm import (
     decontamination, fingerprints, licenses, near_duplicates, packing, pages, personal_data, tokens,
     toxicity, warc,
 )
+from feira.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(f: Query) -> Query:
@@ -43,14 +45,14 @@ def op2_decontamination(spark, sf):
         "doc_id", "n_words", decontamination.n_hit().alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        decontamination.contaminated().alias("contaminated"), "longest", "longest_at",
+        decontamination.contaminated().alias("contaminated"),
     )
 
 
 @query
 def op3_warc(spark, sf):
     return warc.round_trip(table(spark, sf, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "chunks"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 

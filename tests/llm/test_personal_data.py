@@ -1,0 +1,88 @@
+import hashlib
+import time
+
+import brute
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from feira.llm import personal_data as P
+from feira.llm.queries import QUERIES
+
+PARTS = ["a", "b.", "@", "@x.co", ".", "1", "25", "300", "+1 ", " ", "-", "(", "4111 1111 1111 1111", "1.2.3.4", "é",
+         "%", "+49 30 1234 5678", "..", "@@", "12", "\n", "😀"]
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=14))
+def test_base_spans(parts):
+    text = "".join(parts)
+    assert sorted((s, P.KINDS.index(k), e, k) for s, e, k in P.base_spans(text)) == brute.base_personal_data(text)
+
+
+@pytest.mark.parametrize("unit", ["1", "a", "a@", "1.1", "+1 ", "A1B2 ", "(12) ", "aé", "[at] ", "a-", "1-"])
+def test_long_texts_take_linear_time(unit):
+    started = time.process_time()
+    P.find(unit * (100_000 // len(unit)))
+    assert time.process_time() - started < 20
+
+
+DOCS = [
+    (1, "call tel 212-555-0187 or mail bob [at] mail [dot] com, iban DE89370400440532013000"), (2, None), (3, ""),
+    (4, "x@y.org"), (4, "x@y.org"), (None, "1.2.3.4 and 4111 1111 1111 1111, +1 (212) 555-0187"), (5, "4111 1111 1111 1112"),
+]
+
+
+def test_spans_and_masks(frame, spark, sf_dir):
+    docs = frame(DOCS, "doc_id long, text string")
+    rows = P.personal_data(docs, ["doc_id", "spans"]).collect()
+    assert len(rows) == len(DOCS)
+    for r in rows:
+        text = next(t for k, t in DOCS if k == r.doc_id)
+        base = [(s.start, s.rank, s.end, s.kind) for s in r.spans if s.base]
+        assert base == brute.base_personal_data(text)
+    masked = {r.doc_id: r.text for r in P.mask(docs).collect()}
+    assert masked[2] is None and masked[3] == "" and masked[4] == "[EMAIL]" and masked[5] == DOCS[-1][1]
+    assert masked[None] == "[IP] and [CARD], [PHONE]"
+
+
+def test_lengths_follow(spark):
+    df = spark.createDataFrame([(1, "a@b.co é", 8), (2, "clean", None)], "doc_id long, text string, n_chars long")
+    assert [tuple(r) for r in P.mask(df).collect()] == [(1, "[EMAIL] é", 9), (2, "clean", None)]
+
+
+def test_added_spans_overlap_no_base_span():
+    text = "tel 212-555-0187 +1 212-555-0187 a@b.co 123-45-6789"
+    base = P.base_spans(text)
+    loose = P.loose_spans(text, sorted(base))
+    assert {k for _, _, k in loose} == {"local_phone", "ssn"}
+    assert all(e <= a or b <= s for s, e, _ in loose for a, b, _ in base)
+
+
+def test_reliabilities_are_estimated():
+    """Three labelers of known accuracy; the estimates come near without any truth."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(20000) < 0.5
+    rows = np.stack([np.where(rng.random(20000) < a, truth, ~truth) * 2 - 1 for a in (0.95, 0.8, 0.7)], axis=1)
+    patterns, n = np.unique(rows, axis=0, return_counts=True)
+    _, given = P.expectation_maximisation(patterns, n.astype(float))
+    right = [(g[1, 2] + g[0, 0]) / 2 for g in given]
+    assert np.allclose(right, (0.95, 0.8, 0.7), atol=0.04)
+
+
+def test_empty_table(frame):
+    docs = frame([], "doc_id long, text string")
+    assert P.personal_data(docs, ["doc_id"]).count() == 0 and P.mask(docs).count() == 0
+
+
+def test_all_documents(spark, sf_dir, table):
+    rows = {r.doc_id: r for r in QUERIES["op8_personal_data"](spark, sf_dir).collect()}
+    docs = table("documents", "doc_id", "text")
+    assert len(rows) == len(docs)
+    for key, text in docs:
+        base = brute.base_personal_data(text)
+        listed = ",".join(f"{k}:{s}:{e}" for s, _, e, k in base)
+        assert rows[key].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert tuple(rows[key])[1:5] == tuple(sum(k == kind for *_, k in base) for kind in P.BASE)
+        assert set(filter(None, listed.split(","))) <= set(rows[key].spans.split(","))

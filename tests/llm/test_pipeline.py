@@ -1,0 +1,69 @@
+import brute
+import pytest
+
+import corpus_pipeline as C
+from feira.llm import packing
+from feira.plans.tables import staged
+
+import public_tokenizers
+
+
+def rows_of(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir):
+    """What goes into each stage, and what the last returns."""
+    docs, out = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for name, stage in C.STAGES:
+        out.append(docs)
+        docs = staged(stage(spark, docs, sf_dir), "stage")
+    return [*out, docs]
+
+
+def test_columns(stages):
+    assert all(s.columns == stages[0].columns for s in stages[:-1])
+
+
+def test_toxicity(stages):
+    before, after = (set(rows_of(s, "doc_id", "text")) for s in stages[:2])
+    assert after <= before and len(after) >= 0.7 * len(before)
+
+
+def test_near_duplicates(stages):
+    docs = rows_of(stages[1], "doc_id", "text")
+    want = {c for _, c in brute.near_classes(docs)}
+    assert sorted(k for (k,) in rows_of(stages[2], "doc_id")) == sorted(want)
+
+
+def test_decontamination(stages, table):
+    found = brute.contamination(rows_of(stages[2], "doc_id", "text"), table("benchmark", "item_id", "text"))
+    assert sorted(k for (k,) in rows_of(stages[3], "doc_id")) == sorted(r[0] for r in found if not r[4])
+
+
+def test_personal_data(stages):
+    before, after = dict(rows_of(stages[3], "doc_id", "text")), dict(rows_of(stages[4], "doc_id", "text"))
+    assert before.keys() == after.keys()
+    for key, text in before.items():
+        assert not brute.base_personal_data(after[key])
+        if not brute.base_personal_data(text):
+            assert after[key] == text
+    assert all(len(t) == n for t, n in rows_of(stages[4], "text", "n_chars"))
+
+
+def test_packing(stages):
+    got = rows_of(stages[5], "doc_id", "piece", "start", "length", "ids_crc32")
+    want = packing.cut_pieces(stages[4], public_tokenizers.path("word_bpe_49k.json"))
+    assert got == rows_of(want, "doc_id", "piece", "start", "length", "ids_crc32")
+
+
+def test_run(spark, sf_dir, stages):
+    assert C.run(spark, sf_dir).count() == stages[5].count()
+
+
+def test_empty_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    for _, stage in C.STAGES:
+        docs = staged(stage(spark, docs, sf_dir), "stage")
+    assert docs.count() == 0
