@@ -42,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
     job("warehouse", environment="dev", raw="", root="", warehouse=None)
     job("incremental", root=None, warehouse=None)
     job("quality", root=None, report=None, environment="dev")
-    job("reports", root=None)
+    job("reports", root=None, out=None)
     return p
 
 
@@ -62,7 +62,8 @@ def main(argv: list[str] | None = None) -> None:
         case "validate":
             print(validate_folder(spark, args.raw, args.out))
         case "load":
-            load_folder(spark, args.raw, args.root).show(truncate=False)
+            load_folder(spark, args.raw, args.root)
+            print(f"loaded; audit in {args.root}/audit_loads")
         case "warehouse":
             print(run_pipeline(
                 args.environment, args.warehouse,
@@ -79,8 +80,8 @@ def main(argv: list[str] | None = None) -> None:
             run_gate(stored_tables(spark, args.root), args.report, args.environment, args.root)
         case "reports":
             for name, df in reports(stored_tables(spark, args.root)).items():
-                print(name)
-                df.show(50, truncate=False)
+                write_csv(df, f"{args.out}/{name}")
+                print(f"{name}: {args.out}/{name}")
 
 
 if __name__ == "__main__":

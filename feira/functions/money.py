@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feira.schemas import AMOUNT, TOTAL
+from feira.schemas import AMOUNT, MEASURED, TOTAL
 
 
 def cents(c: Column) -> Column:
@@ -32,3 +32,9 @@ def line_amount(cents_: Column) -> Column:
 def total(c: Column) -> Column:
     """Exact sum of an amount column."""
     return amount(F.sum(cents(c)))
+
+
+def measured(c: Column) -> Column:
+    """A measured value, which may have more than two decimals, as a decimal that sums
+    exactly in any order. Only totals are rounded."""
+    return c.cast(MEASURED)

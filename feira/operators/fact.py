@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from feira.functions.calendar import parse_datetime
 from feira.functions.money import amount, cents, line_amount
-from feira.operators.joins import enrich
 from feira.schemas import PRICE
 
 FACT_COLUMNS = [
@@ -17,7 +16,7 @@ FACT_COLUMNS = [
 
 
 def _lines_with_price(
-    itens: DataFrame, produtos: DataFrame | None, price_basis: str, salted: bool | None
+    itens: DataFrame, produtos: DataFrame | None, price_basis: str
 ) -> DataFrame:
     """Lines with `preco` and its whole cents, from the catalog or as charged."""
     price = F.col("preco").cast(PRICE)
@@ -26,7 +25,7 @@ def _lines_with_price(
         prices = produtos.select(
             F.col("id").alias("id_produto"), price.alias("preco"), cents(price).alias("centimos")
         )
-        return enrich(lines, prices, "id_produto", salted, keys_from=itens)
+        return lines.join(prices, "id_produto", "left")
     if price_basis == "charged":
         charged = itens.withColumn("preco", F.col("preco_unitario"))
         return charged.select(
@@ -50,14 +49,16 @@ def _order_heads(transacoes: DataFrame) -> DataFrame:
 
 def transaction_fact(
     transacoes: DataFrame, itens: DataFrame, produtos: DataFrame,
-    price_basis: str = "catalog", salted: bool | None = None,
+    price_basis: str = "catalog",
 ) -> DataFrame:
     """Order lines with price, line total, customer and time.
 
-    Lines whose product or order is unknown stay, with NULLs in those columns.
+    Lines whose product or order is unknown stay, with NULLs in those columns. A hot
+    product or order is one shuffle partition of lines, which adaptive execution splits:
+    both are left joins, whose left side may be read in parts.
     """
-    priced = _lines_with_price(itens, produtos, price_basis, salted)
-    lines = enrich(priced, _order_heads(transacoes), "id_transacao", salted, keys_from=itens)
+    priced = _lines_with_price(itens, produtos, price_basis)
+    lines = priced.join(_order_heads(transacoes), "id_transacao", "left")
     return lines.select(
         F.col("id_transacao").alias("transaction_id"),
         "customer_id",
@@ -71,7 +72,7 @@ def transaction_fact(
 
 def order_fact(
     transacoes: DataFrame, itens: DataFrame, produtos: DataFrame,
-    price_basis: str = "catalog", salted: bool | None = None,
+    price_basis: str = "catalog",
 ) -> DataFrame:
     """The fact summed to order grain before it meets the orders.
 
@@ -79,7 +80,7 @@ def order_fact(
     lines are combined map-side and the orders join is one row to one row, so a hot
     order cannot skew it.
     """
-    priced = _lines_with_price(itens, produtos, price_basis, salted)
+    priced = _lines_with_price(itens, produtos, price_basis)
     totals = priced.groupBy("id_transacao").agg(amount(F.sum(_line_cents())).alias("total_linha"))
     return totals.join(_order_heads(transacoes), "id_transacao", "left").select(
         F.col("id_transacao").alias("transaction_id"),

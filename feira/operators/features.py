@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.operators.joins import enrich
 from feira.schemas import TOTAL
 
 FEATURES = ["orders_to_date", "spend_to_date", "last_order"]
@@ -51,30 +50,45 @@ def product_features(produtos: DataFrame, itens: DataFrame, feature_version: str
     )
 
 
-def _slot(month: Column) -> Column:
-    return F.concat_ws("|", F.col("customer_id").cast("string"), month.cast("string"))
+def as_of(labels: DataFrame, versions: DataFrame, at: str, feature_version: str) -> DataFrame:
+    """Each label row with the features of one version that were valid at its time.
 
+    A row of features is valid from valid_from, that instant included, to valid_to, that
+    instant not included (NULL: for good). The row that began last counts; of rows that
+    began at once, the one that ends last. Labels without valid features, without a customer or without a time have NULLs.
 
-def as_of(labels: DataFrame, versions: DataFrame, at: str, salted: bool | None = None) -> DataFrame:
-    """Each label row with the features valid at its time; NULLs before the first version.
-
-    Versions change only at month starts, so the lookup is done once per customer and
-    label month (a calendar-bounded group), and labels then join it by equality. No
-    later knowledge can leak into a row, and no range join is needed.
+    Labels and features are one timeline of each customer, along which the last row of
+    features is carried forward: no range join, and no later knowledge in a row. Customers
+    are cut by year, so a busy one is spread over tasks; each year begins with what was
+    last known before it.
     """
-    month = F.trunc(at, "month")
-    features = F.struct("valid_from", *FEATURES)
-    slots = labels.select("customer_id", month.alias("month"), F.lit(1).alias("is_label")).distinct()
-    known = versions.select(
-        "customer_id", F.col("valid_from").alias("month"), F.lit(0).alias("is_label"),
-        features.alias("f"),
+    time = F.col(at).cast("timestamp_ntz")
+    begins = F.col("valid_from").cast("timestamp_ntz")
+    known = versions.where((F.col("feature_version") == feature_version) & begins.isNotNull()).select(
+        "customer_id", begins.alias("_from"), F.col("valid_to").cast("timestamp_ntz").alias("_to"),
+        F.struct("feature_version", "valid_from", *FEATURES).alias("_f"),
+    ).withColumn("_year", F.year("_from"))
+    # What each year of a customer ends with, for the years after it until the next one.
+    ends = known.groupBy("customer_id", "_year").agg(
+        F.max(F.struct("_from", F.coalesce("_to", F.lit("9999-12-31").cast("timestamp_ntz")).alias("until"), "_to", "_f")).alias("_end")
     )
-    upto = Window.partitionBy("customer_id").orderBy("month", "is_label")
-    found = (
-        known.unionByName(slots, allowMissingColumns=True)
-        .withColumn("f", F.last("f", ignorenulls=True).over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-        .where("is_label = 1")
-        .select(_slot(F.col("month")).alias("slot"), "f.*")
+    years = labels.select("customer_id", F.year(time).alias("_year")).distinct()
+    by_year = Window.partitionBy("customer_id").orderBy("_year", "_is_label")
+    before = by_year.rowsBetween(Window.unboundedPreceding, -1)
+    openings = ends.withColumn("_is_label", F.lit(1)).unionByName(
+        years.where(F.col("customer_id").isNotNull()).withColumn("_is_label", F.lit(0)), allowMissingColumns=True
+    ).withColumn("_end", F.last("_end", ignorenulls=True).over(before)).where("_is_label = 0").where(
+        "_end is not null"
+    ).select("customer_id", "_year", "_end._from", "_end._to", "_end._f")
+    events = known.unionByName(openings).withColumn("_label", F.lit(None).cast(labels.schema)).withColumn("_at", F.col("_from"))
+    asked = labels.select(
+        "customer_id", F.year(time).alias("_year"), F.struct(*[F.col(c) for c in labels.columns]).alias("_label"),
+        time.alias("_at"),
     )
-    keyed = labels.withColumn("slot", _slot(month))
-    return enrich(keyed, found, "slot", salted).drop("slot")
+    line = events.withColumn("_known", F.struct("_from", "_to", "_f")).unionByName(asked, allowMissingColumns=True)
+    last_first = F.coalesce("_to", F.lit("9999-12-31").cast("timestamp_ntz"))
+    along = Window.partitionBy("customer_id", "_year").orderBy("_at", F.col("_label").isNotNull(), last_first)
+    carried = F.last("_known", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    found = line.withColumn("_known", carried).where("_label is not null")
+    valid = F.col("customer_id").isNotNull() & (F.col("_known._to").isNull() | (F.col("_at") < F.col("_known._to")))
+    return found.select("_label.*", F.when(valid, F.col("_known._f")).alias("_f")).select(*labels.columns, "_f.*")

@@ -37,14 +37,19 @@ def require_unique(df: DataFrame, *key: str) -> None:
 def upsert(
     target: DataFrame, batch: DataFrame, key: str = "id",
     stamp: Column | None = None, version: str = "version_timestamp", newer_only: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Batch rows replace target rows of the same key; other target rows stay.
 
+    A batch that holds a key twice raises; `unique` says that it was checked or made so.
+
     stamp, if given, is the version set on every touched row, changed or not. With
     newer_only a batch row replaces a target row only if its version is not older.
     The target is read once and meets only the batch's keys, which Spark broadcasts
     when they are few.
     """
+    if not unique:
+        require_unique(batch, key)
     if stamp is not None:
         batch = batch.withColumn(version, stamp)
     if newer_only:
@@ -64,4 +69,4 @@ def merge_increment(
 ) -> DataFrame:
     """Dedupe the increment, then upsert it. Running it twice changes nothing."""
     latest = latest_version(increment.select(*target.columns), key, version)
-    return upsert(target, latest, key, version=version, newer_only=newer_only)
+    return upsert(target, latest, key, version=version, newer_only=newer_only, unique=True)

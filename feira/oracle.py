@@ -334,7 +334,8 @@ SELECT id, id_cliente, data_hora, metodo_pagamento FROM checked WHERE parsed IS
 
 # --- clicks ---------------------------------------------------------------------
 
-_MEASURES = f"COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(14,2))) AS {MONEY}) AS total_value"
+# Values are summed with all their decimals; the total is rounded once.
+_MEASURES = f"COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(28,10))) AS {MONEY}) AS total_value"
 _TUMBLING = f"""SELECT event_type, date_trunc('hour', ts) AS window_start,
   date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, {_MEASURES}
 FROM events GROUP BY ALL"""
@@ -358,6 +359,9 @@ def _session_columns(sql: str) -> str:
 
 SQL["clicks_tumbling"] = _TUMBLING
 SQL["clicks_sliding"] = _SLIDING
+SQL["clicks_sliding_uneven"] = f"""SELECT event_type, window_start, window_start + INTERVAL 60 MINUTE AS window_end, {_MEASURES}
+FROM (SELECT *, time_bucket(INTERVAL 25 MINUTE, ts, TIMESTAMP '1970-01-01') - to_minutes(CAST(25 * k AS INTEGER)) AS window_start
+  FROM events, range(3) r(k)) WHERE ts < window_start + INTERVAL 60 MINUTE GROUP BY ALL"""
 SQL["clicks_sessions"] = _session_columns(_SESSIONS)
 SQL["stream_tumbling"] = _closed(_TUMBLING, "window_end")
 SQL["stream_sliding"] = _closed(_SLIDING, "window_end")
@@ -397,11 +401,17 @@ versions AS (SELECT customer_id, 'v1' AS feature_version,
   MAX(last_at) OVER w AS last_order
   FROM months WINDOW w AS (PARTITION BY customer_id ORDER BY month))"""
 SQL["customer_features"] = f"WITH {_FEATURES} SELECT * FROM versions"
-SQL["features_as_of"] = f"""WITH {_FEATURES}
+SQL["features_as_of"] = f"""WITH {_FEATURES},
+kept AS (SELECT * REPLACE ('v2' AS feature_version, valid_from + INTERVAL 14 DAY AS valid_from,
+  valid_to + INTERVAL 10 DAY AS valid_to) FROM versions)
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS data_hora,
-  o_orderpriority = '1-URGENT' AS urgent, valid_from, orders_to_date, spend_to_date, last_order
-FROM orders LEFT JOIN versions ON customer_id = o_custkey AND valid_from <= o_orderdate
-  AND (valid_to IS NULL OR o_orderdate < valid_to)"""
+  o_orderpriority = '1-URGENT' AS urgent, feature_version, valid_from, orders_to_date, spend_to_date, last_order
+FROM orders ASOF LEFT JOIN kept ON customer_id = o_custkey AND o_orderdate >= valid_from"""
+SQL["features_as_of"] = f"""SELECT order_id, customer_id, data_hora, urgent,
+  CASE WHEN ok THEN feature_version END AS feature_version, CASE WHEN ok THEN valid_from END AS valid_from,
+  CASE WHEN ok THEN orders_to_date END AS orders_to_date, CASE WHEN ok THEN spend_to_date END AS spend_to_date,
+  CASE WHEN ok THEN last_order END AS last_order
+FROM (SELECT *, valid_to IS NULL OR data_hora < valid_to AS ok FROM ({SQL["features_as_of"].replace("valid_from, orders_to_date", "valid_from, valid_to, orders_to_date")}))"""
 SQL["product_features"] = """WITH sold AS (SELECT l_partkey, COUNT(*) AS lines,
   CAST(SUM(CAST(l_quantity AS INTEGER)) AS BIGINT) AS units FROM lineitem GROUP BY l_partkey)
 SELECT p_partkey AS product_id, 'v1' AS feature_version, p_type AS categoria,

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators.expectations import Expectation
 from feira.operators.fact import transaction_fact
 from feira.plans.quality_gate import run_gate
-from feira.plans.tables import read_if_there, staged, write_partitions
+from feira.plans.tables import read_partitions, replace_partitions, staged
 
 DAY = "day"
 FACT_SUITE = [
@@ -51,19 +51,18 @@ def run_days(
         return path
     spark = transacoes.sparkSession
     fact = staged(fact_of_days(transacoes, itens, produtos, days), "fact-days")
-    write_partitions(fact.withColumn(DAY, F.col("date")), path, DAY)
-    # Overwriting touches only days that have rows; the others may hold an older run's.
-    fresh = {r[0] for r in fact.select("date").distinct().collect()}
-    held = read_if_there(spark, path)
-    stale = [] if held is None else held.where(
-        F.col(DAY).cast("date").isin(sorted(set(days) - fresh))
-    ).select("date").distinct().collect()
-    nothing = spark.createDataFrame([], fact.schema)
-    for row in stale:
-        nothing.write.mode("overwrite").parquet(f"{path}/{DAY}={row['date'].isoformat()}")
+    # Days without rows leave the table in the same commit.
+    labels = [day.isoformat() for day in days]
+    replace_partitions(fact.withColumn(DAY, F.date_format("date", "yyyy-MM-dd")), path, DAY, gone=labels)
     run_gate({"fact_transactions": fact}, suites={"fact_transactions": FACT_SUITE})
     return path
 
 
 def run_day(transacoes: DataFrame, itens: DataFrame, produtos: DataFrame, day: date, root: str) -> str:
     return run_days(transacoes, itens, produtos, [day], root)
+
+
+def read_days(spark: SparkSession, path: str) -> DataFrame | None:
+    """The fact lines of all days that were built."""
+    held = read_partitions(spark, path)
+    return None if held is None else held.drop(DAY)

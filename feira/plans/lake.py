@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feira.functions.calendar import month_label
 from feira.operators.merge import latest_version
 from feira.operators.row_rules import valid_rows
-from feira.plans.tables import write_partitions
+from feira.plans.tables import read_partitions, replace_partitions
 from feira.schemas import conform
 
 MONTH = "month"
@@ -30,7 +30,8 @@ def bronze_append(raw: DataFrame, root: str, table: str, at: datetime) -> str:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    bronze = spark.read.option("basePath", path).parquet(path)
+    # Deliveries may have brought new columns; older ones hold NULL there.
+    bronze = spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
     arrived = F.to_timestamp(F.col("delivery").cast("string"), "yyyyMMdd'T'HHmmss")
     return bronze.withColumn(INGESTED, arrived).drop("delivery")
 
@@ -49,12 +50,21 @@ def refine(bronze: DataFrame, table: str) -> Refined:
 
 
 def write_by_month(df: DataFrame, path: str, at: Column) -> None:
-    """Month-partitioned Parquet; undated rows get their own partition."""
+    """The table as df holds it, partitioned by month; undated rows get their own partition.
+
+    A row that a correction moved to another month is gone from its old one, and months
+    that no row is left in are gone too.
+    """
     label = F.coalesce(month_label(at), F.lit("undated"))
-    write_partitions(df.withColumn(MONTH, label), path, MONTH)
+    replace_partitions(df.withColumn(MONTH, label), path, MONTH)
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame | None:
+    return read_partitions(spark, path)
 
 
-def compact(spark: SparkSession, path: str, column: str, values: list) -> None:
+def compact(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
     """Rewrite the given partitions into files of the advisory size."""
-    chosen = spark.read.parquet(path).where(F.col(column).isin(values))
-    write_partitions(chosen, path, column)
+    chosen = read_partitions(spark, path, values)
+    if chosen is not None:
+        replace_partitions(chosen, path, column, gone=[])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators.merge import DuplicateKeyError
-from feira.plans.tables import ROWS_PER_RANGE, merge_into
+from feira.plans.tables import merge_into
 from feira.schemas import AUDIT, ENTITIES, conform
 from feira.sources.files import read_entity_csv
 
@@ -23,12 +23,12 @@ class LoadError(RuntimeError):
 
 def load_table(
     batch: DataFrame, table: str, root: str, at: datetime | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    buckets: int | None = None,
 ) -> int:
     """Upsert a batch into `<root>/<table>` and return its row count; an empty one does nothing.
 
     Every row of the batch gets a new version_timestamp, changed or not. Only the key
-    ranges the batch touches are rewritten.
+    buckets that the batch touches are rewritten.
     """
     per_key = batch.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     seen = per_key.agg(
@@ -40,7 +40,7 @@ def load_table(
         raise DuplicateKeyError(f"{table}: ids must be present and unique in a batch")
     stamp = F.lit(at or datetime.now(timezone.utc)).cast("timestamp")
     merge_into(
-        batch.withColumn("version_timestamp", stamp), f"{root}/{table}", rows=rows_per_range, dedupe=False
+        batch.withColumn("version_timestamp", stamp), f"{root}/{table}", buckets=buckets, dedupe=False
     )
     return seen["rows"]
 

@@ -1,21 +1,24 @@
 """Parquet tables that are replaced or merged without readers seeing half a write.
 
 Plain Parquet has neither MERGE nor atomic overwrite. Small tables are written as a new
-snapshot and then committed by one appended row. Large facts are partitioned by ranges
-of their key and only the ranges a batch touches are rewritten. One writer per table.
+snapshot and then committed by one appended row. Large facts are partitioned, by buckets
+of their key or by a column; new versions of the partitions that a batch touches are
+written beside the old ones, and one appended commit makes them live. One writer per table.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.operators.merge import latest_version, upsert
+from feira.operators.merge import latest_version, require_unique, upsert
 from feira.session import scratch_path
 
-KEY_RANGE = "key_range"
-ROWS_PER_RANGE = 5_000_000
+BUCKET = "key_bucket"
+BUCKETS = 64  # of a table whose maker names no number; a bucket is what a merge rewrites
 
 
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
@@ -74,47 +77,99 @@ def current(spark: SparkSession, path: str) -> DataFrame | None:
     return None if version is None else spark.read.parquet(f"{path}/snapshots/version={version}")
 
 
-def with_key_range(df: DataFrame, key: str = "id", rows: int = ROWS_PER_RANGE) -> DataFrame:
-    """Partition column from the key alone: an update can never move a row elsewhere."""
-    return df.withColumn(KEY_RANGE, F.floor(F.col(key) / F.lit(rows)).cast("bigint"))
+class Live(NamedTuple):
+    """What the last commit of a partitioned table says."""
+
+    version: int
+    column: str
+    buckets: int | None
+    partitions: dict[str, int]  # value of the partition column -> version that holds it
 
 
-def write_partitions(df: DataFrame, path: str, *columns: str) -> None:
-    """Replace exactly the partitions df holds; all others stay.
+def live(spark: SparkSession, path: str) -> Live | None:
+    commits = read_if_there(spark, f"{path}/commits")
+    if commits is None:
+        return None
+    last = commits.orderBy(F.desc("version")).limit(1).first()
+    return Live(last["version"], last["column"], last["buckets"], {p["value"]: p["version"] for p in last["partitions"]})
+
+
+def read_partitions(
+    spark: SparkSession, path: str, values: list[str] | None = None
+) -> DataFrame | None:
+    """The live rows of a partitioned table, of some partitions or all; None if there are none."""
+    now = live(spark, path)
+    chosen = {} if now is None else {
+        v: n for v, n in now.partitions.items() if values is None or v in values
+    }
+    if not chosen:
+        return None
+    folders = [f"{path}/data/version={n}/{now.column}={v}" for v, n in sorted(chosen.items())]
+    return spark.read.option("basePath", f"{path}/data").parquet(*folders).drop("version")
+
+
+def replace_partitions(
+    df: DataFrame, path: str, column: str, gone: list[str] | None = None, buckets: int | None = None,
+) -> None:
+    """Replace the partitions that df holds, and drop those in gone (None: all others).
 
-    The rebalance hint lets Spark split a large partition over tasks and merge small
-    ones, by measured size.
+    The rows are written as a new version beside the old ones; then one appended commit
+    names the version that holds each partition. Until that commit readers see the old
+    state whole, and a write that crashed before it can simply be repeated. The rebalance
+    hint lets Spark split a large partition over tasks and merge small ones, by measured
+    size.
     """
-    df.hint("rebalance", *[F.col(c) for c in columns]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*columns).parquet(path)
+    spark = df.sparkSession
+    now = live(spark, path)
+    version = 0 if now is None else now.version + 1
+    folder = f"{path}/data/version={version}"
+    df.hint("rebalance", F.col(column)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(column).parquet(folder)
+    written = read_if_there(spark, folder)
+    # One value per partition written, however many rows they hold.
+    values = [] if written is None or column not in written.columns else [
+        r[0] for r in written.select(F.col(column).cast("string")).distinct().collect()
+    ]
+    old = {} if now is None or gone is None else {v: n for v, n in now.partitions.items() if v not in gone}
+    partitions = [{"value": v, "version": n} for v, n in {**old, **dict.fromkeys(values, version)}.items()]
+    commit = spark.createDataFrame(
+        [(version, column, buckets, partitions)],
+        "version long, column string, buckets int, partitions array<struct<value: string, version: long>>",
+    )
+    commit.coalesce(1).write.mode("append").parquet(f"{path}/commits")
 
 
 def merge_into(
     increment: DataFrame, path: str, key: str = "id", version: str = "version_timestamp",
-    rows: int = ROWS_PER_RANGE, newer_only: bool = False, dedupe: bool = True,
+    buckets: int | None = None, newer_only: bool = False, dedupe: bool = True,
 ) -> None:
-    """Upsert an increment into a key-range table, rewriting only the touched ranges.
+    """Upsert an increment into a table of key buckets, rewriting only the touched ones.
 
-    Replaying after a crash gives the same table, as the merge is idempotent. An
-    increment known to hold each key once needs no dedupe.
+    The number of buckets is set when the table is made and stored with it. Replaying
+    after a crash gives the same table, as the merge is idempotent. Without dedupe a
+    batch that holds a key twice is refused.
     """
     spark = increment.sparkSession
-    batch = with_key_range(increment, key, rows)
-    target = read_if_there(spark, path)
-    if target is None:
-        target = batch.limit(0)
-    else:
-        # One number per touched partition of the table, however many rows they hold.
-        touched = [r[0] for r in batch.select(KEY_RANGE).distinct().collect()]
-        target = target.where(F.col(KEY_RANGE).isin(touched))
-    target = target.select(*batch.columns)
-    if dedupe:
-        batch = latest_version(batch, key, version)
-    merged = upsert(target, batch, key, version=version, newer_only=newer_only)
-    write_partitions(merged, path, KEY_RANGE)
+    now = live(spark, path)
+    if now is not None and buckets not in (None, now.buckets):
+        raise ValueError(f"{path} has {now.buckets} buckets, not {buckets}")
+    buckets = now.buckets if now is not None else buckets or BUCKETS
+    batch = latest_version(increment, key, version) if dedupe else increment
+    if not dedupe:
+        require_unique(batch, key)
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+    batch = batch.withColumn(BUCKET, bucket)
+    # At most as many numbers as there are buckets.
+    touched = [str(r[0]) for r in batch.select(BUCKET).distinct().collect()]
+    if not touched:
+        return
+    target = read_partitions(spark, path, touched)
+    target = batch.limit(0) if target is None else target.select(*batch.columns)
+    merged = upsert(target, batch, key, version=version, newer_only=newer_only, unique=True)
+    replace_partitions(merged, path, BUCKET, gone=[], buckets=buckets)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    df = read_if_there(spark, path)
-    return None if df is None else df.drop(KEY_RANGE)
+    df = read_partitions(spark, path)
+    return None if df is None else df.drop(BUCKET)

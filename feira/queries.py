@@ -497,7 +497,7 @@ def backfilled_days(spark, sf):
     args = E.transacoes(spark, sf), E.itens(spark, sf), E.produtos(spark, sf)
     path = backfill.run_days(*args, days, root)
     backfill.run_day(*args, days[0], root)
-    return spark.read.parquet(path).select(*fact.FACT_COLUMNS)
+    return backfill.read_days(spark, path).select(*fact.FACT_COLUMNS)
 
 
 def _refined(spark, sf):
@@ -520,7 +520,7 @@ def lake_silver_months(spark, sf):
     path = f"{root}/silver/transacoes"
     lake.write_by_month(refined.silver, path, F.col("data_hora"))
     lake.compact(spark, path, lake.MONTH, ["1998-01", "1998-02"])
-    return spark.read.parquet(path).groupBy(F.col(lake.MONTH).cast("string").alias("month")).agg(
+    return lake.read_silver(spark, path).groupBy(F.col(lake.MONTH).cast("string").alias("month")).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.count_if(F.col("metodo_pagamento") == "corrected").alias("n_corrected"),
         F.min("id").alias("lowest_id"), F.max("data_hora").alias("latest"),
@@ -546,6 +546,11 @@ def clicks_sliding(spark, sf):
     return clicks.sliding(E.table(spark, sf, "events"))
 
 
+@query
+def clicks_sliding_uneven(spark, sf):
+    return clicks.sliding(E.table(spark, sf, "events"), "60 minutes", "25 minutes")
+
+
 @query
 def clicks_sessions(spark, sf):
     return clicks.sessions(E.table(spark, sf, "events"))
@@ -631,9 +636,19 @@ def product_features(spark, sf):
 
 @query
 def features_as_of(spark, sf):
-    """Each order with what was known of its customer before that month."""
+    """Each order with what one version of the features knew of its customer at its time.
+
+    Besides the first version, whose rows begin with a month, a second has rows that begin
+    on the 15th and end on the 11th, so some days have none."""
     labels = E.transacoes(spark, sf).select(
         F.col("id").alias("order_id"), F.col("id_cliente").alias("customer_id"), "data_hora",
         (F.col("metodo_pagamento") == "1-URGENT").alias("urgent"),
     )
-    return features.as_of(labels, features.customer_features(_feature_orders(spark, sf)), "data_hora")
+    first = features.customer_features(_feature_orders(spark, sf))
+    second = first.withColumns({
+        "feature_version": F.lit("v2"), "valid_from": F.date_add("valid_from", 14),
+        "valid_to": F.date_add("valid_to", 10),
+    })
+    both = first.unionByName(second)
+    found = features.as_of(labels, both, "data_hora", "v2")
+    return found.withColumn("valid_from", F.col("valid_from").cast("timestamp_ntz"))

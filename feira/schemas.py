@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 PRICE = T.DecimalType(10, 2)
 AMOUNT = T.DecimalType(14, 2)
 TOTAL = T.DecimalType(18, 2)
+MEASURED = T.DecimalType(28, 10)
 
 
 def _schema(**columns: T.DataType) -> T.StructType:

@@ -33,9 +33,10 @@ def key_bounds(spark: SparkSession, url: str, table: str, schema: str = "public"
 
 
 def read_database(
-    spark: SparkSession, url: str, schema: str = "public", partitions: int = 32, **extra: str
+    spark: SparkSession, url: str, partitions: int, schema: str = "public", **extra: str
 ) -> dict[str, DataFrame]:
-    """The four entities; filters and columns used later are pushed to the database."""
+    """The four entities, each read in so many key ranges; filters and columns used later
+    are pushed to the database."""
     return {
         name: spark.read.format("jdbc")
         .options(**jdbc_options(

@@ -36,11 +36,9 @@ def sliding(events: DataFrame, size: str = "1 hour", slide: str = "15 minutes",
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = LATE) -> DataFrame:
-    # Merge a busy user's sessions in each task before the shuffle.
-    events.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
-    )
-    timely = events.withWatermark("ts", late)
+    """Sessions of known users. DEFAULTS have a busy user's sessions merged in each task
+    before the shuffle."""
+    timely = events.where(F.col("user_id").isNotNull()).withWatermark("ts", late)
     window = F.session_window("ts", gap).alias("window")
     return flat(timely.groupBy("user_id", window).agg(*measures())).withColumnsRenamed(
         {"window_start": "session_start", "window_end": "session_end"}

@@ -11,6 +11,8 @@ if not os.path.isdir(SF_DIR):
 
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import compare, connect  # noqa: E402
+from feira.oracle import ORACLE_SQL  # noqa: E402
+from feira.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -19,13 +21,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) is None
+    assert compare(spark, con, name, QUERIES[name], ORACLE_SQL[name], SF_DIR) is None

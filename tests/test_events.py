@@ -40,6 +40,25 @@ def test_sliding_equals_the_native_window(events, rows):
     assert rows(clicks.sliding(events), "event_type", "window_start", "window_end", "n_events") == want
 
 
+@pytest.mark.parametrize("size, slide", [("60 minutes", "25 minutes"), ("1 hour", "1 hour"), ("2 hours", "45 minutes")])
+def test_sliding_of_other_sizes(events, rows, size, slide):
+    native = events.groupBy(F.window("ts", size, slide).alias("w"), "event_type").agg(F.count("*"))
+    want = rows(native, "event_type", "w.start", "w.end", "count(1)")
+    got = clicks.sliding(events, size, slide)
+    assert rows(got, "event_type", "window_start", "window_end", "n_events") == want
+
+
+@pytest.mark.parametrize("windows", [clicks.tumbling, clicks.sliding, clicks.sessions])
+def test_small_values_are_summed_before_rounding(spark, windows):
+    events = spark.createDataFrame([(i, START, 1, "view", 0.004, "{}") for i in range(1000)], EVENT)
+    assert {str(r.total_value) for r in windows(events).collect()} == {"4.00"}
+
+
+def test_sessions_of_nobody(spark):
+    events = spark.createDataFrame([(1, START, None, "view", 1.0, "{}"), (2, START, 7, "view", 1.0, "{}")], EVENT)
+    assert [r.user_id for r in clicks.sessions(events).collect()] == [7]
+
+
 @pytest.mark.parametrize("name,end", [("tumbling", "window_end"), ("sliding", "window_end"), ("sessions", "session_end")])
 def test_stream_equals_batch_on_closed_windows(spark, events, rows, tmp_path, name, end):
     events.repartition(3).write.parquet(str(tmp_path / "in"))
@@ -63,7 +82,7 @@ def test_streamed_merge(spark, rows, tmp_path):
         source = change_stream.read_changes(
             spark, str(tmp_path / "in/*"), spark.createDataFrame([], schema).schema, maxFilesPerTrigger="1"
         )
-        change_stream.merge_available(source, fact, checkpoint, rows=2)
+        change_stream.merge_available(source, fact, checkpoint, buckets=3)
         return rows(tables.read_table(spark, fact), "id", "x")
 
     assert deliver(1, (1, "a", START), (1, "b", START + timedelta(1)), (5, "c", START)) == [(1, "b"), (5, "c")]
@@ -104,8 +123,7 @@ def test_pseudonym_is_keyed_and_stable(spark):
     assert df.select(pii.pseudonym(F.col("x"), "k2")).first()[0] != keys[0]
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_features_as_of(spark, rows, salted):
+def test_features_as_of(spark, rows):
     orders = spark.createDataFrame(
         [(1, datetime(2025, 1, 5), 10.0), (1, datetime(2025, 1, 20), 5.0), (1, datetime(2025, 4, 1), 1.0),
          (2, datetime(2025, 2, 2), 7.0), (None, datetime(2025, 2, 2), 7.0)],
@@ -122,5 +140,28 @@ def test_features_as_of(spark, rows, salted):
          (4, 1, datetime(2026, 1, 1)), (5, 3, datetime(2026, 1, 1)), (6, 1, datetime(2025, 4, 2))],
         "label_id long, customer_id long, at timestamp_ntz",
     )
-    got = rows(features.as_of(labels, versions, "at", salted), "label_id", "orders_to_date")
+    got = rows(features.as_of(labels, versions, "at", "v1"), "label_id", "orders_to_date")
     assert got == [(1, None), (2, 2), (3, 2), (4, 3), (5, None), (6, 2)]
+
+
+def test_as_of_with_any_bounds_and_several_versions(spark, rows):
+    at = lambda m, d, y=2025: datetime(y, m, d)
+    versions = spark.createDataFrame(
+        [(1, "v1", at(3, 15), at(4, 10), 1, None, None), (1, "v1", at(4, 20), None, 2, None, None),
+         (1, "v2", at(3, 1), None, 9, None, None), (2, "v1", at(1, 1, 2020), at(2, 1, 2024), 5, None, None),
+         (None, "v1", at(1, 1), None, 7, None, None)],
+        "customer_id long, feature_version string, valid_from timestamp_ntz, valid_to timestamp_ntz,"
+        " orders_to_date int, spend_to_date double, last_order timestamp_ntz",
+    )
+    labels = spark.createDataFrame(
+        [(1, 1, at(3, 14)), (2, 1, at(3, 15)), (3, 1, at(3, 20)), (4, 1, at(4, 10)), (5, 1, at(5, 1, 2031)),
+         (6, 2, at(6, 1, 2022)), (7, 2, at(2, 1, 2024)), (8, None, at(6, 1)), (9, 3, at(6, 1)), (10, 1, None), (2, 1, at(3, 15))],
+        "label_id long, customer_id long, at timestamp_ntz",
+    )
+    got = rows(features.as_of(labels, versions, "at", "v1"), "label_id", "orders_to_date", "feature_version")
+    v1 = "v1"
+    assert got == sorted([
+        (1, None, None), (2, 1, v1), (2, 1, v1), (3, 1, v1), (4, None, None), (5, 2, v1), (6, 5, v1), (7, None, None),
+        (8, None, None), (9, None, None), (10, None, None),
+    ], key=repr)
+    assert {r.orders_to_date for r in features.as_of(labels, versions, "at", "v2").where("customer_id = 1 and at is not null").collect()} == {9}

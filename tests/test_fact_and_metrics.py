@@ -59,9 +59,8 @@ def test_charged_prices(simple, rows):
         transaction_fact(*simple, price_basis="wholesale")
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_unmatched_lines_stay(messy, rows, salted):
-    fact = transaction_fact(*messy, salted=salted)
+def test_unmatched_lines_stay(messy, rows):
+    fact = transaction_fact(*messy)
     got = rows(fact, "transaction_id", "customer_id", "product_id", "total_linha", "data_hora")
     assert got == sorted([
         (1, 11, 1, D("20.00"), datetime(2020, 12, 31, 10)),

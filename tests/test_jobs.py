@@ -77,13 +77,13 @@ def test_backfill(spark, rows, tmp_path):
     days = [date(2025, 1, 1), date(2025, 1, 3)]
     backfill.run_day(transacoes, itens, produtos, date(2024, 1, 1), str(tmp_path))  # no rows yet
     path = backfill.run_days(transacoes, itens, produtos, days, str(tmp_path))
-    assert rows(spark.read.parquet(path), "transaction_id") == [(1,), (3,)]
+    assert rows(backfill.read_days(spark, path), "transaction_id") == [(1,), (3,)]
     # A rerun of one day replaces it alone; a day that lost its rows is emptied.
     backfill.run_day(transacoes, itens.where("id_transacao <> 1").unionByName(
         spark.createDataFrame([(2, 1, 9)], itens.schema)), produtos, date(2025, 1, 2), str(tmp_path))
-    assert rows(spark.read.parquet(path), "transaction_id", "quantidade") == [(1, 1), (2, 2), (2, 9), (3, 3)]
+    assert rows(backfill.read_days(spark, path), "transaction_id", "quantidade") == [(1, 1), (2, 2), (2, 9), (3, 3)]
     backfill.run_day(transacoes.where("id <> 1"), itens, produtos, date(2025, 1, 1), str(tmp_path))
-    assert rows(spark.read.parquet(path), "transaction_id") == [(2,), (2,), (3,)]
+    assert rows(backfill.read_days(spark, path), "transaction_id") == [(2,), (2,), (3,)]
     with pytest.raises(DataQualityError):
         backfill.run_day(transacoes, itens.withColumn("quantidade", F.lit(0)), produtos, days[1], str(tmp_path))
 
@@ -106,10 +106,29 @@ def test_compaction_keeps_rows_and_other_partitions(spark, rows, tmp_path):
     df = spark.range(0, 100, numPartitions=10).select(
         "id", F.to_timestamp_ntz(F.when(F.col("id") % 2 == 0, "2025-01-03").otherwise("2025-02-03")).alias("at")
     )
-    for _ in range(1):
-        df.withColumn(lake.MONTH, F.date_format("at", "yyyy-MM")).write.partitionBy(lake.MONTH).parquet(path)
-    before = len(list((tmp_path / "t/month=2025-02").glob("*.parquet")))
+    lake.write_by_month(df, path, F.col("at"))
+    before = tables.live(spark, path)
     lake.compact(spark, path, lake.MONTH, ["2025-01"])
-    assert len(list((tmp_path / "t/month=2025-01").glob("*.parquet"))) == 1 < before
-    assert len(list((tmp_path / "t/month=2025-02").glob("*.parquet"))) == before
-    assert rows(spark.read.parquet(path), "id", "at") == rows(df)
+    after = tables.live(spark, path)
+    assert after.partitions["2025-02"] == before.partitions["2025-02"]
+    assert after.partitions["2025-01"] != before.partitions["2025-01"]
+    folder = tmp_path / f"t/data/version={after.version}/month=2025-01"
+    assert len(list(folder.glob("*.parquet"))) == 1
+    assert rows(lake.read_silver(spark, path), "id", "at") == rows(df)
+
+
+def test_corrected_rows_leave_their_old_month(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, datetime(2025, 1, 5)), (2, datetime(2025, 2, 5))], "id long, at timestamp_ntz")
+    moved = spark.createDataFrame([(1, datetime(2025, 3, 5)), (2, datetime(2025, 2, 5))], "id long, at timestamp_ntz")
+    for df in (first, moved):
+        lake.write_by_month(df, path, F.col("at"))
+        assert rows(lake.read_silver(spark, path), "id", "at") == rows(df)
+    assert set(tables.live(spark, path).partitions) == {"2025-02", "2025-03"}
+
+
+def test_bronze_keeps_added_columns(spark, rows, tmp_path):
+    lake.bronze_append(spark.createDataFrame([("1",)], "id string"), str(tmp_path), "t", datetime(2025, 1, 1))
+    path = lake.bronze_append(
+        spark.createDataFrame([("2", "x")], "id string, extra string"), str(tmp_path), "t", datetime(2025, 1, 2))
+    assert rows(lake.read_bronze(spark, path), "id", "extra") == [("1", None), ("2", "x")]

@@ -6,29 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from feira.operators import copurchase
-from feira.operators.joins import HEAVY_KEYS, enrich, heavy_keys
-
-
-@pytest.fixture
-def skewed(spark):
-    """A third of the rows on one key, a third on NULL, the rest spread."""
-    n = 9000
-    key = F.when(F.col("id") < n / 3, 7).when(F.col("id") < 2 * n / 3, None).otherwise(F.col("id"))
-    return spark.range(n).select("id", key.cast("long").alias("k"))
-
-
-def test_heavy_keys_are_found_and_bounded(skewed):
-    found = {r["_heavy"] for r in heavy_keys(skewed, "k").collect()}
-    assert {7, None} <= found
-    assert len(found) <= HEAVY_KEYS
-
-
-def test_salted_join_equals_plain_join(spark, skewed, rows):
-    right = spark.createDataFrame([(7, "hot"), (8000, "cold"), (8000, "twice"), (1, "unused")], "k long, v string")
-    plain = rows(enrich(skewed, right, "k", salted=False), "id", "k", "v")
-    salted = rows(enrich(skewed, right, "k", salted=True), "id", "k", "v")
-    assert plain == salted
-    assert len(plain) == 9001
 
 
 def brute_force(lines):

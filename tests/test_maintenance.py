@@ -68,26 +68,67 @@ def test_incremental_runs(spark, rows, tmp_path):
     source = spark.createDataFrame(first, SRC)
     assert incremental.run_incremental(source.limit(0), fact, state) == increment.EPOCH
     for _ in range(2):  # the second run re-reads the overlap and changes nothing
-        assert incremental.run_incremental(source, fact, state, rows=2) == datetime(2025, 1, 10)
+        assert incremental.run_incremental(source, fact, state, buckets=2) == datetime(2025, 1, 10)
         assert rows(tables.read_table(spark, fact).select(*source.columns)) == first
     later = spark.createDataFrame(
         [(1, 1, datetime(2025, 1, 1), "too late", T1), (2, 1, datetime(2025, 1, 10), "fixed", T1),
          (3, 2, datetime(2025, 1, 9), "late", T1), (9, 2, datetime(2025, 1, 20), "new", T1)], SRC,
     )
-    assert incremental.run_incremental(later, fact, state, rows=2) == datetime(2025, 1, 20)
+    assert incremental.run_incremental(later, fact, state, buckets=2) == datetime(2025, 1, 20)
     got = rows(tables.read_table(spark, fact), "id", "metodo_pagamento")
     assert got == [(1, "a"), (2, "fixed"), (3, "late"), (9, "new")]
 
 
-def test_merge_rewrites_only_touched_ranges(spark, tmp_path):
-    path = tmp_path / "t"
-    df = spark.range(10).select("id", F.lit("x").alias("x"), F.lit(T0).cast("timestamp_ntz").alias("version_timestamp"))
-    tables.merge_into(df, str(path), rows=5)
-    before = {p.name for p in (path / "key_range=1").glob("*.parquet")}
-    tables.merge_into(df.where("id = 0").withColumn("x", F.lit("y")), str(path), rows=5)
-    assert {p.name for p in (path / "key_range=1").glob("*.parquet")} == before
-    assert tables.read_table(spark, str(path)).where("x = 'y'").count() == 1
-    assert tables.read_table(spark, str(path)).count() == 10
+def versioned(spark, ids, x):
+    return spark.createDataFrame([(i, x, T0) for i in ids], "id long, x string, version_timestamp timestamp_ntz")
+
+
+def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.merge_into(versioned(spark, range(40), "x"), path, buckets=4)
+    first = tables.live(spark, path)
+    tables.merge_into(versioned(spark, [0], "y"), path)
+    second = tables.live(spark, path)
+    assert sum(second.partitions[b] != first.partitions[b] for b in first.partitions) == 1
+    assert tables.read_table(spark, path).where("x = 'y'").count() == 1
+    assert tables.read_table(spark, path).count() == 40
+
+
+def test_merge_that_dies_before_its_commit(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.merge_into(versioned(spark, [1, 2, 3], "x"), path, buckets=1)
+    with monkeypatch.context() as m:
+        def die(*_):
+            raise RuntimeError("lost")
+        m.setattr(type(spark), "createDataFrame", die)
+        with pytest.raises(RuntimeError):
+            tables.merge_into(tables.read_table(spark, path).where("id = 2").withColumn("x", F.lit("y")), path)
+    assert rows(tables.read_table(spark, path), "id", "x") == [(1, "x"), (2, "x"), (3, "x")]
+    tables.merge_into(versioned(spark, [2], "y"), path)
+    assert rows(tables.read_table(spark, path), "id", "x") == [(1, "x"), (2, "y"), (3, "x")]
+
+
+def test_number_of_buckets_is_kept(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    tables.merge_into(versioned(spark, [2, 3], "x"), path, buckets=2)
+    with pytest.raises(ValueError):
+        tables.merge_into(versioned(spark, [2, 3], "y"), path, buckets=5)
+    tables.merge_into(versioned(spark, [2, 3], "y"), path)
+    assert rows(tables.read_table(spark, path), "id", "x") == [(2, "y"), (3, "y")]
+
+
+def test_sparse_keys_make_few_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.merge_into(versioned(spark, [i * 10**12 for i in range(200)], "x"), path, buckets=8)
+    assert len(tables.live(spark, path).partitions) <= 8
+    assert tables.read_table(spark, path).count() == 200
+
+
+def test_repeated_keys_are_refused(spark, tmp_path):
+    with pytest.raises(merge.DuplicateKeyError):
+        tables.merge_into(versioned(spark, [1, 1], "x"), str(tmp_path / "t"), dedupe=False)
+    with pytest.raises(merge.DuplicateKeyError):
+        merge.upsert(versioned(spark, [1], "x"), versioned(spark, [1, 1], "y"))
 
 
 def test_snapshots(spark, rows, tmp_path):

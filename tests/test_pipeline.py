@@ -17,7 +17,8 @@ def test_all_jobs_in_order(spark, tmp_path, capsys):
     main(["quality", "--root", root, "--report", str(tmp_path / "report")])
     main(["warehouse", "--raw", raw, "--warehouse", wh])
     main(["incremental", "--root", root, "--warehouse", wh])
-    main(["reports", "--root", root])
+    main(["reports", "--root", root, "--out", str(tmp_path / "reports")])
+    assert len(list((tmp_path / "reports").iterdir())) == 4
     assert "valor_medio_encomenda" in capsys.readouterr().out
 
     stored = stored_tables(spark, root)
