@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from feira.operators.pii import PATTERNS
-
+# Personal data, in masking order, as this engine's expressions have it.
+PATTERNS = {
+    "email": r"[\w.%+-]{1,64}@[a-zA-Z\d.-]+[.][a-zA-Z]{2,}",
+    "card": r"\d{13,16}",
+    "phone": r"[+]\d{1,3}[ ]?[(]?\d{2,3}[)]?[- ]?\d{3}[- ]?\d{3,4}",
+    "ipv4": r"(?:\d{1,3}[.]){3}\d{1,3}",
+}
 MONEY = "DECIMAL(18,2)"
 
 

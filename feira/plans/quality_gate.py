@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feira.operators.expectations import MESSAGES, SUITES, check_tables
 from feira.operators.row_rules import violations
 from feira.schemas import RAW_HEADERS
-from feira.sources.files import read_raw_csv
+from feira.sources.files import read_header, read_raw_csv
 
 
 class DataQualityError(RuntimeError):
@@ -73,13 +73,20 @@ def run_gate(
 def validate_folder(spark: SparkSession, folder: str, out: str) -> dict[str, str]:
     """Write the row violations of every raw file; returns a status per file.
 
+    Lines that do not have as many fields as the header show as violations of the columns
+    that they lack.
+
     A missing file is reported and does not stop the others.
     """
     status, found = {}, []
     for table, header in RAW_HEADERS.items():
         file = f"{table}.csv"
         try:
-            found.append(violations(table, read_raw_csv(spark, f"{folder}/{file}", header)))
+            # Fields go by the file's own header; a column that it lacks is NULL throughout.
+            own = read_header(spark, f"{folder}/{file}")
+            raw = read_raw_csv(spark, f"{folder}/{file}", own)
+            lacking = {c: F.lit(None).cast("string") for c in header if c not in own}
+            found.append(violations(table, raw.withColumns(lacking)))
             status[file] = "finished"
         except FileNotFoundError:
             status[file] = "not found"

@@ -12,6 +12,12 @@ from pyspark.sql import types as T
 from feira.schemas import ENTITIES, RAW_HEADERS, conform
 
 CORRUPT = "_corrupt_record"
+# One dialect for reading and writing, that of the csv module and pandas: quotes are
+# doubled, blanks belong to the field.
+DIALECT = {
+    "header": True, "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 @contextmanager
@@ -25,12 +31,17 @@ def missing_as_file_not_found():
         raise
 
 
-def read_raw_csv(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
-    """Every field as text, for the row rules. Malformed lines are kept and marked."""
+def read_raw_csv(
+    spark: SparkSession, path: str, header: list[str], multi_line: bool = False
+) -> DataFrame:
+    """Every field as text, for the row rules. Malformed lines are kept and marked.
+
+    Fields may hold line ends only with multi_line, which makes each file one task.
+    """
     columns = [T.StructField(name, T.StringType()) for name in [*header, CORRUPT]]
     reader = (
         spark.read.schema(T.StructType(columns))
-        .option("header", True)
+        .options(**DIALECT, multiLine=multi_line)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -42,16 +53,22 @@ def read_raw_csv(spark: SparkSession, path: str, header: list[str]) -> DataFrame
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a headed CSV; reads one line."""
     with missing_as_file_not_found():
-        return spark.read.option("header", True).csv(path).columns
+        return spark.read.options(**DIALECT).csv(path).columns
 
 
-def read_entity_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_entity_csv(
+    spark: SparkSession, path: str, table: str, multi_line: bool = False
+) -> DataFrame:
     """One entity file, projected to its table and leniently typed.
 
-    Columns go by the file's header: extra ones are dropped, missing ones raise.
+    Columns go by the file's header: extra ones are dropped, missing ones raise. A line
+    that does not have as many fields as the header raises when it is read.
     """
     header = read_header(spark, path)
-    return conform(read_raw_csv(spark, path, header).drop(CORRUPT), table)
+    raw = read_raw_csv(spark, path, header, multi_line)
+    line = F.concat(F.lit("malformed line: "), F.col(CORRUPT))
+    checked = raw.withColumn(header[0], F.when(F.col(CORRUPT).isNull(), F.col(header[0])).otherwise(F.raise_error(line)))
+    return conform(checked.drop(CORRUPT), table)
 
 
 def read_csv_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -60,7 +77,7 @@ def read_csv_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**DIALECT).csv(path)
 
 
 def raw_text(df: DataFrame, table: str) -> DataFrame:

@@ -11,7 +11,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.sources.files import CORRUPT, read_raw_csv
+from feira.sources.files import CORRUPT, read_raw_csv, write_csv
 
 # Folder names of the landed entities, and the version-tag format.
 LANDED = {"clientes": "customers", "produtos": "products", "transacoes": "transactions"}
@@ -42,9 +42,10 @@ def land(tables: dict[str, DataFrame], root: str, day: date, version: str | None
         if name not in tables:
             raise FileNotFoundError(f"no data for {name}")
         # A partition folder per version: retrying a version replaces it, never doubles it.
-        tables[name].withColumn("source", F.lit(source)).write.mode("overwrite").option(
-            "header", True
-        ).csv(f"{entity_path(root, day, name)}/version={version}")
+        write_csv(
+            tables[name].withColumn("source", F.lit(source)),
+            f"{entity_path(root, day, name)}/version={version}",
+        )
     return version
 
 

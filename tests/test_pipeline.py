@@ -19,7 +19,9 @@ def test_all_jobs_in_order(spark, tmp_path, capsys):
     main(["incremental", "--root", root, "--warehouse", wh])
     main(["reports", "--root", root, "--out", str(tmp_path / "reports")])
     assert len(list((tmp_path / "reports").iterdir())) == 4
-    assert "valor_medio_encomenda" in capsys.readouterr().out
+    assert "aov_by_district" in capsys.readouterr().out
+    by_district = spark.read.option("header", True).csv(str(tmp_path / "reports/aov_by_district"))
+    assert "valor_medio_encomenda" in by_district.columns and not by_district.isEmpty()
 
     stored = stored_tables(spark, root)
     assert {t: df.count() for t, df in stored.items()} == {

@@ -122,3 +122,10 @@ def test_validate_folder_reports_missing_files(spark, tmp_path):
         "transacao_itens.csv": "not found",
     }
     assert [(r.chave, r.regra) for r in spark.read.parquet(out).collect()] == [("1", "non-positive price")]
+
+
+def test_violations_go_by_the_header(spark, tmp_path):
+    (tmp_path / "produtos.csv").write_text("id,nome,preco,categoria,fornecedor\n1,a,2.5,Casa,c\n2,b,-1,Casa,c\n")
+    out = str(tmp_path / "out")
+    quality_gate.validate_folder(spark, str(tmp_path), out)
+    assert [(r.chave, r.regra) for r in spark.read.parquet(out).collect()] == [("2", "non-positive price")]

@@ -112,3 +112,29 @@ def test_landing_versions(spark, rows, tmp_path):
         landing.read_landed_day(spark, root, date(2025, 3, 8), headers)
     with pytest.raises(FileNotFoundError):
         landing.land({}, root, day)
+
+
+def test_csv_keeps_quotes_commas_blanks_and_line_ends(spark, rows, tmp_path):
+    path = str(tmp_path / "produtos.csv")
+    names = ['TV 12" wide, black', " Ana ", "a\\b", 'he said ""', "é;|"]
+    df = spark.createDataFrame([(i, n, "c", 1, "f") for i, n in enumerate(names)], "id int, nome string, categoria string, preco int, fornecedor string")
+    files.write_csv(files.raw_text(df, "produtos"), path)
+    assert rows(files.read_entity_csv(spark, path, "produtos"), "id", "nome") == list(enumerate(names))
+    lines = str(tmp_path / "lines.csv")
+    files.write_csv(files.raw_text(df.withColumn("nome", F.lit("two\nlines")), "produtos"), lines)
+    got = files.read_entity_csv(spark, lines, "produtos", multi_line=True)
+    assert {r.nome for r in got.collect()} == {"two\nlines"} and got.count() == len(names)
+
+
+def test_csv_with_lines_of_the_wrong_width_raises(spark, tmp_path):
+    (tmp_path / "produtos.csv").write_text("id,nome,categoria,preco,fornecedor\n1,a,b,2.5,c\n2,x\n")
+    with pytest.raises(Exception, match="malformed line"):
+        files.read_entity_csv(spark, str(tmp_path / "produtos.csv"), "produtos").collect()
+
+
+def test_landed_text_comes_back_whole(spark, rows, tmp_path):
+    names = ['a "quoted", name', " blank "]
+    tables = {n: spark.createDataFrame([("1", x) for x in names], "id string, nome string") for n in landing.LANDED}
+    landing.land(tables, str(tmp_path), date(2025, 1, 1), "v1")
+    for name in landing.LANDED:
+        assert rows(landing.read_landed(spark, str(tmp_path), date(2025, 1, 1), name, ["id", "nome"]), "nome") == sorted((n,) for n in names)
