@@ -65,6 +65,7 @@ SELECT distrito, {_half_up_mean('SUM(receita)', 'COUNT(*)')} AS valor_medio_enco
 FROM order_revenue r JOIN clientes c ON c.id = r.id_cliente GROUP BY distrito"""
 
 SQL["transaction_fact"] = f"WITH {FACT} SELECT * FROM fact"
+SQL["transaction_fact_charged"] = SQL["transaction_fact"]
 SQL["customer_lifetime_value"] = f"""WITH {FACT}
 SELECT customer_id, {REVENUE} AS customer_lifetime_value FROM fact GROUP BY customer_id"""
 SQL["daily_revenue"] = f"WITH {FACT} SELECT date, {REVENUE} AS daily_revenue FROM fact GROUP BY date"
@@ -305,6 +306,22 @@ UNION ALL SELECT 'transacoes', 'transacoes.csv', COUNT(*), TRUE FROM orders
 UNION ALL SELECT 'transacao_itens', 'transacao_itens.csv',
   CASE WHEN COUNT(*) = COUNT(DISTINCT l_orderkey * 10 + l_linenumber) THEN COUNT(*) ELSE 0 END,
   COUNT(*) = COUNT(DISTINCT l_orderkey * 10 + l_linenumber) FROM lineitem"""
+SQL["load_rejects"] = """WITH lines AS (
+  SELECT COUNT(*) > COUNT(DISTINCT l_orderkey * 10 + l_linenumber) AS twice,
+    COUNT(*) FILTER (l_returnflag = 'A' AND l_quantity = 4) > 0 AS free,
+    COUNT(*) FILTER (l_returnflag = 'R' AND l_quantity = 3) > 0 AS broken, COUNT(*) AS n FROM lineitem),
+bad AS (
+  SELECT 'clientes' AS tabela, COUNT(*) AS n, CASE WHEN COUNT(*) > 1 THEN 'email' ELSE '' END AS colunas FROM customer
+  UNION ALL SELECT 'produtos', COUNT(*), CASE WHEN COUNT(*) FILTER (p_size IN (1, 2, 4)) > 0 THEN 'preco' ELSE '' END FROM part
+  UNION ALL SELECT 'transacoes', COUNT(*), CASE WHEN COUNT(*) FILTER (
+    o_orderpriority = '5-LOW' AND o_orderstatus <> 'F') > 0 THEN 'data_hora' ELSE '' END FROM orders
+  UNION ALL SELECT 'transacao_itens', n, concat_ws(',', CASE WHEN twice THEN 'id' END,
+    CASE WHEN free THEN 'preco_unitario' END, CASE WHEN broken THEN 'quantidade' END) FROM lines)
+SELECT tabela, CASE WHEN colunas = '' THEN n ELSE 0 END AS linhas_carregadas, colunas = '' AS sucesso, colunas FROM bad"""
+SQL["loaded_lines"] = """SELECT l_orderkey * ((SELECT COUNT(*) FROM part) + 1) + l_partkey AS id,
+  l_orderkey AS id_transacao, l_partkey AS id_produto, CAST(SUM(l_quantity) AS BIGINT) AS quantidade,
+  MAX(CAST(l_extendedprice AS DECIMAL(10,2))) AS preco_unitario
+FROM lineitem GROUP BY l_orderkey, l_partkey"""
 SQL["loaded_products"] = """SELECT p_partkey AS id, p_name AS nome, p_type AS categoria,
   CAST(CASE WHEN p_size >= 40 THEN CAST(p_retailprice AS DECIMAL(10,2)) * 2
     ELSE CAST(p_retailprice AS DECIMAL(10,2)) END AS DECIMAL(10,2)) AS preco, p_brand AS fornecedor,

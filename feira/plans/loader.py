@@ -10,39 +10,75 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators.merge import DuplicateKeyError
-from feira.plans.tables import merge_into
+from feira.plans.tables import merge_into, read_table, staged
 from feira.schemas import AUDIT, ENTITIES, conform
 from feira.sources.files import read_entity_csv
 
 log = logging.getLogger(__name__)
 
 
+UNIQUE = {"clientes": ["email"]}  # columns besides the id whose values do not repeat
+
+
+class RejectedBatchError(DuplicateKeyError):
+    """A batch breaks the rules of its table."""
+
+
 class LoadError(RuntimeError):
     """At least one table failed; the audit table says which and why."""
 
 
+def problems(batch: DataFrame, table: str, held: DataFrame | None = None) -> list[str]:
+    """What keeps a batch out of its table: repeated ids, values that are missing or do not
+    parse (only dates may fail to parse before that, and then they are missing), and values
+    of a unique column that repeat in the batch or in rows that it leaves as they are."""
+    columns = [f.name for f in ENTITIES[table] if f.name in batch.columns]
+    counts = batch.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    found = [
+        f"{c}: {counts[c]} values are missing or no {ENTITIES[table][c].dataType.simpleString()}"
+        for c in columns if counts[c]
+    ]
+    most = batch.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (most or 0) > 1:
+        found.append("id: ids must be unique in a batch")
+    for column in UNIQUE.get(table, []):
+        all_rows = batch.select("id", column)
+        if held is not None:
+            stay = held.join(batch.select("id"), "id", "left_anti")
+            all_rows = all_rows.unionByName(stay.select("id", column))
+        repeated = all_rows.where(F.col(column).isNotNull()).groupBy(column).agg(
+            F.count(F.lit(1)).alias("n")
+        ).where("n > 1").count()
+        if repeated:
+            found.append(f"{column}: {repeated} values repeat")
+    return found
+
+
 def load_table(
     batch: DataFrame, table: str, root: str, at: datetime | None = None,
     buckets: int | None = None,
 ) -> int:
     """Upsert a batch into `<root>/<table>` and return its row count; an empty one does nothing.
 
-    Every row of the batch gets a new version_timestamp, changed or not. Only the key
-    buckets that the batch touches are rewritten.
+    The batch is staged once, so that checks and merge see the same rows. One that breaks
+    a rule of the table raises before anything is written. Every row gets a new
+    version_timestamp, changed or not. Only the key buckets that the batch touches are
+    rewritten.
     """
-    per_key = batch.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    seen = per_key.agg(
-        F.sum("n").alias("rows"), F.max("n").alias("most"), F.count_if(F.col("id").isNull()).alias("no_key")
-    ).first()
-    if not seen["rows"]:
+    spark = batch.sparkSession
+    batch = staged(batch, f"batch-{table}")
+    rows = batch.count()
+    if not rows:
         return 0
-    if seen["most"] > 1 or seen["no_key"]:
-        raise DuplicateKeyError(f"{table}: ids must be present and unique in a batch")
+    held = read_table(spark, f"{root}/{table}")
+    broken = problems(batch, table, held)
+    if broken:
+        raise RejectedBatchError(f"{table}: " + "; ".join(broken))
     stamp = F.lit(at or datetime.now(timezone.utc)).cast("timestamp")
     merge_into(
         batch.withColumn("version_timestamp", stamp), f"{root}/{table}", buckets=buckets, dedupe=False
     )
-    return seen["rows"]
+    return rows
 
 
 def append_audit(spark: SparkSession, root: str, table: str, file: str, start: datetime,

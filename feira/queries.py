@@ -85,6 +85,14 @@ def transaction_fact(spark, sf):
     return fact.transaction_fact(E.transacoes(spark, sf), E.itens(spark, sf), E.produtos(spark, sf))
 
 
+@query
+def transaction_fact_charged(spark, sf):
+    """The fact by what lines were charged; here that is the product's price."""
+    prices = E.produtos(spark, sf).select(F.col("id").alias("id_produto"), F.col("preco").alias("preco_unitario"))
+    lines = E.itens(spark, sf).select("id_transacao", "id_produto", "quantidade").join(prices, "id_produto")
+    return fact.transaction_fact(E.transacoes(spark, sf), lines, None, price_basis="charged")
+
+
 @query
 def customer_lifetime_value(spark, sf):
     return metrics.customer_lifetime_value(_order_fact(spark, sf))
@@ -447,6 +455,45 @@ def load_audit(spark, sf):
     return loader.read_audit(spark, root).select("tabela", "ficheiro", "linhas_carregadas", "sucesso")
 
 
+@job
+def loaded_lines(spark, sf):
+    """Order lines summed per order and part, under a key of both, loaded into their table."""
+    root = scratch_path(spark, "load")
+    parts = E.table(spark, sf, "part").count()
+    lines = E.table(spark, sf, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+        F.sum("l_quantity").cast("bigint").alias("quantidade"),
+        F.max(F.col("l_extendedprice").cast(PRICE)).alias("preco_unitario"),
+    )
+    batch = lines.select(
+        (F.col("l_orderkey") * F.lit(parts + 1) + F.col("l_partkey")).alias("id"),
+        F.col("l_orderkey").alias("id_transacao"), F.col("l_partkey").alias("id_produto"),
+        "quantidade", "preco_unitario",
+    )
+    loader.load_table(conform(batch, "transacao_itens"), "transacao_itens", root, datetime(2025, 1, 1), buckets=8)
+    return tables.read_table(spark, f"{root}/transacao_itens").drop("version_timestamp")
+
+
+@job
+def load_rejects(spark, sf):
+    """Each kind of bad table fails as a whole, and the audit says why."""
+    root = scratch_path(spark, "load")
+    customers = E.clientes(spark, sf).withColumn("data_registo", F.lit("2025-01-05"))
+    sources = {
+        "clientes": lambda: customers.withColumn("email", F.lit("same@example.com")),
+        "produtos": lambda: _dirty_produtos(spark, sf),
+        "transacoes": lambda: _dirty_transacoes(spark, sf),
+        "transacao_itens": lambda: _dirty_itens(spark, sf),
+    }
+    try:
+        loader.load_all(spark, sources, root)
+    except loader.LoadError:
+        pass
+    reason = F.regexp_extract_all("erro", F.lit(r"(?:: |; )([a-z_]+): "), 1)
+    return loader.read_audit(spark, root).select(
+        "tabela", "linhas_carregadas", "sucesso", F.array_join(F.array_sort(reason), ",").alias("colunas")
+    )
+
+
 @job
 def loaded_products(spark, sf):
     """Products loaded twice, the second time with the prices of large ones doubled."""

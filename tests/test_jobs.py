@@ -50,6 +50,28 @@ def test_load_rules(spark, made, tmp_path):
         loader.load_table(batch.withColumn("id", F.lit(None).cast("long")).limit(1), "produtos", str(tmp_path))
 
 
+@pytest.mark.parametrize("table, column, value, reason", [
+    ("produtos", "preco", "abc", "preco"), ("produtos", "nome", None, "nome"), ("transacoes", "id_cliente", "zz", "id_cliente"),
+    ("transacao_itens", "quantidade", "3.0", "quantidade"), ("clientes", "email", "same@x.pt", "email"),
+    ("clientes", "data_registo", "26/10/2025", "data_registo"),
+])
+def test_bad_tables_are_refused_whole(spark, made, tmp_path, table, column, value, reason):
+    bad = made[table].withColumn(column, F.lit(value).cast("string"))
+    with pytest.raises(loader.LoadError):
+        loader.load_all(spark, {table: lambda: bad}, str(tmp_path))
+    audit = loader.read_audit(spark, str(tmp_path)).first()
+    assert not audit.sucesso and audit.linhas_carregadas == 0 and f"{reason}: " in audit.erro
+    assert tables.read_table(spark, str(tmp_path / table)) is None
+
+
+def test_an_email_of_another_customer_is_refused(spark, made, tmp_path):
+    one = made["clientes"].where("id = 1")
+    loader.load_table(loader.conform(one, "clientes"), "clientes", str(tmp_path))
+    loader.load_table(loader.conform(one, "clientes"), "clientes", str(tmp_path))
+    with pytest.raises(loader.RejectedBatchError, match="email"):
+        loader.load_table(loader.conform(one.withColumn("id", F.lit(2)), "clientes"), "clientes", str(tmp_path))
+
+
 def test_warehouse_is_replaced_not_extended(spark, rows, made, tmp_path):
     root = str(tmp_path)
     args = made["transacoes"], made["transacao_itens"], made["produtos"]
