@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feira.llm.text import map_arrow, mix, shingles, slices, words
 from feira.plans.tables import staged
@@ -28,9 +29,12 @@ from feira.plans.tables import staged
 SHINGLE = 5
 SIMILAR = 0.8
 REGISTERS = 512
-BANDS, ROWS = 40, 8  # a pair of similarity 0.8 shares a band with probability 0.9994
-LIKELY = 0.7  # sketches of pairs of similarity 0.8 are less alike once in 10,000
+BANDS, ROWS = 24, 6  # a pair of similarity 0.8 shares a band with probability 0.9993
+LIKELY = 0.735  # sketches of pairs of similarity 0.8 are less alike once in a thousand
+FILTER_BITS = 1 << 27  # of the map that spares most texts a shuffle; 16 MB
 ARRIVALS = 1 << 18  # arrivals that are drawn at once
+ROWS_PER_TASK = 50_000  # of the narrow tables of buckets, links and labels
+PAIRS_PER_TASK = 500
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _NODE_SALTS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
@@ -86,9 +90,11 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def sketches(signature: np.ndarray) -> np.ndarray:
-    """(texts, REGISTERS / 64): one bit of each register."""
-    bits = (mix(signature + _STEP) >> np.uint64(63)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view("<i8").reshape(len(signature), -1)
+    """(texts, REGISTERS / 32): two bits of each register."""
+    bits = mix(signature + _STEP) >> np.uint64(62)
+    bits = np.stack([bits & np.uint64(1), bits >> np.uint64(1)], axis=2).astype(np.uint8)
+    packed = np.packbits(bits.reshape(len(signature), -1), axis=1, bitorder="little")
+    return packed.view("<i8").reshape(len(signature), -1)
 
 
 def nodes(w) -> list[bytes]:
@@ -131,21 +137,33 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def alike(a: Column, b: Column) -> Column:
-    """Similarity that two sketches speak for: bits of different registers agree by chance."""
+    """Similarity that two sketches speak for: bits of different registers agree once in four."""
     differ = F.lit(0)
-    for i in range(REGISTERS // 64):
-        differ = differ + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
-    return 1 - 2 * differ / F.lit(float(REGISTERS))
+    for i in range(REGISTERS // 32):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return 1 - differ / F.lit(0.75 * REGISTERS)
+
+
+def in_few(df: DataFrame, rows: int, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """df in as many partitions as that many rows need; more partitions stay as they are
+    only if there are fewer of them."""
+    return df.coalesce(1 + rows // per_task)
 
 
 def similarity(pairs: DataFrame) -> DataFrame:
-    """(a, b, similarity) of pairs (a, b, text_a, text_b): Jaccard of the shingle sets."""
+    """Pairs with columns text_a and text_b replaced by the Jaccard similarity of their
+    shingle sets."""
+    kept = pairs.drop("text_a", "text_b")
+    names, n = [*kept.columns, "similarity"], len(kept.columns)
+    schema = T.StructType([*kept.schema, T.StructField("similarity", T.DoubleType())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 64):
                 some = batch.slice(low, 64)
                 sides = []
-                for column in (2, 3):
+                for column in (n, n + 1):
                     hashes, rows = [], []
                     for lo, _, data, offsets in slices(some.column(column)):
                         h, text, _ = weighted(*shingles(words(data, offsets), SHINGLE))
@@ -159,11 +177,9 @@ def similarity(pairs: DataFrame) -> DataFrame:
                 shared = np.bincount(row[1:][both], minlength=some.num_rows)
                 total = np.bincount(row, minlength=some.num_rows)
                 value = shared / np.maximum(total - shared, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array(value)], ["a", "b", "similarity"]
-                )
+                yield pa.RecordBatch.from_arrays([*some.columns[:n], pa.array(value)], names)
 
-    return map_arrow(pairs.select("a", "b", "text_a", "text_b"), run, "a binary, b binary, similarity double")
+    return map_arrow(pairs.select(*kept.columns, "text_a", "text_b"), run, schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -173,31 +189,47 @@ def components(links: DataFrame) -> DataFrame:
     own label, so the number of rounds grows with the logarithm of a component's length.
     """
     links = staged(links, "links")
+    rows = 2 * links.count()
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).toDF("node", "near")
-    labels = both.groupBy("node").agg(F.min("near").alias("near")).select(
+    labels = in_few(both.groupBy("node").agg(F.min("near").alias("near")), rows).select(
         "node", F.least("node", "near").alias("label")
     )
     labels = staged(labels, "labels")
     while True:
-        offered = both.join(labels.select(F.col("node").alias("near"), F.col("label").alias("offer")), "near").groupBy(
-            "node"
-        ).agg(F.min("offer").alias("offer"))
-        lower = labels.join(offered, "node").select("node", "label", F.least("label", "offer").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        new = staged(lower.join(jump, "next").select(
-            "node", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("label")).alias("moved"),
+        near = labels.toDF("near", "offer")
+        offered = in_few(both.join(near, "near"), rows).groupBy("node").agg(F.min("offer").alias("offer"))
+        lower = in_few(labels.join(offered, "node"), rows).select(
+            "node", "label", F.least("label", "offer").alias("next")
+        )
+        far = labels.toDF("next", "far")
+        lowest = F.least("next", "far")
+        new = staged(in_few(lower.join(far, "next"), rows).select(
+            "node", lowest.alias("label"), (lowest < F.col("label")).alias("moved")
         ), "labels")
         labels = new.select("node", "label")
-        if not new.where("moved").limit(1).count():
+        if new.where("moved").isEmpty():
             return labels
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """The pairs (a, b) of at least the given similarity."""
-    full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
+    n = pairs.count()
+    half = in_few(pairs.join(texts.toDF("b", "text_b"), "b"), n, PAIRS_PER_TASK)
+    full = in_few(half.join(texts.toDF("a", "text_a"), "a"), n, PAIRS_PER_TASK)
+    return similarity(full).where(F.col("similarity") >= similar).drop("similarity")
+
+
+def possibly(rows: DataFrame, wanted: DataFrame, hashed: str) -> DataFrame:
+    """rows without most of those whose hash is not among the wanted: a map of bits, of
+    fixed size however many are wanted, tells which cannot be. It only saves work."""
+    bit = F.pmod(F.col(hashed), F.lit(FILTER_BITS))
+    bits = wanted.groupBy(F.bitmap_bucket_number(bit).alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits")
     )
-    return similarity(full).where(F.col("similarity") >= similar).select("a", "b")
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(bits), F.bitmap_bucket_number(bit) == F.col("_part"))
+    return found.where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0).select(*rows.columns)
 
 
 def prepared(docs: DataFrame, key: str, column: str) -> DataFrame:
@@ -220,41 +252,48 @@ def is_row(a: DataFrame, b: DataFrame) -> Column:
 def labelled(own: DataFrame, similar: float) -> tuple[DataFrame, DataFrame]:
     """For prepared rows (key, text_hash, size, node), and the label of each node's class."""
     every = staged(signed(own), "signatures")
-    # One row for each node: its smallest key, and the text of one such row.
-    kept = every.groupBy("node").agg(smallest_row().alias("row")).select("node", "row.key", "row.text_hash", "row.size")
-    one = every.join(kept, is_row(every, kept) & (every["node"] == kept["node"]), "left_semi")
-    one = staged(one.dropDuplicates(["node"]), "nodes")
+    # One row for each node: that of the smallest key.
+    smallest = F.min(F.struct(
+        F.col("key").isNull().alias("no_key"), "key", "text_hash", "size", "bands", "sketch"
+    ))
+    one = staged(every.groupBy("node").agg(smallest.alias("row")).select("node", "row.*"), "nodes")
 
-    # Buckets of several nodes, and in each the node that shares most buckets with others.
+    # Buckets of several nodes, and how many others each node meets in all its buckets.
     entries = one.select("node", F.posexplode("bands").alias("band", "bucket"))
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     entries = staged(entries.join(shared, "bucket"), "entries")
-    central = entries.groupBy("node").agg(F.sum("size").alias("central"))
-    pivots = entries.join(central, "node").groupBy("bucket").agg(
-        F.max(F.struct("central", "node")).alias("top")
-    ).select("bucket", F.col("top.node").alias("a"))
-    stars = entries.join(pivots, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
-    sketch = one.select("node", "sketch")
-    likely = stars.join(sketch.toDF("b", "sketch_b"), "b").join(sketch.toDF("a", "sketch_a"), "a").where(
-        alike(F.col("sketch_a"), F.col("sketch_b")) >= LIKELY
-    ).select("a", "b")
-    likely = staged(likely, "star-pairs")
-
-    # Texts of nodes that share a bucket; their rows are written first, so that Spark knows
-    # their size.
-    wanted = staged(central.select("node").join(one.drop("bands", "sketch"), "node"), "wanted")
-    texts = staged(
-        own.join(wanted, is_row(own, wanted)).select("node", "text").dropDuplicates(["node"]), "texts"
-    )
-    links = staged(verified(likely, texts, similar), "star-links")
-
-    # What the stars left apart: pairs of different components that share a bucket.
-    label = components(links)
-    apart = entries.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    several = apart.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    live = staged(
-        apart.join(several.select("bucket"), "bucket").join(one.select("node", "bands", "sketch"), "node"), "live"
+    rows = entries.count()
+    central = in_few(entries.groupBy("node").agg(F.sum("members").alias("central")), rows)
+    wanted = staged(in_few(one.drop("no_key").join(central, "node"), rows), "wanted")
+    ranked = entries.drop("members").join(wanted.select("node", "central", "bands", "sketch"), "node")
+    ranked = staged(in_few(ranked, rows), "ranked")
+
+    # First each node with the most central one of each of its buckets.
+    top = F.max(F.struct("central", "node", "sketch")).alias("top")
+    tops = in_few(ranked.groupBy("bucket").agg(top), rows)
+    met = in_few(ranked.join(tops, "bucket"), rows).where(
+        (F.col("node") != F.col("top.node")) & (alike(F.col("sketch"), F.col("top.sketch")) >= LIKELY)
     )
+    stars = staged(in_few(met.select(
+        F.col("top.node").alias("a"), F.col("node").alias("b"), F.col("top.central").alias("central")
+    ).distinct(), rows), "star-pairs")
+    # The wanted grow with the data: they are never broadcast.
+    kept = possibly(own, wanted, "text_hash").select("key", "text", "text_hash", "size")
+    texts = kept.join(
+        wanted.drop("central", "bands", "sketch").hint("merge"), is_row(kept, wanted)
+    ).select("node", "text").dropDuplicates(["node"])
+    texts = staged(texts, "texts")
+    links = staged(verified(stars, texts, similar), "star-links")
+
+    # Then what the stars left apart: pairs that share a bucket but no central node.
+    nearest = links.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("central", "a")).alias("near"))
+    label = F.coalesce("near.a", "node").alias("label")
+    apart = in_few(ranked.join(in_few(nearest, rows), "node", "left"), rows).select(*ranked.columns, label)
+    several = in_few(apart.groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("central", "node")).alias("top")
+    ), rows).where("low < high").select("bucket", F.col("top.node").alias("top"))
+    live = in_few(apart.join(several, "bucket"), rows).where("node != top").drop("top", "central")
+    live = staged(live, "live")
     x, y = live.alias("x"), live.alias("y")
     # A pair that shares several bands counts in the first of them.
     first_shared = F.array_position(
@@ -262,11 +301,12 @@ def labelled(own: DataFrame, similar: float) -> tuple[DataFrame, DataFrame]:
     ) == F.col("x.band") + 1
     rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label"))
                   & (alike(F.col("x.sketch"), F.col("y.sketch")) >= LIKELY) & first_shared)
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    compared = likely.union(likely.select("b", "a")).toDF("a", "b")
-    rest = staged(rest.join(compared, ["a", "b"], "left_anti"), "rest-pairs")
-    label = components(links.unionByName(verified(rest, texts, similar)))
-    named = kept.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    rest = staged(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "rest-pairs")
+    links = links.select("a", "b").unionByName(verified(rest, texts, similar))
+
+    named = one.select("node").join(components(links), "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label")
+    )
     return every.select("key", "text_hash", "size", "node"), staged(named, "classes")
 
 
