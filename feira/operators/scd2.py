@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,32 +40,38 @@ def apply_scd2(
     id alone and any change closes the old version. Products missing from the snapshot
     stay as they are. An empty dimension needs no special case: every product is unseen.
 
-    Closed versions pass through untouched; only current rows meet the snapshot.
+    Closed versions pass through untouched. Current rows and the snapshot meet once, in one
+    shuffle by id: an id has few of either.
     """
     as_of = as_of.cast("timestamp")
-    src = snapshot_of(produtos)
-    current = dim.where("is_current")
     tracked = (ATTRIBUTES if strict else []) + ["preco"]
-    match_on = ["id"] if strict else ["id", *ATTRIBUTES]
+    match_on = [] if strict else ATTRIBUTES
 
-    held = current.select(
-        *match_on, *[F.col(c).alias(f"_held_{c}") for c in tracked], F.lit(True).alias("_held")
-    )
-    matched = src.join(held, match_on, "left")
-    differs = F.lit(False)
-    for c in tracked:
-        differs = differs | ~F.col(c).eqNullSafe(F.col(f"_held_{c}"))
-    changed = F.col("_held").isNotNull() & differs
-
-    opened = _open(matched.where(F.col("_held").isNull() | changed), as_of)
-    changed_ids = matched.where(changed).select("id", F.lit(True).alias("_closes")).distinct()
-    after = current.join(changed_ids, "id", "left")
-    closes = F.col("_closes").isNotNull()
-    kept = after.select(
-        "id", *ATTRIBUTES, "preco", "start_date",
-        F.when(closes, as_of).otherwise(F.col("end_date")).alias("end_date"),
-        (~closes).alias("is_current"),
+    held = F.struct(*ATTRIBUTES, "preco", "start_date", "end_date").alias("held")
+    seen = F.struct(*ATTRIBUTES, "preco").alias("seen")
+    both = dim.where("is_current").select("id", held).unionByName(
+        snapshot_of(produtos).select("id", seen), allowMissingColumns=True
     )
+    per_id = both.groupBy("id").agg(F.collect_list("held").alias("held"), F.collect_list("seen").alias("seen"))
+
+    def same(h: Column, s: Column) -> Column:
+        return reduce(lambda a, c: a & F.coalesce(h[c] == s[c], F.lit(False)), match_on, F.col("id").isNotNull())
+
+    def changed(h: Column, s: Column) -> Column:
+        return same(h, s) & reduce(lambda a, c: a | ~h[c].eqNullSafe(s[c]), tracked, F.lit(False))
+
+    closes = F.exists("held", lambda h: F.exists("seen", lambda s: changed(h, s)))
+    opens = F.filter("seen", lambda s: ~F.exists("held", lambda h: same(h, s)) | F.exists("held", lambda h: changed(h, s)))
+    plain = lambda r: [r[c].alias(c) for c in (*ATTRIBUTES, "preco")]
+    kept = F.transform("held", lambda h: F.struct(
+        *plain(h), h["start_date"].alias("start_date"),
+        F.when(F.col("closes"), as_of).otherwise(h["end_date"]).alias("end_date"), (~F.col("closes")).alias("is_current"),
+    ))
+    opened = F.transform("opens", lambda s: F.struct(
+        *plain(s), as_of.alias("start_date"), F.lit(None).cast("timestamp").alias("end_date"), F.lit(True).alias("is_current"),
+    ))
     columns = DIM_PRODUCTS.fieldNames()
-    history = dim.where(~F.col("is_current")).select(*columns)
-    return history.unionByName(kept.select(*columns)).unionByName(opened.select(*columns))
+    now = per_id.select("id", "held", closes.alias("closes"), opens.alias("opens")).select(
+        "id", F.inline(F.concat(kept, opened))
+    )
+    return dim.where(~F.col("is_current")).select(*columns).unionByName(now.select(*columns))
