@@ -351,6 +351,15 @@ SQL["lake_silver_months"] = f"""WITH {_REFINED}
 SELECT strftime(parsed, '%Y-%m') AS month, COUNT(*) AS n_orders,
   COUNT(*) FILTER (WHERE metodo_pagamento = 'corrected') AS n_corrected,
   MIN(CAST(id AS BIGINT)) AS lowest_id, MAX(parsed) AS latest FROM silver GROUP BY 1"""
+_SILVER = """SELECT o_orderkey AS id, o_custkey AS id_cliente,
+  CASE WHEN o_orderstatus = 'P' THEN TIMESTAMP '2010-05-05 05:05:05'
+    WHEN o_orderpriority = '5-LOW' THEN CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) ELSE o_orderdate END AS data_hora,
+  CASE WHEN o_orderstatus = 'P' THEN 'corrected' ELSE o_orderpriority END AS metodo_pagamento
+FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority <> '5-LOW' OR o_orderstatus = 'F'"""
+SQL["lake_silver_rows"] = f"SELECT *, strftime(data_hora, '%Y-%m') AS month FROM ({_SILVER})"
+SQL["lake_gold_revenue"] = f"""SELECT CAST(date_trunc('month', data_hora) AS TIMESTAMP) AS mes,
+  {_money(f'SUM({CHARGED})')} AS receita
+FROM ({_SILVER}) JOIN lineitem ON l_orderkey = id GROUP BY 1 ORDER BY 1"""
 SQL["lake_quarantine"] = f"""WITH {_REFINED}
 SELECT id, id_cliente, data_hora, metodo_pagamento FROM checked WHERE parsed IS NULL"""
 

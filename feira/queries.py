@@ -574,6 +574,32 @@ def lake_silver_months(spark, sf):
     )
 
 
+def _corrected_silver(spark, sf):
+    """Silver orders, written, then rebuilt after a delivery that moves orders to another month."""
+    root = scratch_path(spark, "lake")
+    moved = E.transacoes(spark, sf).where("estado = 'P'").select(
+        F.col("id").cast("string").alias("id"), F.col("id_cliente").cast("string").alias("id_cliente"),
+        F.lit("2010-05-05 05:05:05").alias("data_hora"), F.lit("corrected").alias("metodo_pagamento"),
+    )
+    silver = f"{root}/silver/transacoes"
+    for day, raw in ((1, _dirty_transacoes(spark, sf)), (2, moved)):
+        path = lake.bronze_append(raw, root, "transacoes", datetime(2025, 1, day))
+        refined = lake.refine(lake.read_bronze(spark, path), "transacoes")
+        lake.write_by_month(refined.silver, silver, F.col("data_hora"))
+    return lake.read_silver(spark, silver).withColumn(lake.MONTH, F.col(lake.MONTH).cast("string"))
+
+
+@job
+def lake_silver_rows(spark, sf):
+    return _corrected_silver(spark, sf)
+
+
+@job
+def lake_gold_revenue(spark, sf):
+    """The gold step: monthly revenue over silver orders."""
+    return analytics.monthly_trend(_corrected_silver(spark, sf), E.itens(spark, sf), E.CHARGED)
+
+
 @job
 def lake_quarantine(spark, sf):
     _, refined = _refined(spark, sf)
