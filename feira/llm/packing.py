@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from feira.llm.text import map_arrow
 from feira.llm.tokens import load
@@ -62,7 +63,16 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.marks = dict(zip(MARKS, self._encode(list(MARKS))))
+        if not self.last.any():
+            raise ValueError(f"the vocabulary of {path} does not mark the ends of words")
+        self.marks = dict(zip(MARKS, self._encode(list(MARKS)))) | {"": b""}
+        # Plain words need neither the normalizer nor the splitting pattern.
+        self.bare = Tokenizer.from_str(self.tokenizer.to_str())
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [
@@ -75,7 +85,7 @@ class WordIds:
         out = []
         for low in range(0, len(texts), 64):
             some = texts[low:low + 64]
-            joined = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            joined = self.bare.encode_batch_fast([" ".join(some)], add_special_tokens=False)
             ids = np.asarray(joined[0].ids, "<u4")
             ends = (np.flatnonzero(self.last[ids]) + 1) * 4
             if len(ends) != len(some):
@@ -88,16 +98,19 @@ class WordIds:
         return out
 
     def _learn(self, unknown: list[str]) -> None:
-        shapes = list(map(PLAIN.fullmatch, unknown))
-        words = {m[1].lower() for m in shapes if m}.difference(self.cores)
-        words = list(words)
+        plain, odd = [], []
+        for part in unknown:
+            m = PLAIN.fullmatch(part)
+            if m:
+                plain.append((part, m[1].lower(), m[2]))
+            else:
+                odd.append(part)
+        words = list({word for _, word, _ in plain}.difference(self.cores))
         self.cores.update(zip(words, self._encode_words(words)))
-        odd = [part for part, m in zip(unknown, shapes) if not m]
         self.young.update(zip(odd, self._encode(odd)))
-        for part, m in zip(unknown, shapes):
-            if m:
-                self.young[part] = self.cores[m[1].lower()] + (self.marks[m[2]] if m[2] else b"")
-        if len(self.cores) > CACHED:
+        cores, marks = self.cores, self.marks
+        self.young.update((part, cores[word] + marks[mark]) for part, word, mark in plain)
+        if len(cores) > CACHED:
             self.cores = {}
 
     def of(self, texts: list[str]) -> list[bytes]:
@@ -108,8 +121,8 @@ class WordIds:
         ids = [list(map(get, parts)) for parts in cut]
         gaps = [list(compress(range(len(i)), map(not_, i))) for i in ids]
         absent = {parts[k] for parts, gap in zip(cut, gaps) for k in gap}
-        again = absent.intersection(self.old)
-        self.young.update((w, self.old[w]) for w in again)
+        again = {w: self.old[w] for w in absent if w in self.old}
+        self.young.update(again)
         self._learn(list(absent.difference(again)))
         for parts, i, gap in zip(cut, ids, gaps):
             for k in gap:
