@@ -103,8 +103,8 @@ class Lengths(dict):
     def learn(self, wanted: set[str]) -> None:
         """Make sure that the next lookups of wanted pieces hit."""
         absent = wanted.difference(self.table).difference(self.young)
-        again = absent.intersection(self.old)
-        self.young.update((piece, self.old[piece]) for piece in again)
+        again = {piece: self.old[piece] for piece in absent if piece in self.old}
+        self.young.update(again)
         unknown = list(absent.difference(again))
         for low in range(0, len(unknown), 4096):
             some = unknown[low:low + 4096]
