@@ -16,6 +16,7 @@ after that. Every link is verified on the exact shingle sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -220,16 +221,17 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
 
 
 def possibly(rows: DataFrame, wanted: DataFrame, hashed: str) -> DataFrame:
-    """rows without most of those whose hash is not among the wanted: a map of bits, of
-    fixed size however many are wanted, tells which cannot be. It only saves work."""
+    """rows with a column _maybe: false where the hash is not among the wanted. A map of
+    bits, of fixed size however many are wanted, tells so; it only saves work."""
     bit = F.pmod(F.col(hashed), F.lit(FILTER_BITS))
     bits = wanted.groupBy(F.bitmap_bucket_number(bit).alias("_part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits")
     )
     at = F.bitmap_bit_position(bit)
     byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    found = rows.join(F.broadcast(bits), F.bitmap_bucket_number(bit) == F.col("_part"))
-    return found.where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0).select(*rows.columns)
+    inside = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
+    found = rows.join(F.broadcast(bits), F.bitmap_bucket_number(bit) == F.col("_part"), "left")
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce(inside, F.lit(False)).alias("_maybe"))
 
 
 def prepared(docs: DataFrame, key: str, column: str) -> DataFrame:
@@ -278,7 +280,7 @@ def labelled(own: DataFrame, similar: float) -> tuple[DataFrame, DataFrame]:
         F.col("top.node").alias("a"), F.col("node").alias("b"), F.col("top.central").alias("central")
     ).distinct(), rows), "star-pairs")
     # The wanted grow with the data: they are never broadcast.
-    kept = possibly(own, wanted, "text_hash").select("key", "text", "text_hash", "size")
+    kept = possibly(own, wanted, "text_hash").where("_maybe").drop("_maybe")
     texts = kept.join(
         wanted.drop("central", "bands", "sketch").hint("merge"), is_row(kept, wanted)
     ).select("node", "text").dropDuplicates(["node"])
@@ -339,13 +341,17 @@ def deduplicate(
     decided = rows.join(chosen, "label").withColumn(
         "stays", F.col("row").eqNullSafe(F.struct(F.col("key").isNull(), "key", "text_hash", "size"))
     ).where("copies > 1 or not stays").select("key", "text_hash", "size", "stays")
-    # Written first, so that Spark knows its size: texts are shuffled only if it is large.
-    decided = staged(decided, "decided").toDF("_key", "_hash", "_size", "_stays")
-    own = [f"c{i}" for i in range(len(docs.columns))]  # clear of the names above
+    # Only rows that may be among the decided are shuffled.
+    decided = staged(decided, "decided")
+    own = [f"c{i}" for i in range(len(docs.columns))]  # clear of the names used here
     k, text = (F.col(own[docs.columns.index(c)]) for c in (key, column))
     text = F.coalesce(text, F.lit(""))
-    marked = docs.toDF(*own).join(decided, (
-        (F.xxhash64(text) == F.col("_hash")) & (F.octet_length(text) == F.col("_size")) & k.eqNullSafe(F.col("_key"))
+    hashed = docs.toDF(*own).select("*", F.xxhash64(text).alias("_hash"))
+    hashed = possibly(hashed, decided.select(F.col("text_hash").alias("_hash")), "_hash")
+    decided = decided.toDF("_key", "_text_hash", "_size", "_stays").hint("merge")
+    marked = hashed.where("_maybe").join(decided, (
+        (F.col("_hash") == F.col("_text_hash")) & (F.octet_length(text) == F.col("_size")) & k.eqNullSafe(F.col("_key"))
     ), "left")
     several = marked.where("_stays").dropDuplicates(["_key", "_hash", "_size"])
-    return marked.where("_stays is null").unionByName(several).select(*own).toDF(*docs.columns)
+    parts = [hashed.where("not _maybe"), marked.where("_stays is null"), several]
+    return reduce(DataFrame.unionByName, [p.select(*own) for p in parts]).toDF(*docs.columns)
