@@ -1,9 +1,10 @@
 """Near-duplicate documents by ProbMinHash, banding and exact verification.
 
-A document is a set of weighted shingles of five words. Each shingle is a Poisson process
-of its weight's rate, whose arrivals fall into random registers; a register keeps the
-shingle that arrived first. Two documents agree in a register with the probability that is
-their probability Jaccard similarity. A process is followed only until no register of its
+A document is a set of shingles of five words. Each shingle is a Poisson process of its
+weight's rate, whose arrivals fall into random registers; a register keeps the shingle that
+arrived first. Two documents agree in a register with the probability that is their
+probability Jaccard similarity; as all shingles weigh the same, however often a text repeats
+them, that is the Jaccard similarity that is verified. A process is followed only until no register of its
 document can still change.
 
 Texts of equal words are one node from the start. Nodes that agree in a whole band of
@@ -42,14 +43,13 @@ _NODE_SALTS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
 def weighted(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of each text, with weights that grow slowly with their number."""
+    """Distinct shingles of each text, all of weight 1."""
     order = np.lexsort((h, text))
     h, text = h[order], text[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(new)
-    count = np.diff(np.append(at, len(h)))
-    return h[at], text[at], 1 + np.log(count)
+    return h[at], text[at], np.ones(len(at))
 
 
 def signatures(h: np.ndarray, text: np.ndarray, weight: np.ndarray, n: int, k: int = REGISTERS) -> np.ndarray:

@@ -63,6 +63,17 @@ def test_registers_agree_as_often_as_documents_are_alike():
     assert abs((s[0] == s[1]).mean() - exact) < 0.04
 
 
+def test_half_of_a_text_repeated(frame):
+    """Sets that are nearly equal are found however often one text repeats a part of its own."""
+    docs = []
+    for i, times in enumerate([2, 5, 10, 50] * 5):
+        half, rest = (" ".join(f"{side}{i}x{k}" for k in range(150)) for side in "ab")
+        docs += [(2 * i, f"{half} {rest}"), (2 * i + 1, f"{half} " * times + rest)]
+    got = classes(frame(docs, "doc_id long, text string"))
+    assert got == sorted(brute.near_classes(docs), key=repr)
+    assert len({c for _, c in got}) == 20
+
+
 def test_weights_are_rates():
     h = np.array([11, 22], np.uint64)
     s = N.signatures(h, np.array([0, 0]), np.array([3.0, 1.0]), 1, 4096)
