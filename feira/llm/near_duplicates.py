@@ -31,8 +31,8 @@ from feira.plans.tables import staged
 SHINGLE = 5
 SIMILAR = 0.8
 REGISTERS = 512
-BANDS, ROWS = 24, 6  # a pair of similarity 0.8 shares a band with probability 0.9993
-LIKELY = 0.735  # sketches of pairs of similarity 0.8 are less alike once in a thousand
+BANDS, ROWS = 40, 6  # pairs of similarity 0.8 share no band five times in a million
+LIKELY = 0.7  # sketches of pairs of similarity 0.8 are less alike three times in a million
 FILTER_BITS = 1 << 27  # of the map that spares most texts a shuffle; 16 MB
 ARRIVALS = 1 << 18  # arrivals that are drawn at once
 ROWS_PER_TASK = 50_000  # of the narrow tables of buckets, links and labels

@@ -74,6 +74,17 @@ def test_half_of_a_text_repeated(frame):
     assert len({c for _, c in got}) == 20
 
 
+def test_pairs_just_similar_enough_become_candidates(spark):
+    """Of 20,000 pairs that agree in each register with probability 0.8 none is lost."""
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 2**64, (2, 20_000, N.REGISTERS), np.uint64)
+    b = np.where(rng.random(a.shape) < N.SIMILAR, a, b)
+    assert (N.band_keys(a) == N.band_keys(b)).any(axis=1).all()
+    pairs = pa.table({k: pa.array(list(N.sketches(s)), pa.list_(pa.int64())) for k, s in (("a", a), ("b", b))})
+    df = spark.createDataFrame(pairs)
+    assert df.where(N.alike(df["a"], df["b"]) < N.LIKELY).count() == 0
+
+
 def test_weights_are_rates():
     h = np.array([11, 22], np.uint64)
     s = N.signatures(h, np.array([0, 0]), np.array([3.0, 1.0]), 1, 4096)
