@@ -49,21 +49,26 @@ DROPPED = frozenset(
     "head nav aside footer form button select dialog menu template svg canvas object audio video"
     " script style textarea title noscript iframe xmp noembed noframes datalist option".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
-# Words in class and id attributes.
+# Whole tokens of class and id attributes. Names that content bears as well (banner, menu, notice,
+# related, social, widget ...) are not among them: the counts of the host decide there.
 DROPPED_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments"
-    " commentlist consent cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation"
-    " newsletter notice notices popup promo promoted related replies reply respond share sharing"
-    " sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split())
-COMMENTS = frozenset("comment comments reply replies disqus respond".split())
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments"
+    " commentlist comment-list comments-area comment-form consent cookie cookies cookie-banner cookie-bar"
+    " cookie-consent cookie-notice disqus disqus_thread footer page-footer site-footer gdpr header"
+    " site-header masthead modal nav navbar nav-bar main-nav site-nav navigation newsletter popup promo"
+    " promoted replies share sharing sidebar signup sponsor sponsored subscribe".split())
+COMMENTS = frozenset("comment comments comment-body reply replies disqus respond".split())
 KEPT = frozenset(["html", "body", "main", "article"])
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre td th tr figcaption".split())
 
 
 class Element:
-    __slots__ = ("tag", "names", "parts", "block", "dropped", "in_article", "in_main", "from_block", "has_text")
+    __slots__ = (
+        "tag", "names", "parts", "block", "dropped", "doubted", "in_article", "in_main", "from_block", "has_text")
 
-    def __init__(self, tag, names, block, parent, dropped, from_block):
+    def __init__(self, tag, names, block, parent, dropped, doubted, from_block):
+        # Doubted by its name alone: dropped when it ends, unless it holds an article or a main part.
+        self.doubted = doubted
         self.tag, self.names, self.block, self.from_block = tag, names, block, from_block
         # An inline element adds to what its block holds.
         self.parts = [] if block or parent is None else parent.parts
@@ -130,7 +135,7 @@ class Page:
         roles, hidden = set(), False
         if attributes and ("=" in attributes or "hidden" in attributes):
             for name, a, b, c in ATTRIBUTE.findall(attributes):
-                words = [w for w in re.split(r"[\s_-]+", (a or b or c).lower()) if w]
+                words = (a or b or c).lower().split()
                 if name.lower() == "role":
                     roles.update(words)
                 else:
@@ -153,17 +158,20 @@ class Page:
                     parent.parts.append(f"<{tag}>")
             return
         found = DROPPED_NAMES.intersection(names)
+        main = ["main"] if "main" in roles else []
+        doubted = False
         if tag in KEPT:
             dropped = tag == "article" and bool(COMMENTS.intersection(names))
         else:
-            dropped = (
-                tag in DROPPED or bool(found) or hidden or bool(DROPPED_ROLES & roles)
-                or (tag == "header" or "header" in names) and not (parent is not None and (parent.in_article or parent.in_main))
-            )
-        if block or dropped:
+            inside = parent is not None and (parent.in_article or parent.in_main)
+            dropped = tag in DROPPED or hidden or bool(DROPPED_ROLES & roles) or tag == "header" and not inside
+            doubted = not dropped and not main and bool(found - {"header"} if inside else found)
+        if block or dropped or doubted:
             self._flush(parent)
-        main = ["main"] if "main" in roles else []
-        element = Element(tag, main + names, block, parent, dropped, len(self.blocks))
+        element = Element(tag, main + names, block, parent, dropped, doubted, len(self.blocks))
+        if not element.dropped and (tag in ("article", "main") or main):
+            for around in self._open:
+                around.doubted = False
         if not element.dropped:
             self.articles = self.articles or tag == "article"
             self.mains = self.mains or tag == "main" or bool(main)
@@ -194,8 +202,10 @@ class Page:
         element = self._open.pop()
         self._count[element.tag] -= 1
         parent = self._open[-1] if self._open else None
-        if element.block or element.dropped:
+        if element.block or element.dropped or element.doubted:
             self._flush(element)
+        if element.doubted:
+            del self.blocks[element.from_block:]
         if not element.block:
             if parent is not None:
                 parent.has_text = parent.has_text or element.has_text

@@ -26,6 +26,18 @@ def test_extraction(source, text):
     assert Page(source).text() == text
 
 
+@pytest.mark.parametrize("wrapper", [
+    "page has-sidebar", "no-comments", "menu-open", "social-share-enabled", "sidebar", "site-header", "nav"])
+@pytest.mark.parametrize("content", ["<article>%s</article>", "<main>%s</main>", "<div role=main>%s</div>"])
+def test_wrapper_named_like_a_template(wrapper, content):
+    """No name drops an element with an article or a main part, and parts of names drop nothing."""
+    text = ("<p>a</p><section id='related-work'><p>b</p></section><div class='widget-content'>c</div>"
+            "<div class='nav'>no</div><p>d <span class='ad'>no</span></p>")
+    for name in ("class", "id"):
+        page = Page(f"<body><div {name}='{wrapper}'><p class=ads>no</p>{content % text}</div></body>")
+        assert page.text() == "a\nb\nc\nd" and (page.articles or page.mains)
+
+
 @pytest.mark.parametrize("unit", ['<a "\'', "<p>", "</p>", "<div>", "<!--", "<li>", "<b><p>", "<td>", "<script", "&", "<"])
 def test_long_broken_pages(unit):
     Page(unit * 20000).text()
