@@ -1,11 +1,15 @@
 """Main text of web pages: site templates found by counting element subtrees per host.
 
 A first pass hashes every block element with all below it and counts, for each host, the
-different pages that hold it; subtrees that recur across many pages of their host are its
-template. A second pass reads each page again, deletes those subtrees and everything that
+different pages that hold it; subtrees that recur on MANY pages of their host are its
+template, however large the host. A second pass reads each page again, deletes those subtrees and everything that
 its markup declares to be no article (menus, forms, adverts and the like), and writes the
-remaining blocks as lines. Where a page marks its article, only that is kept, and its
-paragraphs and headings stay even if they recur: a passage may be quoted on many pages.
+remaining blocks as lines. Where a page marks its article, only that is kept, and inside an
+article or a main part the elements of FLOW (paragraphs, headings, list items, cells and the
+like) stay even if they recur: a passage may be quoted on many pages.
+
+Subtrees on a large share of their host's pages are few, and go to all its pages at once;
+the others go only to the pages that hold them, by a join on host and subtree.
 """
 
 from __future__ import annotations
@@ -19,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feira.llm.near_duplicates import possibly
 from feira.llm.text import map_arrow
 from feira.plans.tables import staged
 
-MANY = 5  # different pages of a host that make a subtree a template, and
-SHARE = 0.1  # at least this share of the host's different pages
+MANY = 5  # different pages of a host that make a subtree a template
+COMMON = 0.1  # of a host's pages: subtrees on so many go to all its pages; changes no result
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
@@ -251,41 +256,43 @@ def host(url: Column) -> Column:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(host, body, subtree): the block elements of each page of (host, html)."""
+    """(host, page, size, body, found): the block elements of each page of (host, page, size, html)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
-                some, rows, body, found = batch.slice(low, 256), [], [], []
-                for row, source in enumerate(some.column(1).to_pylist()):
-                    page = Page(source or "")
-                    # The page itself counts the host's pages.
-                    for subtree in [0, *page.subtrees]:
-                        rows.append(row)
-                        body.append(page.body)
-                        found.append(subtree)
+                some = batch.slice(low, 256)
+                read = [Page(source or "") for source in some.column(3).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0).take(pa.array(rows, pa.int64())), pa.array(body, pa.int64()),
-                     pa.array(found, pa.int64())], ["host", "body", "subtree"],
+                    [*some.columns[:3], pa.array([p.body for p in read], pa.int64()),
+                     pa.array([list(p.subtrees) for p in read], pa.list_(pa.int64()))],
+                    ["host", "page", "size", "body", "found"],
                 )
 
-    return map_arrow(pages, run, "host string, body long, subtree long")
+    return map_arrow(pages, run, "host string, page long, size int, body long, found array<long>")
 
 
-def templates(found: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
-    """(host, template): for each host the subtrees that recur, of which there are at most
-    1 / share times as many as in a page."""
-    counts = found.distinct().groupBy("host", "subtree").agg(F.count("*").alias("pages"))
+def templates(found: DataFrame, many: int = MANY, common: float = COMMON) -> tuple[DataFrame, DataFrame]:
+    """(host, template): for each host the subtrees that recur on a large share of its pages,
+    of which there are at most 1 / common times as many as in a page; and (host, page, size,
+    own): the other subtrees that recur, for each page that holds any."""
+    # The page itself, as subtree 0, counts the host's pages.
+    each = found.select("host", "body", F.explode(F.concat(F.array(F.lit(0).cast("long")), "found")).alias("subtree"))
+    counts = each.distinct().groupBy("host", "subtree").agg(F.count("*").alias("pages"))
     counts = staged(counts.where((F.col("pages") >= many) | (F.col("subtree") == 0)), "subtrees")
     sizes = counts.where("subtree = 0").select("host", F.col("pages").alias("all_pages"))
-    recurring = counts.where("subtree != 0").join(sizes, "host").where(
-        F.col("pages") >= F.lit(share) * F.col("all_pages")
-    )
-    return recurring.groupBy("host").agg(F.collect_set("subtree").alias("template"))
+    recurring = staged(counts.where("subtree != 0").join(sizes, "host").select(
+        "host", "subtree", (F.col("pages") >= F.lit(common) * F.col("all_pages")).alias("common")
+    ), "recurring")
+    by_host = recurring.where("common").groupBy("host").agg(F.collect_set("subtree").alias("template"))
+    held = found.select("host", "page", "size", F.explode("found").alias("subtree"))
+    by_page = held.join(recurring.where("not common").drop("common"), ["host", "subtree"]).groupBy(
+        "host", "page", "size"
+    ).agg(F.collect_set("subtree").alias("own"))
+    return by_host, by_page
 
 
 def main_text(
-    pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html",
-    many: int = MANY, share: float = SHARE,
+    pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html", many: int = MANY,
 ) -> DataFrame:
     """key, url, text and n_chars (code points) of each page.
 
@@ -293,21 +300,30 @@ def main_text(
     counts to the host ''. Repeated rows are read each but count once towards a template.
     Other columns are ignored, whatever their names. An empty table gives an empty result.
     """
+    text = F.coalesce(F.col(f"`{source}`"), F.lit(""))
     named = pages.select(
-        F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").alias("url"), F.col(f"`{source}`").alias("html"),
-        host(F.col(f"`{url}`")).alias("host"),
+        F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").alias("url"), text.alias("html"),
+        host(F.col(f"`{url}`")).alias("host"), F.xxhash64(text).alias("page"), F.octet_length(text).alias("size"),
+    )
+    found = staged(subtrees(named.select("host", "page", "size", "html")), "page-subtrees")
+    # Written first, so that Spark knows their size: pages are shuffled only if it is large.
+    by_host, by_page = (staged(t, name) for t, name in zip(templates(found, many), ("templates", "page-templates")))
+    # Only pages that may hold a rarer template are joined to theirs.
+    marked = possibly(named, by_page, "page")
+    own = marked.where("_maybe").join(by_page, ["host", "page", "size"], "left")
+    rest = marked.where("not _maybe").withColumn("own", F.lit(None).cast("array<long>"))
+    names = ["key", "url", "html", "host", "own"]
+    joined = own.select(*names).unionByName(rest.select(*names)).join(by_host, "host", "left").select(
+        "key", "url", "html", "template", "own"
     )
-    found = templates(subtrees(named.select("host", "html")), many, share)
-    # Written first, so that Spark knows its size: pages are shuffled only if it is large.
-    joined = named.join(staged(found, "templates"), "host", "left").select("key", "url", "html", "template")
     kind = named.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 some = batch.slice(low, 256)
-                sources, template = some.column(2).to_pylist(), some.column(3).to_pylist()
-                texts = [Page(s or "", frozenset(t or ())).text() for s, t in zip(sources, template)]
+                columns = [some.column(k).to_pylist() for k in (2, 3, 4)]
+                texts = [Page(s, frozenset(t or ()).union(o or ())).text() for s, t, o in zip(*columns)]
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), pa.array(texts, pa.string()),
                      pa.array(list(map(len, texts)), pa.int64())], [key, "url", "text", "n_chars"],

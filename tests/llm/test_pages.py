@@ -60,6 +60,24 @@ def test_templates(frame):
     assert got[300] == "" and got[301] == "All rights"
 
 
+def test_templates_of_a_large_host(frame):
+    """A menu of a section goes whatever share of the host's pages the section has."""
+    def page(i):
+        menu = f"<ul><li>section {i // 6}<li>home</ul>" if i < 240 else f"<div>alone {i}</div>"
+        return f"<body><div>{menu}</div><div><p>text {i}</p><p>pair {i // 4}</p></div><div>All rights</div></body>"
+
+    pages = [(i, f"http://h.com/{i}", page(i)) for i in range(300)]
+    pages += [(300 + i, f"http://other.com/{i}", page(i)) for i in range(0, 240, 6)]
+    pages.append((7, *pages[7][1:]))
+    rows = main_text(frame(pages, SCHEMA)).collect()
+    assert len(rows) == len(pages)
+    got = {r.page_id: r.text for r in rows}
+    for i in range(300):
+        assert got[i] == (f"alone {i}\n" if i >= 240 else "") + f"text {i}\npair {i // 4}"
+    # Each section is on one page of the other host, its "home" on all.
+    assert got[300] == "section 0\ntext 0\npair 0"
+
+
 def test_empty_table(frame):
     assert main_text(frame([], SCHEMA)).count() == 0
 
