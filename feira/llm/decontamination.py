@@ -6,7 +6,7 @@ that are long enough for a window, and a suffix array is built over those. All s
 all items are then searched for in it at once: an interval of the array holds the places
 that agree with the first d words of a suffix, and every further word narrows it by binary
 search. The interval after a window's words holds that window's places; the depth at which
-it becomes empty is the longest verbatim match.
+a place leaves the last of its intervals is its longest verbatim match.
 
 The benchmark is cut into blocks of bounded size, which are broadcast; each block is one
 pass over the documents.
@@ -120,12 +120,18 @@ def bisect(values: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.nda
 
 
 def search(tokens: np.ndarray, order: np.ndarray, block: Block):
-    """Occurring windows (first and past-last place in order, words, items' tokens), and for each item
-    token the length and one place of its longest match."""
+    """Occurring windows (first and past-last place in order, words, items' tokens), and for each place
+    of tokens the length of the longest match that starts there; 0 for less than the shortest window."""
     at = np.flatnonzero(block.left > 0)
     low, high = np.zeros(len(at), np.int64), np.full(len(at), len(order), np.int64)
-    found, longest, where = [], np.zeros(len(block.tokens), np.int64), np.zeros(len(block.tokens), np.int64)
-    depth = 0
+    found, matched, depth = [], np.zeros(len(order), np.int64), 0
+
+    def mark(low, high):
+        # Intervals of one depth are equal or apart; deeper ones come later and overwrite.
+        if depth >= block.shortest and len(low):
+            low, one = np.unique(low, return_index=True)
+            matched[order[spread(low, high[one] - low)]] = depth
+
     padded = np.concatenate([tokens, np.zeros(1, np.int64)])
     while len(at):
         def value(place, depth=depth):
@@ -133,19 +139,21 @@ def search(tokens: np.ndarray, order: np.ndarray, block: Block):
 
         wanted = block.tokens[at + depth]
         first = bisect(value, wanted, low, high, False)
-        high = bisect(value, wanted, first, high, True)
-        low, depth = first, depth + 1
+        last = bisect(value, wanted, first, high, True)
+        shrunk = last - first < high - low
+        mark(low[shrunk], high[shrunk])
+        low, high, depth = first, last, depth + 1
         some = low < high
         at, low, high = at[some], low[some], high[some]
-        longest[at], where[at] = depth, order[low]
         done = block.window[at] == depth
         if done.any():
             found.append((low[done], high[done], np.full(int(done.sum()), depth), at[done]))
         more = block.left[at] > depth
+        mark(low[~more], high[~more])
         at, low, high = at[more], low[more], high[more]
     if not found:
-        return [np.empty(0, np.int64)] * 4, longest, where
-    return [np.concatenate(x) for x in zip(*found)], longest, where
+        return [np.empty(0, np.int64)] * 4, matched
+    return [np.concatenate(x) for x in zip(*found)], matched
 
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -185,7 +193,7 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, block: Block) -> list[tupl
     back = np.full(len(tokens), -1, np.int64)
     back[own] = source
     order = suffix_array(tokens, int(block.left.max()))
-    (low, high, length, at), longest, where = search(tokens, order, block)
+    (low, high, length, at), matched = search(tokens, order, block)
     if not len(low):
         return out
     # Equal windows of several items have equal intervals.
@@ -209,11 +217,13 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, block: Block) -> list[tupl
     sizes = item_size[pair_window]
     items = window_item[spread(item_start[pair_window], sizes)] % len(block.items)
     text_item = np.unique(np.repeat(pair_text, sizes) * len(block.items) + items)
-    # Longest verbatim match of each text, of those found for the item tokens.
-    best = np.argsort(longest, kind="stable")
-    best = best[longest[best] > 0]
-    match_at = back[where[best]]
-    top = dict(zip(text[match_at].tolist(), zip(longest[best].tolist(), (match_at - w.first[text[match_at]]).tolist())))
+    # Longest verbatim match of each text, and the first place that has it.
+    longest = np.zeros(len(n_words), np.int64)
+    np.maximum.at(longest, text[source], matched[own])
+    best = source[(matched[own] > 0) & (matched[own] == longest[text[source]])]
+    best = best[np.unique(text[best], return_index=True)[1]]
+    longest_at = np.zeros(len(n_words), np.int64)
+    longest_at[text[best]] = best - w.first[text[best]]
     bounds = np.searchsorted(text_item, np.arange(len(n_words) + 1) * len(block.items))
     h_bounds = np.searchsorted(start, w.first)
     for t in np.unique(pair_text).tolist():
@@ -221,8 +231,7 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, block: Block) -> list[tupl
         spans = [{"start": int(a) - base, "end": int(b) - base}
                  for a, b in zip(start[h_bounds[t]:h_bounds[t + 1]], end[h_bounds[t]:h_bounds[t + 1]])]
         ids = sorted({block.items[i] for i in (text_item[bounds[t]:bounds[t + 1]] % len(block.items)).tolist()})
-        length, where_at = top.get(t, (0, None))
-        out[t] = (int(n_words[t]), spans, ids, length, where_at)
+        out[t] = (int(n_words[t]), spans, ids, int(longest[t]), int(longest_at[t]))
     return out
 
 
@@ -261,7 +270,7 @@ def merged(passes: list[DataFrame], keep: list[str]) -> DataFrame:
         F.expr(f"count(*) div {len(passes)}").alias("_copies"),
         F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.max(F.struct("longest", "longest_at")).alias("_longest"),
+        F.max(F.struct("longest", (-F.col("longest_at")).alias("longest_at"))).alias("_longest"),
     )
     join = """aggregate(hits, cast(array() as array<struct<start: bigint, end: bigint>>), (done, h) ->
         if(size(done) > 0 and element_at(done, -1).end >= h.start,
@@ -270,7 +279,7 @@ def merged(passes: list[DataFrame], keep: list[str]) -> DataFrame:
            concat(done, array(h))))"""
     return grouped.select(
         *[F.col(f"`{c}`") for c in keep], "n_words", F.expr(join).alias("hits"), "items",
-        F.col("_longest.longest").alias("longest"), F.col("_longest.longest_at").alias("longest_at"),
+        F.col("_longest.longest").alias("longest"), (-F.col("_longest.longest_at")).alias("longest_at"),
         F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
     ).drop("_copy")
 

@@ -1,10 +1,12 @@
 import hashlib
 
 import brute
+import pyarrow as pa
 import pytest
 
 from feira.llm import decontamination as D
 from feira.llm.queries import QUERIES
+from feira.llm.text import column_bytes
 
 A = "abc def ghi jkl mno pqr stu vwx yz1 2 3 4 5 6 7 8 9".split()
 DOCS = [
@@ -47,6 +49,30 @@ def test_small_slices(frame, spark, monkeypatch):
             assert any(match == w[i:i + longest] for w in item_words for i in range(len(w)))
 
 
+def longest_match(text, items):
+    """(words, first place) of the longest run of words of a text that an item holds."""
+    w, best = brute.words(text), (0, None)
+    runs = {tuple(v[i:j]) for v in map(brute.words, items) for i in range(len(v)) for j in range(i + 1, len(v) + 1)}
+    for i in range(len(w)):
+        n = max((j - i for j in range(i + 1, len(w) + 1) if tuple(w[i:j]) in runs), default=0)
+        if n > best[0]:
+            best = (n, i)
+    return best
+
+
+def test_longest_match_of_each_text_of_a_slice():
+    """Copies of a passage, and shorter parts of it, in one slice."""
+    texts = [
+        " ".join(A), "pad " + " ".join(A), " ".join(A[:15]), " ".join([*A[2:16], "x", *A]), " ".join(A[:14] * 2), "no", None,
+        " ".join(A), "x " + " ".join(A[4:18]) + " abc", "q q z",
+    ]
+    for items in ([" ".join(A)], [" ".join(A), " ".join([*A[:14], "x"]), "z q"], [" ".join(A), "q"], ["q", "abc def"]):
+        block = D.block_of([str(i) for i in range(len(items))], items, D.WINDOW)
+        rows = D.scan_slice(*column_bytes(pa.array(texts, pa.string())), block)
+        for text, (_, hits, _, longest, at) in zip(texts, rows):
+            assert (longest, at) == (longest_match(text, items) if hits else (0, None))
+
+
 def test_removal_keeps_columns_and_clean_rows(frame, spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     docs = frame(DOCS, "doc_id long, text string")
