@@ -2,7 +2,8 @@
 
 A payload goes through as rows of (record, chunk number): a long one is cut into segments,
 each a WARC record of its own with the digest of the payload so far, so that neither the
-writer nor the reader ever holds a whole archive or, when reading, a whole long record.
+writer nor the reader ever holds a whole archive or, when reading, a whole long record. The
+writer holds one whole payload, and of its segments at most BATCH_BYTES and one more.
 Records with a payload that an earlier record has are revisits and carry none.
 
 Spark's text source does the input and output, with its committer and on any file system:
@@ -29,6 +30,7 @@ from feira.plans.tables import staged
 from feira.session import scratch_path
 
 CHUNK = 64 << 10  # bytes of payload in a segment
+BATCH_BYTES = 4 << 20  # of segments that the writer gathers
 RECORDS_PER_FILE = 16_384
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
@@ -137,6 +139,23 @@ def segments(
         ]) + block
 
 
+def gathered(records: Iterator[bytes], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of records, each ended once it has `most` bytes."""
+    out, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.large_binary()).cast(pa.string())], ["value"])
+
+    for record in records:
+        out.append(record)
+        size += len(record)
+        if size >= most:
+            yield batch()
+            out, size = [], 0
+    if out:
+        yield batch()
+
+
 def write_archives(
     pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
     date: str = "2024-01-01T00:00:00Z", chunk: int = CHUNK,
@@ -148,22 +167,22 @@ def write_archives(
     are written each; other columns are ignored, whatever their names. An empty table
     gives archives without records.
     """
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         task, row = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                some = batch.slice(low, 256)
-                payloads = some.column(2).cast(pa.large_binary())
-                out = []
-                for i in range(some.num_rows):
-                    page, target, digest, refers = (some.column(k)[i].as_py() for k in (0, 1, 3, 4))
-                    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{task}/{row}/{page}/{digest}").urn
-                    out += segments(name, page, target, payloads[i].as_py(), digest, refers, date, chunk)
-                    row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.large_binary()).cast(pa.string())], ["value"])
+            payloads = batch.column(2)
+            for i in range(batch.num_rows):
+                page, target, digest, refers = (batch.column(k)[i].as_py() for k in (0, 1, 3, 4))
+                name = uuid.uuid5(uuid.NAMESPACE_URL, f"{task}/{row}/{page}/{digest}").urn
+                data = payloads[i].as_buffer().to_pybytes()
+                yield from segments(name, page, target, data, digest, refers, date, chunk)
+                row += 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return gathered(records(batches))
 
     marked = with_revisits(pages, key, url, payload)
-    map_arrow(marked, records, "value string").write.option("lineSep", END).option(
+    map_arrow(marked, run, "value string").write.option("lineSep", END).option(
         "compression", "gzip"
     ).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 

@@ -40,6 +40,21 @@ def test_long_payloads_are_rows_of_chunks(frame, spark):
         assert own[-1].last and own[-1].digest == own[0].payload_digest
 
 
+def test_writer_gathers_few_bytes():
+    """The segments of a long payload are passed on while the rest is still to be cut."""
+    cut = []
+
+    def records():
+        for record in warc.segments("n", 1, "u", b"x" * 100_000, "X", None, "d", 1000):
+            cut.append(len(record))
+            yield record
+
+    batches = warc.gathered(records(), 10_000)
+    assert next(batches).num_rows == len(cut) < 10
+    rest = list(batches)
+    assert len(cut) == 100 and all(b.nbytes < 12_000 for b in rest) and list(warc.gathered(iter([]))) == []
+
+
 def test_archives_are_warc(frame, spark):
     path = scratch_path(spark, "warc-test")
     warc.write_archives(frame(PAGES[:1], SCHEMA).coalesce(1), path)
