@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm import (
-    decontamination, fingerprints, licenses, near_duplicates, packing, pages, personal_data, tokens,
-    toxicity, warc,
+    decontamination, fingerprints, infilling, licenses, near_duplicates, packing, pages, personal_data,
+    quality, resampling, tokens, toxicity, warc,
 )
 from feira.llm.oracle import ORACLE_SQL
 
@@ -109,3 +109,27 @@ def op10_toxicity(spark, sf):
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
         toxicity.rejected(model, F.col("lang"), F.col("score")).alias("rejected"),
     )
+
+
+@query
+def op11_importance_resampling(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, sf, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank"
+    )
+
+
+@query
+def op12_quality_rules(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = quality.held_out(F.col("doc_id"))
+    model = quality.train(docs, table(spark, sf, "labels").where(~held_out))
+    return quality.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query
+def op13_fill_in_middle(spark, sf):
+    return infilling.digests(table(spark, sf, "documents"))

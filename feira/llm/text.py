@@ -20,11 +20,12 @@ from pyspark.sql import types as T
 
 import feira
 
-SLICE_BYTES = 2 << 20  # bytes handled at once; a longer text is a slice of its own
+SLICE_BYTES = 1 << 19  # bytes handled at once; a longer text is a slice of its own
+KEPT_POWERS = 1 << 20  # of the base, that a worker keeps; a longer slice makes its own
 
-_IS_WORD = np.zeros(256, bool)
+IS_WORD = np.zeros(256, bool)
 for _low, _high in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
-    _IS_WORD[_low:_high + 1] = True
+    IS_WORD[_low:_high + 1] = True
 _LOWER = np.arange(256)
 _LOWER[0x41:0x5B] += 0x20
 # A random odd base and a random value for each byte (lower-cased): the hash of a word is
@@ -45,9 +46,13 @@ _tables: tuple[np.ndarray, np.ndarray] | None = None
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _tables
-    if _tables is None or len(_tables[0]) < n:
-        _tables = _powers(_BASE, max(n, SLICE_BYTES + 1)), _powers(_INVERSE, max(n, SLICE_BYTES + 1))
-    return _tables
+    if _tables is not None and len(_tables[0]) >= n:
+        return _tables
+    size = max(n, SLICE_BYTES + 1)
+    tables = _powers(_BASE, size), _powers(_INVERSE, size)
+    if size <= KEPT_POWERS:
+        _tables = tables
+    return tables
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -76,19 +81,25 @@ class Words:
         return mix((self._sums[ends] - self._sums[self.starts]) * self._inverse[self.starts])
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the texts data[offsets[i]:offsets[i + 1]] (UTF-8 bytes)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of the texts data[offsets[i]:offsets[i + 1]] start and end."""
     n = len(data)
-    power, inverse = _power_tables(n + 1)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = _IS_WORD[data]
+    inside[1:-1] = IS_WORD[data]
     start = inside[1:] & ~inside[:-1]
     end = inside[:-1] & ~inside[1:]
     cuts = offsets[(offsets > 0) & (offsets < n)]
     cuts = cuts[inside[cuts] & inside[cuts + 1]]  # two texts that meet inside a run
     start[cuts] = True
     end[cuts] = True
-    starts, ends = np.flatnonzero(start), np.flatnonzero(end)
+    return np.flatnonzero(start), np.flatnonzero(end)
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Words of the texts data[offsets[i]:offsets[i + 1]] (UTF-8 bytes)."""
+    n = len(data)
+    power, inverse = _power_tables(n + 1)
+    starts, ends = word_spans(data, offsets)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUE[data] * power[:n], out=sums[1:])
     out = Words(np.empty(0), np.searchsorted(starts, offsets), starts, ends, sums, inverse)
@@ -145,6 +156,13 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         low = high
 
 
+def small_batches(batch: pa.RecordBatch, at: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """batch in runs of rows whose texts in column `at` have at most `most` bytes, or of one
+    longer row."""
+    for low, high, _, _ in slices(batch.column(at), most):
+        yield batch.slice(low, high - low)
+
+
 def free_name(columns: list[str], name: str) -> str:
     """name, or a longer one that no column has."""
     taken = {c.lower() for c in columns}

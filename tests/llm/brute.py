@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = str.maketrans(CAPITALS, CAPITALS.lower())
@@ -130,3 +132,47 @@ def base_personal_data(text: str | None) -> list[tuple]:
         if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
             out.append((m.start(), 3, m.end(), "phone"))
     return sorted(out)
+
+
+def ngrams(text: str | None) -> list[str]:
+    w = words(text)
+    return [" ".join(w[i:i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)]
+
+
+def resampled(docs, items, percent: int = 5, least: int = 20) -> list[tuple]:
+    """(key, n_features, weight, score, rank) of each (key, text)."""
+    bucket = lambda f: zlib.crc32(f.encode()) % 10000
+    s = Counter(bucket(f) for _, t in docs for f in ngrams(t))
+    t = Counter(bucket(f) for x in items for f in ngrams(x))
+    total = {id(c): sum(c.values()) + 10000 for c in (s, t)}
+    out = []
+    for key, text in docs:
+        f = ngrams(text)
+        weight = sum(
+            math.floor(1000 * math.log((t[b] + 1.0) * total[id(s)] / ((s[b] + 1.0) * total[id(t)])))
+            for b in map(bucket, f)
+        )
+        h = int(hashlib.sha256(f"42:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        noise = math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append((key, len(f), weight, weight + noise, len(words(text)) >= least))
+    able = sorted((r for r in out if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    drawn = able[:percent * len(able) // 100]
+    ranks = {}
+    for place, r in enumerate(drawn, 1):
+        ranks.setdefault(r, []).append(place)
+    return [(*r[:4], ranks[r].pop(0) if ranks.get(r) else None) for r in out]
+
+
+def infilled(key, text: str | None) -> tuple:
+    """(key, n, form, prefix_chars, middle_chars, output)"""
+    text = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    n, digest = len(units), hashlib.sha256(f"1:{'' if key is None else key}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[k:k + 8], 16) for k in (0, 8, 16, 24))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return key, n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if h4 % 100 < 20:
+        return key, n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return key, n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
