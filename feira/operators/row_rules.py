@@ -77,16 +77,28 @@ def valid_rows(table: str, raw: DataFrame) -> Column:
     return reduce(lambda a, b: a & b, [r.valid for r in _rules_of(table, raw)])
 
 
-def violations(table: str, raw: DataFrame, key: str = "id") -> DataFrame:
+def violations(
+    table: str, raw: DataFrame, key: str = "id", place: dict[str, str] | None = None, malformed: str | None = None,
+) -> DataFrame:
     """(tabela, chave, regra, coluna, valor) of an all-text table.
 
     Every empty field is a violation, beside those of its own rule: an empty price is
     reported both as empty and as invalid. Good rows leave at the filter, so violations
-    are only spelled out for the bad ones.
+    are only spelled out for the bad ones. `place` names columns of raw that say where a row
+    stands, and how the result calls them. A row with a value in the column `malformed`, which
+    is then its whole line, has a wrong number of fields, whatever became of its fields.
     """
-    found = F.array_compact(F.array(*[v for r in _rules_of(table, raw) for v in r.violations()]))
-    return raw.where(~valid_rows(table, raw)).select(
-        F.lit(table).alias("tabela"), F.col(key).alias("chave"), F.inline(found)
+    place, good = place or {}, valid_rows(table, raw)
+    each = [v for r in _rules_of(table, raw) for v in r.violations()]
+    if malformed:
+        good = good & F.col(malformed).isNull()
+        each.append(F.when(F.col(malformed).isNotNull(), F.struct(
+            F.lit("wrong number of fields").alias("regra"), F.lit(None).cast("string").alias("coluna"),
+            F.col(malformed).alias("valor"),
+        )))
+    return raw.where(~good).select(
+        F.lit(table).alias("tabela"), *[F.col(c).alias(name) for c, name in place.items()],
+        F.col(key).alias("chave"), F.inline(F.array_compact(F.array(*each))),
     )
 
 

@@ -64,6 +64,11 @@ SELECT distrito, {_half_up_mean('SUM(receita)', 'COUNT(*)')} AS valor_medio_enco
   COUNT(*) AS num_encomendas, {_money('SUM(receita)')} AS receita_total
 FROM order_revenue r JOIN clientes c ON c.id = r.id_cliente GROUP BY distrito"""
 
+SQL["top_customers_unit_price"] = f"""WITH {CLIENTES}, {FACT}
+SELECT c.id AS id_cliente, nome AS nome_cliente, email, distrito, {_money('SUM(total_linha)')} AS total_gasto
+FROM fact JOIN clientes c ON c.id = customer_id
+GROUP BY c.id, nome, email, distrito ORDER BY total_gasto DESC, id_cliente LIMIT 10"""
+
 SQL["transaction_fact"] = f"WITH {FACT} SELECT * FROM fact"
 SQL["transaction_fact_charged"] = SQL["transaction_fact"]
 SQL["customer_lifetime_value"] = f"""WITH {FACT}
@@ -76,6 +81,10 @@ SELECT {ISO_YEAR}, CAST(week(date) AS INTEGER) AS week, {REVENUE} AS weekly_reve
 SQL["monthly_revenue"] = f"""WITH {FACT}
 SELECT strftime(date, '%Y-%m') AS month, {REVENUE} AS monthly_revenue FROM fact GROUP BY 1"""
 
+SQL["monthly_revenue_undated"] = f"""WITH {FACT}
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'NaT' ELSE strftime(date, '%Y-%m') END AS month, {REVENUE} AS monthly_revenue
+FROM fact JOIN orders ON o_orderkey = transaction_id GROUP BY 1"""
+
 SQL["co_purchase"] = """SELECT x.l_partkey AS product_id_x, y.l_partkey AS product_id_y,
   COUNT(*) AS co_purchase_count
 FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_partkey <> y.l_partkey
@@ -200,6 +209,41 @@ _VIOLATIONS = (
 )
 SQL["row_violations"] = f"WITH {DIRTY}\n" + "\nUNION ALL ".join(_VIOLATIONS)
 
+# Files of one length of id each, rows by id; some lines are a field too wide or too narrow.
+_FILES = {
+    "dc": ("clientes", "id nome email data_registo distrito", "distrito = 'BRAZIL'", "distrito = 'CANADA'"),
+    "dp": ("produtos", "id nome categoria preco fornecedor", "fornecedor = 'Brand#3'", "fornecedor = 'Brand#4'"),
+    "dt": ("transacoes", "id id_cliente id_produto quantidade data_hora metodo_pagamento",
+           "metodo_pagamento = '1-URGENT' AND data_hora LIKE '1996-01%'",
+           "metodo_pagamento = '2-HIGH' AND data_hora LIKE '1996-01%'"),
+    "di": ("transacao_itens", "id id_transacao id_produto quantidade preco_unitario", "quantidade = '7'", "quantidade = '8'"),
+}
+
+
+def _numbered(view: str) -> str:
+    """The view as f<view>, with file, row number and malformed line."""
+    name, columns, wide, narrow = _FILES[view]
+    source = "(SELECT *, '1' AS id_produto, '1' AS quantidade FROM dt)" if view == "dt" else view
+    fields = columns.split()
+    text = [f"coalesce({c}, '')" for c in fields]
+    kept = [f"nullif({c}, '') AS {c}" for c in fields[:-1]]
+    kept.append(f"CASE WHEN NOT narrow THEN nullif({fields[-1]}, '') END AS {fields[-1]}")
+    return f"""m{view} AS (SELECT *, coalesce({wide}, FALSE) AS wide, coalesce({narrow}, FALSE) AS narrow FROM {source}),
+l{view} AS (SELECT *, CASE WHEN wide THEN concat_ws(',', {', '.join(text)}, 'extra')
+    WHEN narrow THEN concat_ws(',', {', '.join(text[:-1])}) ELSE concat_ws(',', {', '.join(text)}) END AS line FROM m{view}),
+f{view} AS (SELECT {', '.join(kept)}, '{name}.csv/part=' || length(id) AS ficheiro, CASE WHEN wide OR narrow THEN line END AS odd,
+  row_number() OVER (PARTITION BY length(id) ORDER BY CAST(id AS BIGINT), line) AS linha FROM l{view})"""
+
+
+_LINE_VIOLATIONS = [
+    v.replace(" AS chave,", " AS chave, ficheiro, linha,").replace(f" FROM {view} ", f" FROM f{view} ")
+    for v in _VIOLATIONS for view in _FILES if f" FROM {view} " in v
+] + [
+    f"SELECT '{_FILES[view][0]}', id, ficheiro, linha, 'wrong number of fields', NULL, odd FROM f{view} WHERE odd IS NOT NULL"
+    for view in _FILES
+]
+SQL["row_violation_lines"] = f"WITH {DIRTY}, {', '.join(map(_numbered, _FILES))}\n" + "\nUNION ALL ".join(_LINE_VIOLATIONS)
+
 SQL["broken_constraints"] = f"""WITH {CLIENTES}, c AS (SELECT * FROM clientes WHERE saldo >= 0),
 p AS (SELECT * FROM part WHERE p_size < 50),
 found AS (
@@ -293,11 +337,25 @@ SQL["scd2_stored_history"] = SQL["scd2_products"]
 
 # --- files, tables and jobs -----------------------------------------------------
 
+def _text(table: str, *cells: str, n: int = 5) -> str:
+    cells = [*[f"CAST({c} AS VARCHAR)" for c in cells], *["NULL"] * (n - len(cells))]
+    return f"SELECT '{table}' AS tabela, " + ", ".join(f"{c} AS c{i}" for i, c in enumerate(cells, 1))
+
+
+_DAY = "CAST(coalesce(try_strptime(data_registo, '%Y-%m-%d'), try_strptime(data_registo, '%Y-%m-%d %H:%M:%S')) AS DATE)"
+SQL["csv_all_entities"] = f"""WITH {DIRTY}
+{_text('clientes', 'id', 'nome', 'email', _DAY, 'distrito')} FROM dc
+UNION ALL {_text('produtos', 'id', 'nome', 'categoria', _PRICE, 'fornecedor')} FROM dp
+UNION ALL {_text('transacoes', 'id', 'id_cliente', _TIME, 'metodo_pagamento')} FROM dt
+UNION ALL {_text('transacao_itens', 'id', 'id_transacao', 'id_produto', _QTY, _UNIT)} FROM di"""
 SQL["csv_round_trip"] = """SELECT o_orderkey AS id, o_custkey AS id_cliente, o_orderdate AS data_hora,
   o_orderpriority AS metodo_pagamento FROM orders"""
 SQL["landing_newest_version"] = f"""WITH {CLIENTES}
 SELECT id, nome, array_to_string(list_transform(string_split(distrito, ' '),
   lambda w: upper(w[1]) || lower(w[2:])), ' ') AS distrito FROM clientes"""
+SQL["landed_day"] = f"""{_text('clientes', 'id', 'nome', 'distrito', n=4)} FROM ({SQL['landing_newest_version']})
+UNION ALL {_text('produtos', 'p_partkey', 'p_name', 'p_type', 'CAST(p_retailprice AS DECIMAL(10,2))', n=4)} FROM part
+UNION ALL {_text('transacoes', 'o_orderkey', 'o_custkey', 'o_orderpriority', n=4)} FROM orders"""
 SQL["landing_oldest_version"] = f"WITH {CLIENTES} SELECT id, nome, distrito FROM clientes"
 SQL["load_audit"] = """SELECT 'clientes' AS tabela, 'clientes.csv' AS ficheiro,
   COUNT(*) AS linhas_carregadas, TRUE AS sucesso FROM customer
@@ -336,6 +394,34 @@ measures AS (
   UNION ALL SELECT 'fact_weekly_sales', SUM(total_linha) FROM fact GROUP BY week(date)
   UNION ALL SELECT 'fact_monthly_sales', SUM(total_linha) FROM fact GROUP BY strftime(date, '%Y-%m'))
 SELECT table_name, COUNT(*) AS n_rows, CAST(SUM(v) AS {MONEY}) AS total FROM measures GROUP BY table_name"""
+_WAREHOUSE = {
+    "dim_customer_value": ("customer_id customer_lifetime_value", SQL["customer_lifetime_value"]),
+    "fact_recommendations": ("product_id_x product_id_y co_purchase_count", SQL["co_purchase"]),
+    "fact_daily_sales": ("date daily_revenue", SQL["daily_revenue"]),
+    "fact_weekly_sales": ("week weekly_revenue", SQL["weekly_revenue"]),
+    "fact_monthly_sales": ("month monthly_revenue", SQL["monthly_revenue"]),
+}
+_DIMENSION = "id nome categoria fornecedor preco start_date end_date is_current"
+
+
+def _measures(table: str, columns: str, source: str, run: int) -> str:
+    counted = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in columns.split())
+    return (f"SELECT CAST({run} AS BIGINT) AS run, '{table}' AS table_name, n_rows, column_name, n_nulls FROM "
+            f"(UNPIVOT (SELECT COUNT(*) AS n_rows, {counted} FROM ({source})) "
+            f"ON {', '.join(columns.split())} INTO NAME column_name VALUE n_nulls)")
+
+
+def _dimension_rows(run: int) -> str:
+    """What a build stores of the dimension; the second also closes the old rows of large parts."""
+    row = "p_partkey AS id, p_name AS nome, p_type AS categoria, p_brand AS fornecedor, p_retailprice AS preco, 1 AS start_date"
+    now = f"SELECT {row}, NULL AS end_date, TRUE AS is_current FROM part"
+    return now if run == 0 else f"{now} UNION ALL SELECT {row}, 1, FALSE FROM part WHERE p_size >= 40"
+
+
+SQL["warehouse_run_metrics"] = "\nUNION ALL ".join(
+    [_measures(t, c, q, run) for run in (0, 1) for t, (c, q) in _WAREHOUSE.items()]
+    + [_measures("dim_products", _DIMENSION, _dimension_rows(run), run) for run in (0, 1)]
+)
 SQL["backfilled_days"] = f"""WITH {FACT} SELECT * FROM fact
 WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-01-31'"""
 
@@ -397,6 +483,13 @@ SQL["clicks_sessions"] = _session_columns(_SESSIONS)
 SQL["stream_tumbling"] = _closed(_TUMBLING, "window_end")
 SQL["stream_sliding"] = _closed(_SLIDING, "window_end")
 SQL["stream_sessions"] = _session_columns(_closed(_SESSIONS, "session_end"))
+SQL["stream_latest_versions"] = SQL["latest_version"]
+_HELD = "(event_type = 'purchase' AND coalesce(value, 30) < 30 AND ts < TIMESTAMP '2024-01-20')"
+SQL["stream_late_events"] = f"""SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE {_HELD} AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events WHERE NOT {_HELD}) - INTERVAL 2 DAY"""
+SQL["stream_corrected_windows"] = _closed(f"""SELECT event_type, date_trunc('hour', ts) AS window_start,
+  date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, {_MEASURES}, bool_or({_HELD}) AS corrected
+FROM events GROUP BY ALL""", "window_end")
 SQL["stream_merged_orders"] = """SELECT o_orderkey AS id, o_custkey AS id_cliente, o_orderdate AS data_hora,
   CASE WHEN o_orderstatus = 'P' THEN 'corrected' ELSE o_orderpriority END AS metodo_pagamento,
   CASE WHEN o_orderstatus = 'P' THEN TIMESTAMP '2002-02-01' ELSE TIMESTAMP '2002-01-01' END AS version_timestamp

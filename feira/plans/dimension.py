@@ -19,30 +19,37 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_STORED).parquet(f"{path}/snapshots")
 
 
-def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """All versions of all products; empty before the first run."""
-    last = committed_version(spark, path)
+def read_dimension(spark: SparkSession, path: str, last: int | None = None) -> DataFrame:
+    """All versions of all products as of the run `last` (the last committed one, if not
+    given); empty before the first run."""
+    last = committed_version(spark, path) if last is None else last
     if last is None:
         return spark.createDataFrame([], DIM_PRODUCTS)
     shown = (F.col("version") == last) | (~F.col("is_current") & (F.col("version") < last))
     return _stored(spark, path).where(shown).select(*DIM_PRODUCTS.names)
 
 
-def update_dimension(
-    produtos: DataFrame, path: str, as_of: datetime | None = None, strict: bool = False
-) -> None:
-    """Apply a product snapshot as one committed run.
+def next_dimension(
+    produtos: DataFrame, path: str, last: int | None, as_of: datetime | None = None, strict: bool = False,
+) -> DataFrame:
+    """What the run after `last` stores: the rows that are current then, and those it closes.
 
-    A run stores the current rows and the rows it closed, partitioned apart. Rows closed
-    by earlier runs are neither read nor rewritten, however long the history grows.
+    Rows closed by earlier runs are neither read nor rewritten, however long the history grows.
     """
     spark = produtos.sparkSession
-    last = committed_version(spark, path)
     if last is None:
         current = spark.createDataFrame([], DIM_PRODUCTS)
     else:
         latest = (F.col("version") == last) & F.col("is_current")
         current = _stored(spark, path).where(latest).select(*DIM_PRODUCTS.names)
-    at = F.lit(as_of or datetime.now(timezone.utc))
+    return apply_scd2(current, produtos, F.lit(as_of or datetime.now(timezone.utc)), strict)
+
+
+def update_dimension(
+    produtos: DataFrame, path: str, as_of: datetime | None = None, strict: bool = False
+) -> None:
+    """Apply a product snapshot as one committed run, its current and closed rows partitioned
+    apart."""
+    last = committed_version(produtos.sparkSession, path)
     run = 0 if last is None else last + 1
-    publish(apply_scd2(current, produtos, at, strict), path, run, "is_current")
+    publish(next_dimension(produtos, path, last, as_of, strict), path, run, "is_current")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from hashlib import sha256
+from re import fullmatch
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,22 +20,39 @@ MONTH = "month"
 INGESTED = "_ingested_at"
 
 
-def bronze_append(raw: DataFrame, root: str, table: str, at: datetime) -> str:
+def delivery_id(raw: DataFrame, at: datetime) -> str:
+    """The name of a delivery by its time and its contents, in whatever order its rows come."""
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns])
+    found = raw.agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(whole).alias("x"), F.sum(F.shiftright(whole, 16)).alias("s")
+    ).first()
+    digest = sha256(repr((raw.columns, *found)).encode()).hexdigest()[:16]
+    return f"{at:%Y%m%dT%H%M%S%f}-{digest}"
+
+
+def bronze_append(raw: DataFrame, root: str, table: str, at: datetime, delivery: str | None = None) -> str:
     """Keep the delivery as it came, as text, with its time of arrival.
 
-    Each delivery has its own partition, so retrying one replaces it.
+    Each delivery has its own partition, named by its id: retrying one replaces it, and nothing
+    else does. Without an id a delivery is known by its time of arrival and its rows, so
+    different deliveries of one moment are kept side by side.
     """
     path = f"{root}/bronze/{table}"
-    columns = [F.col(c).cast("string").alias(c) for c in raw.columns]
-    raw.select(*columns).write.mode("overwrite").parquet(f"{path}/delivery={at:%Y%m%dT%H%M%S}")
+    text = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns if c != INGESTED])
+    delivery = delivery or delivery_id(text, at)
+    if not fullmatch(r"[\w.+-]+", delivery):
+        raise ValueError(f"a delivery id may hold letters, digits, and _ . + - only: {delivery!r}")
+    arrived = F.lit(at).cast("timestamp")
+    text.withColumn(INGESTED, arrived).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).parquet(f"{path}/delivery={delivery}")
     return path
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     # Deliveries may have brought new columns; older ones hold NULL there.
     bronze = spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
-    arrived = F.to_timestamp(F.col("delivery").cast("string"), "yyyyMMdd'T'HHmmss")
-    return bronze.withColumn(INGESTED, arrived).drop("delivery")
+    return bronze.select(*[c for c in bronze.columns if c not in ("delivery", INGESTED)], INGESTED)
 
 
 class Refined(NamedTuple):

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from feira.operators.expectations import MESSAGES, SUITES, check_tables
 from feira.operators.row_rules import violations
 from feira.schemas import RAW_HEADERS
-from feira.sources.files import read_header, read_raw_csv
+from feira.sources.files import CORRUPT
+from feira.sources.lines import FILE, LINE, read_numbered_csv
 
 
 class DataQualityError(RuntimeError):
@@ -70,30 +71,36 @@ def run_gate(
     return results
 
 
+VIOLATIONS = "tabela string, ficheiro string, linha long, chave string, regra string, coluna string, valor string"
+
+
+def file_violations(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """VIOLATIONS of one raw file, or of all files of a folder, with the number of the row in
+    its file, from 1 below the header.
+
+    Fields go by the file's own header; a column that it lacks is empty throughout. A line that
+    has more or fewer fields than the header is a violation with the line as value, beside those
+    of the fields that it lacks.
+    """
+    raw = read_numbered_csv(spark, path)
+    lacking = {c: F.lit(None).cast("string") for c in RAW_HEADERS[table] if c not in raw.columns}
+    return violations(
+        table, raw.withColumns(lacking), place={FILE: "ficheiro", LINE: "linha"}, malformed=CORRUPT
+    )
+
+
 def validate_folder(spark: SparkSession, folder: str, out: str) -> dict[str, str]:
     """Write the row violations of every raw file; returns a status per file.
 
-    Lines that do not have as many fields as the header show as violations of the columns
-    that they lack.
-
     A missing file is reported and does not stop the others.
     """
-    status, found = {}, []
-    for table, header in RAW_HEADERS.items():
+    status, found = {}, spark.createDataFrame([], VIOLATIONS)
+    for table in RAW_HEADERS:
         file = f"{table}.csv"
         try:
-            # Fields go by the file's own header; a column that it lacks is NULL throughout.
-            own = read_header(spark, f"{folder}/{file}")
-            raw = read_raw_csv(spark, f"{folder}/{file}", own)
-            lacking = {c: F.lit(None).cast("string") for c in header if c not in own}
-            found.append(violations(table, raw.withColumns(lacking)))
+            found = found.unionByName(file_violations(spark, f"{folder}/{file}", table))
             status[file] = "finished"
         except FileNotFoundError:
             status[file] = "not found"
-    empty = spark.createDataFrame(
-        [], "tabela string, chave string, regra string, coluna string, valor string"
-    )
-    for df in found:
-        empty = empty.unionByName(df)
-    empty.write.mode("overwrite").parquet(out)
+    found.write.mode("overwrite").parquet(out)
     return status

@@ -47,6 +47,21 @@ def committed_version(spark: SparkSession, path: str) -> int | None:
     return None if commits is None else commits.agg(F.max("version")).first()[0]
 
 
+def write_snapshot(df: DataFrame, path: str, version: int, *partition_by: str) -> None:
+    """Write df as a snapshot that no reader sees before a commit names it."""
+    # Static: a retry must also clear the partitions of an earlier attempt.
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        *partition_by
+    ).parquet(f"{path}/snapshots/version={version}")
+
+
+def append_commit(spark: SparkSession, path: str, version: int) -> None:
+    commit = spark.range(1).select(
+        F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at")
+    )
+    commit.coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
 def publish(df: DataFrame, path: str, version: int | None = None, *partition_by: str) -> int:
     """Write df as the next snapshot and make it current.
 
@@ -60,14 +75,8 @@ def publish(df: DataFrame, path: str, version: int | None = None, *partition_by:
         version = 0 if last is None else last + 1
     elif last is not None and version <= last:
         return last
-    # Static: a retry must also clear the partitions of an earlier attempt.
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(f"{path}/snapshots/version={version}")
-    commit = spark.range(1).select(
-        F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at")
-    )
-    commit.write.mode("append").parquet(f"{path}/commits")
+    write_snapshot(df, path, version, *partition_by)
+    append_commit(spark, path, version)
     return version
 
 

@@ -18,12 +18,16 @@ from feira.operators import (
     analytics, clicks, constraints, copurchase, expectations, fact, features, increment, merge,
     metrics, pii, row_rules, scd2,
 )
-from feira.plans import backfill, dimension, incremental, lake, loader, tables, warehouse
-from feira.schemas import AMOUNT, PRICE, TOTAL, conform
+from feira.plans import (
+    backfill, dimension, incremental, lake, loader, quality_gate, tables, warehouse,
+)
+from feira.schemas import AMOUNT, PRICE, RAW_HEADERS, TOTAL, conform
 from feira.session import scratch_path
 from feira.sources import files, landing
 from feira.streaming import clicks as click_stream
 from feira.streaming import incremental as change_stream
+from feira.streaming import late as late_clicks
+from feira.streaming import versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +60,15 @@ def top_customers(spark, sf):
     )
 
 
+@query
+def top_customers_unit_price(spark, sf):
+    """By quantity times unit price, the reports' own price path; here units cost what the
+    product does."""
+    prices = E.produtos(spark, sf).select(F.col("id").alias("id_produto"), F.col("preco").alias("preco_unitario"))
+    lines = E.itens(spark, sf).select("id_transacao", "id_produto", "quantidade").join(prices, "id_produto")
+    return analytics.top_customers(E.clientes(spark, sf), E.transacoes(spark, sf), lines)
+
+
 @query
 def best_sellers_by_category(spark, sf):
     return analytics.best_sellers(E.produtos(spark, sf), E.itens(spark, sf))
@@ -103,6 +116,15 @@ def daily_revenue(spark, sf):
     return metrics.revenue_over_time(_order_fact(spark, sf)).daily
 
 
+@query
+def monthly_revenue_undated(spark, sf):
+    """Revenue by month where orders in the works have no date yet."""
+    dated = F.when(F.col("estado") != "P", F.col("data_hora"))
+    orders = E.transacoes(spark, sf).withColumn("data_hora", dated)
+    undated = fact.order_fact(orders, E.itens(spark, sf), E.produtos(spark, sf))
+    return metrics.revenue_over_time(undated, keep_undated=True).monthly
+
+
 @query
 def weekly_revenue(spark, sf):
     return metrics.revenue_over_time(_order_fact(spark, sf)).weekly
@@ -252,6 +274,48 @@ def row_violations(spark, sf):
     return row_rules.all_violations(_dirty(spark, sf))
 
 
+def _write_dirty_files(spark, sf, folder):
+    """The dirty tables as headed CSV, one file for each length of id, rows by id; some lines
+    have a field too many or too few."""
+    odd = {
+        "clientes": (F.col("distrito") == "BRAZIL", F.col("distrito") == "CANADA"),
+        "produtos": (F.col("fornecedor") == "Brand#3", F.col("fornecedor") == "Brand#4"),
+        "transacoes": [
+            (F.col("metodo_pagamento") == p) & F.startswith("data_hora", F.lit("1996-01")) for p in ("1-URGENT", "2-HIGH")
+        ],
+        "transacao_itens": (F.col("quantidade") == "7", F.col("quantidade") == "8"),
+    }
+    for name, df in _dirty(spark, sf).items():
+        if name == "transacoes":
+            df = df.withColumns({"id_produto": F.lit("1"), "quantidade": F.lit("1")})
+        header = RAW_HEADERS[name]
+        wide, narrow = odd[name]
+        fields = [F.coalesce(c, F.lit("")) for c in header]
+        line = (
+            F.when(F.coalesce(wide, F.lit(False)), F.concat_ws(",", *fields, F.lit("extra")))
+            .when(F.coalesce(narrow, F.lit(False)), F.concat_ws(",", *fields[:-1]))
+            .otherwise(F.concat_ws(",", *fields))
+        )
+        rows = df.select(F.length("id").alias("part"), F.col("id").cast("bigint").alias("nth"), line.alias("value"))
+        heads = rows.select("part").distinct().select("part", F.lit(-1).cast("bigint").alias("nth"), F.lit(",".join(header)).alias("value"))
+        rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "nth", "value").select(
+            "part", "value"
+        ).write.partitionBy("part").text(f"{folder}/{name}.csv")
+
+
+@job
+def row_violation_lines(spark, sf):
+    """The violations of raw files of all four entities, by file and row number."""
+    folder = scratch_path(spark, "raw")
+    _write_dirty_files(spark, sf, folder)
+    status = quality_gate.validate_folder(spark, folder, f"{folder}/violations")
+    if set(status.values()) != {"finished"}:
+        raise RuntimeError(str(status))
+    return spark.read.parquet(f"{folder}/violations").withColumn(
+        "ficheiro", F.regexp_extract("ficheiro", "([a-z_]+[.]csv/part=[0-9]+)/", 1)
+    )
+
+
 @query
 def broken_constraints(spark, sf):
     lines = E.table(spark, sf, "lineitem").select(
@@ -412,6 +476,46 @@ def csv_round_trip(spark, sf):
     return files.read_entity_csv(spark, path, "transacoes")
 
 
+def _union_as_text(frames):
+    """(tabela, c1, c2, ...): the columns of all frames in order, as text."""
+    most = max(len(df.columns) for df in frames.values())
+    rows = None
+    for name, df in frames.items():
+        cells = [F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(df.columns, 1)]
+        cells += [F.lit(None).cast("string").alias(f"c{i}") for i in range(len(cells) + 1, most + 1)]
+        one = df.select(F.lit(name).alias("tabela"), *cells)
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+@job
+def csv_all_entities(spark, sf):
+    """All four entities as raw files, columns in another order than their table's, read back
+    typed."""
+    folder = scratch_path(spark, "csv")
+    for name, df in _dirty(spark, sf).items():
+        files.write_csv(df.select(*reversed(df.columns)), f"{folder}/{name}.csv")
+    return _union_as_text(files.read_csv_folder(spark, folder))
+
+
+@job
+def landed_day(spark, sf):
+    """All entities of a day as its newest version has them; that one names the columns in
+    another order."""
+    root, day = scratch_path(spark, "landing"), date(2025, 10, 26)
+    first = {
+        "clientes": E.clientes(spark, sf).select("id", "nome", "distrito"),
+        "produtos": E.produtos(spark, sf).select("id", "nome", "categoria", "preco"),
+        "transacoes": E.transacoes(spark, sf).select("id", "id_cliente", "metodo_pagamento"),
+    }
+    second = {name: df.select(*reversed(df.columns)) for name, df in first.items()}
+    second["clientes"] = second["clientes"].withColumn("distrito", F.initcap("distrito"))
+    for hour, delivery in ((9, first), (15, second)):
+        landing.land(delivery, root, day, landing.version_tag(datetime(2025, 10, 26, hour)))
+    headers = {name: df.columns for name, df in first.items()}
+    return _union_as_text(landing.read_landed_day(spark, root, day, headers))
+
+
 def _landed_customers(spark, sf, pick):
     root = scratch_path(spark, "landing")
     day = date(2025, 10, 26)
@@ -536,6 +640,20 @@ def warehouse_totals(spark, sf):
     return union
 
 
+@job
+def warehouse_run_metrics(spark, sf):
+    """Rows and missing values of every column, as measured by the writes of two builds."""
+    root = scratch_path(spark, "warehouse")
+    products = E.produtos(spark, sf)
+    dearer = products.withColumn("preco", F.when(F.col("tamanho") >= 40, F.col("preco") * 2).otherwise(F.col("preco")).cast(PRICE))
+    for day, parts in ((1, products), (2, dearer)):
+        warehouse.build_warehouse(E.transacoes(spark, sf), E.itens(spark, sf), parts, root, datetime(2025, 1, day))
+    measured = warehouse.run_metrics(spark, root)
+    return measured.select(
+        "run", "table_name", "n_rows", F.explode("nulls").alias("column_name", "n_nulls")
+    )
+
+
 @job
 def backfilled_days(spark, sf):
     """The fact of January 1998, rebuilt day by day in one run, and again."""
@@ -668,6 +786,57 @@ def stream_merged_orders(spark, sf):
     return tables.read_table(spark, f"{root}/fact").select(*schema.names)
 
 
+@job
+def stream_latest_versions(spark, sf):
+    """The newest version of each order, from deliveries in which returned lines come a day
+    late, so that files overlap; the stream is started once for each."""
+    root = scratch_path(spark, "versions")
+    lines = E.itens(spark, sf).select(
+        F.col("id_transacao").alias("id"), "id_produto", "quantidade",
+        F.col("data_envio").alias("version_timestamp"), "devolucao",
+    )
+    arrives = F.col("version_timestamp") + F.expr("interval 1 day") * F.when(F.col("devolucao") == "R", 1).otherwise(0)
+    late = lines.withColumn("delivery", F.when(arrives < _at("1995-01-01"), 1).when(arrives < _at("1997-01-01"), 2).otherwise(3))
+    late.drop("devolucao").write.partitionBy("delivery").parquet(f"{root}/in")
+    schema = lines.drop("devolucao").schema
+    for n in (1, 2, 3, 3):
+        changes = change_stream.read_changes(spark, f"{root}/in/delivery=[1-{n}]", schema)
+        versions.follow_available(changes, f"{root}/out", f"{root}/checkpoint")
+    return versions.read_newest(spark, f"{root}/out")
+
+
+def _late_clicks(spark, sf):
+    """Clicks in two deliveries, then small purchases that were held back since before 2024-01-20."""
+    root = scratch_path(spark, "late")
+    events = E.table(spark, sf, "events")
+    held = (F.col("event_type") == "purchase") & (F.col("value") < 30) & (F.col("ts") < _at("2024-01-20"))
+    delivery = F.when(held, 3).when(F.col("ts") < _at("2024-01-15"), 1).otherwise(2)
+    events.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(f"{root}/in")
+    for n in (1, 2, 3, 3):
+        clicks_so_far = click_stream.read_clicks(spark, f"{root}/in/delivery=[1-{n}]")
+        late_clicks.split_available(clicks_so_far, f"{root}/out", f"{root}/checkpoint")
+    return f"{root}/out"
+
+
+EVENTS_DDL = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+
+
+@job
+def stream_late_events(spark, sf):
+    return late_clicks.late_events(spark, _late_clicks(spark, sf), EVENTS_DDL).select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value"
+    )
+
+
+@job
+def stream_corrected_windows(spark, sf):
+    """The windows that are closed in the end, corrected by late events; `corrected` says which."""
+    root = _late_clicks(spark, sf)
+    corrected = late_clicks.corrections(spark, root, EVENTS_DDL).withColumn("corrected", F.lit(True))
+    closed = late_clicks.closed_windows(spark, root).withColumn("corrected", F.lit(False))
+    return late_clicks.corrected_windows(closed, corrected)
+
+
 # --- personal data and features ----------------------------------------------------
 
 

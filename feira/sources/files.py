@@ -51,9 +51,20 @@ def read_raw_csv(
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a headed CSV; reads one line."""
+    """Column names of a headed CSV file, or of the files of a folder; reads one line."""
     with missing_as_file_not_found():
-        return spark.read.options(**DIALECT).csv(path).columns
+        # Without the columns that folder names would add.
+        return spark.read.options(**DIALECT, recursiveFileLookup=True).csv(path).columns
+
+
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every field as text, in columns by the file's header. A line that does not have as many
+    fields as the header raises when it is read."""
+    header = read_header(spark, path)
+    raw = read_raw_csv(spark, path, header, multi_line)
+    line = F.concat(F.lit("malformed line: "), F.col(CORRUPT))
+    checked = raw.withColumn(header[0], F.when(F.col(CORRUPT).isNull(), F.col(header[0])).otherwise(F.raise_error(line)))
+    return checked.select(*header)
 
 
 def read_entity_csv(
@@ -61,14 +72,18 @@ def read_entity_csv(
 ) -> DataFrame:
     """One entity file, projected to its table and leniently typed.
 
-    Columns go by the file's header: extra ones are dropped, missing ones raise. A line
-    that does not have as many fields as the header raises when it is read.
+    Columns go by the file's header: extra ones are dropped, missing ones raise.
     """
-    header = read_header(spark, path)
-    raw = read_raw_csv(spark, path, header, multi_line)
-    line = F.concat(F.lit("malformed line: "), F.col(CORRUPT))
-    checked = raw.withColumn(header[0], F.when(F.col(CORRUPT).isNull(), F.col(header[0])).otherwise(F.raise_error(line)))
-    return conform(checked.drop(CORRUPT), table)
+    return conform(read_text_csv(spark, path, multi_line), table)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below path, on any file system; none if there is no path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory())
 
 
 def read_csv_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -5,13 +5,13 @@ Works on any file system Spark can reach (s3a://, hdfs://, file:).
 
 from __future__ import annotations
 
-import re
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.sources.files import CORRUPT, read_raw_csv, write_csv
+from feira.schemas import MissingColumnsError
+from feira.sources.files import list_folders, read_text_csv, write_csv
 
 # Folder names of the landed entities, and the version-tag format.
 LANDED = {"clientes": "customers", "produtos": "products", "transacoes": "transactions"}
@@ -52,15 +52,21 @@ def land(tables: dict[str, DataFrame], root: str, day: date, version: str | None
 def read_landed(
     spark: SparkSession, root: str, day: date, table: str, columns: list[str], pick: str = "last"
 ) -> DataFrame:
-    """One entity of one day, all text: its newest version, or the oldest with pick='first'."""
+    """One entity of one day, all text: its newest version, or the oldest with pick='first'.
+
+    Columns go by the header of that version, in whatever order it has them; missing ones
+    raise. Only the folders of the versions are listed to choose one.
+    """
     folder = entity_path(root, day, table)
-    all_versions = read_raw_csv(spark, folder, [*columns, "source", "version"]).drop(CORRUPT, "source")
-    # The file listing names the versions; no data is read to choose one.
-    found = {m[1] for m in map(re.compile(r"/version=([^/]+)/").search, all_versions.inputFiles()) if m}
+    found = [f.removeprefix("version=") for f in list_folders(spark, folder) if f.startswith("version=")]
     if not found:
         raise FileNotFoundError(f"no landed version under {folder}")
     wanted = {"last": max, "first": min}[pick](found)
-    return all_versions.where(F.col("version") == wanted).drop("version")
+    chosen = read_text_csv(spark, f"{folder}/version={wanted}")
+    missing = sorted(set(columns) - set(chosen.columns))
+    if missing:
+        raise MissingColumnsError(f"{table}: missing required columns {missing}")
+    return chosen.select(*columns)
 
 
 def read_landed_day(

@@ -1,12 +1,14 @@
-from datetime import datetime, timedelta
+import shutil
+from datetime import datetime, timedelta, timezone
 from random import Random
 
 import pytest
 from pyspark.sql import functions as F
 
-from feira.operators import clicks, features, pii
+from feira.operators import clicks, features, merge, pii
 from feira.streaming import clicks as click_stream
 from feira.streaming import incremental as change_stream
+from feira.streaming import late, versions
 from feira.plans import tables
 
 EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -165,3 +167,80 @@ def test_as_of_with_any_bounds_and_several_versions(spark, rows):
         (8, None, None), (9, None, None), (10, None, None),
     ], key=repr)
     assert {r.orders_to_date for r in features.as_of(labels, versions, "at", "v2").where("customer_id = 1 and at is not null").collect()} == {9}
+
+
+VERSION = "id long, name string, n int, version_timestamp timestamp_ntz"
+
+
+def follow(spark, root, deliveries, **options):
+    """Each delivery arrives, and the stream is started anew for it; the newest versions."""
+    for k, rows_ in enumerate(deliveries):
+        spark.createDataFrame(rows_, VERSION).coalesce(1).write.parquet(f"{root}/in/delivery={k}")
+        changes = change_stream.read_changes(spark, f"{root}/in/delivery=*", spark.createDataFrame([], VERSION).schema)
+        versions.follow_available(changes, f"{root}/out", f"{root}/check", **options)
+    return versions.read_newest(spark, f"{root}/out")
+
+
+def test_newest_versions_of_files_out_of_order(spark, rows, tmp_path):
+    at = lambda d, h=0: datetime(2025, 1, d, h)
+    deliveries = [
+        [(1, "a", 1, at(10)), (2, "x", 9, at(9)), (2, "x", 10, at(9)), (3, None, None, at(9)), (None, "k", 1, at(9)), (4, "t", 1, None)],
+        [(1, "older", 5, at(9, 12)), (2, "x", 2, at(9)), (3, "", 0, at(9)), (5, "b", 1, at(8, 1))],
+        [(1, "b", 1, at(11)), (5, "c", 2, at(20))],
+        [(1, "b", 1, at(11)), (6, "new", 1, at(21))],
+    ]
+    got = rows(follow(spark, str(tmp_path), deliveries))
+    assert got == [(1, "b", 1, at(11)), (2, "x", 10, at(9)), (3, "", 0, at(9)), (5, "c", 2, at(20)), (6, "new", 1, at(21))]
+    everything = spark.createDataFrame([r for d in deliveries for r in d if r[0] and r[3]], VERSION)
+    assert rows(merge.latest_version(everything)) == got
+
+
+def test_keys_behind_the_watermark_are_forgotten(spark, rows, tmp_path):
+    at = lambda d: datetime(2025, 1, d)
+    deliveries = [[(k, "a", 1, at(1)) for k in range(20)], [(100, "b", 1, at(10))], [(101, "c", 1, at(11))], [(1, "late", 1, at(2))]]
+    got = follow(spark, str(tmp_path), deliveries)
+    assert got.count() == 22 and rows(got.where("id = 1"), "name") == [("a",)]
+    held = spark.read.format("statestore").load(str(tmp_path / "check"))
+    assert {r["key"]["_key"] for r in held.select("key").collect()} == {"100", "101"}
+
+
+EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+
+
+def test_late_events_and_corrections(spark, rows, tmp_path):
+    at = lambda d, h=0, m=0: datetime(2025, 1, d, h, m, tzinfo=timezone.utc)
+    deliveries = [
+        [(1, at(10, 1), 1, "view", 1.0, None), (2, at(10, 1, 30), 1, "view", 2.0, None), (3, at(5), 1, "buy", 3.0, None)],
+        [(4, at(10, 1, 59), 1, "view", 4.0, None), (5, at(7, 23), 1, "view", 5.0, None), (6, None, 1, "view", 6.0, None)],
+        [(7, at(20), 1, "view", 7.0, None)],
+        [(8, at(10, 1, 1), 1, "view", 0.125, None), (9, at(19), 1, "buy", 9.0, None), (10, at(5), 2, "view", 1.0, None)],
+    ]
+    root = str(tmp_path)
+    for k, events in enumerate(deliveries):
+        spark.createDataFrame(events, EVENTS).coalesce(1).write.parquet(f"{root}/in/delivery={k}")
+        stream = click_stream.read_clicks(spark, f"{root}/in/delivery=*")
+        for _ in range(2):  # a start without news changes nothing
+            late.split_available(stream, f"{root}/out", f"{root}/check")
+    # Event 3 came first, before any watermark; 5 came when the watermark stood at the 8th, 1:30.
+    assert rows(late.late_events(spark, f"{root}/out", EVENTS), "event_id", "batch") == [(10, 3), (5, 1), (8, 3)]
+    closed = late.closed_windows(spark, f"{root}/out")
+    fixed = late.corrections(spark, f"{root}/out", EVENTS)
+    assert {(r.event_type, r.window_start.day, r.n_events) for r in closed.collect()} == {("view", 10, 3), ("buy", 5, 1)}
+    assert {(r.event_type, r.window_start.day, r.n_events) for r in fixed.collect()} == {("view", 10, 4), ("view", 7, 1), ("view", 5, 1)}
+    everything = spark.createDataFrame([e for d in deliveries for e in d if e[1]], EVENTS)
+    batch = clicks.tumbling(everything).where("window_end <= timestamp_ntz'2025-01-18 00:00:00'")
+    columns = ["event_type", "window_start", "window_end", "n_events", "total_value"]
+    assert rows(late.corrected_windows(closed, fixed), *columns) == rows(batch, *columns)
+
+
+def test_an_uncommitted_batch_is_not_read(spark, rows, tmp_path, monkeypatch):
+    root, at = str(tmp_path), lambda d: datetime(2025, 1, d, tzinfo=timezone.utc)
+    first = [(1, at(1), 1, "view", 1.0, None), (2, at(9), 1, "view", 2.0, None)]
+    spark.createDataFrame(first, EVENTS).coalesce(1).write.parquet(f"{root}/in/delivery=0")
+    stream = click_stream.read_clicks(spark, f"{root}/in/delivery=*")
+    late.split_available(stream, f"{root}/out", f"{root}/check")
+    before = rows(late.closed_windows(spark, f"{root}/out"))
+    # A batch that crashed before its commit left its files behind.
+    shutil.copytree(f"{root}/out/timely/batch=0", f"{root}/out/timely/batch=1")
+    shutil.copytree(f"{root}/out/late/batch=0", f"{root}/out/late/batch=1")
+    assert rows(late.closed_windows(spark, f"{root}/out")) == before

@@ -4,7 +4,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from feira.plans import backfill, lake, loader, tables, warehouse
+from feira.plans import backfill, lake, loader, measured, tables, warehouse
 from feira.plans.quality_gate import DataQualityError
 from feira.sources import files, generator
 
@@ -89,6 +89,35 @@ def test_warehouse_is_replaced_not_extended(spark, rows, made, tmp_path):
         assert warehouse.read_warehouse(spark, root, table).agg(F.sum(column)).first()[0] == revenue
 
 
+def test_a_failed_build_changes_nothing_that_readers_see(spark, rows, made, tmp_path, monkeypatch):
+    root, args = str(tmp_path), (made["transacoes"], made["transacao_itens"], made["produtos"])
+    warehouse.build_warehouse(*args, root, datetime(2025, 1, 1))
+    tables_of = lambda: {t: rows(warehouse.read_warehouse(spark, root, t)) for t in (
+        "dim_products", "dim_customer_value", "fact_recommendations", "fact_daily_sales")}
+    before, metrics = tables_of(), rows(warehouse.run_metrics(spark, root))
+    more = args[1].withColumn("quantidade", F.col("quantidade") + 1)
+    dearer = args[2].withColumn("preco", (F.col("preco") + 1).cast("decimal(10,2)"))
+    monkeypatch.setattr(warehouse, "append_commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        warehouse.build_warehouse(args[0], more, dearer, root, datetime(2025, 1, 2))
+    assert tables_of() == before and rows(warehouse.run_metrics(spark, root)) == metrics
+    monkeypatch.undo()
+    written = warehouse.build_warehouse(args[0], more, dearer, root, datetime(2025, 1, 3))
+    assert written["dim_products"] == 30  # new versions and those they close
+    assert warehouse.read_warehouse(spark, root, "dim_products").where("is_current").count() == 15
+    last = {r.table_name: r for r in warehouse.run_metrics(spark, root).where("run = 1").collect()}
+    assert {t: r.n_rows for t, r in last.items()} == written
+    assert last["dim_products"].nulls["end_date"] == 15 and all(r.seconds > 0 for r in last.values())
+
+
+def test_a_write_measures_itself(spark, tmp_path):
+    df = spark.range(0, 1000, numPartitions=7).select("id", F.when(F.col("id") % 4 > 0, F.col("id")).alias("a b"))
+    m = measured.measured_write(df, "t", lambda w: w.write.format("noop").mode("overwrite").save())
+    assert (m.table_name, m.n_rows, m.nulls) == ("t", 1000, {"id": 0, "a b": 250}) and m.seconds > 0
+    none = measured.measured_write(df.limit(0), "u", lambda w: w.write.parquet(str(tmp_path / "u")))
+    assert (none.n_rows, none.nulls) == (0, {"id": 0, "a b": 0})
+
+
 def test_backfill(spark, rows, tmp_path):
     transacoes = spark.createDataFrame(
         [(1, 1, datetime(2025, 1, 1, 23, 59)), (2, 1, datetime(2025, 1, 2)), (3, 1, datetime(2025, 1, 3))],
@@ -154,3 +183,18 @@ def test_bronze_keeps_added_columns(spark, rows, tmp_path):
     path = lake.bronze_append(
         spark.createDataFrame([("2", "x")], "id string, extra string"), str(tmp_path), "t", datetime(2025, 1, 2))
     assert rows(lake.read_bronze(spark, path), "id", "extra") == [("1", None), ("2", "x")]
+
+
+def test_deliveries_of_one_moment_are_kept_apart(spark, rows, tmp_path):
+    make = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id string")
+    at, root = datetime(2025, 1, 1), str(tmp_path)
+    for raw in (make("1", "3"), make("2"), make("3", "1")):  # the last is the first again
+        path = lake.bronze_append(raw, root, "t", at)
+    assert rows(lake.read_bronze(spark, path), "id") == [("1",), ("2",), ("3",)]
+    assert {r[0] for r in lake.read_bronze(spark, path).select(F.col(lake.INGESTED).cast("timestamp_ntz")).collect()} == {at}
+    # Under one id a delivery is replaced, whatever it holds.
+    for raw in (make("4"), make("5", "6")):
+        lake.bronze_append(raw, root, "t", at, delivery="run-7")
+    assert rows(lake.read_bronze(spark, path), "id") == [(i,) for i in "12356"]
+    with pytest.raises(ValueError, match="delivery id"):
+        lake.bronze_append(make("7"), root, "t", at, delivery="a/b")

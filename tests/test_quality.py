@@ -5,6 +5,7 @@ import pytest
 from feira.operators import constraints, expectations, row_rules
 from feira.plans import quality_gate
 from feira.schemas import RAW_HEADERS
+from feira.sources import lines
 
 
 def raw(spark, table, *records):
@@ -129,3 +130,36 @@ def test_violations_go_by_the_header(spark, tmp_path):
     out = str(tmp_path / "out")
     quality_gate.validate_folder(spark, str(tmp_path), out)
     assert [(r.chave, r.regra) for r in spark.read.parquet(out).collect()] == [("2", "non-positive price")]
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    """One file read in many splits, with blank lines, and others beside it."""
+    folder = tmp_path / "f"
+    folder.mkdir()
+    big = ["id,email"] + [f"{i},{'x' * (i % 90)}" for i in range(1, 4000)]
+    (folder / "a.csv").write_text("\n\n".join(big) + "\n")
+    (folder / "b.csv").write_bytes(b"id,email\r\n1,a\r\n\r\n2,b")
+    (folder / "empty.csv").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        read = lines.read_numbered_csv(spark, str(folder))
+        assert read.rdd.getNumPartitions() > 8
+        got = {(r["_ficheiro"][-5:], int(r["id"])): r["_linha"] for r in read.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {("a.csv", i): i for i in range(1, 4000)} | {("b.csv", 1): 1, ("b.csv", 2): 2}
+
+
+def test_wide_and_narrow_lines_are_violations(spark, tmp_path):
+    (tmp_path / "produtos.csv").write_text(
+        'nome,id,categoria,preco,fornecedor\n"a, ""b""",1,c,1.5,f\nx,2,c,1.5,f,more\n\ny,3,c,1.5\nz,4,,0,f\n')
+    out = str(tmp_path / "out")
+    status = quality_gate.validate_folder(spark, str(tmp_path), out)
+    assert status["produtos.csv"] == "finished" and status["clientes.csv"] == "not found"
+    found = spark.read.parquet(out).select("linha", "chave", "regra", "coluna", "valor").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([
+        (2, "2", "wrong number of fields", None, "x,2,c,1.5,f,more"), (3, "3", "wrong number of fields", None, "y,3,c,1.5"),
+        (3, "3", "null value", "fornecedor", None), (4, "4", "null value", "categoria", None),
+        (4, "4", "non-positive price", "preco", "0"),
+    ], key=repr)

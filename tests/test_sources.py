@@ -138,3 +138,18 @@ def test_landed_text_comes_back_whole(spark, rows, tmp_path):
     landing.land(tables, str(tmp_path), date(2025, 1, 1), "v1")
     for name in landing.LANDED:
         assert rows(landing.read_landed(spark, str(tmp_path), date(2025, 1, 1), name, ["id", "nome"]), "nome") == sorted((n,) for n in names)
+
+
+def test_landed_columns_go_by_the_header(spark, tmp_path):
+    """Versions may name their columns in any order, and have more of them."""
+    day, header = date(2025, 10, 26), ["id", "nome"]
+    for version, columns in (("20251026T090000Z", ["id", "nome"]), ("20251026T100000Z", ["extra", "nome", "id"])):
+        rows = spark.createDataFrame([("1", "Ana", "x")], "id string, nome string, extra string").select(*columns)
+        landing.land(dict.fromkeys(landing.LANDED, rows), str(tmp_path), day, version)
+    for pick in ("first", "last"):
+        got = landing.read_landed(spark, str(tmp_path), day, "clientes", header, pick)
+        assert got.columns == header and [tuple(r) for r in got.collect()] == [("1", "Ana")]
+    with pytest.raises(MissingColumnsError, match="distrito"):
+        landing.read_landed(spark, str(tmp_path), day, "clientes", ["id", "distrito"])
+    with pytest.raises(FileNotFoundError):
+        landing.read_landed(spark, str(tmp_path), date(2025, 10, 27), "clientes", header)
