@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from feira.llm.text import ship
 
 CHUNK = 8192  # units in a chunk
+PART_BYTES = 16 << 20  # of text that is sorted in one task, unless one document is longer
 SEED = 1
 PLAIN_FROM = 90  # of 100: texts from here on stay as they are
 SUFFIX_FIRST = 20  # of 100 of the others begin with their suffix
@@ -158,9 +159,10 @@ def assembled(
             for number, data in enumerate(chunks, 1):
                 yield (partition, digest, 0, number), data
 
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{column}`")))).first()[0] or 0
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{column}`").alias("text")).rdd
     return rows.mapPartitionsWithIndex(emit).repartitionAndSortWithinPartitions(
-        2 * rows.getNumPartitions(), by_document
+        max(8, -(-size // PART_BYTES)), by_document
     )
 
 
