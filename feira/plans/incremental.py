@@ -24,9 +24,14 @@ def save_checkpoint(spark: SparkSession, path: str, at: datetime) -> None:
     row.write.mode("append").parquet(path)
 
 
-def run_incremental(transacoes: DataFrame, fact_path: str, state_path: str, **merge: object) -> datetime:
+def run_incremental(
+    transacoes: DataFrame, fact_path: str, state_path: str, buckets: int | None = None, **merge: object
+) -> datetime:
     """Merge what is new since the checkpoint, then advance it.
 
+    The fact lies by month of data_hora, so that new events rewrite the last months; or, with a
+    number of buckets, by buckets of the id.
+
     The increment is staged once, so all steps see the same rows even if the source
     moves on. A crash before the checkpoint is saved replays the batch, which changes
     nothing.
@@ -36,7 +41,8 @@ def run_incremental(transacoes: DataFrame, fact_path: str, state_path: str, **me
     increment = staged(increment_since(transacoes, last), "increment")
     if increment.isEmpty():
         return last
-    merge_into(increment, fact_path, **merge)
+    at = F.col("data_hora") if buckets is None else None
+    merge_into(increment, fact_path, buckets=buckets, at=at, **merge)
     reached = next_checkpoint(increment, last).first()["last_processed"]
     save_checkpoint(spark, state_path, reached)
     return reached

@@ -28,18 +28,24 @@ class LoadError(RuntimeError):
     """At least one table failed; the audit table says which and why."""
 
 
-def problems(batch: DataFrame, table: str, held: DataFrame | None = None) -> list[str]:
-    """What keeps a batch out of its table: repeated ids, values that are missing or do not
-    parse (only dates may fail to parse before that, and then they are missing), and values
+def problems(batch: DataFrame, table: str, held: DataFrame | None = None) -> tuple[int, list[str]]:
+    """(rows, what keeps a batch out of its table): repeated ids, values that are missing or do
+    not parse (only dates may fail to parse before that, and then they are missing), and values
     of a unique column that repeat in the batch or in rows that it leaves as they are."""
     columns = [f.name for f in ENTITIES[table] if f.name in batch.columns]
-    counts = batch.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    missing = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
+    # One shuffle, of sums for each id, counts all.
+    per_id = batch.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *missing)
+    counts = per_id.agg(
+        F.sum("n").alias("n"), F.max("n").alias("most"), *[F.sum(f"null_{c}").alias(c) for c in columns]
+    ).first()
+    if not counts["n"]:
+        return 0, []
     found = [
         f"{c}: {counts[c]} values are missing or no {ENTITIES[table][c].dataType.simpleString()}"
         for c in columns if counts[c]
     ]
-    most = batch.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if (most or 0) > 1:
+    if counts["most"] > 1:
         found.append("id: ids must be unique in a batch")
     for column in UNIQUE.get(table, []):
         all_rows = batch.select("id", column)
@@ -51,7 +57,7 @@ def problems(batch: DataFrame, table: str, held: DataFrame | None = None) -> lis
         ).where("n > 1").count()
         if repeated:
             found.append(f"{column}: {repeated} values repeat")
-    return found
+    return counts["n"], found
 
 
 def load_table(
@@ -67,16 +73,16 @@ def load_table(
     """
     spark = batch.sparkSession
     batch = staged(batch, f"batch-{table}")
-    rows = batch.count()
+    held = read_table(spark, f"{root}/{table}") if table in UNIQUE else None
+    rows, broken = problems(batch, table, held)
     if not rows:
         return 0
-    held = read_table(spark, f"{root}/{table}")
-    broken = problems(batch, table, held)
     if broken:
         raise RejectedBatchError(f"{table}: " + "; ".join(broken))
     stamp = F.lit(at or datetime.now(timezone.utc)).cast("timestamp")
+    # The ids were found to be unique.
     merge_into(
-        batch.withColumn("version_timestamp", stamp), f"{root}/{table}", buckets=buckets, dedupe=False
+        batch.withColumn("version_timestamp", stamp), f"{root}/{table}", buckets=buckets, dedupe=None
     )
     return rows
 

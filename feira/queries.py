@@ -782,7 +782,7 @@ def stream_merged_orders(spark, sf):
     schema = _versioned(orders, _at(OLD)).schema
     for n in (1, 2, 2):
         source = change_stream.read_changes(spark, f"{root}/in/delivery=[1-{n}]", schema)
-        change_stream.merge_available(source, f"{root}/fact", f"{root}/checkpoint", newer_only=True)
+        change_stream.merge_available(source, f"{root}/fact", f"{root}/checkpoint", at="data_hora", newer_only=True)
     return tables.read_table(spark, f"{root}/fact").select(*schema.names)
 
 

@@ -1,11 +1,12 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal as D
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
 
 from feira.operators import increment, merge, scd2
-from feira.plans import dimension, incremental, tables
+from feira.plans import dimension, incremental, places, tables
 from feira.schemas import DIM_PRODUCTS
 
 V = "id long, x string, version_timestamp timestamp_ntz"
@@ -124,6 +125,76 @@ def test_sparse_keys_make_few_partitions(spark, tmp_path):
     assert tables.read_table(spark, path).count() == 200
 
 
+EVENT = "id long, x string, data_hora timestamp_ntz, version_timestamp timestamp_ntz"
+
+
+def events(spark, *rows_):
+    return spark.createDataFrame([(i, x, at_, T0) for i, x, at_ in rows_], EVENT)
+
+
+def test_a_day_rewrites_its_month_only(spark, rows, tmp_path):
+    """A batch touches the months of its rows and those that its keys leave, no others."""
+    path, at = str(tmp_path / "t"), F.col("data_hora")
+    day = lambda k: datetime(2024, 1, 1) + timedelta(days=k)
+    tables.merge_into(events(spark, *[(k, "x", day(k)) for k in range(366)]), path, at=at)
+    first = tables.live(spark, path)
+    assert len(first.partitions) == 12 and first.column == tables.MONTH
+
+    def changed(before):
+        after = tables.live(spark, path)
+        return {m for m in after.partitions.keys() | before.partitions.keys()
+                if after.partitions.get(m) != before.partitions.get(m)}, after
+
+    # One day: ids of that day, and new ones.
+    tables.merge_into(events(spark, (365, "y", day(365)), (1000, "new", day(365)), (1001, "new", day(365))), path, at=at)
+    touched, now = changed(first)
+    assert touched == {"2024-12"} and tables.read_table(spark, path).count() == 368
+    # One id moves from March to May, one to a month that is new, one loses its date.
+    tables.merge_into(events(spark, (60, "moved", day(130)), (61, "moved", datetime(2025, 2, 1)), (62, "gone", None)), path, at=at)
+    touched, now = changed(now)
+    assert touched == {"2024-03", "2024-05", "2025-02", "undated"}
+    got = {r.id: (r.x, r.data_hora) for r in tables.read_table(spark, path).collect()}
+    assert len(got) == 368 and got[60] == ("moved", day(130)) and got[62] == ("gone", None)
+    # All of a month leave it.
+    tables.merge_into(events(spark, *[(k, "all", day(0)) for k in range(31, 60)]), path, at=at)
+    touched, now = changed(now)
+    assert touched == {"2024-01", "2024-02"} and "2024-02" not in now.partitions
+    assert tables.read_table(spark, path).count() == 368
+    with pytest.raises(ValueError, match="partitioned by"):
+        tables.merge_into(events(spark, (1, "x", day(1))), path, buckets=2)
+
+
+@pytest.mark.parametrize("bits_per_key", [1, 16])
+def test_places_are_exact_however_full_the_maps_are(spark, rows, tmp_path, monkeypatch, bits_per_key):
+    monkeypatch.setattr(places, "LEAST_BITS", 64)
+    monkeypatch.setattr(places, "BITS_PER_KEY", bits_per_key)
+    path, at = str(tmp_path / "t"), F.col("data_hora")
+    month = lambda k: datetime(2024, 1 + k % 12, 1)
+    random, held = Random(bits_per_key), {}
+    for turn in range(4):
+        batch = {random.randrange(300): (f"t{turn}", month(random.randrange(12))) for _ in range(80)}
+        tables.merge_into(events(spark, *[(k, *v) for k, v in batch.items()]), path, at=at)
+        held |= batch
+        assert rows(tables.read_table(spark, path), "id", "x", "data_hora") == sorted(((k, *v) for k, v in held.items()), key=repr)
+
+
+def test_older_versions_do_not_move_rows(spark, rows, tmp_path):
+    path, at = str(tmp_path / "t"), F.col("data_hora")
+    new = [(1, "new", datetime(2024, 3, 1), T1), (2, "new", datetime(2024, 3, 1), T0)]
+    old = [(1, "old", datetime(2024, 1, 1), T0), (2, "newer", datetime(2024, 5, 1), T1)]
+    for batch in (new, old):
+        tables.merge_into(spark.createDataFrame(batch, EVENT), path, at=at, newer_only=True)
+    assert rows(tables.read_table(spark, path), "id", "x") == [(1, "new"), (2, "newer")]
+    assert set(tables.live(spark, path).partitions) == {"2024-03", "2024-05"}
+
+
+def test_buckets_grow_with_the_first_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 10)
+    for n, want in ((1, 1), (10, 1), (11, 2), (95, 10)):
+        tables.merge_into(versioned(spark, range(n), "x"), str(tmp_path / str(n)))
+        assert tables.live(spark, str(tmp_path / str(n))).buckets == want
+
+
 def test_repeated_keys_are_refused(spark, tmp_path):
     with pytest.raises(merge.DuplicateKeyError):
         tables.merge_into(versioned(spark, [1, 1], "x"), str(tmp_path / "t"), dedupe=False)
