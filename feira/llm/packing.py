@@ -15,32 +15,32 @@ at least one length: there are at most as many kinds of bins as lengths.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import compress
-from operator import not_
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer, normalizers, pre_tokenizers
+from tokenizers import normalizers, pre_tokenizers
 
-from feira.llm.text import map_arrow
+from feira.llm.piece_cache import LONGEST, LOOKED_UP, Table, different, hashes, ranges
+from feira.llm.text import map_arrow, slices
 from feira.llm.tokens import load
 from feira.plans.tables import staged
 
 SEQUENCE = 2048
-CACHED = 400_000  # parts in each of a worker's two cache generations
-LONGEST = 64  # characters of a part that is kept in a cache
+TABLE_BITS = 18  # of the number of parts in a worker's table
+KEPT_IDS = 10  # of a part that is kept there; with the former, 16 MB
+TOGETHER = 64  # words that are encoded in one text
 WORD_END = "</w>"  # what the vocabulary writes at the last piece of a word
 MARKS = ".,;:!?"
-# Letters whose lower case is one letter and that no normalization joins to another.
-PLAIN = re.compile(f"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([{MARKS}]?)")
-CONTROL = re.compile("[\x1c-\x1f]")
-SEPARATOR = b"\0\0\0\0"  # id 0 ends a document
+MARK_NUMBER = np.array([MARKS.find(chr(b)) + 1 for b in range(256)])
+ASCII_UPPER = (np.arange(256) >= 0x41) & (np.arange(256) <= 0x5A)
+ASCII_LETTER = ASCII_UPPER | ((np.arange(256) >= 0x61) & (np.arange(256) <= 0x7A))
+BLANK = np.isin(np.arange(256), list(b" \t\n\r"))
 
 PIECE = T.StructType([
     T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -49,89 +49,151 @@ PIECE = T.StructType([
 
 
 class WordIds:
-    """Ids of a text as little-endian 32-bit bytes, by its blank-separated parts.
+    """Ids of texts, by their blank-separated parts.
 
-    The tokenizer's pattern matches no white space and its normalizer joins nothing over
-    it, so the ids of a text are those of its parts. Parts come from two cache generations
-    of bounded size. Of an unknown part that is a plain word, with or without a mark behind
-    it, only the lower-cased word is encoded; such words go to the tokenizer many in one
-    text, as the last id of each says so. Other parts are encoded one by one.
+    The tokenizer's pattern matches no blank and its normalizer joins nothing over one, so the
+    ids of a text are those of its parts, and those of a plain word with a mark behind it are
+    the word's and the mark's. Parts are looked up in a table of fixed size, all those of a
+    slice of texts at once, plain words in lower case. Unknown plain words go to the tokenizer
+    many in one text, as the last id of each says so; other parts are encoded one by one.
     """
 
-    def __init__(self, path: str) -> None:
-        self.tokenizer, self.young, self.old, self.cores = load(path), {}, {}, {}
+    def __init__(self, path: str, bits: int = TABLE_BITS) -> None:
+        self.tokenizer, self.table = load(path), Table(bits, KEPT_IDS)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        if not self.last.any():
-            raise ValueError(f"the vocabulary of {path} does not mark the ends of words")
-        self.marks = dict(zip(MARKS, self._encode(list(MARKS)))) | {"": b""}
+        if not self.last.any() or len(self._encode([" \t\n\r "])[0]):
+            raise ValueError(f"the vocabulary of {path} does not mark the ends of words, or blanks have ids")
+        self.marks = self._encode(["", *MARKS])
         # Plain words need neither the normalizer nor the splitting pattern.
-        self.bare = Tokenizer.from_str(self.tokenizer.to_str())
-        self.bare.normalizer = normalizers.Sequence([])
-        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+        self.full = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.bare = normalizers.Sequence([]), pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
         ])
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.asarray(e.ids, "<u4").tobytes()
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
-
-    def _encode_words(self, texts: list[str]) -> list[bytes]:
-        """As _encode, for texts of which each is one word to the tokenizer."""
-        out = []
-        for low in range(0, len(texts), 64):
-            some = texts[low:low + 64]
-            joined = self.bare.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.asarray(joined[0].ids, "<u4")
-            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
-            if len(ends) != len(some):
-                out += self._encode(some)
-                continue
-            data, start = ids.tobytes(), 0
-            for end in ends.tolist():
-                out.append(data[start:end])
-                start = end
-        return out
-
-    def _learn(self, unknown: list[str]) -> None:
-        plain, odd = [], []
-        for part in unknown:
-            m = PLAIN.fullmatch(part)
-            if m:
-                plain.append((part, m[1].lower(), m[2]))
-            else:
-                odd.append(part)
-        words = list({word for _, word, _ in plain}.difference(self.cores))
-        self.cores.update(zip(words, self._encode_words(words)))
-        self.young.update(zip(odd, self._encode(odd)))
-        cores, marks = self.cores, self.marks
-        self.young.update((part, cores[word] + marks[mark]) for part, word, mark in plain)
-        if len(cores) > CACHED:
-            self.cores = {}
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        # str.split() also parts at four control characters that are no white space.
-        cut = [[] if CONTROL.search(t) else t.split() for t in texts]
-        get = self.young.get
-        ids = [list(map(get, parts)) for parts in cut]
-        gaps = [list(compress(range(len(i)), map(not_, i))) for i in ids]
-        absent = {parts[k] for parts, gap in zip(cut, gaps) for k in gap}
-        again = {w: self.old[w] for w in absent if w in self.old}
-        self.young.update(again)
-        self._learn(list(absent.difference(again)))
-        for parts, i, gap in zip(cut, ids, gaps):
-            for k in gap:
-                i[k] = self.young[parts[k]]
-        out = [b"".join(i) if parts or not t else self._encode([t])[0] for t, parts, i in zip(texts, cut, ids)]
-        if len(self.young) > CACHED:
-            self.old = {w: i for w, i in self.young.items() if len(w) <= LONGEST}
-            self.young = {}
-        return out
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has."""
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(each)), np.uint32), np.array(list(map(len, each)), np.int64)
+
+    def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As _encode, for texts of which each is one plain word in lower case."""
+        all_ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.bare
+        try:
+            for low in range(0, len(texts), TOGETHER):
+                some = texts[low:low + TOGETHER]
+                ids, _ = self._encode([" ".join(some)])
+                ends = np.flatnonzero(self.last[ids]) + 1
+                own = (ids, np.diff(ends, prepend=0)) if len(ends) == len(some) else self._encode(some)
+                all_ids.append(own[0])
+                sizes.append(own[1])
+        finally:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.full
+        return np.concatenate(all_ids), np.concatenate(sizes)
+
+    def of(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, first): the ids of the texts data[offsets[i]:offsets[i + 1]] (UTF-8 bytes), each
+        with id 0 behind its last, and where those of each text start and the last ends."""
+        starts, ends = parts_of(data, offsets)
+        folded, plain, mark = plain_words(data, starts, ends)
+        size = ends - starts - (mark > 0)
+        # Of equal unknown parts one is encoded; long ones each.
+        fits = size <= LONGEST
+        short, long = np.flatnonzero(fits), np.flatnonzero(~fits)
+        keys = hashes(folded, starts[short], size[short])
+        slot = np.full(len(starts), -1)
+        slot[short] = found = self.table.find(keys)
+        missed = np.flatnonzero(found < 0)
+        one, number = different(keys[:, missed])
+        wanted = np.concatenate([short[missed[one]], long])
+        which = np.empty(len(starts), np.int64)  # of the wanted
+        which[short[missed]], which[long] = number, len(one) + np.arange(len(long))
+        raw, low, high = folded.tobytes(), starts[wanted], starts[wanted] + size[wanted]
+        parts = [raw[a:b].decode() for a, b in zip(low.tolist(), high.tolist())]
+        is_word = plain[wanted]
+        words, odd = np.flatnonzero(is_word), np.flatnonzero(~is_word)
+        found_words = self._encode_words([parts[i] for i in words])
+        found_odd = self._encode([parts[i] for i in odd])
+        new = np.empty(len(parts), np.int64)
+        new[words], new[odd] = found_words[1], found_odd[1]
+        ids, first = np.empty(int(new.sum()), np.uint32), np.cumsum(new) - new
+        copy(ids, first[words], *found_words, np.arange(len(words)))
+        copy(ids, first[odd], *found_odd, np.arange(len(odd)))
+        # Each part's ids in their place, then its mark's; one place is left behind each text.
+        known = slot >= 0
+        n = np.where(known, self.table.sizes[slot], 0).astype(np.int64)
+        n[~known] = new[which[~known]]
+        whole = n + self.marks[1][mark]
+        before = np.searchsorted(starts, offsets)
+        first = np.concatenate([[0], np.cumsum(whole)])[before] + np.arange(len(offsets))
+        to = np.cumsum(whole) - whole + np.repeat(np.arange(len(offsets) - 1), np.diff(before))
+        out = np.zeros(int(first[-1]), np.uint32)
+        _, at = ranges(to[known], n[known])
+        _, source = ranges(slot[known] * KEPT_IDS, n[known])
+        out[at] = self.table.values.ravel()[source]
+        copy(out, to[~known], ids, new, which[~known])
+        marked = np.flatnonzero(mark)
+        copy(out, to[marked] + n[marked], *self.marks, mark[marked])
+        kept = np.flatnonzero(new[:len(one)] <= KEPT_IDS)
+        values = np.zeros((len(kept), KEPT_IDS), np.uint32)
+        copy(values.ravel(), np.arange(len(kept)) * KEPT_IDS, ids, new, kept)
+        self.table.store(keys[:, missed[one[kept]]], new[kept], values)
+        return out, first
+
+
+def parts_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs without blanks of the texts start and end."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~BLANK[data]
+    start, end = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    cuts = offsets[(offsets > 0) & (offsets < len(data))]
+    cuts = cuts[inside[cuts] & inside[cuts + 1]]  # two texts that meet inside a run
+    start[cuts] = end[cuts] = True
+    return np.flatnonzero(start), np.flatnonzero(end)
+
+
+def plain_words(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(data with the letters of plain parts in lower case, whether each part is plain, the
+    number of the mark behind it or 0). A part is plain if it has no characters but letters
+    whose lower case is one letter and that no normalization joins to another: A-Z, a-z and
+    U+00C0 to U+00FF, in UTF-8 a byte 0xC3 and another, but for U+00D7 and U+00F7. One mark may
+    follow them."""
+    second = np.zeros(len(data), bool)
+    second[1:] = data[:-1] == 0xC3
+    letter = ASCII_LETTER[data] | (data == 0xC3) | (second & (data != 0x97) & (data != 0xB7))
+    others = np.concatenate([[0], np.cumsum(~letter)])
+    mark = MARK_NUMBER[data[ends - 1]]
+    core = ends - (mark > 0)
+    plain = (core > starts) & (others[core] == others[starts])
+    upper = ASCII_UPPER[data] | (second & (data < 0x9F) & (data != 0x97))
+    depth = np.zeros(len(data) + 1, np.int8)
+    depth[starts[plain]] += 1
+    depth[ends[plain]] -= 1
+    folded = data + ((upper & np.cumsum(depth[:-1], dtype=np.int8).astype(bool)).astype(np.uint8) << 5)
+    return folded, plain, np.where(plain, mark, 0)
+
+
+def copy(out: np.ndarray, to: np.ndarray, ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> None:
+    """Copy the chosen ones of runs of ids to their places in out."""
+    first = np.cumsum(sizes) - sizes
+    _, at = ranges(to, sizes[which])
+    _, source = ranges(first[which], sizes[which])
+    out[at] = ids[source]
+
+
+_word_ids: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The one WordIds of a worker."""
+    if path not in _word_ids:
+        _word_ids[path] = WordIds(path)
+    return _word_ids[path]
 
 
 def cut_pieces(
@@ -143,22 +205,20 @@ def cut_pieces(
     schema = T.StructType([keyed.schema[key], *PIECE])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, wide = WordIds(path), 4 * most
+        ids = word_ids(path)
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                some = batch.slice(low, 256)
-                rows, piece, start, length, crc = [], [], [], [], []
-                for row, data in enumerate(ids.of([t or "" for t in some.column(1).to_pylist()])):
-                    data += SEPARATOR
-                    for k, at in enumerate(range(0, len(data), wide)):
-                        part = data[at:at + wide]
-                        rows.append(row)
-                        piece.append(k)
-                        start.append(at // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
+            for low, high, data, offsets in slices(batch.column(1), LOOKED_UP):
+                own, first = ids.of(data, offsets)
+                own = own.astype("<u4", copy=False)
+                size = np.diff(first)
+                rows = np.repeat(np.arange(high - low), -(-size // most))
+                _, piece = ranges(np.zeros(high - low, np.int64), -(-size // most))
+                start = piece * most
+                length = np.minimum(size[rows] - start, most)
+                at = first[rows] + start
+                crc = [zlib.crc32(own[a:a + n]) for a, n in zip(at.tolist(), length.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()),
+                    [batch.column(0).take(pa.array(low + rows, pa.int64())), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      pa.array(crc, pa.int64())], schema.names,
                 )
@@ -289,7 +349,8 @@ def pack(
     """One row per piece: key, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null text counts as empty: its one piece is the closing 0 alone. Repeated rows are
-    packed each. Columns other than key and text are ignored, whatever their names; a null
-    key is kept. An empty table gives an empty result.
+    packed each. A very long text is tokenized by itself, by parts. Columns other than key and
+    text are ignored, whatever their names; a null key is kept. An empty table gives an empty
+    result.
     """
     return place(staged(cut_pieces(docs, path, key, column, most), "pieces"), most)

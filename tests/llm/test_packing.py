@@ -1,13 +1,18 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from feira.llm import packing
 from feira.llm.queries import QUERIES
+from feira.llm.text import slices
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -54,12 +59,42 @@ def test_short_sequences(frame, most):
     check(packing.pack(frame(ODD[:9], "doc_id long, text string"), PATH, most=most).collect(), ODD[:9], most)
 
 
-def test_small_caches(frame, monkeypatch):
-    words = packing.WordIds(PATH)
-    texts = [t or "" for _, t in ODD]
-    want = words.of(texts)
-    monkeypatch.setattr(packing, "CACHED", 3)
-    assert words.of(texts) == want == words.of(texts)
+@pytest.mark.parametrize("bits", [1, 4, packing.TABLE_BITS])
+def test_small_tables(bits):
+    """Parts that push each other out of their slots, or are never stored, keep their ids."""
+    words, texts = packing.WordIds(PATH, bits), [t or "" for _, t in ODD] * 2
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    for most in (1, 200, 1 << 20):
+        got = []
+        for _, _, data, offsets in slices(pa.array(texts, pa.string()), most):
+            ids, first = words.of(data, offsets)
+            got += [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])]
+        assert got == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aB1'é \n\t.\x0b\x1c\xa0ΣİK<|>"), max_size=20), max_size=5))
+def test_ids_of_any_text(texts):
+    words, tokenizer = packing.word_ids(PATH), packing.load(PATH)
+    for _, _, data, offsets in slices(pa.array(texts, pa.string()), 30):
+        ids, first = words.of(data, offsets)
+        for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
+            text = data[a:b].tobytes().decode()
+            assert ids[first[k]:first[k + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_memory_of_long_texts():
+    """A worker's table and one batch of 256 texts of 200 KB stay within 64 MB."""
+    rng = np.random.default_rng(1)
+    vocabulary = ["".join(rng.choice(list("aeioubdnst"), 7)) for _ in range(50_000)]
+    texts = pa.array([" ".join(rng.choice(vocabulary, 25_000)) for _ in range(256)], pa.string())
+    words = packing.word_ids(PATH)
+    tracemalloc.start()
+    for _, _, data, offsets in slices(texts, packing.LOOKED_UP):
+        words.of(data, offsets)
+    assert tracemalloc.get_traced_memory()[1] + words.table.nbytes() < 64 << 20
+    tracemalloc.stop()
 
 
 def test_empty_table(frame):
