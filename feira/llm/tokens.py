@@ -2,40 +2,41 @@
 
 The splitting pattern of byte-level tokenizers never joins text over a single blank
 between two visible characters, so a text may be cut before each such blank and its
-pieces counted apart. A first pass counts pieces map-side and sends only each task's most
-frequent ones; their token numbers become a table of bounded size that every worker gets.
-A second pass looks each piece up there, and has the tokenizer encode the misses, once
-for each worker, in a cache of bounded size. The tables only save work: every piece that
-is in neither is encoded, so counts are those of the library.
+pieces counted apart. Each piece is looked up in two tables by hash, all those of a slice of
+texts at once. The first holds the frequent pieces of a bounded sample of texts, is filled on
+the driver and broadcast; the second is a worker's own, of fixed size. The tokenizer encodes what is
+in neither, each different piece of a slice once. The tables only save work: counts are those
+of the library whatever they hold, and no piece is shuffled.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feira.llm.text import free_name, map_arrow
+from feira.llm.piece_cache import LONGEST, LOOKED_UP, Table, different, hashes
+from feira.llm.text import free_name, map_arrow, slices
 
 FREQUENT = 65_536  # pieces in the broadcast table
-SENT = 8_192  # pieces that a task of the first pass reports
-TRACKED = 400_000  # pieces a task counts at a time before it forgets the rare half
-CACHED = 200_000  # pieces in each of a worker's two cache generations
-LONGEST = 64  # characters of a piece that is kept in a table; longer ones are encoded anew
-
-# Blanks that the tokenizer's pattern may join over a cut at a single blank.
-_JOINED = re.compile(r"\s (?:\s|\Z)")
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+SHARED_BITS = 18  # of its slots; 5 MB
+TABLE_BITS = 18  # of the slots of a worker's table; 5 MB
+SAMPLE_ROWS = 1000  # texts in the sample of frequent pieces
+SAMPLE_CHARS = 10_000  # of each text there
 
 _loaded: dict[str, object] = {}
 
+# Bytes that may end or begin a blank character of more than one byte.
+_END = np.isin(np.arange(256), [0x80, *range(0x80, 0x8B), 0x85, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF])
+_BEFORE_END = np.isin(np.arange(256), [0xC2, 0x9A, 0x80, 0x81])
+_BEGIN = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+
 
 def load(path: str):
     """The tokenizer at path, loaded once in each worker, single-threaded."""
@@ -50,75 +51,102 @@ def load(path: str):
     return _loaded[path]
 
 
-def special_strings(path: str) -> re.Pattern | None:
+def special_strings(path: str) -> list[bytes]:
     """What the tokenizer takes out of a text before it splits it."""
-    added = [t.content for t in load(path).get_added_tokens_decoder().values()]
-    return re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-
-
-def pieces(text: str, special: re.Pattern | None) -> list[str]:
-    """Parts of text whose token numbers add up to the text's."""
-    if special is not None and special.search(text):
-        out = []
-        for k, part in enumerate(special.split(text)):
-            out += [part] if k % 2 else pieces(part, None)
-        return out
-    if _JOINED.search(text):
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + p for p in rest]]
-
-
-def frequent_pieces(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
-    """The most frequent pieces over all rows: (piece, n). Map-side counts, of which each
-    task sends a bounded number."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special, seen = special_strings(path), Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(pieces(text, special) if text else ())
-            if len(seen) > TRACKED:
-                seen = Counter(dict(seen.most_common(TRACKED // 2)))
-        top = [(p, n) for p, n in seen.most_common(SENT) if n > 1 and len(p) <= LONGEST]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
-            ["piece", "n"],
-        )
-
-    sent = map_arrow(docs.select(F.col(f"`{column}`")), count, "piece string, n long")
-    return sent.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(FREQUENT)
-
-
-class Lengths(dict):
-    """Token numbers of pieces: the shared table, and two generations of misses.
-
-    The older generation is dropped when the younger is full, so memory is bounded and
-    pieces that keep coming stay.
+    return [t.content.encode() for t in load(path).get_added_tokens_decoder().values()]
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of the texts data[offsets[i]:offsets[i + 1]] (UTF-8 bytes) start: at
+    each text's first byte, and at single blanks between characters that are surely visible."""
+    n = len(data)
+    cut = np.zeros(n, bool)
+    if n > 2:
+        before, after = data[:-2], data[2:]
+        seen = (before > 0x20) & (after > 0x20) & ~_BEGIN[after]
+        doubtful = _END[before]
+        doubtful[1:] &= _BEFORE_END[data[:-3]]
+        cut[1:-1] = (data[1:-1] == 0x20) & seen & ~doubtful
+    inner = offsets[(offsets > 0) & (offsets < n)]
+    cut[inner - 1] = False  # a blank that ends its text
+    cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(cut)
+
+
+def encoded_sizes(tokenizer, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The token numbers of pieces, by the tokenizer."""
+    raw, out = data.tobytes(), [np.empty(0, np.int64)]
+    for low in range(0, len(starts), 4096):
+        some = [raw[a:b].decode() for a, b in zip(starts[low:low + 4096].tolist(), ends[low:low + 4096].tolist())]
+        out.append(np.array([len(e) for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)], np.int64))
+    return np.concatenate(out)
+
+
+class Counter:
+    """Token numbers of texts, by a shared table and an own one."""
+
+    def __init__(self, path: str, shared: Table | None, bits: int = TABLE_BITS) -> None:
+        self.tokenizer, self.special = load(path), special_strings(path)
+        self.shared, self.own = shared or Table(0), Table(bits)
+
+    def of(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The token number of each text data[offsets[i]:offsets[i + 1]] (UTF-8 bytes)."""
+        starts = piece_starts(data, offsets)
+        raw = data.tobytes()
+        if any(s in raw for s in self.special):
+            # Texts with special strings are one piece.
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                if any(raw.find(s, a, b) >= 0 for s in self.special):
+                    starts = starts[(starts <= a) | (starts >= b)]
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        size = ends - starts
+        n = np.empty(len(starts), np.int64)
+        short = np.flatnonzero(size <= LONGEST)
+        keys = hashes(data, starts[short], size[short])
+        for table in (self.shared, self.own):
+            slot = table.find(keys)
+            known = slot >= 0
+            n[short[known]] = table.sizes[slot[known]]
+            short, keys = short[~known], keys[:, ~known]
+        one, number = different(keys)
+        long = np.flatnonzero(size > LONGEST)
+        wanted = np.concatenate([short[one], long])
+        new = encoded_sizes(self.tokenizer, data, starts[wanted], ends[wanted])
+        n[short], n[long] = new[number], new[len(one):]
+        self.own.store(keys[:, one], new[:len(one)])
+        total = np.concatenate([[0], np.cumsum(n)])
+        return np.diff(total[np.searchsorted(starts, offsets)])
+
+
+def frequent_pieces(docs: DataFrame, path: str, column: str = "text", most: int = FREQUENT) -> Table:
+    """The most frequent pieces of the first texts that Spark reads, with their token numbers.
+
+    At most SAMPLE_ROWS texts, of each at most SAMPLE_CHARS characters, reach the driver, from
+    as few partitions as hold that many.
     """
-
-    def __init__(self, path: str, table: dict[str, int]) -> None:
-        super().__init__(table)
-        self.table, self.tokenizer, self.young, self.old = table, load(path), {}, {}
-
-    def learn(self, wanted: set[str]) -> None:
-        """Make sure that the next lookups of wanted pieces hit."""
-        absent = wanted.difference(self.table).difference(self.young)
-        again = {piece: self.old[piece] for piece in absent if piece in self.old}
-        self.young.update(again)
-        unknown = list(absent.difference(again))
-        for low in range(0, len(unknown), 4096):
-            some = unknown[low:low + 4096]
-            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.young.update(zip(some, map(len, encoded)))
-
-    def settle(self) -> None:
-        for piece in [p for p in self.young if len(p) > LONGEST]:
-            del self.young[piece]
-        if len(self.young) > CACHED:
-            self.old, self.young = self.young, {}
-
-    def __missing__(self, piece: str) -> int:
-        return self.young[piece]
+    text = F.col(f"`{column}`")
+    rows = docs.select(F.substring(text, 1, SAMPLE_CHARS).alias("text")).where(F.length("text") > 0)
+    seen: dict[tuple[int, int], tuple[int, bytes]] = {}
+    texts = pa.array([r["text"] for r in rows.limit(SAMPLE_ROWS).collect()], pa.string())
+    for _, _, data, offsets in slices(texts, LOOKED_UP):
+        starts = piece_starts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        fits = ends - starts <= LONGEST
+        starts, ends, raw = starts[fits], ends[fits], data.tobytes()
+        keys = hashes(data, starts, ends - starts)
+        one, number = different(keys)
+        for i, n in zip(one.tolist(), np.bincount(number, minlength=len(one)).tolist()):
+            key = (int(keys[0, i]), int(keys[1, i]))
+            seen[key] = (seen[key][0] + n if key in seen else n, raw[starts[i]:ends[i]])
+    top = sorted(seen.items(), key=lambda x: (-x[1][0], x[1][1]))[:most]
+    table = Table(SHARED_BITS)
+    if top:
+        found = load(path).encode_batch_fast([piece.decode("utf-8", "replace") for _, (_, piece) in top], add_special_tokens=False)
+        table.store(np.array([k for k, _ in top], np.uint64).T.copy(), np.array([len(e) for e in found]))
+    return table
+
+
+_own_tables: dict[str, Table] = {}
 
 
 def count_tokens(
@@ -127,15 +155,11 @@ def count_tokens(
     """docs with n_bytes (UTF-8), n_tokens and over_limit in place of the text column.
 
     A null text counts as empty: no bytes, no tokens. Strings of special tokens inside a
-    text count as one token, as the library has it. Repeated rows are counted each; extra
-    columns pass through, but for those named like the three new ones, which are replaced.
-    An empty table gives an empty result.
+    text count as one token, as the library has it. A very long text is a slice of its own.
+    Repeated rows are counted each; extra columns pass through, but for those named like the
+    three new ones, which are replaced. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    top = frequent_pieces(docs, path, column).limit(frequent)
-    known = [r.piece for r in top.select("piece").collect()]  # at most FREQUENT
-    encoded = load(path).encode_batch_fast(known, add_special_tokens=False)
-    table = spark.sparkContext.broadcast({p: len(e) for p, e in zip(known, encoded)})
+    table = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, path, column, frequent))
     new = T.StructType.fromDDL("n_bytes long, n_tokens long, over_limit boolean")
     kept = [c for c in docs.columns if c != column and c.lower() not in new.names]
     carried = docs.select(
@@ -144,21 +168,15 @@ def count_tokens(
     schema = T.StructType([*carried.schema[:-1], *new])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special, lengths = special_strings(path), Lengths(path, table.value)
-        get = lengths.__getitem__
+        counter = Counter(path, table.value)
+        counter.own = _own_tables.setdefault(path, counter.own)
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                some = batch.slice(low, 256)
-                texts = some.column(some.num_columns - 1)
-                texts = texts.fill_null("")
-                cut = [pieces(t, special) if t else [] for t in texts.to_pylist()]
-                lengths.learn(set().union(*cut))
-                n = pa.array([sum(map(get, p)) for p in cut], pa.int64())
-                lengths.settle()
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns[:-1], pc.binary_length(texts).cast(pa.int64()), n,
-                     pc.greater(n, limit)],
-                    schema.names,
-                )
+            texts = batch.column(batch.num_columns - 1).fill_null("")
+            n = [counter.of(data, offsets) for _, _, data, offsets in slices(texts, LOOKED_UP)]
+            n = pa.array(np.concatenate([np.empty(0, np.int64), *n]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pc.binary_length(texts).cast(pa.int64()), n, pc.greater(n, limit)],
+                schema.names,
+            )
 
     return map_arrow(carried, count, schema)

@@ -1,4 +1,8 @@
+import tracemalloc
+
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -6,6 +10,7 @@ from tokenizers import Tokenizer
 
 from feira.llm import tokens
 from feira.llm.queries import QUERIES
+from feira.llm.text import slices
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -48,22 +53,43 @@ def test_all_documents(spark, sf_dir, table):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "a", "b1", "é", "'s", ".", "<|endoftext|>", " ", "\x1c"]), max_size=14))
-def test_pieces_add_up(parts):
-    tokenizer, text = tokens.load(PATH), "".join(parts)
-    encode = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
-    cut = tokens.pieces(text, tokens.special_strings(PATH))
-    assert "".join(cut) == text
-    assert sum((encode(p) for p in cut), []) == encode(text)
-
-
-def test_bounded_caches(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHED", 2)
-    lengths = tokens.Lengths(PATH, {"a": 1})
-    for text in ("a b c d e", "b zz yy", "a b " + "w" * 100):
-        cut = tokens.pieces(text, None)
-        lengths.learn(set(cut))
-        want = len(tokens.load(PATH).encode(text, add_special_tokens=False).ids)
-        assert sum(map(lengths.__getitem__, cut)) == want
-        lengths.settle()
-        assert len(lengths.young) <= 2
+@given(st.lists(st.text(st.sampled_from(" \n\ta1é's.\x1c\x85\xa0\u2003\u3000日“"), max_size=14), max_size=4))
+def test_pieces_add_up(texts):
+    encode = lambda t: tokens.load(PATH).encode(t, add_special_tokens=False).ids
+    for _, _, data, offsets in slices(pa.array(texts, pa.string()), 40):
+        starts = tokens.piece_starts(data, offsets)
+        ends = [*starts[1:], len(data)]
+        for a, b in zip(offsets[:-1], offsets[1:]):
+            own = [data[s:e].tobytes().decode() for s, e in zip(starts, ends) if a <= s < b]
+            text = data[a:b].tobytes().decode()
+            assert "".join(own) == text
+            assert sum((encode(p) for p in own), []) == encode(text)
+
+
+@pytest.mark.parametrize("bits", [1, 3, tokens.TABLE_BITS])
+def test_small_tables(bits):
+    """Pieces that push each other out of their slots keep their numbers."""
+    texts = [t or "" for _, t in ODD] * 2
+    want = [len(tokens.load(PATH).encode(t, add_special_tokens=False).ids) for t in texts]
+    for most in (1, 300, 1 << 20):
+        counter = tokens.Counter(PATH, None, bits)
+        got = [n for _, _, d, o in slices(pa.array(texts, pa.string()), most) for n in counter.of(d, o).tolist()]
+        assert got == want
+
+
+def test_no_shuffle(spark, frame):
+    df = tokens.count_tokens(frame(ODD, "doc_id long, text string"), PATH)
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_memory_of_long_texts():
+    """A worker's tables and one batch of 256 texts of 200 KB stay within 48 MB."""
+    rng = np.random.default_rng(1)
+    vocabulary = ["".join(rng.choice(list("aeioubdnst"), 7)) for _ in range(50_000)]
+    texts = pa.array([" ".join(rng.choice(vocabulary, 25_000)) for _ in range(256)], pa.string())
+    counter = tokens.Counter(PATH, tokens.Table(tokens.SHARED_BITS))
+    tracemalloc.start()
+    for _, _, data, offsets in slices(texts, tokens.LOOKED_UP):
+        counter.of(data, offsets)
+    assert tracemalloc.get_traced_memory()[1] + counter.own.keys.nbytes + counter.shared.keys.nbytes < 48 << 20
+    tracemalloc.stop()
