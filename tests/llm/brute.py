@@ -176,3 +176,16 @@ def infilled(key, text: str | None) -> tuple:
     if h4 % 100 < 20:
         return key, n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
     return key, n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def without_templates(pages: list[list[str]], many: int, least: float) -> list[list[str]]:
+    """The blocks of each page of a host without its templates; a page is a list of blocks."""
+    different = {tuple(p) for p in pages}
+    recurring = {b for p in different for b in p if sum(b in q for q in different) >= many}
+    votes = defaultdict(set)
+    for p in different:
+        own = [b for b in p if b not in recurring]
+        if own and sum(map(len, own)) >= least * sum(map(len, p)):
+            for b in recurring.intersection(p):
+                votes[b].add(tuple(own))
+    return [[b for b in p if len(votes[b]) < many] for p in pages]

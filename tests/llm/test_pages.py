@@ -1,9 +1,11 @@
 import html
+import random
 import re
 
+import brute
 import pytest
 
-from feira.llm.pages import Page, main_text
+from feira.llm.pages import MANY, OWN, Page, main_text
 from feira.llm.queries import QUERIES
 
 SCHEMA = "page_id long, url string, html string"
@@ -78,6 +80,65 @@ def test_templates_of_a_large_host(frame):
     assert got[300] == "section 0\ntext 0\npair 0"
 
 
+PARAGRAPHS = "<p>The bridge was built in three years.</p><p>It carries two tracks, and a path for walkers.</p>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h1>Bridge</h1><div class='body'>{PARAGRAPHS}</div></article><footer>%d</footer>",
+     "Bridge\nThe bridge was built in three years.\nIt carries two tracks, and a path for walkers."),
+    (f"<article><h1>Bridge</h1><ul><li>arch<li>steel</ul><table><tr><td>1</table></article><footer>%d</footer>",
+     "Bridge\narch\nsteel\n1"),
+    (f"<div id='content'><h1>Bridge</h1><div class='body'>{PARAGRAPHS}</div></div><footer>%d</footer>",
+     "Bridge\nThe bridge was built in three years.\nIt carries two tracks, and a path for walkers."),
+    (f"<div id='content'><h1>Bridge</h1><div class='body'>{PARAGRAPHS}</div></div><div>print %d</div>",
+     "Bridge\nThe bridge was built in three years.\nIt carries two tracks, and a path for walkers.\nprint %d"),
+    (f"<div><main>{PARAGRAPHS}</main></div><div>%d</div>",
+     "The bridge was built in three years.\nIt carries two tracks, and a path for walkers."),
+])
+@pytest.mark.parametrize("copies", [5, 12])
+def test_near_copies_keep_their_text(frame, page, text, copies):
+    """Copies of an article on one host, whose pages differ in a footer, and other pages there."""
+    rows = [(i, f"http://h.com/{i}", f"<body><div><b>Menu</b> home about</div>{page.replace('%d', str(i))}") for i in range(copies)]
+    rows += [(100 + i, f"http://h.com/x{i}", f"<body><div><b>Menu</b> home about</div><div><p>Own text of page {i}, and more of it"
+              f"</div><div>All rights reserved</div>") for i in range(8)]
+    got = {r.page_id: r.text for r in main_text(frame(rows, SCHEMA)).collect()}
+    for i in range(copies):
+        assert got[i] == text.replace("%d", str(i))
+    assert all(got[100 + i] == f"Own text of page {i}, and more of it" for i in range(8))
+
+
+def test_random_hosts(frame):
+    """Pages without any markup of an article, against a plain count."""
+    rng = random.Random(5)
+    shared = ["home about contact", "we use cookies here", "all rights reserved", "top stories of today", "follow us on"]
+    hosts = {}
+    for h in range(6):
+        pages = []
+        for i in range(rng.randint(3, 14)):
+            blocks = rng.sample(shared, rng.randint(1, len(shared)))
+            blocks.insert(rng.randint(0, len(blocks)), f"text number {rng.randint(0, 9)} of host {h}" * rng.choice([1, 4]))
+            pages.append(blocks)
+        pages += [list(pages[0]) for _ in range(rng.choice([0, 6]))]
+        hosts[f"h{h}.com"] = pages
+    rows = [
+        (f"{name}/{i}", f"https://{name}/{i}", "".join(f"<div>{b}</div>" for b in blocks))
+        for name, pages in hosts.items() for i, blocks in enumerate(pages)
+    ]
+    got = {r.page_id: r.text for r in main_text(frame(rows, SCHEMA.replace("long", "string"))).collect()}
+    want = {}
+    for name, pages in hosts.items():
+        for i, kept in enumerate(brute.without_templates(pages, MANY, OWN)):
+            want[f"{name}/{i}"] = "\n".join(kept)
+    assert got == want and any(len(t.split("\n")) == 1 for t in want.values()) and any("\n" in t for t in want.values())
+
+
+def test_batches_are_cut_by_bytes(frame):
+    long = "<div><p>" + "many words " * 100_000 + "</p></div>"
+    rows = [(i, f"http://h.com/{i}", long if i % 2 else f"<p>{i}") for i in range(6)]
+    got = {r.page_id: r.n_chars for r in main_text(frame(rows, SCHEMA)).collect()}
+    assert got == {i: 1_099_999 if i % 2 else 1 for i in range(6)}
+
+
 def test_empty_table(frame):
     assert main_text(frame([], SCHEMA)).count() == 0
 
