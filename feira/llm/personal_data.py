@@ -2,8 +2,9 @@
 maximisation estimates how far to trust each, and a span classifier decides.
 
 One pass over the texts finds candidates: the four base kinds, which are always reported,
-and looser shapes (local telephone numbers, account and social security numbers, disguised
-mail addresses). For each, labelers of three sorts vote yes, no or not at all: patterns and
+and looser shapes (credentials, account numbers, local telephone numbers, international account
+and social security numbers, disguised mail addresses, street addresses, names behind titles),
+of which many are something else. For each, labelers of three sorts vote yes, no or not at all: patterns and
 check digits, gazetteers, and the words around the span. The votes and a few coarse features
 make a pattern; Spark counts the patterns, whose number does not depend on the data, and on
 those counts the labelers' reliabilities are estimated and the classifier is fitted.
@@ -13,9 +14,11 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import accumulate
+from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feira.llm.text import free_name, map_arrow
+from feira.llm.text import free_name, map_arrow, small_batches
 from feira.plans.tables import staged
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "mail", "local_phone", "iban", "ssn")
+KINDS = (*BASE, "mail", "local_phone", "iban", "ssn", "secret", "account", "address", "name")
 ACCEPT = 0.9  # probability from which a span is added to the base ones
 AROUND = 40  # characters of context on either side
 NEAR = 80  # characters within which a base span supports a candidate
@@ -44,6 +47,15 @@ MAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?[\[(]at[\])] ?[A-Za-z0-9-
 LOCAL_PHONE = re.compile(r"(?<![0-9.+/-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{4}(?![0-9.-]?[0-9])")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{16,512}={0,2}")
+ACCOUNT = re.compile(r"(?<![0-9.+,/-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9.,/-]?[0-9])")
+ADDRESS = re.compile(
+    r"(?<![0-9.,])[0-9]{1,5},? (?:(?:[A-Z][\w'-]{1,20} ){1,3}(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd|Square)\b"
+    r"|(?:rue|avenue|boulevard|place) (?:d[eu] |des |de la )?[A-Z][\w'-]{1,20})")
+STREET = re.compile(r"(?:\b[A-Z]\w{2,20}(?:straße|strasse|weg|platz)|\b(?:[Cc]alle|[Aa]venida|[Pp]laza) (?:de(?: la)? )?[A-Z]\w{1,20},?) [0-9]{1,5}\b")
+NAME = re.compile(
+    r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra|Señora?|Monsieur|Madame)\.? [A-ZÀ-ÖØ-Þ][\w'-]{1,20}(?: [A-ZÀ-ÖØ-Þ][\w'-]{1,20})?")
+TITLES = ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr", "Señor", "Monsieur", "Madame")
 
 # Gazetteers: common top-level domains; countries with account numbers and their lengths;
 # first digits of payment cards.
@@ -61,6 +73,12 @@ CUES = re.compile(
 COUNTER_CUES = re.compile(
     r"(?:\b(?:version|release|section|page|pages|isbn|issn|doi|vol|volume|no|nr|order|article|fig|figure|table|chapter)\b"
     r"\.?|[$€£#%=])\s*$", re.I)
+SECRET_STARTS = re.compile(r"AKIA[0-9A-Z]{16}$|gh[pousr]_|github_pat_|xox[abprs]-|[sr]k_(?:live|test)_|eyJ[A-Za-z0-9_-]{10}|AIza|glpat-|npm_|ya29")
+SECRET_CUES = re.compile(
+    r"\b(?:[a-z0-9]+[_-])*(?:token|secret|password|passwd|pwd|passphrase|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth"
+    r"|authorization|bearer|credentials?)[\"']?(?:\s*(?:[:=]|=>|is)\s*|\s+)[\"']?$", re.I)
+SECRET_COUNTER_CUES = re.compile(
+    r"(?:\b(?:sha-?[0-9]*|md5|commit|revision|checksum|digest|hash|etag|uuid|id|integrity)\b[\"']?\s*[:=]?\s*[\"']?|https?://\S*|[#@&?])$", re.I)
 LABELERS = ("shape", "check", "gazetteer", "cue", "counter_cue", "neighbour")
 
 CANDIDATE = (
@@ -116,8 +134,13 @@ def loose_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int,
     found = []
     if "at]" in text or "at)" in text:
         found += [(m.start(), m.end(), "mail") for m in MAIL.finditer(text)]
-    for kind, pattern in (("iban", IBAN), ("ssn", SSN), ("local_phone", LOCAL_PHONE)):
+    for kind, pattern in (
+        ("iban", IBAN), ("ssn", SSN), ("local_phone", LOCAL_PHONE), ("account", ACCOUNT), ("address", ADDRESS),
+        ("address", STREET), ("secret", SECRET),
+    ):
         found += [(m.start(), m.end(), kind) for m in pattern.finditer(text)]
+    if any(t in text for t in TITLES):
+        found += [(m.start(), m.end(), "name") for m in NAME.finditer(text)]
     # Base spans by start, and how far those up to each reach.
     starts = [s for s, _, _ in taken]
     reach = list(accumulate((e for _, e, _ in taken), max))
@@ -135,6 +158,12 @@ def iban_valid(s: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def entropy(s: str) -> float:
+    """Bits of a character of s, by its own counts."""
+    counts = Counter(s)
+    return -sum(n / len(s) * log2(n / len(s)) for n in counts.values())
+
+
 def votes(text: str, start: int, end: int, kind: str, supported: bool) -> tuple[int, ...]:
     """A vote of each of LABELERS: 1 personal data, -1 not, 0 no vote."""
     span, before = text[start:end], text[max(0, start - AROUND):start]
@@ -161,10 +190,21 @@ def votes(text: str, start: int, end: int, kind: str, supported: bool) -> tuple[
         check = 1 if iban_valid(span) else -1
     elif kind == "ssn":
         check = -1 if d[:3] in ("000", "666") or d[0] == "9" or d[3:5] == "00" or d[5:] == "0000" else 1
+    elif kind == "secret":
+        # Words joined by marks repeat letters less evenly than random characters do.
+        check = 1 if entropy(span) >= 3 and len(d) * 8 >= len(span) else -1
+        gazetteer = 1 if SECRET_STARTS.match(span) else 0
+    elif kind == "account":
+        check = 1 if len(set(d)) > 4 else -1
+        gazetteer = 1 if len(d) == 16 and CARD_STARTS.match(d) else 0
+    elif kind == "name":
+        check = -1 if span.isupper() else 0
+    if kind == "secret":
+        cue, counter_cue = SECRET_CUES.search(before), SECRET_COUNTER_CUES.search(before)
+    else:
+        cue, counter_cue = CUES.search(before) or CUES.match(after.lstrip()), COUNTER_CUES.search(before)
     return (
-        -1 if glued else 1, check, gazetteer,
-        1 if CUES.search(before) or CUES.match(after.lstrip()) else 0,
-        -1 if COUNTER_CUES.search(before) else 0, 1 if supported else 0,
+        -1 if glued else 1, check, gazetteer, 1 if cue else 0, -1 if counter_cue else 0, 1 if supported else 0,
     )
 
 
@@ -195,8 +235,7 @@ def candidates(docs: DataFrame, keep: list[str], column: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                some = batch.slice(low, 512)
+            for some in small_batches(batch, batch.num_columns - 1):
                 found = [find(t) if t else [] for t in some.column(some.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns[:-1], pa.array(found, arrow)], schema.names
@@ -209,6 +248,7 @@ def candidates(docs: DataFrame, keep: list[str], column: str) -> DataFrame:
 class Model:
     reliabilities: dict[str, tuple[float, float]]  # share of right votes among yes and no votes
     accepted: list[str]  # patterns that are personal data
+    spans: dict[str, tuple[int, int]] = field(default_factory=dict)  # of each added kind: accepted, rejected
 
 
 def expectation_maximisation(v: np.ndarray, n: np.ndarray, steps: int = 50) -> tuple[np.ndarray, np.ndarray]:
@@ -269,7 +309,12 @@ def train(found: DataFrame) -> Model:
     }
     # A span needs a labeler that speaks for it beyond its mere shape.
     spoken = (v[:, 1:] > 0).any(1)
-    return Model(right, [r[0] for r, a, s in zip(rows, q, spoken) if s and a >= ACCEPT])
+    yes = spoken & (q >= ACCEPT)
+    spans = {
+        kind: tuple(int(n[[k == kind and y == wanted for k, y in zip(kinds, yes)]].sum()) for wanted in (True, False))
+        for kind in KINDS if kind in kinds and kind not in BASE
+    }
+    return Model(right, [r[0] for r, y in zip(rows, yes) if y], spans)
 
 
 def accepted(model: Model, found: Column) -> Column:
@@ -281,7 +326,7 @@ def personal_data(docs: DataFrame, keep: list[str], column: str = "text") -> Dat
     """The keep columns of each document with spans: array of start, rank (place of the
     kind in KINDS), end, kind, base, pattern, by start and then rank, in code points.
 
-    A null text has no spans. Repeated rows are searched each; other columns are ignored,
+    A null text has no spans. A very long text is searched by itself. Repeated rows are searched each; other columns are ignored,
     whatever their names; a kept column named spans gives way. An empty table gives an
     empty result.
     """
@@ -318,8 +363,8 @@ def mask(docs: DataFrame, column: str = "text", length: str = "n_chars") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                columns = list(batch.slice(low, 512).columns)
+            for some in small_batches(batch, at):
+                columns = list(some.columns)
                 old = columns[at].to_pylist()
                 new = [masked(t, known) if t else t for t in old]
                 columns[at] = pa.array(new, columns[at].type)

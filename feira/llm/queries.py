@@ -91,6 +91,7 @@ def op8_personal_data(spark, sf):
         ],
         F.sha2(personal_data.listed(base), 256).alias("base_sha256"),
         personal_data.listed(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
