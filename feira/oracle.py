@@ -333,6 +333,36 @@ _SAME_TEXT = "s.nome = d.nome AND s.categoria = d.categoria AND s.fornecedor = d
 SQL["scd2_products"] = _scd2(f"s.id = d.id AND {_SAME_TEXT}", "s.preco <> d.preco")
 SQL["scd2_products_strict"] = _scd2("s.id = d.id", f"s.preco <> d.preco OR NOT ({_SAME_TEXT})")
 
+
+
+def _deliveries(same: str, differs: str) -> str:
+    """Four snapshots, applied one by one."""
+    old = "p_partkey AS id, p_name AS nome, p_type AS categoria, p_brand AS fornecedor"
+    price = "CAST(p_retailprice AS DECIMAL(10,2)) AS preco"
+    second = "CAST(CASE WHEN p_size >= 40 THEN 2 ELSE 1 END * CAST(p_retailprice AS DECIMAL(10,2)) AS DECIMAL(10,2)) AS preco"
+    renamed = "CASE WHEN p_brand = 'Brand#7' THEN p_name || ' plus' ELSE p_name END AS nome"
+    kept = "WHERE NOT (p_type = 'PROMO' AND p_size < 5)"
+    steps = [
+        f"s1 AS (SELECT {old}, {price} FROM part WHERE p_brand <> 'Brand#5')",
+        f"s2 AS (SELECT {old.replace('p_name AS nome', renamed)}, {second} FROM part {kept})",
+        f"s3 AS (SELECT {old}, {second} FROM part {kept})",
+        f"s4 AS (SELECT {old}, CAST(p_retailprice + CASE WHEN p_size < 20 THEN 1 ELSE 0 END AS DECIMAL(10,2)) AS preco FROM part)",
+        "d1 AS (SELECT *, TIMESTAMP '2025-01-01' AS start_date, CAST(NULL AS TIMESTAMP) AS end_date, TRUE AS is_current FROM s1)",
+    ]
+    for k, day in ((2, "08"), (3, "15"), (4, "22")):
+        steps += [
+            f"m{k} AS (SELECT s.*, d.id IS NOT NULL AS held, d.id IS NOT NULL AND ({differs}) AS changed "
+            f"FROM s{k} s LEFT JOIN (SELECT * FROM d{k - 1} WHERE is_current) d ON {same})",
+            f"d{k} AS (SELECT id, nome, categoria, fornecedor, preco, start_date, "
+            f"CASE WHEN closes THEN TIMESTAMP '2025-01-{day}' ELSE end_date END AS end_date, is_current AND NOT closes AS is_current "
+            f"FROM (SELECT *, is_current AND id IN (SELECT id FROM m{k} WHERE changed) AS closes FROM d{k - 1}) "
+            f"UNION ALL SELECT id, nome, categoria, fornecedor, preco, TIMESTAMP '2025-01-{day}', NULL, TRUE FROM m{k} WHERE changed OR NOT held)",
+        ]
+    return f"WITH {', '.join(steps)} SELECT * FROM d4"
+
+
+SQL["scd2_from_deliveries"] = _deliveries(f"s.id = d.id AND {_SAME_TEXT}", "s.preco <> d.preco")
+SQL["scd2_from_deliveries_strict"] = _deliveries("s.id = d.id", f"s.preco <> d.preco OR NOT ({_SAME_TEXT})")
 SQL["scd2_stored_history"] = SQL["scd2_products"]
 
 # --- files, tables and jobs -----------------------------------------------------

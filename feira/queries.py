@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from feira import entities as E
 from feira.functions import calendar
 from feira.operators import (
-    analytics, clicks, constraints, copurchase, expectations, fact, features, increment, merge,
+    analytics, clicks, constraints, copurchase, expectations, fact, features, history, increment, merge,
     metrics, pii, row_rules, scd2,
 )
 from feira.plans import (
@@ -461,6 +461,45 @@ def scd2_stored_history(spark, sf):
     return _plain_times(dimension.read_dimension(spark, path))
 
 
+def _product_snapshots(spark, sf):
+    """Four snapshots: one without a supplier; with that, new prices and names, and some gone;
+    the old names back; and all as at first, some dearer."""
+    first, second = _dim_and_snapshot(spark, sf)
+    columns = ["id", "nome", "categoria", "fornecedor", "preco"]
+    parts = E.produtos(spark, sf)
+    third = second.drop("nome").join(parts.select("id", "nome"), "id")
+    dearer = F.when(F.col("tamanho") < 20, F.col("preco") + 1).otherwise(F.col("preco")).cast(PRICE)
+    fourth = parts.withColumn("preco", dearer)
+    return {day: df.select(*columns) for day, df in zip((1, 8, 15, 22), (first, second, third, fourth))}
+
+
+def _land_products(spark, sf, root):
+    """The snapshots land by day, the second of them last."""
+    others = {n: spark.createDataFrame([], "id string") for n in ("clientes", "transacoes")}
+    snapshots = _product_snapshots(spark, sf)
+    for day in sorted(snapshots, key=lambda d: (d == 8, d)):
+        landing.land({"produtos": snapshots[day], **others}, root, date(2025, 1, day), landing.version_tag(datetime(2025, 1, day)))
+
+
+def _history_from_deliveries(spark, sf, strict):
+    root = scratch_path(spark, "landing")
+    _land_products(spark, sf, root)
+    landed = landing.landed_versions(spark, root, "produtos", ["id", "nome", "categoria", "fornecedor", "preco"])
+    typed = landed.withColumns({"id": F.col("id").cast("bigint"), "preco": F.col("preco").cast(PRICE)})
+    return _plain_times(history.history(typed, "landed_at", strict))
+
+
+@job
+def scd2_from_deliveries(spark, sf):
+    """The dimension from all landed versions of the products at once, one of which came late."""
+    return _history_from_deliveries(spark, sf, False)
+
+
+@job
+def scd2_from_deliveries_strict(spark, sf):
+    return _history_from_deliveries(spark, sf, True)
+
+
 # --- files, tables and jobs --------------------------------------------------------
 
 

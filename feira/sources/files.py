@@ -5,7 +5,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ def missing_as_file_not_found():
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, header: list[str], multi_line: bool = False
+    spark: SparkSession, path: str | list[str], header: list[str], multi_line: bool = False
 ) -> DataFrame:
     """Every field as text, for the row rules. Malformed lines are kept and marked.
 
@@ -57,14 +57,17 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
         return spark.read.options(**DIALECT, recursiveFileLookup=True).csv(path).columns
 
 
-def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Every field as text, in columns by the file's header. A line that does not have as many
-    fields as the header raises when it is read."""
-    header = read_header(spark, path)
+def read_text_csv(
+    spark: SparkSession, path: str | list[str], header: list[str] | None = None, *more: Column, multi_line: bool = False
+) -> DataFrame:
+    """Every field as text, in columns by the files' header (read from path, if not given), and
+    more columns, of the file. A line that does not have as many fields as the header raises
+    when it is read."""
+    header = header or read_header(spark, path)
     raw = read_raw_csv(spark, path, header, multi_line)
     line = F.concat(F.lit("malformed line: "), F.col(CORRUPT))
-    checked = raw.withColumn(header[0], F.when(F.col(CORRUPT).isNull(), F.col(header[0])).otherwise(F.raise_error(line)))
-    return checked.select(*header)
+    first = F.when(F.col(CORRUPT).isNull(), F.col(f"`{header[0]}`")).otherwise(F.raise_error(line))
+    return raw.select(first.alias(header[0]), *[F.col(f"`{c}`") for c in header[1:]], *more)
 
 
 def read_entity_csv(
@@ -74,7 +77,7 @@ def read_entity_csv(
 
     Columns go by the file's header: extra ones are dropped, missing ones raise.
     """
-    return conform(read_text_csv(spark, path, multi_line), table)
+    return conform(read_text_csv(spark, path, multi_line=multi_line), table)
 
 
 def list_folders(spark: SparkSession, path: str) -> list[str]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.schemas import MissingColumnsError
-from feira.sources.files import list_folders, read_text_csv, write_csv
+from feira.sources.files import list_folders, read_header, read_text_csv, write_csv
 
 # Folder names of the landed entities, and the version-tag format.
 LANDED = {"clientes": "customers", "produtos": "products", "transacoes": "transactions"}
@@ -73,3 +73,28 @@ def read_landed_day(
     spark: SparkSession, root: str, day: date, headers: dict[str, list[str]], pick: str = "last"
 ) -> dict[str, DataFrame]:
     return {name: read_landed(spark, root, day, name, headers[name], pick) for name in LANDED}
+
+
+def landed_versions(spark: SparkSession, root: str, table: str, columns: list[str]) -> DataFrame:
+    """All versions of an entity that ever landed, all text, with the time of each as
+    `landed_at`. Columns go by the header of each version."""
+    found: dict[tuple[str, ...], list[str]] = {}  # header -> folders
+    for year in list_folders(spark, f"{root}/raw"):
+        for month in list_folders(spark, f"{root}/raw/{year}"):
+            for day in list_folders(spark, f"{root}/raw/{year}/{month}"):
+                folder = f"{root}/raw/{year}/{month}/{day}/{LANDED[table]}"
+                for version in list_folders(spark, folder):
+                    header = tuple(read_header(spark, f"{folder}/{version}"))
+                    found.setdefault(header, []).append(f"{folder}/{version}")
+    if not found:
+        raise FileNotFoundError(f"no landed version of {table} under {root}")
+    rows = None
+    tag = F.regexp_extract("_metadata.file_path", "/version=([^/]+)/", 1)
+    for header, folders in found.items():
+        missing = sorted(set(columns) - set(header))
+        if missing:
+            raise MissingColumnsError(f"{table}: missing required columns {missing}")
+        one = read_text_csv(spark, folders, list(header), F.to_timestamp_ntz(tag, F.lit("yyyyMMdd'T'HHmmss'Z'")).alias("landed_at"))
+        one = one.select(*columns, "landed_at")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows

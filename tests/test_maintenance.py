@@ -5,7 +5,7 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from feira.operators import increment, merge, scd2
+from feira.operators import history, increment, merge, scd2
 from feira.plans import dimension, incremental, places, tables
 from feira.schemas import DIM_PRODUCTS
 
@@ -282,3 +282,22 @@ def test_stored_dimension_never_rewrites_history(spark, rows, tmp_path):
     ], key=repr)
     last = spark.read.parquet(str(path / "snapshots/version=3"))
     assert last.count() == 3  # two current rows and the one closed in that run
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_history_equals_snapshots_one_by_one(spark, rows, strict):
+    """Ids that come, change names and prices, go and come back; missing values; late snapshots."""
+    random, snapshots = Random(7), []
+    for day in range(1, 7):
+        made = [
+            (i, random.choice("ab"), random.choice(["c", "c", "c", None]), "f", random.choice([D("1.00"), D("2.00"), None]))
+            for i in range(1, 60) if random.random() < 0.8
+        ]
+        snapshots.append((datetime(2025, 1, day), [*made, (None, "a", "c", "f", D("1.00"))]))
+    schema = "id long, nome string, categoria string, fornecedor string, preco decimal(10,2)"
+    dim = spark.createDataFrame([], DIM_PRODUCTS)
+    for as_of, made in snapshots:
+        dim = scd2.apply_scd2(dim, spark.createDataFrame(made, schema), F.lit(as_of), strict)
+    late = snapshots[::2] + snapshots[1::2]
+    landed = spark.createDataFrame([(*r, t) for t, made in late for r in made], f"{schema}, at timestamp")
+    assert rows(history.history(landed, "at", strict)) == rows(dim)
