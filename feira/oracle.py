@@ -211,7 +211,7 @@ SQL["row_violations"] = f"WITH {DIRTY}\n" + "\nUNION ALL ".join(_VIOLATIONS)
 
 # Files of one length of id each, rows by id; some lines are a field too wide or too narrow.
 _FILES = {
-    "dc": ("clientes", "id nome email data_registo distrito", "distrito = 'BRAZIL'", "distrito = 'CANADA'"),
+    "dc": ("clientes", "id nome email data_registo distrito", "distrito = 'NATION_3'", "distrito = 'NATION_4'"),
     "dp": ("produtos", "id nome categoria preco fornecedor", "fornecedor = 'Brand#3'", "fornecedor = 'Brand#4'"),
     "dt": ("transacoes", "id id_cliente id_produto quantidade data_hora metodo_pagamento",
            "metodo_pagamento = '1-URGENT' AND data_hora LIKE '1996-01%'",
@@ -378,6 +378,30 @@ SQL["csv_all_entities"] = f"""WITH {DIRTY}
 UNION ALL {_text('produtos', 'id', 'nome', 'categoria', _PRICE, 'fornecedor')} FROM dp
 UNION ALL {_text('transacoes', 'id', 'id_cliente', _TIME, 'metodo_pagamento')} FROM dt
 UNION ALL {_text('transacao_itens', 'id', 'id_transacao', 'id_produto', _QTY, _UNIT)} FROM di"""
+_TYPED = {
+    "clientes": ("id nome email data_registo distrito", "c5 <> 'NATION_3'"),
+    "produtos": ("id nome categoria preco fornecedor", "c5 <> 'Brand#5'"),
+    "transacoes": ("id id_cliente data_hora metodo_pagamento", "TRUE"),
+    "transacao_itens": ("id id_transacao id_produto quantidade preco_unitario", "TRUE"),
+}
+
+
+def _breaches() -> str:
+    views = [f"{t} AS (SELECT {', '.join(f'c{i} AS {c}' for i, c in enumerate(cs.split(), 1))} FROM entities "
+             f"WHERE tabela = '{t}' AND {kept})" for t, (cs, kept) in _TYPED.items()]
+    found = [f"SELECT '{t}' AS tabela, 'not null({c})' AS restricao, NULL AS valor, COUNT(*) AS linhas FROM {t}_t WHERE {c} IS NULL HAVING COUNT(*) > 0"
+             for t, (cs, _) in _TYPED.items() for c in cs.split()]
+    found += [f"SELECT '{t}', 'unique({c})', {c}, COUNT(*) FROM {t}_t WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1"
+              for t, c in (("clientes", "id"), ("clientes", "email"), ("produtos", "id"), ("transacoes", "id"), ("transacao_itens", "id"))]
+    found += [f"SELECT '{t}', 'foreign key({c})', {c}, COUNT(*) FROM {t}_t WHERE {c} IS NOT NULL AND {c} NOT IN "
+              f"(SELECT id FROM {p}_t WHERE id IS NOT NULL) GROUP BY {c}"
+              for t, c, p in (("transacoes", "id_cliente", "clientes"), ("transacao_itens", "id_transacao", "transacoes"),
+                              ("transacao_itens", "id_produto", "produtos"))]
+    views = [v.replace(" AS (SELECT", "_t AS (SELECT", 1) for v in views]
+    return f"WITH entities AS ({SQL['csv_all_entities']}), {', '.join(views)} " + " UNION ALL ".join(found)
+
+
+SQL["constraint_breaches"] = _breaches()
 SQL["csv_round_trip"] = """SELECT o_orderkey AS id, o_custkey AS id_cliente, o_orderdate AS data_hora,
   o_orderpriority AS metodo_pagamento FROM orders"""
 SQL["landing_newest_version"] = f"""WITH {CLIENTES}
@@ -472,6 +496,8 @@ _SILVER = """SELECT o_orderkey AS id, o_custkey AS id_cliente,
     WHEN o_orderpriority = '5-LOW' THEN CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) ELSE o_orderdate END AS data_hora,
   CASE WHEN o_orderstatus = 'P' THEN 'corrected' ELSE o_orderpriority END AS metodo_pagamento
 FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority <> '5-LOW' OR o_orderstatus = 'F'"""
+SQL["compacted_orders"] = """SELECT o_orderkey AS id, o_custkey AS id_cliente, o_orderdate AS data_hora,
+  CASE WHEN year(o_orderdate) = 1996 THEN 'corrected' ELSE o_orderpriority END AS metodo_pagamento FROM orders"""
 SQL["lake_silver_rows"] = f"SELECT *, strftime(data_hora, '%Y-%m') AS month FROM ({_SILVER})"
 SQL["lake_gold_revenue"] = f"""SELECT CAST(date_trunc('month', data_hora) AS TIMESTAMP) AS mes,
   {_money(f'SUM({CHARGED})')} AS receita

@@ -135,6 +135,7 @@ def read_partitions(
 def replace_partitions(
     df: DataFrame, path: str, column: str, gone: list[str] | None = None, buckets: int | None = None,
     map_bits: int | None = None, beside: Callable[[DataFrame, int], None] | None = None,
+    layout: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Replace the partitions that df holds, and drop those in gone (None: all others).
 
@@ -142,15 +143,15 @@ def replace_partitions(
     names the version that holds each partition. Until that commit readers see the old
     state whole, and a write that crashed before it can simply be repeated. The rebalance
     hint lets Spark split a large partition over tasks and merge small ones, by measured
-    size. beside(rows, version) may write more about the new rows before the commit.
+    size; layout(df) deals the rows to files in another way. beside(rows, version) may write
+    more about the new rows before the commit.
     """
     spark = df.sparkSession
     now = live(spark, path)
     version = 0 if now is None else now.version + 1
     folder = f"{path}/data/version={version}"
-    df.hint("rebalance", F.col(column)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(column).parquet(folder)
+    dealt = df.hint("rebalance", F.col(column)) if layout is None else layout(df)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(folder)
     written = read_if_there(spark, folder)
     if written is not None and column not in written.columns:  # no rows
         written = None

@@ -19,7 +19,7 @@ from feira.operators import (
     metrics, pii, row_rules, scd2,
 )
 from feira.plans import (
-    backfill, dimension, incremental, lake, loader, quality_gate, tables, warehouse,
+    backfill, compaction, dimension, incremental, lake, loader, quality_gate, tables, warehouse,
 )
 from feira.schemas import AMOUNT, PRICE, RAW_HEADERS, TOTAL, conform
 from feira.session import scratch_path
@@ -278,7 +278,7 @@ def _write_dirty_files(spark, sf, folder):
     """The dirty tables as headed CSV, one file for each length of id, rows by id; some lines
     have a field too many or too few."""
     odd = {
-        "clientes": (F.col("distrito") == "BRAZIL", F.col("distrito") == "CANADA"),
+        "clientes": (F.col("distrito") == "NATION_3", F.col("distrito") == "NATION_4"),
         "produtos": (F.col("fornecedor") == "Brand#3", F.col("fornecedor") == "Brand#4"),
         "transacoes": [
             (F.col("metodo_pagamento") == p) & F.startswith("data_hora", F.lit("1996-01")) for p in ("1-URGENT", "2-HIGH")
@@ -331,6 +331,15 @@ def broken_constraints(spark, sf):
     })
 
 
+@query
+def constraint_breaches(spark, sf):
+    """All constraints over the dirty tables, typed; some customers and products are gone."""
+    typed = {name: conform(df, name) for name, df in _dirty(spark, sf).items()}
+    typed["clientes"] = typed["clientes"].where("distrito <> 'NATION_3'")
+    typed["produtos"] = typed["produtos"].where("fornecedor <> 'Brand#5'")
+    return constraints.breaches(typed)
+
+
 # --- incremental maintenance -------------------------------------------------------
 
 OLD, NEW = "2002-01-01 00:00:00", "2002-02-01 00:00:00"
@@ -757,6 +766,25 @@ def lake_gold_revenue(spark, sf):
     return analytics.monthly_trend(_corrected_silver(spark, sf), E.itens(spark, sf), E.CHARGED)
 
 
+@job
+def compacted_orders(spark, sf):
+    """Orders by month in many small files, corrected, compacted along customer and time, and
+    rid of old versions."""
+    path = f"{scratch_path(spark, 'compaction')}/orders"
+    orders = E.transacoes(spark, sf).select("id", "id_cliente", "data_hora", "metodo_pagamento")
+    by_month = orders.withColumn(tables.MONTH, calendar.month_label(F.col("data_hora")))
+    tables.replace_partitions(by_month, path, tables.MONTH, layout=lambda df: df.repartition(8))
+    fixed = by_month.where("year(data_hora) = 1996").withColumn("metodo_pagamento", F.lit("corrected"))
+    tables.replace_partitions(fixed, path, tables.MONTH, gone=[], layout=lambda df: df.repartition(8))
+    before = compaction.file_sizes(spark, path).agg(F.sum("files")).first()[0]
+    compacted = compaction.compact(spark, path, "id_cliente", "data_hora")
+    after = compaction.file_sizes(spark, path).agg(F.sum("files")).first()[0]
+    compaction.expire(spark, path, keep=1)
+    if compacted and after >= before:
+        raise RuntimeError(f"{after} files of {before}")
+    return tables.read_table(spark, path)
+
+
 @job
 def lake_quarantine(spark, sf):
     _, refined = _refined(spark, sf)

@@ -4,7 +4,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from feira.plans import backfill, lake, loader, measured, tables, warehouse
+from feira.plans import backfill, compaction, lake, loader, measured, tables, warehouse
 from feira.plans.quality_gate import DataQualityError
 from feira.sources import files, generator
 
@@ -198,3 +198,51 @@ def test_deliveries_of_one_moment_are_kept_apart(spark, rows, tmp_path):
     assert rows(lake.read_bronze(spark, path), "id") == [(i,) for i in "12356"]
     with pytest.raises(ValueError, match="delivery id"):
         lake.bronze_append(make("7"), root, "t", at, delivery="a/b")
+
+
+def test_compaction_by_measure_and_expiry(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    day = F.expr("timestamp_ntz'2025-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 90 as int))")
+    df = spark.range(3000).select("id", (F.col("id") * 7919 % 1000).alias("customer"), day.alias("at"), F.lit("x").alias("x"))
+    versioned = df.withColumn("version_timestamp", F.expr("timestamp_ntz'2025-05-01 00:00:00'"))
+    tables.merge_into(versioned, path, at=F.col("at"))
+    labelled = versioned.withColumn(tables.MONTH, F.date_format("at", "yyyy-MM"))
+    held = tables.live(spark, path)
+    for month in ("2025-01", "2025-02"):  # many small files in two of three months
+        tables.replace_partitions(
+            labelled.where(F.col(tables.MONTH) == month), path, tables.MONTH, gone=[], map_bits=held.map_bits,
+            beside=lambda w, v: compaction.places.write_maps(w, "id", tables.MONTH, held.map_bits, f"{path}/places/version={v}"),
+            layout=lambda d: d.repartition(6))
+    sizes = {r["value"]: r["files"] for r in compaction.file_sizes(spark, path).collect()}
+    assert sizes == {"2025-01": 6, "2025-02": 6, "2025-03": 1}
+    open_reader = tables.read_table(spark, path)
+    assert compaction.compact(spark, path, "customer", "at", target=8192) == ["2025-01", "2025-02"]
+    assert sum(r["files"] for r in compaction.file_sizes(spark, path).collect()) < 13
+    assert rows(tables.read_table(spark, path)) == rows(versioned) == rows(open_reader)
+    # The last two commits stay readable; what only older ones name is gone.
+    gone = compaction.expire(spark, path, keep=2)
+    assert any(g.startswith("data/version=0/") for g in gone) and any(g.startswith("places/") for g in gone)
+    assert rows(open_reader) == rows(versioned) == rows(tables.read_table(spark, path))
+    compaction.expire(spark, path, keep=1)
+    assert rows(tables.read_table(spark, path)) == rows(versioned)
+    live = tables.live(spark, path)
+    folders = {f"version={v}/{tables.MONTH}={m}" for m, v in live.partitions.items()}
+    assert {str(p.relative_to(tmp_path / "t/data")) for p in (tmp_path / "t/data").glob("version=*/*=*")} == folders
+    # Merges still find where keys are.
+    moved = versioned.where("id = 0").withColumn("at", F.expr("timestamp_ntz'2025-03-31 00:00:00'"))
+    tables.merge_into(moved, path, at=F.col("at"))
+    assert tables.read_table(spark, path).count() == 3000
+
+
+def test_files_cover_small_ranges_of_both_columns(spark, tmp_path):
+    df = spark.range(20000).select("id", (F.col("id") * 7919 % 1000).alias("a"), (F.col("id") * 104729 % 977).alias("b"), F.lit("m").alias("m"))
+    path = str(tmp_path / "t")
+    tables.replace_partitions(df, path, "m", layout=lambda d: d.repartition(16))
+    compaction.compact(spark, path, "a", "b", target=8192, values=["m"])
+    spans = tables.read_partitions(spark, path).groupBy("_metadata.file_path").agg(
+        F.max("a") - F.min("a"), F.max("b") - F.min("b")).collect()
+    assert len(spans) >= 8 and sum(r[1] * r[2] for r in spans) / len(spans) < 0.5 * 1000 * 977
+
+
+def test_nothing_to_compact(spark, tmp_path):
+    assert compaction.compact(spark, str(tmp_path / "none"), "a", "b") == [] == compaction.expire(spark, str(tmp_path / "none"))

@@ -163,3 +163,29 @@ def test_wide_and_narrow_lines_are_violations(spark, tmp_path):
         (3, "3", "null value", "fornecedor", None), (4, "4", "null value", "categoria", None),
         (4, "4", "non-positive price", "preco", "0"),
     ], key=repr)
+
+
+@pytest.mark.parametrize("map_bytes", [constraints.MAP_BYTES, 0])
+def test_breaches_of_all_kinds(spark, rows, monkeypatch, capsys, map_bytes):
+    """The same with maps of keys and with joins; hot, negative and far-off keys."""
+    monkeypatch.setattr(constraints, "MAP_BYTES", map_bytes)
+    tables = {
+        "clientes": spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (-5, "b"), (0, "c")], "id long, email string"),
+        "produtos": spark.createDataFrame([(1, 1.0), (1, None), (32768, 2.0), (32769, 2.0)], "id long, preco double"),
+        "transacoes": spark.createDataFrame(
+            [(1, 1), (2, 9), (3, 9), (4, None), (5, -5), (6, 0), (7, -6), (8, 2**60)], "id long, id_cliente long"),
+        "transacao_itens": spark.createDataFrame(
+            [(i, 1, 32768) for i in range(50)] + [(50, 99, 32770), (51, 99, None), (None, 8, 32769)],
+            "id long, id_transacao long, id_produto long"),
+    }
+    found = constraints.breaches(tables)
+    assert rows(found) == sorted([
+        ("clientes", "unique(email)", "a", 2), ("clientes", "not null(email)", None, 1), ("produtos", "unique(id)", "1", 2),
+        ("produtos", "not null(preco)", None, 1), ("transacoes", "not null(id_cliente)", None, 1),
+        ("transacoes", "foreign key(id_cliente)", "9", 2), ("transacoes", "foreign key(id_cliente)", "-6", 1),
+        ("transacoes", "foreign key(id_cliente)", str(2**60), 1), ("transacao_itens", "not null(id)", None, 1),
+        ("transacao_itens", "not null(id_produto)", None, 1), ("transacao_itens", "foreign key(id_transacao)", "99", 2),
+        ("transacao_itens", "foreign key(id_produto)", "32770", 1),
+    ], key=repr)
+    constraints.breaches({t: tables[t] for t in ("clientes", "transacoes")}).explain()
+    assert map_bytes == 0 or "SortMergeJoin" not in capsys.readouterr().out
