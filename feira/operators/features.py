@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feira.functions.money import amount, cents
 from feira.schemas import TOTAL
 
 FEATURES = ["orders_to_date", "spend_to_date", "last_order"]
@@ -35,6 +36,36 @@ def customer_features(orders: DataFrame, feature_version: str = "v1") -> DataFra
     )
 
 
+def trailing_features(
+    orders: DataFrame, days: tuple[int, ...] = (30, 90), slice_days: int = 366, feature_version: str = "v1",
+) -> DataFrame:
+    """Orders and spend of the last so many days, for each customer and day with orders, that
+    day included.
+
+    Orders are summed per day first. A customer's days are cut into slices of slice_days, so a
+    long history is spread over tasks; a slice also gets the days before it that its own look
+    back to, which count there but are not returned.
+    """
+    back = max(days) - 1
+    if slice_days <= back:
+        raise ValueError("a slice must be longer than the longest look back")
+    known = orders.where(F.col("customer_id").isNotNull() & F.col("data_hora").isNotNull())
+    daily = known.groupBy("customer_id", F.to_date("data_hora").alias("day")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(cents(F.col("receita"))).alias("spend")
+    ).withColumn("_n", F.unix_date("day"))
+    own = F.floor(F.col("_n") / slice_days)
+    reaches = F.floor((F.col("_n") + back) / slice_days)
+    dealt = daily.select("*", own.alias("_own"), F.explode(F.array_distinct(F.array(own, reaches))).alias("_slice"))
+    line = Window.partitionBy("customer_id", "_slice").orderBy("_n")
+    sums = {}
+    for n in days:
+        last = line.rangeBetween(-(n - 1), 0)
+        sums[f"orders_{n}d"] = F.sum("orders").over(last)
+        sums[f"spend_{n}d"] = amount(F.sum("spend").over(last))
+    found = dealt.withColumns(sums).where("_slice = _own")
+    return found.select("customer_id", F.lit(feature_version).alias("feature_version"), "day", *sums)
+
+
 def product_features(produtos: DataFrame, itens: DataFrame, feature_version: str = "v1") -> DataFrame:
     """Sales features per product; products without sales have zeros."""
     sold = itens.groupBy("id_produto").agg(

@@ -592,6 +592,44 @@ SQL["features_as_of"] = f"""SELECT order_id, customer_id, data_hora, urgent,
   CASE WHEN ok THEN orders_to_date END AS orders_to_date, CASE WHEN ok THEN spend_to_date END AS spend_to_date,
   CASE WHEN ok THEN last_order END AS last_order
 FROM (SELECT *, valid_to IS NULL OR data_hora < valid_to AS ok FROM ({SQL["features_as_of"].replace("valid_from, orders_to_date", "valid_from, valid_to, orders_to_date")}))"""
+SQL["customer_features_trailing"] = f"""WITH {ORDER_REVENUE},
+daily AS (SELECT id_cliente AS customer_id, CAST(data_hora AS DATE) AS day, COUNT(*) AS n, SUM(receita) AS spend
+  FROM order_revenue WHERE id_cliente IS NOT NULL GROUP BY ALL)
+SELECT customer_id, 'v1' AS feature_version, day,
+  CAST(SUM(n) OVER m AS BIGINT) AS orders_30d, CAST(SUM(spend) OVER m AS {MONEY}) AS spend_30d,
+  CAST(SUM(n) OVER q AS BIGINT) AS orders_90d, CAST(SUM(spend) OVER q AS {MONEY}) AS spend_90d
+FROM daily WINDOW m AS (PARTITION BY customer_id ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW),
+  q AS (PARTITION BY customer_id ORDER BY day RANGE BETWEEN INTERVAL 89 DAY PRECEDING AND CURRENT ROW)"""
+
+
+def _k_anonymous(k: int) -> str:
+    """The same turns, each column told one level finer where all parts keep k rows."""
+    levels = {"d": 4, "r": 2, "s": 1}
+    steps = [f"""s0 AS (SELECT coalesce(strftime(d, '%Y'), '?') AS d1,
+  coalesce(strftime(d, '%Y') || '-Q' || quarter(d), '?') AS d2, coalesce(strftime(d, '%Y-%m'), '?') AS d3,
+  coalesce(strftime(d, '%Y-%m-%d'), '?') AS d4, coalesce(r_name, '?') AS r1, coalesce(n_name, '?') AS r2,
+  coalesce(c_mktsegment, '?') AS s1, CAST(c_acctbal AS DECIMAL(14,2)) AS saldo,
+  '*' AS td, '*' AS tr, '*' AS ts, 0 AS ld, 0 AS lr, 0 AS ls
+FROM customer LEFT JOIN (SELECT o_custkey, CAST(MIN(o_orderdate) AS DATE) AS d FROM orders GROUP BY 1) ON o_custkey = c_custkey
+  LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""]
+    group, at = "td, tr, ts, ld, lr, ls", 0
+    for turn in range(4):
+        for c, depth in levels.items():
+            if turn >= depth:
+                continue
+            finer = f"CASE l{c} " + " ".join(f"WHEN {i} THEN {c}{i + 1}" for i in range(depth)) + " END"
+            steps += [
+                f"p{at} AS (SELECT *, {finer} AS finer, COUNT(*) OVER (PARTITION BY {group}, {finer}) AS part FROM s{at})",
+                f"f{at} AS (SELECT *, l{c} < {depth} AND MIN(part) OVER (PARTITION BY {group}) >= {k} AS fits FROM p{at})",
+                f"s{at + 1} AS (SELECT * EXCLUDE (finer, part, fits) REPLACE (CASE WHEN fits THEN finer ELSE t{c} END AS t{c}, "
+                f"CASE WHEN fits THEN l{c} + 1 ELSE l{c} END AS l{c}) FROM f{at})",
+            ]
+            at += 1
+    return (f"WITH {', '.join(steps)} SELECT tr AS distrito, ts AS segmento, td AS primeira_encomenda, saldo FROM s{at} "
+            f"WHERE (SELECT COUNT(*) FROM s0) >= {k}")
+
+
+SQL["clientes_k_anonymous"] = _k_anonymous(20)
 SQL["product_features"] = """WITH sold AS (SELECT l_partkey, COUNT(*) AS lines,
   CAST(SUM(CAST(l_quantity AS INTEGER)) AS BIGINT) AS units FROM lineitem GROUP BY l_partkey)
 SELECT p_partkey AS product_id, 'v1' AS feature_version, p_type AS categoria,

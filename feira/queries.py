@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from feira import entities as E
 from feira.functions import calendar
 from feira.operators import (
-    analytics, clicks, constraints, copurchase, expectations, fact, features, history, increment, merge,
+    analytics, anonymity, clicks, constraints, copurchase, expectations, fact, features, history, increment, merge,
     metrics, pii, row_rules, scd2,
 )
 from feira.plans import (
@@ -938,6 +938,32 @@ def customer_features(spark, sf):
     return features.customer_features(_feature_orders(spark, sf))
 
 
+@query
+def customer_features_trailing(spark, sf):
+    return features.trailing_features(_feature_orders(spark, sf))
+
+
+@job
+def clientes_k_anonymous(spark, sf):
+    """Customers with their district, segment and the day of their first order told only as far
+    as 20 others share it, without what names them."""
+    region = E.table(spark, sf, "nation").join(
+        E.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    ).select(F.col("n_name").alias("distrito"), F.col("r_name").alias("_regiao"))
+    first = E.transacoes(spark, sf).groupBy(F.col("id_cliente").alias("id")).agg(
+        F.to_date(F.min("data_hora")).alias("primeira_encomenda")
+    )
+    rows = E.clientes(spark, sf).join(first, "id", "left").join(region, "distrito", "left").select(
+        "distrito", "segmento", "primeira_encomenda", "saldo", "_regiao"
+    )
+    levels = {
+        "primeira_encomenda": anonymity.date_levels(F.col("primeira_encomenda")),
+        "distrito": [F.col("_regiao"), F.col("distrito")],
+        "segmento": [F.col("segmento")],
+    }
+    return anonymity.k_anonymous(rows, levels, 20, lambda df: tables.staged(df, "groups")).drop("_regiao")
+
+
 @query
 def product_features(spark, sf):
     return features.product_features(E.produtos(spark, sf), E.itens(spark, sf))

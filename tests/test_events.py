@@ -1,15 +1,17 @@
 import shutil
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 from random import Random
 
 import pytest
 from pyspark.sql import functions as F
 
-from feira.operators import clicks, features, merge, pii
+from feira.operators import anonymity, clicks, features, merge, pii
 from feira.streaming import clicks as click_stream
 from feira.streaming import incremental as change_stream
 from feira.streaming import late, versions
 from feira.plans import tables
+from feira.plans.tables import staged
 
 EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 START = datetime(2024, 1, 1)
@@ -244,3 +246,48 @@ def test_an_uncommitted_batch_is_not_read(spark, rows, tmp_path, monkeypatch):
     shutil.copytree(f"{root}/out/timely/batch=0", f"{root}/out/timely/batch=1")
     shutil.copytree(f"{root}/out/late/batch=0", f"{root}/out/late/batch=1")
     assert rows(late.closed_windows(spark, f"{root}/out")) == before
+
+
+@pytest.mark.parametrize("slice_days", [90, 366])
+def test_trailing_features(spark, rows, slice_days):
+    """Against sums over all pairs of days; customers with very many and very few orders."""
+    r = Random(3)
+    made = [(c, datetime(2024, 1, 1) + timedelta(hours=r.randint(0, 24 * 700)), r.randint(1, 99) / 4)
+            for c, n in ((1, 300), (2, 20), (3, 1)) for _ in range(n)]
+    made += [(4, datetime(2024, 1, 1, 23, 59), 1.0), (4, datetime(2024, 1, 30), 2.0), (4, datetime(2024, 1, 31), 4.0),
+             (4, datetime(2024, 3, 30), 8.0), (4, datetime(2024, 3, 31), 16.0), (None, datetime(2024, 1, 1), 1.0), (5, None, 1.0)]
+    orders = spark.createDataFrame(made, "customer_id long, data_hora timestamp_ntz, receita double")
+    want = []
+    for c, day in {(c, t.date()) for c, t, _ in made if c and t}:
+        row = [c, day]
+        for n in (30, 90):
+            inside = [v for x, t, v in made if x == c and t and day - timedelta(days=n - 1) <= t.date() <= day]
+            row += [len(inside), round(sum(inside), 2)]
+        want.append(tuple(row))
+    got = features.trailing_features(orders, slice_days=slice_days).drop("feature_version")
+    assert sorted((*r[:3], float(r[3]), r[4], float(r[5])) for r in got.collect()) == sorted(want)
+    with pytest.raises(ValueError):
+        features.trailing_features(orders, slice_days=89)
+
+
+@pytest.mark.parametrize("k", [1, 2, 5, 40, 1000])
+def test_groups_have_k_rows(spark, k):
+    r = Random(k)
+    made = [(i, r.choice(["n1", "n2", "n3", None]), f"{r.randint(2020, 2022)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}" if i % 9 else None)
+            for i in range(200)] + [(200, "n9", "1999-01-01")] * 3
+    df = spark.createDataFrame(made, "id int, place string, day string")
+    levels = {"day": anonymity.date_levels(F.col("day").cast("date")), "place": [F.substring("place", 1, 1), F.col("place")]}
+    got = anonymity.k_anonymous(df, levels, k, lambda x: staged(x, "k")).collect()
+    if k > len(made):
+        assert got == []
+        return
+    assert sorted(g.id for g in got) == sorted(m[0] for m in made)
+    sizes = Counter((g.place, g.day) for g in got)
+    assert min(sizes.values()) >= k
+    by_id = {m[0]: m for m in made}
+    for g in got:  # what is told is true
+        _, place, day = by_id[g.id]
+        assert g.place in ("*", place or "?", (place or "?")[0])
+        assert g.day in ("*", "?") and (g.day == "*" or day is None) or day.startswith(g.day[:4])
+    if k == 1:
+        assert all(g.day == (by_id[g.id][2] or "?") and g.place == (by_id[g.id][1] or "?") for g in got)
