@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SPAN = 16  # words that a rule sees, its keyword included
 
 # Phrases that are always reported, wherever their words stand one after the other.
 BASE = {
@@ -175,13 +174,26 @@ def base_places(words: Column) -> Column:
     return F.filter(F.transform(F.sequence(F.lit(0), F.size(words)), here), lambda p: p["label"].isNotNull())
 
 
+def span_of(all_rules: list[dict]) -> int:
+    """A number of words that no match of a rule exceeds, its keyword included.
+
+    A pattern that repeats no group matches at most as many blanks as it has; one of those is
+    in the lookahead that ends every rule.
+    """
+    repeating = [r["pattern"] for r in all_rules if re.search(r"[{*]|\)\+|[\])] ?\+ ", r["pattern"])]
+    if repeating:
+        raise ValueError(f"rules without a greatest number of words: {repeating[:3]}")
+    return max((r["pattern"].count(" ") for r in all_rules), default=1)
+
+
 def detections(words: Column, all_rules: list[dict]) -> Column:
     """start, end (words), priority, label: at most one for each word."""
+    span = span_of(all_rules)
     keywords = F.array(*[F.lit(k) for k in sorted({r["keyword"] for r in all_rules})])
     table = literal_rules(all_rules)
 
     def at(word: Column) -> Column:
-        seen = F.array_join(F.slice(words, word["at"] + 1, SPAN), " ")
+        seen = F.array_join(F.slice(words, word["at"] + 1, span), " ")
         tried = F.transform(
             F.try_element_at(table, word["word"]),
             lambda r: F.struct(
@@ -209,11 +221,11 @@ def detections(words: Column, all_rules: list[dict]) -> Column:
     ))
 
 
-def surviving(found: Column) -> Column:
+def surviving(found: Column, span: int) -> Column:
     """found without detections that a neighbour suppresses. They are ordered by start, one
-    for each, and span at most SPAN words, so neighbours are at most that many places off."""
+    for each, and have at most `span` words, so neighbours are at most that many places off."""
     def keep(d: Column, i: Column) -> Column:
-        near = F.slice(found, F.greatest(i - (SPAN - 2), F.lit(1)), 2 * SPAN)
+        near = F.slice(found, F.greatest(i - (span - 2), F.lit(1)), 2 * span)
         return ~F.exists(near, lambda o: (o["start"] != d["start"]) & (
             (o["start"] <= d["start"]) & (o["end"] >= d["end"]) & (o["priority"] >= d["priority"])
             | (o["start"] >= d["start"]) & (o["end"] <= d["end"]) & (o["priority"] > d["priority"])
@@ -227,8 +239,9 @@ def scan(docs: DataFrame, column: str = "text", all_rules: list[dict] | None = N
     first_word, last_word, base_labels, labels (both distinct, sorted, comma-joined),
     detections and score.
 
-    A null text is empty: no words, no places, empty labels, score 0. Rows are independent
-    of each other; an empty table gives an empty result.
+    A null text is empty: no words, no places, empty labels, score 0. Texts of any length are
+    read whole. Rows are independent of each other, repeated ones too; other columns pass
+    through. An empty table gives an empty result.
     """
     all_rules = rules() if all_rules is None else all_rules
     text = F.coalesce(F.col(f"`{column}`"), F.lit(""))
@@ -251,7 +264,7 @@ def scan(docs: DataFrame, column: str = "text", all_rules: list[dict] | None = N
     ))
     kept_found = places.withColumn("licenses", F.struct(
         F.col("licenses.n_words").alias("n_words"), F.col("licenses.base").alias("base"),
-        surviving(F.col("licenses.found")).alias("found"),
+        surviving(F.col("licenses.found"), span_of(all_rules)).alias("found"),
     ))
     base, found = F.col("licenses.base"), F.col("licenses.found")
     base_labels = F.array_sort(F.array_distinct(base["label"]))

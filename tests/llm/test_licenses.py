@@ -1,6 +1,7 @@
 import re
 
 import brute
+import pytest
 
 from feira.llm import licenses
 from feira.llm.queries import QUERIES
@@ -37,6 +38,25 @@ def test_contained_detections_go(spark):
     assert [(d.label, d.start, d.end) for d in found] == [("gpl-3", 0, 9)]
 
 
+@pytest.mark.parametrize("text, label, words", [
+    ("licensed under the terms of the do what the fuck you want to public license version 2", "wtfpl-2", 17),
+    ("licensed under the terms of the creative commons attribution noncommercial sharealike license, version v4.0",
+     "cc-by-nc-sa-4.0", None),
+])
+def test_the_longest_rules_see_all_their_words(spark, text, label, words):
+    found = licenses.scan(spark.createDataFrame([(text,)], "text string")).first().licenses
+    assert [d.label for d in found.detections] == [label] and found.score == licenses.SURE[3]
+    assert words is None or found.detections[0].end == words
+
+
+def test_rules_without_a_greatest_length_are_refused():
+    rule = {"keyword": "mit", "label": "mit", "priority": 1}
+    assert licenses.span_of(licenses.rules()) >= 19
+    for pattern in ("^mit( [a-z]+)+(?= |$)", "^mit(?: x){2,}(?= |$)", "^mit .*(?= |$)"):
+        with pytest.raises(ValueError, match="greatest"):
+            licenses.span_of([{**rule, "pattern": pattern}])
+
+
 def test_rules():
     rules = licenses.rules()
     assert len(rules) > 300
