@@ -293,7 +293,8 @@ def find_matches(
     (whose windows occur), longest (words of the longest verbatim match among documents
     with hits) and longest_at.
 
-    A null text has no words and no hits; an item without words has no window; repeated
+    A null text has no words and no hits; a very long one is searched whole, in a slice of its
+    own; repeated documents are searched each. An item without words has no window; repeated
     items count once by their id. An empty benchmark finds nothing, an empty table gives
     an empty result. Other columns are ignored, whatever their names; a kept column that
     is named like a new one gives way.

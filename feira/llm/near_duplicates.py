@@ -321,7 +321,8 @@ def classes(
     similarity of at least `similar`; a text of fewer words, but not none, is one shingle. A
     null text is empty; texts without words are one class. A null key counts as larger than
     all; if no member has a key, class_id is null. Repeated rows are kept. Other columns are
-    ignored, whatever their names. An empty table gives an empty result.
+    ignored, whatever their names. A very long text is a slice of its own, and all its shingles
+    count. An empty table gives an empty result.
     """
     every, named = labelled(prepared(docs, key, column), similar)
     by_node = every.groupBy("node").agg(F.min("key").alias("key")).join(named, "node")

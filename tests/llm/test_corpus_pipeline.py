@@ -67,3 +67,27 @@ def test_empty_documents(spark, sf_dir):
     for _, stage in C.STAGES:
         docs = staged(stage(spark, docs, sf_dir), "stage")
     assert docs.count() == 0
+
+
+def test_odd_documents(spark, sf_dir):
+    """Nulls in any column, empty and long texts, repeated rows, and columns of the stages' own
+    names go through all stages."""
+    prose = " ".join(f"word{i}" for i in range(40))
+    rows = [
+        (1, None, None, None), (2, "", "en", "s"), (3, prose, "en", None), (3, prose, "en", None), (4, prose + " more", None, "s"),
+        (None, "some text of its own with an address a@b.org", "xx", "s"), (None, None, "en", "s"),
+        (5, "call +1 (212) 555-0187 now", "en", "s"), (6, "x " * 150_000, "en", "s"), (7, "\n \t", "de", "s"),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, _text string, spans int, node int, label int"
+    docs = spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), None, "t", 1, 2, 3) for r in rows], schema)
+    kept = docs
+    for _, stage in C.STAGES[:-1]:
+        kept = staged(stage(spark, kept, sf_dir), "stage")
+        assert kept.schema.names == docs.schema.names
+    got = {(r["doc_id"], r["text"]) for r in kept.collect()}
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert ids.count(3) == 1 and 4 not in ids  # a near copy of 3
+    assert (5, "call [PHONE] now") in got and (None, "some text of its own with an address [EMAIL]") in got
+    assert (6, "x " * 150_000) in got
+    packed = C.STAGES[-1][1](spark, kept, sf_dir).collect()
+    assert {r["doc_id"] for r in packed} == set(ids) and all(1 <= r["length"] <= 2048 for r in packed)
