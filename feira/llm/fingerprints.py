@@ -24,6 +24,7 @@ BINS = 1 << BIN_BITS
 BITS = 8
 FIRST_PROBES = 8
 WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
+RANGE_BYTES = 16 << 20  # of text in a range of documents, about; there are SAMPLE ranges at most
 SAMPLE = 50_000  # keys from which the borders between buckets are chosen, at most
 
 
@@ -156,11 +157,15 @@ def fingerprint_edits(
     for each document and its edited text: its second half (the last n_chars // 2 code
     points) replaced by as many from the start of the next document.
 
-    A null text is empty. Repeated keys are ordered by their text. Other columns are
-    ignored, whatever their names; an empty table gives an empty result.
+    A null text is empty; a very long one is handled whole, like any other. Repeated keys are
+    ordered by their text. Other columns are ignored, whatever their names; an empty table
+    gives an empty result. The number of ranges follows from the bytes of all texts, so that a
+    range holds as much whatever the size of the table.
     """
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length(F.col(f"`{column}`")))).first()[0] or 0
+        buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     own = docs.select(
         F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("text")
     )
