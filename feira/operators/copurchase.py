@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Baskets with more distinct products than this are cut into blocks of about this size.
 BLOCK = 500
+# Products in more orders than this are counted in several tasks.
+HOT = 200_000
 
 
 def baskets(fact: DataFrame) -> DataFrame:
@@ -98,25 +100,65 @@ def co_purchases(fact: DataFrame, block: int = BLOCK) -> DataFrame:
     return _both_ways(pairs)
 
 
-def recommendations(fact: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
+def _partners(cells: DataFrame) -> DataFrame:
+    """(transaction_id, product_id, partners): for each product of a cell the others it meets
+    there, with the number of line pairs. A cell's two blocks meet each other; one block, of a
+    diagonal cell, meets itself."""
+    entry = F.struct(F.col("product_id").alias("p"), F.col("lines").alias("n"))
+    blocks = cells.groupBy("transaction_id", "cell_a", "cell_b").agg(
+        F.collect_list(F.when(F.col("own") == F.col("cell_a"), entry)).alias("a"),
+        F.collect_list(F.when(F.col("own") != F.col("cell_a"), entry)).alias("b"),
+    )
+
+
+    def side(name: str, of_a: bool) -> Column:
+        return F.transform(name, lambda x: F.struct(x["p"].alias("p"), x["n"].alias("n"), F.lit(of_a).alias("of_a")))
+
+    each = blocks.withColumn("x", F.explode(F.concat(side("a", True), side("b", False))))
+    # The products of a diagonal cell are all in block a.
+    others = F.when(F.col("x.of_a") & (F.col("cell_a") != F.col("cell_b")), F.col("b")).otherwise(F.col("a"))
+    partners = F.transform(
+        F.filter(others, lambda y: y["p"] != F.col("x.p")),
+        lambda y: F.struct(y["p"].alias("y"), (F.col("x.n") * y["n"]).alias("n")),
+    )
+    return each.select("transaction_id", F.col("x.p").alias("product_id"), partners.alias("partners")).where(
+        F.size("partners") > 0
+    )
+
+
+def recommendations(fact: DataFrame, k: int = 5, block: int = BLOCK, hot: int = HOT) -> DataFrame:
     """The k products most often bought with each product, with support and confidence.
 
     support: share of all orders with both; confidence: share of x's orders with y.
+
+    Not pairs but whole lists of partners go to the task of a product, one for each of its
+    orders and blocks, and are counted there; so of most products only the k best pairs are ever
+    shuffled. A product of more than `hot` orders is spread over several tasks, whose counts,
+    all of them, are summed before its best are chosen.
     """
     rows = baskets(fact)
     per_product = _counted(rows, "product_id").withColumnsRenamed(
         {"product_id": "product_id_x", "n": "orders_x"}
     )
     n_orders = _counted(rows, "transaction_id").agg(F.count(F.lit(1)).alias("orders_all"))
-    best = Window.partitionBy("product_id_x").orderBy(
-        F.col("co_purchase_count").desc(), F.col("product_id_y")
-    )
-    top = (
-        _both_ways(product_pairs(fact, block))
-        .withColumn("position", F.row_number().over(best))
-        .where(F.col("position") <= k)
+    lists = _partners(_in_cells(rows, block)).withColumnRenamed("product_id", "product_id_x")
+    parts = F.ceil(F.col("orders_x") / F.lit(hot)).cast("int")
+    dealt = lists.join(per_product, "product_id_x").withColumn("parts", parts).withColumn(
+        "part", F.pmod(F.xxhash64("transaction_id"), F.col("parts")).cast("int")
+    ).repartition("product_id_x", "part")
+    counted = dealt.select("product_id_x", "part", "parts", "orders_x", F.inline("partners").alias("product_id_y", "n")).groupBy(
+        "product_id_x", "part", "parts", "orders_x", "product_id_y"
+    ).agg(F.sum("n").alias("co_purchase_count"), F.count(F.lit(1)).alias("shared_orders"))
+    best = [F.col("co_purchase_count").desc(), F.col("product_id_y")]
+    own = Window.partitionBy("product_id_x", "part").orderBy(*best)
+    near = counted.withColumn("place", F.row_number().over(own)).where((F.col("place") <= k) | (F.col("parts") > 1))
+    whole = near.groupBy("product_id_x", "orders_x", "product_id_y").agg(
+        F.sum("co_purchase_count").alias("co_purchase_count"), F.sum("shared_orders").alias("shared_orders")
     )
-    return top.join(per_product, "product_id_x").select(
+    top = whole.withColumn(
+        "position", F.row_number().over(Window.partitionBy("product_id_x").orderBy(*best))
+    ).where(F.col("position") <= k)
+    return top.select(
         "product_id_x", "position", "product_id_y", "co_purchase_count",
         F.round(F.col("shared_orders") / n_orders.scalar(), 8).alias("support"),
         F.round(F.col("shared_orders") / F.col("orders_x"), 8).alias("confidence"),

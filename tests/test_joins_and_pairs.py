@@ -52,3 +52,52 @@ def test_recommendations(spark, rows):
     )
     got = rows(copurchase.recommendations(df, k=1), "product_id_x", "product_id_y", "support", "confidence")
     assert got == [(1, 2, 0.5, round(2 / 3, 8)), (2, 1, 0.5, 1.0), (3, 1, 0.25, 1.0)]
+
+
+@pytest.mark.parametrize("block, hot", [(500, 200_000), (3, 4), (1, 1)])
+def test_recommendations_equal_counts_of_all_pairs(spark, rows, block, hot):
+    """Hot products, baskets of many blocks, ties, repeated lines; however they are dealt."""
+    r, k = Random(2), 3
+    lines = [(o, r.choice([0, 0, 0, *range(1, 15)])) for o in range(60) for _ in range(r.randint(1, 6))]
+    lines += [(99, p) for p in range(30)] + [(98, 7)] * 3 + [(97, 40), (None, 1), (1, None)]
+    orders, pairs, shared = {}, Counter(), Counter()
+    for o, p in lines:
+        if o is not None and p is not None:
+            orders.setdefault(o, Counter())[p] += 1
+    for basket in orders.values():
+        for x, y in permutations(basket, 2):
+            pairs[x, y] += basket[x] * basket[y]
+            shared[x, y] += 1
+    want = []
+    for x in {x for x, _ in pairs}:
+        n = sum(x in b for b in orders.values())
+        ranked = sorted(((-c, y) for (a, y), c in pairs.items() if a == x))[:k]
+        want += [(x, i, y, -c, round(shared[x, y] / len(orders), 8), round(shared[x, y] / n, 8)) for i, (c, y) in enumerate(ranked, 1)]
+    fact = spark.createDataFrame(lines, "transaction_id long, product_id long")
+    assert rows(copurchase.recommendations(fact, k, block, hot)) == sorted(want, key=repr)
+
+
+def test_recommendations_shuffle_few_pairs(spark):
+    """The best of each product and lists of partners, instead of all pairs."""
+    lines = spark.range(30_000).select(
+        F.floor(F.col("id") / 30).alias("transaction_id"), F.pmod(F.xxhash64("id"), F.lit(400)).alias("product_id"))
+    pairs = copurchase.co_purchases(lines).count()
+    found = copurchase.recommendations(lines)
+    found.collect()
+    shuffled = []
+
+    def visit(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            visit(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            visit(node.plan())
+        else:
+            if name == "Exchange":
+                shuffled.append(node.metrics().get("shuffleRecordsWritten").get().value())
+            for i in range(node.children().size()):
+                visit(node.children().apply(i))
+
+    # One row for each line, and k for each product; there are many more pairs.
+    visit(found._jdf.queryExecution().executedPlan())
+    assert pairs > 150_000 and 0 < max(shuffled) <= 30_000
