@@ -1,87 +1,72 @@
 """The newest version of each key as keyed state of a stream.
 
-Instead of merging every micro-batch into a table, the stream holds each key's newest version
-as state and passes on only what is newer. A key whose newest version lies behind the
-watermark is forgotten: whatever could still come for it would be older, and is dropped.
+Instead of merging every micro-batch into a table, the stream holds each key's newest versions
+as state and passes on only what is newer. Versions that lie far enough behind the watermark
+are forgotten: whatever could still come for them would be older.
+
+State is an aggregate by key and window of time, which Spark keeps, compares and forgets. Windows
+are two spans of `late` long and begin every span. Of a version only those that are newer by
+`late` or less can have come before it in time, and all those lie with it in the window that
+begins with its span; so it is new if it is the newest there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from decimal import Decimal
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import NumericType
 
 from feira.operators.merge import latest_version
 
 LATE = "2 days"
 
 
+def _micros(spark: SparkSession, interval: str) -> int:
+    epoch = F.timestamp_micros(F.lit(0))
+    return spark.range(1).select(F.unix_micros(epoch + F.expr(f"interval {interval}"))).first()[0]
+
+
 def newest_versions(
     changes: DataFrame, key: str = "id", version: str = "version_timestamp", late: str = LATE,
 ) -> DataFrame:
-    """The rows of changes that are newer than all before them of their key.
+    """The rows of changes that are newer than all before them of their key, in update mode.
 
-    Rows without a key or version are left out. Of equal versions the one whose other columns
-    are larger counts, as in `latest_version`, so the order of files does not matter as long as
-    no row comes more than `late` behind the newest version of all.
+    Of a key one micro-batch may give several rows, of different spans of time. Rows without a
+    key or version are left out. Of equal versions the one whose other columns are larger
+    counts, as in `latest_version`, so the order of files does not matter as long as no row
+    comes more than `late` behind the newest version of all. Rows that do are dropped once their
+    windows are forgotten.
     """
     names = changes.columns
     rest = [c for c in names if c not in (key, version)]
-    kinds = {f.name: f.dataType for f in changes.schema}
-    # Values pass through Python as text, so that no type or missing value changes there.
-    timely = changes.where(F.col(key).isNotNull() & F.col(version).isNotNull()).withColumn(
-        "_at", F.col(version).cast("timestamp")
+    span = max(_micros(changes.sparkSession, late), 1_000_000)
+    # The time of the micro-batch, so that of equal rows the one that came first is the largest.
+    came = -F.unix_micros(F.current_timestamp())
+    timely = changes.where(F.col(key).isNotNull() & F.col(version).isNotNull()).withColumns(
+        {"_key": F.col(key).cast("string"), "_at": F.col(version).cast("timestamp"), "_came": came}
     ).withWatermark("_at", late)
-    text = [F.col(c).cast("string").alias(c) for c in names]
-    keyed = timely.select(F.col(key).cast("string").alias("_key"), "_at", F.unix_micros("_at").alias("_micros"), *text)
-    state = ", ".join(f"`{c}` string" for c in names)
-
-    # Columns that settle ties, with how their text compares as their type does.
-    ties = [
-        (names.index(c), Decimal if isinstance(kinds[c], NumericType) else str) for c in rest
-    ]
-
-    def order(micros: int, row: tuple) -> tuple:
-        # A missing value counts as smaller than all others.
-        return (micros, *[(False, 0) if row[i] is None else (True, kind(row[i])) for i, kind in ties])
-
-    def newest(_: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        if held.hasTimedOut:
-            held.remove()
-            return
-        best = held.get if held.exists else None
-        first = best
-        for frame in frames:
-            for micros, *row in frame[["_micros", *names]].itertuples(index=False, name=None):
-                row = tuple(None if v is None or v is pd.NA or v != v else v for v in row)
-                if best is None or order(micros, row) > order(best[0], best[1:]):
-                    best = (micros, *row)
-        held.update(best)
-        # Forgotten once the watermark, which is `late` behind the newest of all, reaches it.
-        held.setTimeoutTimestamp(max(best[0] // 1000 + 1, held.getCurrentWatermarkMs() + 1))
-        if best != first:
-            yield pd.DataFrame([best[1:]], columns=names)
-
-    found = keyed.groupBy("_key").applyInPandasWithState(
-        newest, state, f"_micros long, {state}", "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return found.select(*[F.col(c).cast(kinds[c]).alias(c) for c in names])
+    row = F.struct(version, *rest, "_came", key)
+    best = timely.groupBy(
+        "_key", F.window("_at", f"{2 * span} microseconds", f"{span} microseconds").alias("_window")
+    ).agg(F.max(row).alias("_best"))
+    at = F.unix_micros(F.col(f"_best.{version}").cast("timestamp"))
+    newer = best.where((F.col("_best._came") == came) & (at - F.unix_micros("_window.start") < span))
+    return newer.select(*[F.col(f"_best.{c}").alias(c) for c in names])
 
 
 def follow_available(
     changes: DataFrame, path: str, checkpoint: str, key: str = "id", version: str = "version_timestamp",
     late: str = LATE,
 ) -> None:
-    """Append the newer versions among all unread changes to path, restarting where the
-    checkpoint left off."""
+    """Add the newer versions among all unread changes to path, restarting where the
+    checkpoint left off. A micro-batch that is repeated replaces what it wrote."""
+    def write(batch: DataFrame, n: int) -> None:
+        latest_version(batch, key, version).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).parquet(f"{path}/batch={n}")
+
     query = (
-        newest_versions(changes, key, version, late).writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+        newest_versions(changes, key, version, late).writeStream.foreachBatch(write).outputMode("update")
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
@@ -89,5 +74,5 @@ def follow_available(
 def read_newest(
     spark: SparkSession, path: str, key: str = "id", version: str = "version_timestamp"
 ) -> DataFrame:
-    """The newest version of each key among those appended so far."""
-    return latest_version(spark.read.parquet(path), key, version)
+    """The newest version of each key among those passed on so far."""
+    return latest_version(spark.read.parquet(path).drop("batch"), key, version)

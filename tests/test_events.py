@@ -183,6 +183,33 @@ def follow(spark, root, deliveries, **options):
     return versions.read_newest(spark, f"{root}/out")
 
 
+def test_newest_versions_of_many_keys(spark, rows, tmp_path):
+    r = Random(3)
+    at = lambda k: START + timedelta(hours=r.randint(24 * k, 24 * k + 48))
+    deliveries = [
+        [(r.randint(1, 300), r.choice([None, "", "a", "b"]), r.choice([None, 2, 10]), at(k)) for _ in range(1500)]
+        for k in range(3)
+    ]
+    got = rows(follow(spark, str(tmp_path), [*deliveries, deliveries[-1]]))
+    everything = spark.createDataFrame([row for d in deliveries for row in d], VERSION)
+    assert got == rows(merge.latest_version(everything))
+    # Each is newer than all of its key before it: one of a key in a batch, none twice.
+    passed = {}
+    for n, *row in sorted((r.batch, r.id, r.version_timestamp, r.n or 0, r.name or "") for r in spark.read.parquet(f"{tmp_path}/out").collect()):
+        passed.setdefault(row[0], []).append((tuple(row[1:]), n))
+    for of_key in passed.values():
+        assert [x[0][0] for x in of_key] == sorted(x[0][0] for x in of_key)
+        assert len({x[0] for x in of_key}) == len({x[1] for x in of_key}) == len(of_key)
+    # No step of it passes keys one by one through Python.
+    changes = change_stream.read_changes(spark, f"{tmp_path}/in/delivery=*", everything.schema)
+    query = versions.newest_versions(changes).writeStream.format("noop").outputMode("update").option(
+        "checkpointLocation", f"{tmp_path}/other"
+    ).trigger(availableNow=True).start()
+    query.awaitTermination()
+    operators = {o["operatorName"] for p in query.recentProgress for o in p["stateOperators"]}
+    assert operators == {"stateStoreSave"}
+
+
 def test_newest_versions_of_files_out_of_order(spark, rows, tmp_path):
     at = lambda d, h=0: datetime(2025, 1, d, h)
     deliveries = [
