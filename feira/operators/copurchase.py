@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,12 +12,33 @@ from pyspark.sql import functions as F
 BLOCK = 500
 # Products in more orders than this are counted in several tasks.
 HOT = 200_000
+# Lines and pairs of lines that a task is given, about.
+TASK_ROWS = 500_000
+MOST_TASKS = 20_000
+# Slots of orders in a task: pairs are combined in each before they are shuffled.
+SLOTS = 16
+
+
+class Work(NamedTuple):
+    tasks: int
+    most: int  # lines of an order
+
 
+def _work(fact: DataFrame) -> Work:
+    """How many tasks the lines and pairs of all orders are dealt to, so that a task's memory
+    does not grow with the table, and the lines of the largest order."""
+    n = F.col("n").cast("double")
+    found = fact.where(F.col("product_id").isNotNull()).groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("transaction_id").isNotNull()
+    ).agg(F.sum(n * (n + 1) / 2).alias("rows"), F.max("n").alias("most")).first()
+    return Work(min(max(math.ceil((found["rows"] or 0) / TASK_ROWS), 1), MOST_TASKS), found["most"] or 0)
 
-def baskets(fact: DataFrame) -> DataFrame:
-    """Distinct (order, product) with the number of lines, combined map-side."""
+
+def baskets(fact: DataFrame, tasks: int = 1) -> DataFrame:
+    """Distinct (order, product) with the number of lines."""
     return (
         fact.where(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
+        .repartition(tasks, "transaction_id", "product_id")
         .groupBy("transaction_id", "product_id")
         .agg(F.count(F.lit(1)).alias("lines"))
     )
@@ -30,20 +54,26 @@ def _counted(basket_rows: DataFrame, key: str) -> DataFrame:
     return counts.where(F.col("lines") >= F.col("n")).select(key, "n")
 
 
-def _in_cells(basket_rows: DataFrame, block: int) -> DataFrame:
+def _in_cells(basket_rows: DataFrame, block: int, work: Work | None = None) -> DataFrame:
     """Place each row in the cells of its basket's block grid.
 
     A basket of m products has g = ceil(m / block) blocks, and a row of block b goes to
     the cells (min(b, c), max(b, c)) for c < g. Two rows of different blocks share one
     cell, and rows of one block count only in its diagonal cell, so every pair is met
     exactly once and no cell holds more than about two blocks, however large the basket.
+    Cells are dealt to slots, and slots to tasks.
     """
-    large = _counted(basket_rows, "transaction_id").where(F.col("n") > block).select(
-        "transaction_id", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")
-    )
-    rows = basket_rows.join(large, "transaction_id", "left").withColumn(
-        "blocks", F.coalesce("blocks", F.lit(1))
-    )
+    work = work or _work(basket_rows)
+    if work.most > block:
+        large = _counted(basket_rows, "transaction_id").where(F.col("n") > block).select(
+            "transaction_id", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")
+        )
+        rows = basket_rows.join(large, "transaction_id", "left").withColumn(
+            "blocks", F.coalesce("blocks", F.lit(1))
+        )
+    else:
+        rows = basket_rows.withColumn("blocks", F.lit(1))
+    slot = F.pmod(F.xxhash64("transaction_id", "cell_a", "cell_b"), F.lit(work.tasks * SLOTS)).cast("int")
     own = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
     return (
         rows.withColumn("own", own)
@@ -54,34 +84,29 @@ def _in_cells(basket_rows: DataFrame, block: int) -> DataFrame:
             F.greatest("own", "other").alias("cell_b"),
             "own", "product_id", "lines",
         )
+        .withColumn("slot", slot)
+        .repartition(work.tasks, "slot")
     )
 
 
 def product_pairs(fact: DataFrame, block: int = BLOCK) -> DataFrame:
     """Each unordered pair once (x < y): line-pair count and number of shared orders.
 
-    Pairs stream from the join into the map-side aggregate; only per-task sums are
-    shuffled.
+    Pairs go from the cells into an aggregate of their slot, without a shuffle; only the sums
+    of slots are shuffled.
     """
-    cells = _in_cells(baskets(fact), block)
-    # Both sides are the same rows, so one shuffle serves them, and merging can spill.
-    a, b = cells.alias("a"), cells.alias("b").hint("merge")
-    meets = (
-        (F.col("a.transaction_id") == F.col("b.transaction_id"))
-        & (F.col("a.cell_a") == F.col("b.cell_a"))
-        & (F.col("a.cell_b") == F.col("b.cell_b"))
-        & (F.col("a.product_id") < F.col("b.product_id"))
-        & ((F.col("a.cell_a") == F.col("a.cell_b")) | (F.col("a.own") != F.col("b.own")))
+    work = _work(fact)
+    blocks = _blocks(_in_cells(baskets(fact, work.tasks), block, work))
+    each = blocks.select("*", F.inline(F.concat("a", "b")).alias("x", "lines_x", "own"))
+    of_b = (F.col("own") == F.col("cell_a")) & (F.col("cell_a") != F.col("cell_b"))
+    met = each.select(
+        "slot", "x", "lines_x", F.inline(F.when(of_b, F.col("b")).otherwise(F.col("a"))).alias("y", "lines_y", "_")
+    ).where(F.col("x") < F.col("y"))
+    of_slots = met.groupBy("slot", F.col("x").alias("product_id_x"), F.col("y").alias("product_id_y")).agg(
+        F.sum(F.col("lines_x") * F.col("lines_y")).alias("n"), F.count(F.lit(1)).alias("orders")
     )
-    return (
-        a.join(b, meets)
-        .groupBy(
-            F.col("a.product_id").alias("product_id_x"), F.col("b.product_id").alias("product_id_y")
-        )
-        .agg(
-            F.sum(F.col("a.lines") * F.col("b.lines")).alias("co_purchase_count"),
-            F.count(F.lit(1)).alias("shared_orders"),
-        )
+    return of_slots.repartition(work.tasks, "product_id_x", "product_id_y").groupBy("product_id_x", "product_id_y").agg(
+        F.sum("n").alias("co_purchase_count"), F.sum("orders").alias("shared_orders")
     )
 
 
@@ -100,17 +125,21 @@ def co_purchases(fact: DataFrame, block: int = BLOCK) -> DataFrame:
     return _both_ways(pairs)
 
 
-def _partners(cells: DataFrame) -> DataFrame:
-    """(transaction_id, product_id, partners): for each product of a cell the others it meets
-    there, with the number of line pairs. A cell's two blocks meet each other; one block, of a
-    diagonal cell, meets itself."""
-    entry = F.struct(F.col("product_id").alias("p"), F.col("lines").alias("n"))
-    blocks = cells.groupBy("transaction_id", "cell_a", "cell_b").agg(
+def _blocks(cells: DataFrame) -> DataFrame:
+    """The two blocks of each cell as lists (a, b); that of a diagonal cell is a. They meet each
+    other; one block, of a diagonal cell, meets itself."""
+    entry = F.struct(F.col("product_id").alias("p"), F.col("lines").alias("n"), "own")
+    return cells.groupBy("slot", "transaction_id", "cell_a", "cell_b").agg(
         F.collect_list(F.when(F.col("own") == F.col("cell_a"), entry)).alias("a"),
         F.collect_list(F.when(F.col("own") != F.col("cell_a"), entry)).alias("b"),
     )
 
 
+def _partners(cells: DataFrame) -> DataFrame:
+    """(slot, transaction_id, product_id, partners): for each product of a cell the others it
+    meets there, with the number of line pairs."""
+    blocks = _blocks(cells)
+
     def side(name: str, of_a: bool) -> Column:
         return F.transform(name, lambda x: F.struct(x["p"].alias("p"), x["n"].alias("n"), F.lit(of_a).alias("of_a")))
 
@@ -121,7 +150,7 @@ def _partners(cells: DataFrame) -> DataFrame:
         F.filter(others, lambda y: y["p"] != F.col("x.p")),
         lambda y: F.struct(y["p"].alias("y"), (F.col("x.n") * y["n"]).alias("n")),
     )
-    return each.select("transaction_id", F.col("x.p").alias("product_id"), partners.alias("partners")).where(
+    return each.select("slot", "transaction_id", F.col("x.p").alias("product_id"), partners.alias("partners")).where(
         F.size("partners") > 0
     )
 
@@ -136,16 +165,17 @@ def recommendations(fact: DataFrame, k: int = 5, block: int = BLOCK, hot: int =
     shuffled. A product of more than `hot` orders is spread over several tasks, whose counts,
     all of them, are summed before its best are chosen.
     """
-    rows = baskets(fact)
+    work = _work(fact)
+    rows = baskets(fact, work.tasks)
     per_product = _counted(rows, "product_id").withColumnsRenamed(
         {"product_id": "product_id_x", "n": "orders_x"}
     )
     n_orders = _counted(rows, "transaction_id").agg(F.count(F.lit(1)).alias("orders_all"))
-    lists = _partners(_in_cells(rows, block)).withColumnRenamed("product_id", "product_id_x")
+    lists = _partners(_in_cells(rows, block, work)).withColumnRenamed("product_id", "product_id_x")
     parts = F.ceil(F.col("orders_x") / F.lit(hot)).cast("int")
     dealt = lists.join(per_product, "product_id_x").withColumn("parts", parts).withColumn(
         "part", F.pmod(F.xxhash64("transaction_id"), F.col("parts")).cast("int")
-    ).repartition("product_id_x", "part")
+    ).repartition(work.tasks, "product_id_x", "part")
     counted = dealt.select("product_id_x", "part", "parts", "orders_x", F.inline("partners").alias("product_id_y", "n")).groupBy(
         "product_id_x", "part", "parts", "orders_x", "product_id_y"
     ).agg(F.sum("n").alias("co_purchase_count"), F.count(F.lit(1)).alias("shared_orders"))

@@ -46,6 +46,20 @@ def test_cells_stay_small(spark):
     assert cells.agg(F.max("count")).first()[0] < 2 * 100 * 1.6
 
 
+@pytest.mark.parametrize("operator", [copurchase.co_purchases, copurchase.recommendations])
+def test_tasks_follow_from_lines_and_pairs(spark, monkeypatch, operator):
+    """No task is given more lines and pairs because the table is larger."""
+    lines = spark.range(4000).select(
+        F.floor(F.col("id") / 4).alias("transaction_id"), F.pmod(F.xxhash64("id"), F.lit(300)).alias("product_id"))
+    want = {tuple(r) for r in operator(lines).collect()}
+    assert copurchase._work(lines) == (1, 4)
+    monkeypatch.setattr(copurchase, "TASK_ROWS", 1000)
+    assert copurchase._work(lines) == (10, 4)
+    found = operator(lines)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+    assert {tuple(r) for r in found.collect()} == want
+
+
 def test_recommendations(spark, rows):
     df = spark.createDataFrame(
         [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 3), (4, 4)], "transaction_id long, product_id long"
