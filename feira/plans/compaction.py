@@ -18,6 +18,7 @@ from feira.plans.tables import COMMITS, live, read_if_there, read_partitions, re
 from feira.sources.files import list_folders
 
 TARGET = 128 << 20  # bytes of a file
+MOST_ROWS = 2_000_000  # that a task sorts, about, however small they are in files
 STEPS = 1 << 15  # of each column along the curve
 
 
@@ -73,7 +74,8 @@ def compact(
     values: Iterable[str] | None = None,
 ) -> list[str]:
     """Rewrite the partitions that are worth it (or the given ones) into files of about the
-    target size, and return their names. The rows stay the same."""
+    target size, or of MOST_ROWS rows if those are smaller, and return their names. The rows stay
+    the same."""
     now = live(spark, path)
     sizes = file_sizes(spark, path)
     chosen = worth_compacting(sizes, target) if values is None else sorted(values)
@@ -83,11 +85,12 @@ def compact(
     whole = sizes.where(F.col("value").isin(chosen)).agg(F.sum("bytes")).first()[0]
     rows = rows.withColumn(now.column, F.col(now.column).cast("string"))
     curve = along_curve(rows, x, y)
+    ranges = max(-(-whole // target), -(-rows.count() // MOST_ROWS), 1)
 
     def layout(df: DataFrame) -> DataFrame:
         # Ranges of partition and curve, as many as files are wanted: a small partition may
         # share a task, but not a file, with its neighbours.
-        ranged = df.withColumn("_curve", curve).repartitionByRange(max(-(-whole // target), 1), now.column, "_curve")
+        ranged = df.withColumn("_curve", curve).repartitionByRange(ranges, now.column, "_curve")
         return ranged.sortWithinPartitions(now.column, "_curve").drop("_curve")
 
     def beside(written: DataFrame, version: int) -> None:

@@ -773,9 +773,10 @@ def compacted_orders(spark, sf):
     path = f"{scratch_path(spark, 'compaction')}/orders"
     orders = E.transacoes(spark, sf).select("id", "id_cliente", "data_hora", "metodo_pagamento")
     by_month = orders.withColumn(tables.MONTH, calendar.month_label(F.col("data_hora")))
-    tables.replace_partitions(by_month, path, tables.MONTH, layout=lambda df: df.repartition(8))
+    many = max(8, -(-orders.count() // compaction.MOST_ROWS))
+    tables.replace_partitions(by_month, path, tables.MONTH, layout=lambda df: df.repartition(many))
     fixed = by_month.where("year(data_hora) = 1996").withColumn("metodo_pagamento", F.lit("corrected"))
-    tables.replace_partitions(fixed, path, tables.MONTH, gone=[], layout=lambda df: df.repartition(8))
+    tables.replace_partitions(fixed, path, tables.MONTH, gone=[], layout=lambda df: df.repartition(many))
     before = compaction.file_sizes(spark, path).agg(F.sum("files")).first()[0]
     compacted = compaction.compact(spark, path, "id_cliente", "data_hora")
     after = compaction.file_sizes(spark, path).agg(F.sum("files")).first()[0]

@@ -244,5 +244,17 @@ def test_files_cover_small_ranges_of_both_columns(spark, tmp_path):
     assert len(spans) >= 8 and sum(r[1] * r[2] for r in spans) / len(spans) < 0.5 * 1000 * 977
 
 
+def test_rows_that_a_compaction_task_sorts_are_bounded(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(compaction, "MOST_ROWS", 1000)
+    df = spark.range(8000).select("id", (F.col("id") * 7919 % 1000).alias("a"), (F.col("id") * 104729 % 977).alias("b"), F.lit("m").alias("m"))
+    path = str(tmp_path / "t")
+    tables.replace_partitions(df, path, "m", layout=lambda d: d.repartition(16))
+    compaction.compact(spark, path, "a", "b")
+    found = tables.read_partitions(spark, path)
+    sizes = [r["count"] for r in found.groupBy("_metadata.file_path").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2000
+    assert rows(found.select("id", "a", "b")) == rows(df.select("id", "a", "b"))
+
+
 def test_nothing_to_compact(spark, tmp_path):
     assert compaction.compact(spark, str(tmp_path / "none"), "a", "b") == [] == compaction.expire(spark, str(tmp_path / "none"))
