@@ -17,8 +17,9 @@ from feira.plans.tables import staged
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject. Labels of held-out rows are not used."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out(F.col("doc_id")))
-    return toxicity.remove_toxic(docs, toxicity.train(docs, labels))
+    learnt_from = ~toxicity.held_out(F.col("doc_id"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(learnt_from)
+    return toxicity.remove_toxic(docs, toxicity.train(docs.where(learnt_from), labels))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,7 +104,7 @@ def op9_main_text(spark, sf):
 def op10_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     held_out = toxicity.held_out(F.col("doc_id"))
-    model = toxicity.train(docs, table(spark, sf, "labels").where(~held_out))
+    model = toxicity.train(docs.where(~held_out), table(spark, sf, "labels").where(~held_out))
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score",
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),

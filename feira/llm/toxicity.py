@@ -5,39 +5,50 @@ that inflected forms share what they have in common. Filters of several widths r
 the words of the whole text, the maximum of each filter is pooled, and a logistic unit
 turns the pooled values into a probability. Text is all that a score sees.
 
-The classifier is fitted on the driver to a bounded sample of labelled rows; the share of
-toxic rows among all labelled rows corrects its probabilities. Thresholds are calibrated
-for each language on rows of the sample that were kept out of the fit.
+The classifier is fitted to all labelled rows, where they lie. In each pass every task takes its
+own gradient steps over its rows, from the same numbers; what the tasks changed is averaged, and
+the driver, which holds the model alone, sends out the result for the next pass. Rows that were
+kept out of the fit, all of them, then calibrate its probabilities and a threshold for each
+language.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira.llm.text import Words, map_arrow, slices, words
+from feira.plans.tables import staged
 
-SAMPLE = 3000  # labelled rows of either class that are fitted to, at most
-LONGEST = 200_000  # bytes of a text in the sample, at most
-SAMPLE_BYTES = 64 << 20  # of all texts in the sample together, at most: those of smallest hash
 BUCKETS = 1 << 16
 SIZE = 8  # numbers in an embedding
 PREFIXES = (3, 4, 5, 6)  # bytes
 WIDTHS = (1, 2, 3)
 FILTERS = 8  # of each width
 EPOCHS = 8
-FITTED_BYTES = 1 << 18  # of text handled at once on the driver
+FITTED_BYTES = 1 << 20  # of text whose order is mixed, or one longer text
+TASK_BYTES = 128 << 20  # of text that a task fits to in a pass
+FEW_TASKS, FEW_BYTES = 8, 16 << 20  # so many tasks share less text, if each has that much
+BLOCK = 1024  # rows of numbers that are averaged at once
 BATCH = 50
 RATE = 0.05
 NEUTRAL = 10
 CALIBRATION = 5  # one row in so many calibrates
+NEWTON = 30  # steps of the calibration, at most
 THRESHOLD = 0.3
+GRID = np.round(np.arange(0.1, 0.91, 0.05), 2)
+#: What follows the embedding in an array of all numbers of a model.
+REST = [*[(k, FILTERS, SIZE) for k in WIDTHS], *[(len(WIDTHS), FILTERS)] * 2, (1,)]
+ROWS = BUCKETS + math.ceil(sum(map(math.prod, REST)) / SIZE)
+MESSAGE = "block int, task int, weight double, places binary, numbers binary"
 
 
 @dataclass
@@ -46,7 +57,7 @@ class Model:
     filters: list[np.ndarray]  # of each width: (width, FILTERS, SIZE)
     biases: np.ndarray  # (widths, FILTERS)
     out: np.ndarray  # (widths, FILTERS)
-    offset: float
+    offset: float | np.ndarray
     scale: float = 1.0  # calibration: probability = logistic(scale * logit + shift)
     shift: float = 0.0
     constant: float | None = None  # score of every text, if there was nothing to learn
@@ -116,112 +127,232 @@ def score_slice(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return 1 / (1 + np.exp(-np.clip(model.scale * z + model.shift, -50, 50).astype(np.float64)))
 
 
-def log_odds(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+def shaped(numbers: np.ndarray) -> Model:
+    """The model whose numbers are those of an array (ROWS, SIZE); it shares their memory."""
+    rest, found = numbers[BUCKETS:].reshape(-1), []
+    for shape in REST:
+        found.append(rest[:math.prod(shape)].reshape(shape))
+        rest = rest[math.prod(shape):]
+    *filters, biases, out, offset = found
+    return Model(numbers[:BUCKETS], filters, biases, out, offset)
+
+
+def log_odds(seen: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """For each bucket how much more often texts of class 1 hold it, as log odds, smoothed
-    by NEUTRAL texts of either class in their proportion."""
-    share = np.array([(y == 0).mean(), (y == 1).mean()])
-    seen = np.repeat(NEUTRAL * share[:, None], BUCKETS, axis=1)
-    for r, label in zip(rows, y):
-        seen[label, np.unique(r)] += 1
+    by NEUTRAL texts of either class in their proportion. seen: (2, BUCKETS) texts of each class
+    that hold a bucket; texts: those of each class."""
+    share = texts[:, None] / texts.sum()
+    seen = seen + NEUTRAL * share
     return np.log(seen[1] / share[1]) - np.log(seen[0] / share[0])
 
 
-def fit(texts: list[str], y: np.ndarray, seed: int = 7) -> Model:
-    """The classifier fitted by stochastic gradient steps with rates adapted to each number."""
+def started(odds: np.ndarray, seed: int = 7) -> np.ndarray:
+    """The numbers that the fit starts from."""
     rng = np.random.default_rng(seed)
-    data_rows = []
-    for _, _, data, offsets in slices(pa.array(texts, pa.string()), FITTED_BYTES):
-        w = words(data, offsets)
-        b = buckets(w).astype(np.uint16)  # the sample is held for all epochs
-        data_rows += [b[:, lo:hi] for lo, hi in zip(w.first[:-1], w.first[1:])]
-    embedding = rng.normal(0, 0.05, (BUCKETS, SIZE)).astype(np.float32)
+    numbers = np.zeros((ROWS, SIZE), np.float32)
+    model = shaped(numbers)
+    model.embedding[:] = rng.normal(0, 0.05, (BUCKETS, SIZE))
     # The first number starts as the bucket's log odds, and one filter of each width reads it.
-    embedding[:, 0] = log_odds(data_rows, y)
-    filters = [rng.normal(0, 0.3, (k, FILTERS, SIZE)).astype(np.float32) for k in WIDTHS]
-    for f in filters:
+    model.embedding[:, 0] = odds
+    for f in model.filters:
+        f[:] = rng.normal(0, 0.3, f.shape)
         f[:, 0] = 0
         f[:, 0, 0] = 1
-    shape = (len(WIDTHS), FILTERS)
-    model = Model(embedding, filters, np.zeros(shape, np.float32),
-                  rng.normal(0, 0.1, shape).astype(np.float32), 0.0)
-    squares: dict[object, np.ndarray] = {}
+    model.out[:] = rng.normal(0, 0.1, model.out.shape)
+    return numbers
+
+
+def descend(model: Model, squares: Model, data_rows: list[np.ndarray], y: np.ndarray) -> None:
+    """One gradient step over some texts, with rates adapted to each number."""
 
-    def step(name, value, gradient, at=slice(None)):
-        s = squares.setdefault(name, np.full(value.shape, 1e-3, np.float32))
+    def step(value, s, gradient, at=slice(None)):
         s[at] += gradient**2
         value[at] -= RATE * gradient / np.sqrt(s[at])
 
-    order = np.arange(len(y))
-    for _ in range(EPOCHS):
-        rng.shuffle(order)
-        for low in range(0, len(order), BATCH):
-            some = order[low:low + BATCH]
-            first = np.concatenate([[0], np.cumsum([data_rows[i].shape[1] for i in some])])
-            rows, bounds = padded(np.concatenate([data_rows[i] for i in some], axis=1), first)
-            x = embed(model, rows)
-            tops = np.empty((len(some), *shape), np.int64)
-            pool = np.empty((len(some), *shape), np.float32)
-            for k, v in enumerate(responses(model, x)):
-                for t, (lo, hi) in enumerate(bounds):
-                    tops[t, k] = lo + v[:, lo:hi].argmax(axis=1)
-                    pool[t, k] = v[np.arange(FILTERS), tops[t, k]]
-            p = 1 / (1 + np.exp(-np.clip(logits(model, pool), -30, 30)))
-            error = ((p - y[some]) / len(some)).astype(np.float32)
-            active = np.maximum(pool, 0)
-            g_pool = error[:, None, None] * model.out * (pool > 0)
-            g_out = np.einsum("t,twf->wf", error, active) + 1e-4 * model.out
-            g_x = {}
-            for k, width in enumerate(WIDTHS):
-                g_f = np.zeros_like(model.filters[k])
-                for j in range(width):
-                    at = tops[:, k] + j
-                    g_f[j] = np.einsum("tf,tfs->fs", g_pool[:, k], x[at])
-                    g_x[k, j] = (at, g_pool[:, k][..., None] * model.filters[k][j])
-                step(("filter", k), model.filters[k], g_f + 1e-4 * model.filters[k])
-            step("bias", model.biases, g_pool.sum(0))
-            step("out", model.out, g_out)
-            model.offset -= 0.1 * float(error.sum())
-            at = np.concatenate([a.ravel() for a, _ in g_x.values()])
-            g = np.concatenate([v.reshape(-1, SIZE) for _, v in g_x.values()])
-            real = (rows[0, at] >= 0) & (np.abs(g).sum(1) > 0)
-            touched, where = np.unique(rows[:, at[real]], return_inverse=True)
-            if len(touched):
-                total = np.zeros((len(touched), SIZE), np.float32)
-                np.add.at(total, where.reshape(len(rows), -1), g[real][None] / len(rows))
-                step("embedding", model.embedding, total, touched)
+    shape = model.biases.shape
+    rows, bounds = padded(
+        np.concatenate(data_rows, axis=1), np.cumsum([0, *[r.shape[1] for r in data_rows]])
+    )
+    x = embed(model, rows)
+    tops = np.empty((len(y), *shape), np.int64)
+    pool = np.empty((len(y), *shape), np.float32)
+    for k, v in enumerate(responses(model, x)):
+        for t, (lo, hi) in enumerate(bounds):
+            tops[t, k] = lo + v[:, lo:hi].argmax(axis=1)
+            pool[t, k] = v[np.arange(FILTERS), tops[t, k]]
+    p = 1 / (1 + np.exp(-np.clip(logits(model, pool), -30, 30)))
+    error = ((p - y) / len(y)).astype(np.float32)
+    active = np.maximum(pool, 0)
+    g_pool = error[:, None, None] * model.out * (pool > 0)
+    g_out = np.einsum("t,twf->wf", error, active) + 1e-4 * model.out
+    g_x = {}
+    for k, width in enumerate(WIDTHS):
+        g_f = np.zeros_like(model.filters[k])
+        for j in range(width):
+            at = tops[:, k] + j
+            g_f[j] = np.einsum("tf,tfs->fs", g_pool[:, k], x[at])
+            g_x[k, j] = (at, g_pool[:, k][..., None] * model.filters[k][j])
+        step(model.filters[k], squares.filters[k], g_f + 1e-4 * model.filters[k])
+    step(model.biases, squares.biases, g_pool.sum(0))
+    step(model.out, squares.out, g_out)
+    model.offset -= np.float32(0.1) * error.sum()
+    at = np.concatenate([a.ravel() for a, _ in g_x.values()])
+    g = np.concatenate([v.reshape(-1, SIZE) for _, v in g_x.values()])
+    real = (rows[0, at] >= 0) & (np.abs(g).sum(1) > 0)
+    touched, where = np.unique(rows[:, at[real]], return_inverse=True)
+    if len(touched):
+        total = np.zeros((len(touched), SIZE), np.float32)
+        np.add.at(total, where.reshape(len(rows), -1), g[real][None] / len(rows))
+        step(model.embedding, squares.embedding, total, touched)
+
+
+def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """(buckets of each text, classes) of batches of (text, class), a slice at a time."""
+    for batch in batches:
+        labels = batch.column(1).to_numpy(zero_copy_only=False)
+        for low, high, data, offsets in slices(batch.column(0), FITTED_BYTES):
+            w = words(data, offsets)
+            b = buckets(w)
+            yield [b[:, lo:hi] for lo, hi in zip(w.first[:-1], w.first[1:])], labels[low:high]
+
+
+def messages(numbers: np.ndarray, used: np.ndarray, weight: float) -> Iterator[pa.RecordBatch]:
+    """The used rows of an array, in blocks."""
+    task, names = TaskContext.get().partitionId(), [c.split()[0] for c in MESSAGE.split(", ")]
+    for block in range(math.ceil(len(numbers) / BLOCK)):
+        places = np.flatnonzero(used[block * BLOCK:(block + 1) * BLOCK])
+        if len(places):
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block], pa.int32()), pa.array([task], pa.int32()), pa.array([weight], pa.float64()),
+                pa.array([places.astype(np.int32).tobytes()]), pa.array([numbers[block * BLOCK + places].tobytes()]),
+            ], names)
+
+
+def averaged(sent: DataFrame, shape: tuple[int, int], mean: bool = True) -> np.ndarray:
+    """The weighted mean of each row over the tasks that sent it, or the sum; 0 if none did.
+
+    Blocks are added up by tasks, in the order of the tasks that sent them; the driver gets one
+    array of the shape.
+    """
+    width = shape[1]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total, weights = None, np.empty(0), np.empty(0)
+
+        def done() -> pa.RecordBatch:
+            found = total / np.maximum(weights, 1e-300)[:, None] if mean else total
+            return pa.RecordBatch.from_arrays(
+                [pa.array([now], pa.int32()), pa.array([found.astype(np.float32 if mean else np.float64).tobytes()])],
+                ["block", "numbers"],
+            )
+
+        for batch in batches:
+            for block, _, weight, places, numbers in zip(*[c.to_pylist() for c in batch.columns]):
+                if block != now:
+                    if now is not None:
+                        yield done()
+                    now, total, weights = block, np.zeros((BLOCK, width)), np.zeros(BLOCK)
+                at = np.frombuffer(places, np.int32)
+                total[at] += np.frombuffer(numbers, np.float32).reshape(-1, width) * (weight if mean else 1)
+                weights[at] += weight
+        if now is not None:
+            yield done()
+
+    blocks = sent.repartition("block").sortWithinPartitions("block", "task")
+    out = np.zeros((math.ceil(shape[0] / BLOCK) * BLOCK, width), np.float32 if mean else np.float64)
+    for r in map_arrow(blocks, add, "block int, numbers binary").collect():
+        out[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["numbers"], out.dtype).reshape(-1, width)
+    return out[:shape[0]]
+
+
+def buckets_seen(rows: DataFrame) -> np.ndarray:
+    """(2, BUCKETS): how many texts of each class hold a bucket, of rows of (text, class)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((BUCKETS, 2), np.float32)
+        n = 0
+        for data_rows, y in texts_of(batches):
+            for r, label in zip(data_rows, y):
+                seen[np.unique(r), label] += 1
+            n += len(y)
+            if n >= 1 << 23:  # far below where such a number stops counting
+                yield from messages(seen, seen.any(axis=1), 1.0)
+                seen[:], n = 0, 0
+        yield from messages(seen, seen.any(axis=1), 1.0)
+
+    return averaged(map_arrow(rows, count, MESSAGE), (BUCKETS, 2), mean=False).T
+
+
+def fit(rows: DataFrame, texts: np.ndarray, seed: int = 7) -> Model:
+    """The classifier fitted to rows of (text, class) by stochastic gradient steps. texts: how
+    many there are of each class; each partition is one task's."""
+    numbers = started(log_odds(buckets_seen(rows), texts), seed)
+    squares = np.full((ROWS, SIZE), 1e-3, np.float32)
+    for epoch in range(EPOCHS):
+        shared = rows.sparkSession.sparkContext.broadcast((numbers, squares))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rng = np.random.default_rng([seed, epoch, TaskContext.get().partitionId()])
+            own, own_squares = (a.copy() for a in shared.value)
+            model, model_squares, n = shaped(own), shaped(own_squares), 0
+            for data_rows, y in texts_of(batches):
+                for some in np.array_split(rng.permutation(len(y)), math.ceil(len(y) / BATCH)):
+                    descend(model, model_squares, [data_rows[i] for i in some], y[some])
+                n += len(y)
+            if n:
+                change = np.concatenate([own - shared.value[0], own_squares - shared.value[1]], axis=1)
+                yield from messages(change, change.any(axis=1), float(n))
+
+        change = averaged(map_arrow(rows, run, MESSAGE), (ROWS, 2 * SIZE))
+        shared.destroy()
+        numbers, squares = numbers + change[:, :SIZE], squares + change[:, SIZE:]
+    model = shaped(numbers)
+    model.offset = float(model.offset[0])
     return model
 
 
-def calibrate(model: Model, z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
-    """Fit scale and shift to weighted rows by Newton steps; a prior keeps them near 1 and 0."""
+def probability(z: Column, scale: float, shift: float, most: int = 50) -> Column:
+    z = F.lit(scale) * z + F.lit(shift)
+    return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(float(most))), F.lit(float(-most)))))
+
+
+def calibrate(model: Model, rows: DataFrame) -> None:
+    """Fit scale and shift to rows of (_z, _y, _weight) by Newton steps; a prior keeps them near
+    1 and 0. Each step is one aggregate over all rows."""
     a = np.array([1.0, 0.0])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a[0] * z + a[1], -30, 30)))
-        d = weight * (p - y)
-        h = weight * p * (1 - p) + 1e-9
-        gradient = np.array([(d * z).sum() + (a[0] - 1), d.sum() + 0.1 * a[1]])
-        hessian = np.array([[(h * z * z).sum() + 1, (h * z).sum()], [(h * z).sum(), h.sum() + 0.1]])
-        a = a - np.clip(np.linalg.solve(hessian, gradient), -1, 1)
+    z, w = F.col("_z"), F.col("_weight")
+    for _ in range(NEWTON):
+        p = probability(z, float(a[0]), float(a[1]), 30)
+        d, h = w * (p - F.col("_y")), w * p * (1 - p) + F.lit(1e-9)
+        sums = rows.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in (d * z, d, h * z * z, h * z, h)]).first()
+        gradient = np.array([sums[0] + (a[0] - 1), sums[1] + 0.1 * a[1]])
+        hessian = np.array([[sums[2] + 1, sums[3]], [sums[3], sums[4] + 0.1]])
+        step = np.clip(np.linalg.solve(hessian, gradient), -1, 1)
+        a = a - step
+        if np.abs(step).max() < 1e-9:
+            break
     model.scale, model.shift = float(max(a[0], 0.05)), float(a[1])
 
 
-def threshold(scores: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """The cut with the fewest weighted errors; of equals, the nearest to THRESHOLD."""
-    grid = np.round(np.arange(0.1, 0.91, 0.05), 2)
-    errors = [float((weight * ((scores >= t) != y)).sum()) for t in grid]
-    return float(min(zip(errors, np.abs(grid - THRESHOLD), grid))[2])
+def thresholds(model: Model, rows: DataFrame) -> dict[str, float]:
+    """For each language the cut with the fewest weighted errors; of equals, the nearest to
+    THRESHOLD. rows: (_z, _y, _weight, _lang)."""
+    score = probability(F.col("_z"), model.scale, model.shift)
+    wrong = [F.sum(F.when((score >= t) != (F.col("_y") == 1), F.col("_weight")).otherwise(0.0)) for t in GRID.tolist()]
+    found = rows.where(F.col("_lang") != "").groupBy("_lang").agg(*wrong).collect()  # one row of each language
+    return {lang: float(min(zip(errors, np.abs(GRID - THRESHOLD), GRID))[2]) for lang, *errors in found}
 
 
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", column: str = "text",
-    label: str = "toxic", lang: str = "lang", sample: int = SAMPLE,
+    label: str = "toxic", lang: str = "lang",
 ) -> Model:
-    """A classifier from the labelled documents.
+    """A classifier from all labelled documents, whole texts.
 
-    labels may repeat a key (the highest label counts) and hold nulls (skipped). Of each
-    class, the `sample` keys of smallest hash are fitted to, of those the first SAMPLE_BYTES of
-    text, and no text of more than LONGEST bytes. Without rows of both classes
-    every text gets the share of class 1 as its score, 0 if there are no labels.
+    labels may repeat a key (the highest label counts) and hold nulls (skipped); of documents
+    that repeat a key the smallest text counts. The labelled rows are written to the shared
+    folder once; each pass reads them there. Without rows of both classes every text gets the
+    share of class 1 as its score, 0 if there are no labels.
     """
     by_key = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").cast("int").alias("_y")).where(
         F.col("_key").isNotNull() & F.col("_y").isin(0, 1)
@@ -229,41 +360,39 @@ def train(
     counts = {r["_y"]: r["n"] for r in by_key.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return Model(*[np.empty(0)] * 4, 0.0, constant=float(1 in counts))
-    chosen = None
-    for y in (0, 1):
-        own = by_key.where(F.col("_y") == y).orderBy(F.xxhash64("_key"), "_key").limit(sample)
-        chosen = own if chosen is None else chosen.unionByName(own)
-    keys = {r["_key"]: r["_y"] for r in chosen.collect()}  # at most 2 * sample
-    wanted = docs.sparkSession.createDataFrame(
-        list(keys.items()), by_key.schema
-    )
     language = F.col(f"`{lang}`") if lang in docs.columns else F.lit(None)
-    rows = docs.select(
+    found = docs.select(
         F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("_text"),
         language.cast("string").alias("_lang"),
-    ).where(F.octet_length("_text") <= LONGEST).join(F.broadcast(wanted), "_key").dropDuplicates(["_key"])
-    # Single-task window over at most 2 * sample rows.
-    so_far = Window.orderBy(F.xxhash64("_key"), "_key").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_bytes", F.sum(F.octet_length("_text")).over(so_far)).where(
-        F.col("_bytes") <= SAMPLE_BYTES
-    ).collect()
-    rows.sort(key=lambda r: repr(r["_key"]))
-    y = np.array([r["_y"] for r in rows], np.int64)
-    if len(set(y.tolist())) < 2:
-        return Model(*[np.empty(0)] * 4, 0.0, constant=counts[1] / (counts[0] + counts[1]))
-    texts, kept_out = [r["_text"] for r in rows], np.arange(len(rows)) % CALIBRATION == 0
-    model = fit([t for t, k in zip(texts, kept_out) if not k], y[~kept_out])
-    # Each class weighs as much as it has rows among all that are labelled.
+    ).join(by_key, "_key").groupBy("_key").agg(
+        F.min(F.struct("_text", "_lang")).alias("_row"), F.max("_y").alias("_y")
+    )
+    rows = staged(found.select(
+        "_row._text", "_y", "_row._lang", (F.pmod(F.xxhash64("_key"), F.lit(CALIBRATION)) == 0).alias("_kept_out"),
+        F.octet_length("_row._text").cast("long").alias("_bytes"),
+    ), "toxicity-labelled")
+    sizes = rows.groupBy("_y", "_kept_out").agg(F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("bytes")).collect()
+    matched = np.array([sum(r["n"] for r in sizes if r["_y"] == y) for y in (0, 1)], np.float64)
     share = counts[1] / (counts[0] + counts[1])
-    weight = np.where(y == 1, share / max((y == 1).mean(), 1e-9), (1 - share) / max((y == 0).mean(), 1e-9))
-    p = np.concatenate([score_slice(model, d, o) for _, _, d, o in slices(pa.array(texts, pa.string()), FITTED_BYTES)])
-    z = np.log(np.clip(p, 1e-12, 1) / np.clip(1 - p, 1e-12, 1))
-    calibrate(model, z[kept_out], y[kept_out], weight[kept_out])
-    p = 1 / (1 + np.exp(-np.clip(model.scale * z + model.shift, -50, 50)))
-    for language in sorted({r["_lang"] for r in rows if r["_lang"]}):
-        own = kept_out & np.array([r["_lang"] == language for r in rows])
-        if own.any():
-            model.thresholds[language] = threshold(p[own], y[own], weight[own])
+    if not matched.all():
+        return Model(*[np.empty(0)] * 4, 0.0, constant=share)
+    fitted, own = rows.where(~F.col("_kept_out")), [r for r in sizes if not r["_kept_out"]]
+    if len(own) < 2:  # too few rows to keep some out
+        fitted, own = rows, sizes
+    texts = np.array([sum(r["n"] for r in own if r["_y"] == y) for y in (0, 1)], np.float64)
+    size = sum(r["bytes"] for r in own)
+    tasks = max(math.ceil(size / TASK_BYTES), min(math.ceil(size / FEW_BYTES), FEW_TASKS), 1)
+    model = fit(fitted.select("_text", "_y").coalesce(tasks), texts)
+    # Each class weighs as much as it has rows among all that are labelled.
+    weight = np.array([1 - share, share]) * matched.sum() / matched
+    scored = score(rows.where("_kept_out").select("_text", "_y", "_lang"), model, "_text", "_p")
+    p = F.greatest(F.least("_p", F.lit(1 - 1e-12)), F.lit(1e-12))
+    odds = staged(scored.select(
+        F.log(p / (1 - p)).alias("_z"), "_y", "_lang",
+        F.when(F.col("_y") == 1, float(weight[1])).otherwise(float(weight[0])).alias("_weight"),
+    ), "toxicity-calibration")
+    calibrate(model, odds)
+    model.thresholds = thresholds(model, odds)
     return model
 
 

@@ -76,6 +76,48 @@ def test_repeated_and_missing_labels(spark):
     assert model.constant is None
 
 
+def test_all_labelled_rows_are_learnt_from(spark):
+    """A word that only the toxic rows of largest hash hold."""
+    ids = spark.range(7000).withColumn("toxic", (X.F.col("id") % 2).cast("int"))
+    ranked = [(r.id, r.toxic) for r in ids.orderBy(X.F.xxhash64("id"), "id").collect()]
+    late = {i for i, _ in [r for r in ranked if r[1]][3000:]}
+    rng = random.Random(3)
+    docs = []
+    for i, toxic in ranked:
+        w = [rng.choice("thes eres inat anor hedti nden".split()) for _ in range(12)]
+        docs.append((i, " ".join([*w, "molvun" if i in late else "vequer"] if toxic else w), "en"))
+    model = X.train(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(ranked, "doc_id long, toxic int"))
+    seen = spark.createDataFrame([(1, "thes inat molvun eres", "en"), (2, "thes inat eres", "en")], SCHEMA)
+    scores = {r.doc_id: r.score for r in X.score(seen, model).collect()}
+    assert scores[1] > 0.8 and scores[2] < 0.2
+
+
+def test_long_labelled_texts_are_learnt_from(spark):
+    docs = [(i, "thes eres inat " * 20, "en") for i in range(60)]
+    docs += [(i, "thes eres inat " * 15_000 + "vequer vequet", "en") for i in range(60, 80)]
+    model = X.train(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame([(i, int(i >= 60)) for i in range(80)], "doc_id long, toxic int"))
+    assert model.constant is None
+    assert [r.score > 0.5 for r in X.score(spark.createDataFrame([docs[0], docs[-1]], SCHEMA), model).orderBy("doc_id").collect()] == [False, True]
+
+
+def test_buckets_of_all_tasks(spark):
+    docs, labels = corpus(90)
+    rows = spark.createDataFrame([(t, y) for (_, t, _), (_, y) in zip(docs, labels)], "text string, y int")
+    seen = np.zeros((2, X.BUCKETS))
+    for (_, t, _), (_, y) in zip(docs, labels):
+        data = np.frombuffer(t.encode(), np.uint8)
+        seen[y, np.unique(X.buckets(X.words(data, np.array([0, len(data)]))))] += 1
+    assert all((X.buckets_seen(rows.repartition(n)) == seen).all() for n in (1, 5))
+
+
+def test_tasks_change_the_model_together(spark):
+    docs, labels = corpus(600)
+    rows = spark.createDataFrame([(t, y) for (_, t, _), (_, y) in zip(docs, labels)], "text string, y int").repartition(5)
+    model = X.fit(rows, np.array([480.0, 120.0]))
+    scores = [r.score for r in X.score(rows.select("y", "text"), model).orderBy("y").collect()]
+    assert np.mean([(s >= 0.5) == (i >= 480) for i, s in enumerate(scores)]) > 0.97
+
+
 def test_slices_do_not_change_scores(fitted):
     import pyarrow as pa
 
