@@ -74,31 +74,31 @@ def run_gate(
 VIOLATIONS = "tabela string, ficheiro string, linha long, chave string, regra string, coluna string, valor string"
 
 
-def file_violations(spark: SparkSession, path: str, table: str) -> DataFrame:
+def file_violations(spark: SparkSession, path: str, table: str, pieces: bool = False) -> DataFrame:
     """VIOLATIONS of one raw file, or of all files of a folder, with the number of the row in
     its file, from 1 below the header.
 
     Fields go by the file's own header; a column that it lacks is empty throughout. A line that
     has more or fewer fields than the header is a violation with the line as value, beside those
-    of the fields that it lacks.
+    of the fields that it lacks. With pieces, the files of a folder, by name, are one file.
     """
-    raw = read_numbered_csv(spark, path)
+    raw = read_numbered_csv(spark, path, pieces)
     lacking = {c: F.lit(None).cast("string") for c in RAW_HEADERS[table] if c not in raw.columns}
     return violations(
         table, raw.withColumns(lacking), place={FILE: "ficheiro", LINE: "linha"}, malformed=CORRUPT
     )
 
 
-def validate_folder(spark: SparkSession, folder: str, out: str) -> dict[str, str]:
+def validate_folder(spark: SparkSession, folder: str, out: str, pieces: bool = False) -> dict[str, str]:
     """Write the row violations of every raw file; returns a status per file.
 
-    A missing file is reported and does not stop the others.
+    A missing file is reported and does not stop the others. For pieces see `file_violations`.
     """
     status, found = {}, spark.createDataFrame([], VIOLATIONS)
     for table in RAW_HEADERS:
         file = f"{table}.csv"
         try:
-            found = found.unionByName(file_violations(spark, f"{folder}/{file}", table))
+            found = found.unionByName(file_violations(spark, f"{folder}/{file}", table, pieces))
             status[file] = "finished"
         except FileNotFoundError:
             status[file] = "not found"

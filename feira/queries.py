@@ -6,6 +6,7 @@ their attributes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -274,9 +275,13 @@ def row_violations(spark, sf):
     return row_rules.all_violations(_dirty(spark, sf))
 
 
+PIECE_ROWS = 1_000_000  # lines that a task sorts and writes, about
+
+
 def _write_dirty_files(spark, sf, folder):
     """The dirty tables as headed CSV, one file for each length of id, rows by id; some lines
-    have a field too many or too few."""
+    have a field too many or too few. A file is a folder of pieces, which many tasks write; the
+    first piece is headed."""
     odd = {
         "clientes": (F.col("distrito") == "NATION_3", F.col("distrito") == "NATION_4"),
         "produtos": (F.col("fornecedor") == "Brand#3", F.col("fornecedor") == "Brand#4"),
@@ -298,7 +303,9 @@ def _write_dirty_files(spark, sf, folder):
         )
         rows = df.select(F.length("id").alias("part"), F.col("id").cast("bigint").alias("nth"), line.alias("value"))
         heads = rows.select("part").distinct().select("part", F.lit(-1).cast("bigint").alias("nth"), F.lit(",".join(header)).alias("value"))
-        rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "nth", "value").select(
+        by = ("part", "nth", "value")
+        ranges = math.ceil(max(df.count(), 1) / PIECE_ROWS)
+        rows.unionByName(heads).repartitionByRange(ranges, *by).sortWithinPartitions(*by).select(
             "part", "value"
         ).write.partitionBy("part").text(f"{folder}/{name}.csv")
 
@@ -308,7 +315,7 @@ def row_violation_lines(spark, sf):
     """The violations of raw files of all four entities, by file and row number."""
     folder = scratch_path(spark, "raw")
     _write_dirty_files(spark, sf, folder)
-    status = quality_gate.validate_folder(spark, folder, f"{folder}/violations")
+    status = quality_gate.validate_folder(spark, folder, f"{folder}/violations", pieces=True)
     if set(status.values()) != {"finished"}:
         raise RuntimeError(str(status))
     return spark.read.parquet(f"{folder}/violations").withColumn(

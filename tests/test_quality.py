@@ -151,6 +151,39 @@ def test_lines_are_numbered_over_splits(spark, tmp_path):
     assert got == {("a.csv", i): i for i in range(1, 4000)} | {("b.csv", 1): 1, ("b.csv", 2): 2}
 
 
+def test_lines_are_numbered_over_pieces(spark, tmp_path):
+    """A file that many tasks wrote: only its first piece is headed, and numbers run on."""
+    big = ["id,email"] + [f"{i},{'x' * (i % 90)}" for i in range(1, 4000)]
+    for part in ("p=1 a", "p=2"):
+        (tmp_path / "f" / part).mkdir(parents=True)
+        for k, (lo, hi) in enumerate([(0, 3), (3, 2500), (2500, 2501), (2501, 4000)]):
+            (tmp_path / "f" / part / f"part-0000{k}.txt").write_text("\n\n".join(big[lo:hi]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = [(r["_ficheiro"].split("/")[-2][:3], int(r["id"]), r["_linha"]) for r in lines.read_numbered_csv(spark, str(tmp_path / "f"), pieces=True).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got) == [(p, i, i) for p in ("p=1", "p=2") for i in range(1, 4000)]
+
+
+def test_files_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Each task sorts and writes a bounded number of lines; the pieces together are one file."""
+    from feira import queries
+
+    monkeypatch.setattr(queries, "PIECE_ROWS", 500)
+    queries._write_dirty_files(spark, "/root/testdata/sf0.001", str(tmp_path))
+    for part in (tmp_path / "transacao_itens.csv").iterdir():
+        if part.is_dir():
+            sizes, keys = [], []
+            for piece in sorted(part.glob("*.txt")):
+                found = piece.read_text().splitlines()
+                sizes.append(len(found))
+                keys += [line.split(",")[0] for line in found]
+            assert keys[0] == "id" and "id" not in keys[1:] and keys[1:] == sorted(keys[1:], key=int)
+            assert max(sizes) < 1500 and (len(keys) < 1500 or len(sizes) > 1)
+
+
 def test_wide_and_narrow_lines_are_violations(spark, tmp_path):
     (tmp_path / "produtos.csv").write_text(
         'nome,id,categoria,preco,fornecedor\n"a, ""b""",1,c,1.5,f\nx,2,c,1.5,f,more\n\ny,3,c,1.5\nz,4,,0,f\n')
