@@ -172,22 +172,27 @@ def recommendations(fact: DataFrame, k: int = 5, block: int = BLOCK, hot: int =
     )
     n_orders = _counted(rows, "transaction_id").agg(F.count(F.lit(1)).alias("orders_all"))
     lists = _partners(_in_cells(rows, block, work)).withColumnRenamed("product_id", "product_id_x")
-    parts = F.ceil(F.col("orders_x") / F.lit(hot)).cast("int")
-    dealt = lists.join(per_product, "product_id_x").withColumn("parts", parts).withColumn(
+    # At most one for every `hot` basket rows, so the lists are shuffled once, to as many tasks as work has.
+    spread = per_product.where(F.col("orders_x") > hot).select(
+        "product_id_x", F.ceil(F.col("orders_x") / F.lit(hot)).cast("int").alias("parts")
+    )
+    dealt = lists.join(F.broadcast(spread), "product_id_x", "left").withColumn(
+        "parts", F.coalesce("parts", F.lit(1))
+    ).withColumn(
         "part", F.pmod(F.xxhash64("transaction_id"), F.col("parts")).cast("int")
     ).repartition(work.tasks, "product_id_x", "part")
-    counted = dealt.select("product_id_x", "part", "parts", "orders_x", F.inline("partners").alias("product_id_y", "n")).groupBy(
-        "product_id_x", "part", "parts", "orders_x", "product_id_y"
+    counted = dealt.select("product_id_x", "part", "parts", F.inline("partners").alias("product_id_y", "n")).groupBy(
+        "product_id_x", "part", "parts", "product_id_y"
     ).agg(F.sum("n").alias("co_purchase_count"), F.count(F.lit(1)).alias("shared_orders"))
     best = [F.col("co_purchase_count").desc(), F.col("product_id_y")]
     own = Window.partitionBy("product_id_x", "part").orderBy(*best)
     near = counted.withColumn("place", F.row_number().over(own)).where((F.col("place") <= k) | (F.col("parts") > 1))
-    whole = near.groupBy("product_id_x", "orders_x", "product_id_y").agg(
+    whole = near.repartition(work.tasks, "product_id_x", "product_id_y").groupBy("product_id_x", "product_id_y").agg(
         F.sum("co_purchase_count").alias("co_purchase_count"), F.sum("shared_orders").alias("shared_orders")
     )
     top = whole.withColumn(
         "position", F.row_number().over(Window.partitionBy("product_id_x").orderBy(*best))
-    ).where(F.col("position") <= k)
+    ).where(F.col("position") <= k).join(per_product, "product_id_x")
     return top.select(
         "product_id_x", "position", "product_id_y", "co_purchase_count",
         F.round(F.col("shared_orders") / n_orders.scalar(), 8).alias("support"),

@@ -115,3 +115,28 @@ def test_recommendations_shuffle_few_pairs(spark):
     # One row for each line, and k for each product; there are many more pairs.
     visit(found._jdf.queryExecution().executedPlan())
     assert pairs > 150_000 and 0 < max(shuffled) <= 30_000
+
+
+def test_lists_of_partners_are_shuffled_once(spark, monkeypatch):
+    """To as many tasks as there is work; a join by product would deal them to a fixed number first."""
+    lines = spark.range(3000).select(
+        F.floor(F.col("id") / 30).alias("transaction_id"), F.pmod(F.xxhash64("id"), F.lit(400)).alias("product_id"))
+    monkeypatch.setattr(copurchase, "TASK_ROWS", 5000)
+    name, shuffled = "spark.sql.autoBroadcastJoinThreshold", []
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = copurchase.recommendations(lines)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set(name, before)
+
+    def visit(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return visit(node.executedPlan())
+        if node.nodeName() == "Exchange" and "partners#" in node.output().mkString(","):
+            shuffled.append(node.outputPartitioning().toString())
+        for i in range(node.children().size()):
+            visit(node.children().apply(i))
+
+    visit(plan)
+    assert len(shuffled) == 1 and "part#" in shuffled[0]
